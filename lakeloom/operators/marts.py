@@ -149,11 +149,13 @@ def row_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
 
 
 def time_series_metrics(df: DataFrame, key: str, ts: str, value: str,
-                        windows: Mapping[str, int] = None) -> DataFrame:
+                        windows: Mapping[str, int] | None = None, exact_scale: int | None = None) -> DataFrame:
     """LAG change, safe return and row-count moving averages over ONE shared window order.
 
     All expressions use the same ``partitionBy(key).orderBy(ts)`` spec so Spark sorts once.
     The first row has a NULL change; moving averages use a short frame at the start.
+    With ``exact_scale`` the moving sums are exact decimals (``value`` has at most that many
+    decimals), so the average does not depend on the summation order.
     """
     windows = windows or {"moving_avg_7d": 7, "moving_avg_30d": 30}
     w = Window.partitionBy(key).orderBy(ts)
@@ -163,7 +165,12 @@ def time_series_metrics(df: DataFrame, key: str, ts: str, value: str,
         "daily_return_pct": safe_divide(F.col(value) - prev, prev),
     }
     for name, rows in windows.items():
-        cols[name] = F.avg(value).over(w.rowsBetween(-(rows - 1), Window.currentRow))
+        frame = w.rowsBetween(-(rows - 1), Window.currentRow)
+        if exact_scale is None:
+            cols[name] = F.avg(value).over(frame)
+        else:
+            exact = F.sum(F.col(value).cast(f"decimal(18,{exact_scale})")).over(frame).cast("double")
+            cols[name] = exact / F.count(F.lit(1)).over(frame)
     return df.withColumns(cols)
 
 

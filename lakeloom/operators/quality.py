@@ -214,16 +214,17 @@ def health(df: DataFrame, dlq: DataFrame, ts_col: str, now: str, max_dlq_share:
     )
 
 
-def error_delta(dlq: DataFrame, ts_col: str, period: str = "1 day", errors: str = ERRORS) -> DataFrame:
-    """Error counter per period and its change vs the previous period of the same code.
+def error_delta(dlq: DataFrame, ts_col: str, period: str = "day", errors: str = ERRORS) -> DataFrame:
+    """Error counter per period (``day``/``week``/``month``/``year``) and its change vs the
+    previous period of the same code.
 
-    The window runs over the per-period aggregate (codes × periods rows), never raw rows.
+    The window runs over the per-(period, code) aggregate — a few rows per code — never
+    over raw rows.
     """
-    per = (dlq.select(F.date_trunc("day", F.col(ts_col)) if period == "1 day" else F.window(ts_col, period).start,
+    per = (dlq.select(F.to_date(F.date_trunc(period, F.col(ts_col))).alias("period_start"),
                       F.explode(F.split(F.col(errors), ";")).alias("error_code"))
-           .toDF("period_start", "error_code")
-           .filter(F.col("error_code") != "")
-           .groupBy("period_start", "error_code").agg(F.count(F.lit(1)).alias("n_errors")))
+              .filter(F.col("error_code") != "")
+              .groupBy("period_start", "error_code").agg(F.count(F.lit(1)).alias("n_errors")))
     w = Window.partitionBy("error_code").orderBy("period_start")
     return per.withColumn("delta", F.col("n_errors") - F.lag("n_errors").over(w))
 

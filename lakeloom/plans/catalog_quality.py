@@ -1,3 +1,280 @@
-"""Registered queries."""
+"""Registered queries: data quality (rules, dead letters, cleansing, measures) and DQ flows."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.operators import dedupe as dd
+from lakeloom.operators import quality as q
+from lakeloom.plans import flows
+from lakeloom.plans.registry import query
+from lakeloom.plans.tables import Tables
+from lakeloom.session import shared_dir
+from lakeloom.sources import files
+
+# fixed values: patterns shared by the document rules and their SQL oracle
+EMAIL_SEARCH = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+IPV4_SEARCH = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
+LANGS = ["en", "fr", "de", "es"]
+
+
+def document_rules() -> list[q.Rule]:
+    """Quality gate for raw documents: empty/short text, inconsistent length, unknown
+    language, and personal data that must be reviewed before publishing."""
+    return [
+        q.Rule("TEXT_EMPTY", F.col("text").isNull() | (F.trim(F.col("text")) == "")),
+        q.Rule("TOO_SHORT", F.col("n_chars") < 20),
+        q.Rule("LENGTH_MISMATCH", F.col("n_chars") != F.length("text")),
+        q.Rule("LANG_UNSUPPORTED", F.col("lang").isNull() | ~F.col("lang").isin(LANGS)),
+        q.Rule("CONTAINS_EMAIL", F.col("text").rlike(EMAIL_SEARCH)),
+        q.Rule("CONTAINS_IPV4", F.col("text").rlike(IPV4_SEARCH)),
+    ]
+
+
+DOC_ERRORS_SQL = f"""
+  (CASE WHEN text IS NULL OR trim(text) = '' THEN 'TEXT_EMPTY;' ELSE '' END)
+  || (CASE WHEN n_chars < 20 THEN 'TOO_SHORT;' ELSE '' END)
+  || (CASE WHEN n_chars <> length(text) THEN 'LENGTH_MISMATCH;' ELSE '' END)
+  || (CASE WHEN lang IS NULL OR lang NOT IN ('en', 'fr', 'de', 'es') THEN 'LANG_UNSUPPORTED;' ELSE '' END)
+  || (CASE WHEN regexp_matches(text, '{EMAIL_SEARCH}') THEN 'CONTAINS_EMAIL;' ELSE '' END)
+  || (CASE WHEN regexp_matches(text, '{IPV4_SEARCH}') THEN 'CONTAINS_IPV4;' ELSE '' END)"""
+
+
+def _checked_docs(spark, sf):
+    return q.validate(Tables(spark, sf).documents, document_rules())
+
+
+@query("validate_rules", oracle=f"""
+SELECT doc_id, {DOC_ERRORS_SQL} AS validation_errors, ({DOC_ERRORS_SQL}) = '' AS is_valid FROM documents""")
+def q_validate_rules(spark, sf):
+    return _checked_docs(spark, sf).select("doc_id", "validation_errors", "is_valid")
+
+
+@query("split_valid_invalid", oracle=f"""
+SELECT doc_id, lang, CASE WHEN e = '' THEN NULL ELSE e END AS validation_errors,
+       CASE WHEN e = '' THEN 'clean' ELSE 'dlq' END AS branch
+FROM (SELECT doc_id, lang, {DOC_ERRORS_SQL} AS e FROM documents)""")
+def q_split_valid_invalid(spark, sf):
+    clean, dlq = q.split(_checked_docs(spark, sf))
+    return dd.union_all(clean.select("doc_id", "lang").withColumn("branch", F.lit("clean")),
+                        dlq.select("doc_id", "lang", "validation_errors").withColumn("branch", F.lit("dlq")),
+                        allow_missing=True)
+
+
+@query("agg_error_table", oracle=f"""
+SELECT code AS error_code, COUNT(*) AS n_errors
+FROM (SELECT unnest(string_split({DOC_ERRORS_SQL}, ';')) AS code FROM documents) WHERE code <> '' GROUP BY code""")
+def q_agg_error_table(spark, sf):
+    _, dlq = q.split(_checked_docs(spark, sf))
+    return q.error_counts(dlq)
+
+
+@query("dq_profile", oracle="""
+SELECT COUNT(*) AS rows,
+       AVG(CAST(coalesce(text IS NOT NULL, false) AS DOUBLE)) AS complete_text,
+       AVG(CAST(coalesce(lang IN ('en', 'fr', 'de', 'es'), false) AS DOUBLE)) AS conform_lang,
+       AVG(CAST(coalesce(n_chars = length(text), false) AS DOUBLE)) AS consistent_length,
+       AVG(CAST(coalesce(n_chars >= 20, false) AS DOUBLE)) AS long_enough
+FROM documents""")
+def q_dq_profile(spark, sf):
+    d = Tables(spark, sf).documents
+    return q.profile(d, {
+        "complete_text": F.col("text").isNotNull(),
+        "conform_lang": F.col("lang").isin(LANGS),
+        "consistent_length": F.col("n_chars") == F.length("text"),
+        "long_enough": F.col("n_chars") >= 20,
+    })
+
+
+# --- web events -----------------------------------------------------------------------------
+
+EVENT_ERRORS_SQL = """
+  (CASE WHEN event_id IS NULL THEN 'ID_NULL;' ELSE '' END)
+  || (CASE WHEN user_id IS NOT NULL AND user_id <= 0 THEN 'USER_ID_INVALID;' ELSE '' END)
+  || (CASE WHEN ts IS NULL THEN 'CREATED_AT_NULL;' ELSE '' END)
+  || (CASE WHEN trim(CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d')) = '' THEN 'SESSION_ID_EMPTY;' ELSE '' END)
+  || (CASE WHEN trim(json_extract_string(props, '$.city')) = '' THEN 'CITY_EMPTY;' ELSE '' END)"""
+
+
+@query("validate_events", oracle=f"""
+SELECT CAST(event_id AS INTEGER) AS id, {EVENT_ERRORS_SQL} AS validation_errors FROM events""")
+def q_validate_events(spark, sf):
+    web = flows.events_as_web_events(Tables(spark, sf).events)
+    return q.validate(web, q.event_rules()).select("id", "validation_errors")
+
+
+@query("pipe_events_dq", oracle=f"""
+SELECT CAST(event_id AS INTEGER) AS id, CAST(coalesce(user_id, -1) AS INTEGER) AS user_id,
+       trim(CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d')) AS session_id, trim(event_type) AS event_type, ts AS created_at
+FROM events WHERE ({EVENT_ERRORS_SQL}) = ''""")
+def q_pipe_events_dq(spark, sf):
+    web = flows.events_as_web_events(Tables(spark, sf).events)
+    valid, _ = flows.run_events_dq(spark, web)
+    return valid.select("id", "user_id", "session_id", "event_type", "created_at")
+
+
+@query("cleanse_null_fill", oracle="""
+SELECT c.c_custkey, coalesce(o.n_orders, 0) AS n_orders
+FROM customer c LEFT JOIN (SELECT o_custkey, COUNT(*) AS n_orders FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey""")
+def q_cleanse_null_fill(spark, sf):
+    t = Tables(spark, sf)
+    n = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+    j = t.customer.select("c_custkey").join(n, F.col("c_custkey") == F.col("o_custkey"), "left").drop("o_custkey")
+    return q.fill_null(j, {"n_orders": 0})
+
+
+@query("cleanse_trim_all", oracle="SELECT conv_id, turn, trim(role) AS role, trim(text) AS text FROM conversations")
+def q_cleanse_trim_all(spark, sf):
+    return q.trim_columns(Tables(spark, sf).conversations, ["role", "text"])
+
+
+# --- prices -------------------------------------------------------------------------------------
+
+BARS_SQL = """
+(SELECT b.ticker, b.date, c.value AS close, b.volume, b.event_id FROM
+  (SELECT event_type AS ticker, CAST(ts AS DATE) AS date, COUNT(*) AS volume, MAX(event_id) AS event_id
+   FROM events GROUP BY 1, 2) b
+  JOIN (SELECT event_type, CAST(ts AS DATE) AS date, value FROM events
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1) c
+  ON b.ticker = c.event_type AND b.date = c.date)"""
+
+PRICE_ERRORS_SQL = """
+  (CASE WHEN close IS NULL OR close <= 0 THEN 'INVALID_CLOSE;' ELSE '' END)
+  || (CASE WHEN volume IS NULL OR volume < 0 THEN 'INVALID_VOLUME;' ELSE '' END)
+  || (CASE WHEN date IS NULL OR ticker IS NULL THEN 'MISSING_KEY;' ELSE '' END)"""
+
+
+@query("validate_prices", oracle=f"""
+SELECT ticker, date, close, volume, {PRICE_ERRORS_SQL} AS validation_errors FROM {BARS_SQL}""")
+def q_validate_prices(spark, sf):
+    bars = flows.price_bars(Tables(spark, sf).events)
+    return q.validate(bars, q.price_rules()).select("ticker", "date", "close", "volume", "validation_errors")
+
+
+# --- contacts -----------------------------------------------------------------------------------
+
+CONTACT_SQL = r"""
+(SELECT doc_id AS id, regexp_extract(text, '[^ \n]+@[^ \n]+', 0) AS email FROM documents WHERE text LIKE '%@%')"""
+CONTACT_ERRORS_SQL = r"""
+  (CASE WHEN id IS NULL THEN 'ID_NULL;' ELSE '' END)
+  || (CASE WHEN email IS NULL THEN 'EMAIL_NULL;' ELSE '' END)
+  || (CASE WHEN email IS NOT NULL AND NOT regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$') THEN 'EMAIL_INVALID;' ELSE '' END)"""
+
+
+def contacts_from_documents(documents):
+    """Contact rows derived from documents: the first ``x@y`` token of each text that has one."""
+    return (documents.filter(F.col("text").contains("@"))
+            .select(F.col("doc_id").alias("id"), F.regexp_extract("text", r"[^ \n]+@[^ \n]+", 0).alias("email")))
+
+
+@query("validate_email", oracle=f"SELECT id, email, {CONTACT_ERRORS_SQL} AS validation_errors FROM {CONTACT_SQL}")
+def q_validate_email(spark, sf):
+    contacts = contacts_from_documents(Tables(spark, sf).documents)
+    return q.validate(contacts, q.email_rules()).select("id", "email", "validation_errors")
+
+
+@query("pipe_customer_dq", oracle=f"""
+SELECT id, email, CASE WHEN e = '' THEN NULL ELSE e END AS validation_errors
+FROM (SELECT id, email, {CONTACT_ERRORS_SQL} AS e FROM {CONTACT_SQL})""")
+def q_pipe_customer_dq(spark, sf):
+    root = shared_dir(spark, "contacts")
+    contacts_from_documents(Tables(spark, sf).documents).write.option("header", True).csv(f"{root}/src")
+    clean, errors = flows.run_contacts_dq(spark, f"{root}/src", root, "2024-01-31")
+    return dd.union_all(clean, errors, allow_missing=True).select("id", "email", "validation_errors")
+
+
+# --- standard rules -------------------------------------------------------------------------------
+
+# fixed values: the allowed-country list of the standard check
+ALLOWED_COUNTRIES = ["FRANCE", "GERMANY", "ROMANIA", "RUSSIA", "UNITED KINGDOM"]
+
+
+@query("validate_standard", oracle="""
+SELECT c.c_custkey, n.n_name AS country,
+  (CASE WHEN c.c_custkey IS NULL THEN 'C_CUSTKEY_NULL;' ELSE '' END)
+  || (CASE WHEN c.c_name IS NULL THEN 'C_NAME_NULL;' ELSE '' END)
+  || (CASE WHEN n.n_name IS NOT NULL AND n.n_name NOT IN ('FRANCE', 'GERMANY', 'ROMANIA', 'RUSSIA', 'UNITED KINGDOM')
+           THEN 'COUNTRY_NOT_ALLOWED;' ELSE '' END) AS validation_errors
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def q_validate_standard(spark, sf):
+    t = Tables(spark, sf)
+    df = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+          .select("c_custkey", "c_name", F.col("n_name").alias("country")))
+    clean, dlq = q.apply_standard_validations(df, ["c_custkey", "c_name"], "country", ALLOWED_COUNTRIES)
+    return dd.union_all(clean.withColumn("validation_errors", F.lit("")), dlq).select("c_custkey", "country", "validation_errors")
+
+
+# --- amounts --------------------------------------------------------------------------------------
+
+PAGE_AMOUNT_SQL = r"(SELECT page_id, regexp_extract(url, '/[a-z][a-z]/([^?#]*)', 1) AS amount FROM pages)"
+
+
+def page_amounts(pages):
+    """A numeric-looking path segment of each page URL, as raw text (it may not be a number)."""
+    return pages.select("page_id", F.regexp_extract("url", r"/[a-z][a-z]/([^?#]*)", 1).alias("amount"))
+
+
+@query("validate_amount", oracle=f"""
+SELECT page_id, amount,
+  (CASE WHEN amount IS NULL OR trim(amount) = '' THEN 'AMOUNT_MISSING;' ELSE '' END)
+  || (CASE WHEN amount IS NOT NULL AND trim(amount) <> '' AND TRY_CAST(amount AS DECIMAL(38,9)) IS NULL THEN 'AMOUNT_NOT_NUMERIC;' ELSE '' END)
+  || (CASE WHEN TRY_CAST(amount AS DECIMAL(38,9)) < 0 THEN 'AMOUNT_NEGATIVE;' ELSE '' END) AS validation_errors
+FROM {PAGE_AMOUNT_SQL}""")
+def q_validate_amount(spark, sf):
+    return q.validate(page_amounts(Tables(spark, sf).pages), q.amount_rules("amount")).select(
+        "page_id", "amount", "validation_errors")
+
+
+# --- run health and error trends --------------------------------------------------------------------
+
+@query("dq_health", oracle=f"""
+WITH v AS (SELECT ts, ({EVENT_ERRORS_SQL}) = '' AS ok FROM events)
+SELECT COUNT(*) FILTER (WHERE ok) AS processed, COUNT(*) FILTER (WHERE NOT ok) AS dead_lettered,
+       round(COUNT(*) FILTER (WHERE NOT ok) / COUNT(*), 6) AS dlq_share,
+       round(date_diff('second', MAX(ts) FILTER (WHERE ok), TIMESTAMP '2024-02-01 00:00:00') / 3600.0, 3) AS lag_hours,
+       COUNT(*) FILTER (WHERE NOT ok) / COUNT(*) > 0.05 AS alert_dlq,
+       date_diff('second', MAX(ts) FILTER (WHERE ok), TIMESTAMP '2024-02-01 00:00:00') / 3600.0 > 24.0 AS alert_stale
+FROM v""")
+def q_dq_health(spark, sf):
+    bars_src = Tables(spark, sf).events
+    web = flows.events_as_web_events(bars_src)
+    clean, dlq = q.split(q.validate(web, q.event_rules()))
+    return q.health(clean, dlq, "created_at", "2024-02-01 00:00:00")
+
+
+def order_rules() -> list[q.Rule]:
+    """Order checks used for the error-trend report."""
+    return [
+        q.Rule("TOTAL_NOT_POSITIVE", F.col("o_totalprice").isNull() | (F.col("o_totalprice") <= 0)),
+        q.Rule("TOTAL_OUTLIER", F.col("o_totalprice") > 400000),
+        q.Rule("STATUS_UNKNOWN", F.col("o_orderstatus").isNull() | ~F.col("o_orderstatus").isin("F", "O", "P")),
+        q.Rule("PRIORITY_URGENT_PENDING", (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")),
+    ]
+
+
+ORDER_ERRORS_SQL = """
+  (CASE WHEN o_totalprice IS NULL OR o_totalprice <= 0 THEN 'TOTAL_NOT_POSITIVE;' ELSE '' END)
+  || (CASE WHEN o_totalprice > 400000 THEN 'TOTAL_OUTLIER;' ELSE '' END)
+  || (CASE WHEN o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P') THEN 'STATUS_UNKNOWN;' ELSE '' END)
+  || (CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN 'PRIORITY_URGENT_PENDING;' ELSE '' END)"""
+
+
+@query("dq_error_delta", oracle=f"""
+WITH e AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period_start, unnest(string_split({ORDER_ERRORS_SQL}, ';')) AS error_code FROM orders),
+     c AS (SELECT period_start, error_code, COUNT(*) AS n_errors FROM e WHERE error_code <> '' GROUP BY 1, 2)
+SELECT period_start, error_code, n_errors,
+       n_errors - LAG(n_errors) OVER (PARTITION BY error_code ORDER BY period_start) AS delta FROM c""")
+def q_dq_error_delta(spark, sf):
+    _, dlq = q.split(q.validate(Tables(spark, sf).orders, order_rules()))
+    return q.error_delta(dlq, "o_orderdate", "month")
+
+
+@query("cast_reject", oracle=f"""
+SELECT page_id, CAST(TRY_CAST(amount AS DECIMAL(38,9)) AS DOUBLE) AS amount_value,
+       CASE WHEN amount IS NOT NULL AND TRY_CAST(amount AS DECIMAL(38,9)) IS NULL THEN 'amount;' ELSE '' END AS cast_errors
+FROM {PAGE_AMOUNT_SQL}""")
+def q_cast_reject(spark, sf):
+    raw = page_amounts(Tables(spark, sf).pages)
+    ok, rejects = files.cast_or_reject(raw, {"amount": "decimal(38,9)"})
+    ok = ok.select("page_id", F.col("amount").cast("double").alias("amount_value"), F.lit("").alias("cast_errors"))
+    return dd.union_all(ok, rejects.select("page_id", F.lit(None).cast("double").alias("amount_value"), "cast_errors"))

@@ -1,3 +1,237 @@
-"""Registered queries."""
+"""Registered queries: table changes (MERGE/UPSERT/UPDATE/DELETE, evolution, as-of, derived
+partitions) and the flows built on them."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.functions.columns import is_true
+from lakeloom.operators import dedupe as dd
+from lakeloom.operators import tables as tb
+from lakeloom.plans import flows
+from lakeloom.plans.catalog_quality import BARS_SQL
+from lakeloom.plans.registry import query
+from lakeloom.plans.tables import Tables
+from lakeloom.session import shared_dir
+from lakeloom.sources import sinks
+
+# --- MERGE (insert only) ----------------------------------------------------------------------
+
+_TARGET = "(SELECT o_orderkey AS id, o_totalprice AS value, o_orderdate AS ts FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01')"
+_MERGE_INSERT_ORACLE = f"""
+SELECT * FROM {_TARGET}
+UNION ALL
+SELECT id, value, ts FROM (
+  SELECT l_orderkey AS id, l_extendedprice AS value, l_shipdate AS ts FROM lineitem
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_extendedprice DESC) = 1)
+WHERE id NOT IN (SELECT id FROM {_TARGET})"""
+
+
+def _merge_insert(spark, sf):
+    t = Tables(spark, sf)
+    target = (t.orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+              .select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"), F.col("o_orderdate").alias("ts")))
+    staged = t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_extendedprice").alias("value"),
+                               F.col("l_shipdate").alias("ts"))
+    merged, _rejects = tb.merge_insert(target, staged, ["id"], "ts", ["value"])
+    return merged
+
+
+@query("merge_insert_only", oracle=_MERGE_INSERT_ORACLE)
+def q_merge_insert_only(spark, sf):
+    return _merge_insert(spark, sf)
+
+
+@query("dedupe_post_merge", oracle=_MERGE_INSERT_ORACLE)
+def q_dedupe_post_merge(spark, sf):
+    """Staging → production through a written table: run twice, the second run adds nothing."""
+    root = shared_dir(spark, "post_merge")
+    first = sinks.replace_table(_merge_insert(spark, sf), f"prod_{root[-12:]}", f"{root}/v1")
+    t = Tables(spark, sf)
+    staged = t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_extendedprice").alias("value"),
+                               F.col("l_shipdate").alias("ts"))
+    again, _ = tb.merge_insert(first, staged, ["id"], "ts", ["value"])
+    return sinks.replace_table(again, f"prod2_{root[-12:]}", f"{root}/v2")
+
+
+# --- UPSERT ------------------------------------------------------------------------------------
+
+_REPORT_SQL = """(SELECT CAST(l_shipdate AS DATE) AS transaction_date, l_partkey AS product_id,
+   CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales, SUM(l_quantity) AS total_quantity
+ FROM lineitem WHERE l_linestatus = '{s}' GROUP BY 1, 2)"""
+_UPSERT_ORACLE = f"""
+SELECT * FROM {_REPORT_SQL.format(s='F')} f
+WHERE NOT EXISTS (SELECT 1 FROM {_REPORT_SQL.format(s='O')} o
+                  WHERE o.transaction_date = f.transaction_date AND o.product_id = f.product_id)
+UNION ALL SELECT * FROM {_REPORT_SQL.format(s='O')}"""
+
+
+def _report(lineitem, status):
+    return (lineitem.filter(F.col("l_linestatus") == status)
+            .groupBy(F.to_date("l_shipdate").alias("transaction_date"), F.col("l_partkey").alias("product_id"))
+            .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("total_sales"),
+                 F.sum("l_quantity").alias("total_quantity")))
+
+
+@query("merge_upsert", oracle=_UPSERT_ORACLE)
+def q_merge_upsert(spark, sf):
+    li = Tables(spark, sf).lineitem
+    return tb.upsert(_report(li, "F"), _report(li, "O"), ["transaction_date", "product_id"])
+
+
+def transactions_from_lineitem(lineitem, status):
+    """Raw transactions (text amounts, as landed) from line items of one line status."""
+    return lineitem.filter(F.col("l_linestatus") == status).select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("transaction_date"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("amount"),
+        F.col("l_quantity").alias("quantity"))
+
+
+@query("pipe_daily_sales", oracle=_UPSERT_ORACLE)
+def q_pipe_daily_sales(spark, sf):
+    root = shared_dir(spark, "daily_sales")
+    li = Tables(spark, sf).lineitem
+    report = f"{root}/report"
+    for i, status in enumerate(["F", "O"]):
+        src = f"{root}/raw/run={i}"
+        transactions_from_lineitem(li, status).write.option("header", True).csv(src)
+        out = flows.run_daily_sales(spark, src, report)
+    return out.withColumn("total_sales", F.col("total_sales").cast("double"))
+
+
+# --- schema evolution ------------------------------------------------------------------------------
+
+# fixed values: URL → channel, first match wins
+CHANNEL_BRANCHES = [("%://m.%", "mobile"), ("%://blog.%", "blog"), ("%spam%", "spam")]
+CHANNEL_SQL = """CASE WHEN url ILIKE '%://m.%' THEN 'mobile' WHEN url ILIKE '%://blog.%' THEN 'blog'
+                      WHEN url ILIKE '%spam%' THEN 'spam' ELSE 'web' END"""
+
+
+def _pages_table(spark, sf):
+    root = shared_dir(spark, "pages_evolve")
+    name = f"pages_{root[-12:]}"
+    sinks.replace_table(Tables(spark, sf).pages.select("page_id", "url"), name, root)
+    tb.add_column(spark, name, "channel", "string", "Channel derived from the URL")
+    tb.add_column(spark, name, "channel", "string", "Channel derived from the URL")  # rerun: skipped
+    return name
+
+
+@query("add_column", oracle="SELECT page_id, url, CAST(NULL AS VARCHAR) AS channel FROM pages")
+def q_add_column(spark, sf):
+    return spark.table(_pages_table(spark, sf))
+
+
+@query("update_case", oracle=f"SELECT page_id, url, {CHANNEL_SQL} AS channel FROM pages")
+def q_update_case(spark, sf):
+    df = spark.table(_pages_table(spark, sf))
+    branches = [(is_true(F.col("url").ilike(p)), v) for p, v in CHANNEL_BRANCHES]
+    return tb.backfill_case(df, "channel", branches, "web")
+
+
+@query("merge_schemas", oracle="""
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END AS o_orderpriority
+FROM orders""")
+def q_merge_schemas(spark, sf):
+    root = shared_dir(spark, "merge_schemas")
+    o = Tables(spark, sf).orders
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    o.filter(F.col("o_orderdate") < cut).select("o_orderkey", "o_totalprice").write.parquet(f"{root}/part=old")
+    o.filter(F.col("o_orderdate") >= cut).select("o_orderkey", "o_totalprice", "o_orderpriority") \
+        .write.parquet(f"{root}/part=new")
+    return tb.read_merged(spark, root).select("o_orderkey", "o_totalprice", "o_orderpriority")
+
+
+@query("rename_retype", oracle="""
+SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal FROM customer
+UNION ALL SELECT s_suppkey, s_name, CAST(s_acctbal AS DECIMAL(18,2)) FROM supplier""")
+def q_rename_retype(spark, sf):
+    t = Tables(spark, sf)
+    new = t.customer.select("c_custkey", "c_name", "c_acctbal")
+    return dd.facade(t.supplier, new, {"c_custkey": "s_suppkey", "c_name": "s_name", "c_acctbal": "s_acctbal"},
+                     {"c_acctbal": "decimal(18,2)"})
+
+
+@query("as_of", oracle="""
+SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem WHERE l_shipdate <= TIMESTAMP '1999-01-01'
+QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_quantity DESC) = 1""")
+def q_as_of(spark, sf):
+    h = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    return tb.as_of(h, ["l_orderkey", "l_linenumber"], "l_shipdate", "1999-01-01 00:00:00", ["l_quantity"])
+
+
+@query("derived_partition", oracle="""
+SELECT event_id, ts, CAST(ts AS DATE) AS ts_day FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'""")
+def q_derived_partition(spark, sf):
+    root = shared_dir(spark, "derived_partition")
+    e = tb.with_partition(Tables(spark, sf).events.select("event_id", "ts"), "ts", "day", "ts_day")
+    e.repartition("ts_day").write.partitionBy("ts_day").parquet(root)
+    back = spark.read.parquet(root)
+    return tb.prune(back, "ts", "2024-01-10", "2024-01-20", "day", "ts_day").select("event_id", "ts", "ts_day")
+
+
+@query("delete_rows", oracle="SELECT * FROM orders WHERE NOT coalesce(o_orderstatus = 'P', false)")
+def q_delete_rows(spark, sf):
+    return tb.delete_where(Tables(spark, sf).orders, F.col("o_orderstatus") == "P")
+
+
+# --- price flow -----------------------------------------------------------------------------------
+
+PRICES_GOLD_ORACLE = f"""
+WITH s AS (SELECT ticker, date, close, volume FROM {BARS_SQL})
+SELECT ticker, date, close, volume,
+  close - LAG(close) OVER w AS daily_change,
+  (close - LAG(close) OVER w) / NULLIF(LAG(close) OVER w, 0) AS daily_return_pct,
+  CAST(SUM(CAST(close AS DECIMAL(18,2))) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE)
+    / COUNT(*) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7d,
+  CAST(SUM(CAST(close AS DECIMAL(18,2))) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS DOUBLE)
+    / COUNT(*) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS moving_avg_30d
+FROM s WINDOW w AS (PARTITION BY ticker ORDER BY date)"""
+
+
+@query("pipe_prices", oracle=PRICES_GOLD_ORACLE)
+def q_pipe_prices(spark, sf):
+    """Two runs: the second run's lookback overlaps the first; silver is upserted, so gold
+    counts each (ticker, date) once."""
+    root = shared_dir(spark, "prices")
+    bars = flows.price_bars(Tables(spark, sf).events).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    runs = [("2024-01-20", F.col("date") <= "2024-01-20"), ("2024-01-31", F.col("date") >= "2024-01-15")]
+    gold = None
+    for run_date, pred in runs:
+        sinks.land_bronze(bars.filter(pred), f"{root}/bronze", "ticker", run_date)
+        gold, _ = flows.run_prices(spark, f"{root}/bronze",
+                                   f"{root}/silver", f"{root}/dlq", run_date, f"{root}/gold/{run_date}")
+    return gold.select("ticker", "date", "close", "volume", "daily_change", "daily_return_pct",
+                       "moving_avg_7d", "moving_avg_30d")
+
+
+@query("win_lag_change", oracle=f"""
+SELECT ticker, date, close - LAG(close) OVER (PARTITION BY ticker ORDER BY date) AS daily_change FROM {BARS_SQL}""")
+def q_win_lag_change(spark, sf):
+    from lakeloom.operators import marts
+    bars = flows.price_bars(Tables(spark, sf).events)
+    return marts.lag_change(bars, "ticker", "date", "close", "daily_change").select("ticker", "date", "daily_change")
+
+
+@query("win_safe_return", oracle=f"""
+SELECT ticker, date,
+  (close - LAG(close) OVER w) / NULLIF(LAG(close) OVER w, 0) AS daily_return_pct
+FROM {BARS_SQL} WINDOW w AS (PARTITION BY ticker ORDER BY date)""")
+def q_win_safe_return(spark, sf):
+    from lakeloom.operators import marts
+    bars = flows.price_bars(Tables(spark, sf).events)
+    return marts.lag_return(bars, "ticker", "date", "close", "daily_return_pct").select("ticker", "date", "daily_return_pct")
+
+
+@query("win_moving_avg", oracle=f"""
+SELECT ticker, date,
+  CAST(SUM(CAST(close AS DECIMAL(18,2))) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE)
+    / COUNT(*) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7d
+FROM {BARS_SQL} WINDOW w AS (PARTITION BY ticker ORDER BY date)""")
+def q_win_moving_avg(spark, sf):
+    from lakeloom.operators import marts
+    bars = flows.price_bars(Tables(spark, sf).events)
+    out = marts.time_series_metrics(bars, "ticker", "date", "close", {"moving_avg_7d": 7}, exact_scale=2)
+    return out.select("ticker", "date", "moving_avg_7d")

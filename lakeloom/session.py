@@ -20,6 +20,7 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -80,3 +81,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root for written tables."""
     root = checkpoint_root(spark)
     return f"{root}/lakeloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the path's file system (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and return a DataFrame reading it.
+
+    Used when a table is rewritten from itself, and before iterative loops; a reliable
+    checkpoint survives the loss of the executors that computed it.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
