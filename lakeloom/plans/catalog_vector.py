@@ -1,3 +1,164 @@
-"""Registered queries."""
+"""Registered queries: ML (logistic regression) and embeddings / vector search."""
 
 from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from lakeloom.operators import ml
+from lakeloom.operators import vector as vx
+from lakeloom.plans.catalog_io import CUSTOMER_DAY_SQL, customer_day_from_events
+from lakeloom.plans.registry import query
+from lakeloom.plans.tables import Tables
+
+NUMERIC = ["total_events", "total_spent"]
+CUT = "2024-01-20"
+
+
+def _gold_features(spark, sf):
+    gold = customer_day_from_events(Tables(spark, sf).events)
+    return ml.features(gold, NUMERIC, F.col("total_purchases") >= 1, keep=["customer_id", "event_date"])
+
+
+@query("features_label", oracle=f"""
+SELECT customer_id, event_date, CAST(total_events AS DOUBLE) AS total_events, total_spent,
+       CAST(total_purchases >= 1 AS DOUBLE) AS label FROM ({CUSTOMER_DAY_SQL})""")
+def q_features_label(spark, sf):
+    return _gold_features(spark, sf)
+
+
+@query("split_by_time", oracle=f"""
+SELECT customer_id, event_date, CASE WHEN event_date < DATE '{CUT}' THEN 'train' ELSE 'test' END AS split
+FROM ({CUSTOMER_DAY_SQL})""")
+def q_split_by_time(spark, sf):
+    train, test = ml.split_time(_gold_features(spark, sf), "event_date", CUT)
+    return (train.select("customer_id", "event_date", F.lit("train").alias("split"))
+            .unionByName(test.select("customer_id", "event_date", F.lit("test").alias("split"))))
+
+
+def _model(spark, sf):
+    feats = _gold_features(spark, sf)
+    train, test = ml.split_time(feats, "event_date", CUT)
+    return ml.train(train, NUMERIC), feats, test
+
+
+@query("train_logreg")
+def q_train_logreg(spark, sf):
+    model, _, _ = _model(spark, sf)
+    return ml.coefficients(model, NUMERIC)
+
+
+@query("eval_logreg")
+def q_eval_logreg(spark, sf):
+    model, _, test = _model(spark, sf)
+    return ml.evaluate(model, test)
+
+
+@query("predict_logreg")
+def q_predict_logreg(spark, sf):
+    model, feats, _ = _model(spark, sf)
+    return ml.predict(model, feats, "will_return")
+
+
+@query("predict_agg")
+def q_predict_agg(spark, sf):
+    model, feats, _ = _model(spark, sf)
+    return ml.predicted_by(ml.predict(model, feats), "customer_id", 10)
+
+
+@query("agg_predicted_by_key")
+def q_agg_predicted_by_key(spark, sf):
+    model, feats, _ = _model(spark, sf)
+    return ml.predicted_by(ml.predict(model, feats), "event_date", 10)
+
+
+# --- vectors -----------------------------------------------------------------------------------------
+
+CENTROIDS_SQL = """
+(SELECT label AS query_id, list(x ORDER BY pos) AS q FROM (
+   SELECT label, pos, AVG(CAST(v AS DOUBLE)) AS x FROM (
+     SELECT label, unnest(embedding) AS v, unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY label, pos)
+ GROUP BY label)"""
+EXACT_SQL = f"""
+SELECT query_id, vec_id, rank FROM (
+  SELECT c.query_id, e.vec_id,
+         ROW_NUMBER() OVER (PARTITION BY c.query_id
+                            ORDER BY list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.q) DESC, e.vec_id) AS rank
+  FROM embeddings e, {CENTROIDS_SQL} c)
+WHERE rank <= 5"""
+
+
+def _exact(spark, sf):
+    e = Tables(spark, sf).embeddings
+    return vx.vector_search(e, vx.label_centroids(e), 5)
+
+
+@query("vector_search", oracle=EXACT_SQL)
+def q_vector_search(spark, sf):
+    return _exact(spark, sf).select("query_id", "vec_id", "rank")
+
+
+@query("join_knn", oracle=EXACT_SQL)
+def q_join_knn(spark, sf):
+    """Same search through the blocked (non-broadcast) path: queries × base blocks."""
+    e = Tables(spark, sf).embeddings
+    q = vx.label_centroids(e).select("query_id", F.col("embedding").alias("vec"), F.lit(0).alias("list_id"))
+    b = e.select("vec_id", F.col("embedding").alias("vec"), F.lit(0).alias("list_id"))
+    return vx.blocked_search(q, b, 5, block_rows=128).select("query_id", "vec_id", "rank")
+
+
+@query("topk_vector", oracle=EXACT_SQL)
+def q_topk_vector(spark, sf):
+    return _exact(spark, sf).select("query_id", "vec_id", "rank")
+
+
+def _num_lists(n: int) -> int:
+    # the sample index used 500 lists for 200,000 rows; keep ~400 rows per list at any size
+    return max(2, min(500, math.ceil(n / 400)))
+
+
+def _ivf(spark, sf):
+    e = Tables(spark, sf).embeddings
+    return e, vx.build_ivf(e, _num_lists(e.count()), seed=42)
+
+
+@query("vector_index_ivf")
+def q_vector_index_ivf(spark, sf):
+    _, (assigned, _) = _ivf(spark, sf)
+    return assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("vector_search_ivf")
+def q_vector_search_ivf(spark, sf):
+    e, (assigned, centroids) = _ivf(spark, sf)
+    queries = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    return vx.vector_search_ivf(assigned, centroids, queries, k=5, fraction=0.5)
+
+
+@query("vector_index_status", oracle="""
+SELECT COUNT(*) AS base_rows, COUNT(*) AS indexed_rows, 1.0 AS coverage FROM embeddings""")
+def q_vector_index_status(spark, sf):
+    e, (assigned, _) = _ivf(spark, sf)
+    return vx.index_status(e, assigned)
+
+
+SEMANTIC_SQL = """
+SELECT a.vec_id AS id_a, b.vec_id AS id_b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.35"""
+
+
+@query("join_semantic", oracle=SEMANTIC_SQL)
+def q_join_semantic(spark, sf):
+    e = Tables(spark, sf).embeddings
+    return vx.similar_pairs(e, "vec_id", "embedding", max_dist=0.65, block_rows=256).select("id_a", "id_b")
+
+
+@query("dedupe_semantic")
+def q_dedupe_semantic(spark, sf):
+    return vx.dedupe_candidates(Tables(spark, sf).documents, "doc_id", "text", threshold=0.8)
+
+
+@query("embed_text")
+def q_embed_text(spark, sf):
+    return vx.embed(Tables(spark, sf).documents, "text", 256).select("doc_id", "embedding", "status")

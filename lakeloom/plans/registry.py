@@ -33,6 +33,7 @@ def query(key: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every catalog module so their ``@query`` decorators run."""
     from lakeloom.plans import (  # noqa: F401
+        catalog_governance,
         catalog_io,
         catalog_ml,
         catalog_quality,
