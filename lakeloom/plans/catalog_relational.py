@@ -448,15 +448,20 @@ def q_udf_flatmap(spark, sf):
     return d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
-@F.pandas_udf("string")
-def _tag_event(event_type: pd.Series, user_id: pd.Series) -> pd.Series:
-    return event_type.str.upper() + "-" + user_id.astype("int64").astype(str)
+def _tag_event_udf():
+    """Arrow-batched Python transform (built on first use: a pandas UDF needs a session)."""
+
+    @F.pandas_udf("string")
+    def tag_event(event_type: pd.Series, user_id: pd.Series) -> pd.Series:
+        return event_type.str.upper() + "-" + user_id.astype("int64").astype(str)
+
+    return tag_event
 
 
 @query("udf_validate_transform", oracle="SELECT event_id, upper(event_type) || '-' || CAST(user_id AS VARCHAR) AS tag FROM events")
 def q_udf_validate_transform(spark, sf):
     e = Tables(spark, sf).events
-    return e.select("event_id", _tag_event("event_type", "user_id").alias("tag"))
+    return e.select("event_id", _tag_event_udf()("event_type", "user_id").alias("tag"))
 
 
 @query("df_transform", oracle="""
