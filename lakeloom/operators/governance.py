@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.columns import is_true
+from lakeloom.session import spread
 
 # fixed values: PII detectors (Java and RE2 read these patterns the same way)
 PII_DETECTORS = {
@@ -80,7 +81,8 @@ def discover_pii(df: DataFrame, detectors: Mapping[str, str] | None = None, colu
     Bernoulli sample instead of the whole table (the sampling option of a PII scanner)."""
     detectors = dict(detectors or PII_DETECTORS)
     cols = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
-    src = df.sample(fraction=sample_fraction, seed=seed) if sample_fraction else df
+    src = df.select(*cols)
+    src = spread(src.sample(fraction=sample_fraction, seed=seed) if sample_fraction else src)
     aggs = []
     for c in cols:
         aggs.append(F.count(F.col(c)).alias(f"{c}||rows"))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.marts import top_k_per
+from lakeloom.session import spread
 
 HIT_SCHEMA = "query_id bigint, vec_id bigint, score double"
 
@@ -270,7 +271,7 @@ def embed(df: DataFrame, text_col: str = "text", dims: int = 256, id_col: str =
     """
     tok = RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=r"\W+", toLowercase=True)
     tf = HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=dims)
-    words = tf.transform(tok.transform(df.select(id_col, text_col)))
+    words = tf.transform(tok.transform(spread(df.select(id_col, text_col))))
     idf = IDF(inputCol="__tf", outputCol="__tfidf").fit(words)
     out = Normalizer(inputCol="__tfidf", outputCol="__unit", p=2.0).transform(idf.transform(words))
     out = out.select(id_col, F.col(text_col).alias("content"),
@@ -320,7 +321,7 @@ def _signature_udf(shingle: int, num_hashes: int, seed: int = 42):
 def minhash_signatures(df: DataFrame, id_col: str, text_col: str, shingle: int = 5, num_hashes: int = 64) -> DataFrame:
     """Word-shingle MinHash signatures over the whole text: ``(id, shingles, sig)``."""
     sig = _signature_udf(shingle, num_hashes)(F.col(text_col))
-    return df.select(F.col(id_col).alias("id"), sig.alias("s")).select("id", "s.shingles", "s.sig")
+    return spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), sig.alias("s")).select("id", "s.shingles", "s.sig")
 
 
 def dedupe_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,

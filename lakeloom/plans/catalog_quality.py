@@ -9,7 +9,7 @@ from lakeloom.operators import quality as q
 from lakeloom.plans import flows
 from lakeloom.plans.registry import query
 from lakeloom.plans.tables import Tables
-from lakeloom.session import shared_dir
+from lakeloom.session import shared_dir, spread
 from lakeloom.sources import files
 
 # fixed values: patterns shared by the document rules and their SQL oracle
@@ -41,7 +41,7 @@ DOC_ERRORS_SQL = f"""
 
 
 def _checked_docs(spark, sf):
-    return q.validate(Tables(spark, sf).documents, document_rules())
+    return q.validate(spread(Tables(spark, sf).documents), document_rules())
 
 
 @query("validate_rules", oracle=f"""

@@ -98,3 +98,16 @@ def cut_lineage(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when it arrived in fewer partitions.
+
+    Only for per-row work that is expensive (regex or shingling over whole texts): a large
+    single-row-group file is read by one task, and without this all the text work would run
+    on one core. With many input files (the normal case at scale) nothing changes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
