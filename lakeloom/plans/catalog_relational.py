@@ -500,3 +500,57 @@ def q_salted_join(spark, sf):
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
     return skew.salted_join(li, o, ["l_orderkey"], salts=8, hot_keys=None)
+
+
+# --- 2.10 scalar functions -------------------------------------------------------------------
+
+@query("scalar_functions", oracle=r"""
+SELECT event_id,
+  concat(event_type, '-', CAST(user_id AS VARCHAR)) AS tag,
+  trim('  ' || event_type || ' ') AS trimmed,
+  length(props) AS props_len,
+  event_type ILIKE 'PUR%' AS is_purchase,
+  regexp_matches(props, '"k": [0-9]{2}\}') AS two_digit_k,
+  CAST(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS ts_parsed,
+  CAST(ts AS DATE) AS event_date,
+  ts - INTERVAL 1 HOUR AS hour_before,
+  CAST(ts AS DATE) - INTERVAL 5 DAY AS lookback_start,
+  coalesce(try_strptime(CASE WHEN event_type = 'click' THEN strftime(ts, '%d/%m/%Y %H:%M') ELSE strftime(ts, '%Y-%m-%d %H:%M') END, '%Y-%m-%d %H:%M'),
+           try_strptime(CASE WHEN event_type = 'click' THEN strftime(ts, '%d/%m/%Y %H:%M') ELSE strftime(ts, '%Y-%m-%d %H:%M') END, '%d/%m/%Y %H:%M')) AS ts_standard,
+  value / NULLIF(CAST(user_id AS DOUBLE) - 100, 0) AS ratio,
+  round(CAST(value AS DECIMAL(18,2)) * 3, 1) AS tripled,
+  CAST(value AS DECIMAL(38,9)) AS amount,
+  CASE WHEN value > 300 THEN 'high' WHEN value > 100 THEN 'mid' ELSE 'low' END AS band,
+  CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS is_error,
+  coalesce(json_extract_string(props, '$.missing'), 'none') AS missing_prop,
+  json_extract_string(props, '$.missing') IS NULL AS missing_is_null,
+  coalesce(CAST(json_extract_string(props, '$.missing') AS BIGINT), -1) AS filled,
+  value > 100 AS big_value
+FROM events""")
+def q_scalar_functions(spark, sf):
+    e = Tables(spark, sf).events
+    std_src = F.when(F.col("event_type") == "click", F.date_format("ts", "dd/MM/yyyy HH:mm")).otherwise(
+        F.date_format("ts", "yyyy-MM-dd HH:mm"))
+    out = e.select(
+        "event_id",
+        F.concat("event_type", F.lit("-"), F.col("user_id").cast("string")).alias("tag"),
+        F.trim(F.concat(F.lit("  "), "event_type", F.lit(" "))).alias("trimmed"),
+        F.length("props").alias("props_len"),
+        F.col("event_type").ilike("PUR%").alias("is_purchase"),
+        F.col("props").rlike(r'"k": [0-9]{2}\}').alias("two_digit_k"),
+        F.to_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("ts_parsed"),
+        F.to_date("ts").alias("event_date"),
+        (F.col("ts") - F.expr("INTERVAL 1 HOUR")).alias("hour_before"),
+        F.date_sub(F.to_date("ts"), 5).cast("timestamp_ntz").alias("lookback_start"),
+        cf.parse_timestamp(std_src, ["yyyy-MM-dd HH:mm", "dd/MM/yyyy HH:mm"]).cast("timestamp_ntz").alias("ts_standard"),
+        cf.safe_divide(F.col("value"), F.col("user_id").cast("double") - 100).alias("ratio"),
+        F.round(F.col("value").cast("decimal(18,2)") * 3, 1).alias("tripled"),
+        cf.to_money("value").alias("amount"),
+        cf.case_chain([(F.col("value") > 300, "high"), (F.col("value") > 100, "mid")], "low").alias("band"),
+        F.expr("IF(event_type = 'error', 1, 0)").alias("is_error"),
+        F.ifnull(F.get_json_object("props", "$.missing"), F.lit("none")).alias("missing_prop"),
+        F.isnull(F.get_json_object("props", "$.missing")).alias("missing_is_null"),
+        F.get_json_object("props", "$.missing").cast("bigint").alias("filled"),
+        (F.col("value") > 100).alias("big_value"),
+    )
+    return out.fillna({"filled": -1})
