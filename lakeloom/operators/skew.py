@@ -28,6 +28,9 @@ def hot_keys(df: DataFrame, key: str, n: int = 10, min_share: float = 0.0) -> Da
     return out.orderBy(F.col("n").desc(), F.col("key")).limit(n)
 
 
+MAX_HOT_KEYS = 100_000
+
+
 def _salt(df: DataFrame, salts: int, cols: Sequence[str] | None = None):
     cols = list(cols or df.columns)
     return F.pmod(F.xxhash64(*[F.col(x) for x in cols]), F.lit(salts)).cast("int")
@@ -57,6 +60,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int
         s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     else:
         hk = hot_keys.select(*on).distinct().withColumn("__hot", F.lit(True))
+        if hk.count() > MAX_HOT_KEYS:  # the list is broadcast: its size must be bounded
+            raise ValueError(f"more than {MAX_HOT_KEYS} hot keys; salt everything (hot_keys=None) instead")
         b = (big.join(F.broadcast(hk), on=on, how="left")
                 .withColumn("__salt", F.when(F.col("__hot"), row_salt).otherwise(F.lit(0))).drop("__hot"))
         s = (small.join(F.broadcast(hk), on=on, how="left")

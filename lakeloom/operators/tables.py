@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.columns import case_chain, is_true
 from lakeloom.operators.dedupe import dedupe_latest
 from lakeloom.operators.marts import latest_agg
+from lakeloom.session import cut_lineage
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
@@ -29,6 +30,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
     return kept.unionByName(src)
 
 
+def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], partition_col: str,
+                      order: Sequence[str] | None = None) -> None:
+    """UPSERT into a partitioned table, rewriting only the partitions the source touches.
+
+    The target is read through a semi-join on the touched partition values (dynamic partition
+    pruning skips every other partition), merged with :func:`upsert`, materialised in the
+    shared checkpoint folder (the table is rewritten from itself) and written back with
+    dynamic partition overwrite. ``partition_col`` must be one of ``keys`` (typically a
+    column derived from another key, e.g. the month of a date) so a key never moves between
+    partitions.
+    """
+    if partition_col not in keys:
+        raise ValueError("the partition column must be one of the merge keys")
+    touched = source.select(partition_col).distinct()
+    current = spark.table(table).join(touched, partition_col, "left_semi")
+    merged = cut_lineage(upsert(current, source.select(*spark.table(table).columns), keys, order))
+    rewrite_partitions(merged, table)
+
+
 def merge_insert(target: DataFrame, staged: DataFrame, keys: Sequence[str], ts: str,
                  tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Insert-only MERGE: newest staged row per key, inserted only for keys the target lacks.
@@ -131,4 +151,8 @@ def rewrite_partitions(df: DataFrame, table: str) -> None:
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    out = df.select(*spark.table(table).columns)
+    if parts:  # one writer task per partition value: one file per partition, not one per task
+        out = out.repartition(*[F.col(p) for p in parts])
+    out.write.insertInto(table, overwrite=True)

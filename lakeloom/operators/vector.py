@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.marts import top_k_per
-from lakeloom.session import spread
+from lakeloom.session import cut_lineage, spread
 
 HIT_SCHEMA = "query_id bigint, vec_id bigint, score double"
+MAX_BROADCAST_LISTS = 1_000_000
 
 
 def unit(col: str | Column) -> Column:
@@ -118,11 +119,13 @@ def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 20000)
         return sizes.select("list_id", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(block_rows))).cast("int").alias(alias))
 
     plan = chunks(b, "nb").join(chunks(q, "nq"), "list_id")  # one row per list
-    bb = (b.join(F.broadcast(plan), "list_id")
+    # one row per list: broadcast when the list count is within bounds, else a normal join
+    plan = F.broadcast(plan) if plan.count() <= MAX_BROADCAST_LISTS else plan
+    bb = (b.join(plan, "list_id")
            .withColumn("bblk", F.pmod(F.xxhash64("vec_id"), F.col("nb")).cast("int"))
            .withColumn("qblk", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
            .select("list_id", "bblk", "qblk", "vec_id", "vec"))
-    qq = (q.join(F.broadcast(plan), "list_id")
+    qq = (q.join(plan, "list_id")
            .withColumn("qblk", F.pmod(F.xxhash64("query_id"), F.col("nq")).cast("int"))
            .withColumn("bblk", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
            .select("list_id", "bblk", "qblk", "query_id", "vec"))
@@ -298,15 +301,23 @@ def _signature_udf(shingle: int, num_hashes: int, seed: int = 42):
     b = rng.integers(0, 2**63 - 1, size=num_hashes, dtype=np.uint64)
     word = re.compile(r"\w+")
 
+    # odd multipliers that combine the hashes of ``shingle`` consecutive words into one
+    mult = (rng.integers(1, 2**63 - 1, size=shingle, dtype=np.uint64) | np.uint64(1))
+    empty = {"shingles": [], "sig": [0] * num_hashes}
+
     def one(text):
         if text is None:
-            return {"shingles": [], "sig": [0] * num_hashes}
+            return empty
         w = word.findall(text.lower())
-        grams = {" ".join(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set()
-        if not grams:
-            return {"shingles": [], "sig": [0] * num_hashes}
-        h = np.fromiter((xxhash.xxh64_intdigest(g) for g in grams), dtype=np.uint64, count=len(grams))
+        if not w:
+            return empty
+        wh = np.fromiter((xxhash.xxh64_intdigest(x) for x in w), dtype=np.uint64, count=len(w))
+        n = max(1, len(w) - shingle + 1)
+        g = np.zeros(n, dtype=np.uint64)
         with np.errstate(over="ignore"):
+            for j in range(min(shingle, len(w))):
+                g += wh[j:j + n] * mult[j]
+            h = np.unique(g)
             perm = a[:, None] * h[None, :] + b[:, None]
         return {"shingles": h.view(np.int64).tolist(), "sig": perm.min(axis=1).view(np.int64).tolist()}
 
@@ -332,7 +343,9 @@ def dedupe_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bucket's smallest id (a star — linear in the bucket size, never all pairs), then each
     link is verified with the exact shingle Jaccard similarity.
     """
-    sigs = minhash_signatures(df, id_col, text_col, shingle, bands * rows_per_band)
+    # signatures feed the banding and both sides of the verification join: materialise them
+    # once (reliable checkpoint in the shared folder) instead of re-running the text UDF 3×
+    sigs = cut_lineage(minhash_signatures(df, id_col, text_col, shingle, bands * rows_per_band))
     buckets = sigs.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                                                           lambda b: F.xxhash64(F.slice("sig", b * rows_per_band + 1, rows_per_band)))
                                               ).alias("band", "bucket"))

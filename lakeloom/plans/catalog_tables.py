@@ -91,14 +91,16 @@ def transactions_from_lineitem(lineitem, status):
 
 @query("pipe_daily_sales", oracle=_UPSERT_ORACLE)
 def q_pipe_daily_sales(spark, sf):
+    """Two runs into a date-partitioned report: the second rewrites only the dates it carries."""
     root = shared_dir(spark, "daily_sales")
     li = Tables(spark, sf).lineitem
-    report = f"{root}/report"
+    name = f"daily_sales_{root[-12:]}"
     for i, status in enumerate(["F", "O"]):
         src = f"{root}/raw/run={i}"
         transactions_from_lineitem(li, status).write.option("header", True).csv(src)
-        out = flows.run_daily_sales(spark, src, report)
-    return out.withColumn("total_sales", F.col("total_sales").cast("double"))
+        out = flows.run_daily_sales(spark, src, name, f"{root}/report")
+    return out.select("transaction_date", "product_id", F.col("total_sales").cast("double").alias("total_sales"),
+                      "total_quantity")
 
 
 # --- schema evolution ------------------------------------------------------------------------------

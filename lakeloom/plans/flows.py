@@ -172,15 +172,21 @@ def daily_sales(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
     return report, rejects
 
 
-def run_daily_sales(spark: SparkSession, csv_path: str, report_path: str) -> DataFrame:
-    """raw transactions CSV → validate → daily product totals → UPSERT into the report."""
+def run_daily_sales(spark: SparkSession, csv_path: str, report_table: str, report_path: str) -> DataFrame:
+    """raw transactions CSV → validate → daily product totals → UPSERT into the report table.
+
+    The report is partitioned by month (derived from ``transaction_date``, so a key never
+    changes partition); a run rewrites only the months it carries (``tables.upsert_partitions``).
+    """
     tx = files.read_csv(spark, csv_path, SALES_SCHEMA)
     fresh, _ = daily_sales(tx)
-    if path_exists(spark, report_path):
-        current = spark.read.parquet(report_path)
-        merged = tb.upsert(current, fresh.select(*current.columns), ["transaction_date", "product_id"])
-        merged = cut_lineage(merged)  # the target is rewritten from itself
+    fresh = tb.with_partition(fresh, "transaction_date", "month", "transaction_month").select(
+        "transaction_date", "product_id", "total_sales", "total_quantity", "transaction_month")
+    if not spark.catalog.tableExists(report_table):
+        (fresh.repartition("transaction_month").write.mode("overwrite").partitionBy("transaction_month")
+              .option("path", report_path).saveAsTable(report_table))
     else:
-        merged = fresh
-    merged.write.mode("overwrite").parquet(report_path)
-    return spark.read.parquet(report_path)
+        tb.upsert_partitions(spark, report_table, fresh, ["transaction_date", "product_id", "transaction_month"],
+                             "transaction_month")
+    spark.catalog.refreshTable(report_table)
+    return spark.table(report_table)
