@@ -37,7 +37,10 @@ def con():
 
 
 KEYS = ["pipe_topk_city", "validate_rules", "dedupe_latest", "merge_upsert", "pipe_prices", "stream_tumbling",
-        "stream_session", "vector_search", "join_semantic", "discover_pii", "pipe_weblog", "scan_corrupt"]
+        "stream_session", "vector_search", "join_semantic", "discover_pii", "pipe_weblog", "scan_corrupt",
+        "stream_dedupe", "stream_validate", "land_bronze", "scan_ndjson_glob", "merge_insert_only", "pipe_daily_sales",
+        "update_case", "derived_partition", "mask_columns", "scalar_functions", "write_dlq_json", "dq_error_delta",
+        "cast_reject", "join_cogroup", "hot_keys", "salted_agg", "facade_union", "udf_flatmap"]
 
 
 @pytest.mark.parametrize("key", KEYS)
