@@ -1,8 +1,9 @@
 """Session construction and the shared scratch folder.
 
 The session settings are the ones every pipeline in this package assumes: UTC session
-zone (timestamps compare like the SQL oracle), AQE with skew-join splitting, dynamic
-partition overwrite (re-runs replace only the partitions they touch) and no UI server.
+zone (timestamps compare like the SQL oracle), AQE with skew-join splitting and
+runtime-measured broadcast decisions, dynamic partition overwrite (re-runs replace only the
+partitions they touch) and no UI server.
 """
 
 from __future__ import annotations
@@ -14,6 +15,11 @@ from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # broadcast decisions come from sizes AQE measures at runtime (after filters and
+    # aggregates), not from file-size guesses at planning time; explicit broadcast() hints
+    # (used only on size-checked sides) still apply
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
