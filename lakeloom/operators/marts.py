@@ -44,13 +44,32 @@ def enrich(facts: DataFrame, dim: DataFrame, left_on: str, right_on: str, dim_co
     return out.orderBy(*[c(o) for o in order]).limit(n)
 
 
-def cogroup(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str) -> DataFrame:
+MAX_GROUP_VALUES = 1_000_000
+
+
+def check_group_bound(df: DataFrame, keys: Sequence[str], max_values: int) -> None:
+    """Raise when any key holds more than ``max_values`` rows.
+
+    One partial+final count aggregate (no row leaves its task except one count per key and
+    task); run before any operator that materialises a whole group as one value.
+    """
+    biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if biggest is not None and biggest > max_values:
+        raise ValueError(f"a key holds {biggest} rows (> {max_values}); aggregate it instead of listing it")
+
+
+def cogroup(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str,
+            max_values: int | None = MAX_GROUP_VALUES) -> DataFrame:
     """Multi-input key join keeping each side's value list (CoGroupByKey).
 
     Each side is reduced to one row per key first (partial aggregation), then the two
     per-key rows are full-outer joined — the join never sees raw rows. Lists are sorted so
-    the result is deterministic.
+    the result is deterministic. A list is one value held by one task, so both sides are
+    checked against ``max_values`` first (``None`` skips the check for known-bounded keys).
     """
+    if max_values is not None:
+        check_group_bound(left, [key], max_values)
+        check_group_bound(right, [key], max_values)
     lg = left.groupBy(key).agg(F.array_sort(F.collect_list(left_value)).alias(f"{left_value}_list"))
     rg = right.groupBy(key).agg(F.array_sort(F.collect_list(right_value)).alias(f"{right_value}_list"))
     j = lg.join(rg, on=key, how="full_outer")
@@ -95,12 +114,15 @@ def customer_day(df: DataFrame, customer: str, ts: str, amount: str) -> DataFram
                    F.count_if(F.col(amount) > 0).alias("total_purchases")))
 
 
-def group_values(df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None) -> DataFrame:
+def group_values(df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None,
+                 max_values: int | None = MAX_GROUP_VALUES) -> DataFrame:
     """All values of a key together, sorted (GroupByKey).
 
-    Size warning: a list holds the whole group. Use only where the group is bounded; for
-    unbounded groups aggregate instead (see :func:`combine`).
+    A list holds the whole group in one task, so the largest group is measured first and
+    must not exceed ``max_values``; unbounded groups should be aggregated (see :func:`combine`).
     """
+    if max_values is not None:
+        check_group_bound(df, keys, max_values)
     return df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(alias or f"{value}_list"))
 
 

@@ -60,18 +60,21 @@ def write_typed(df: DataFrame, name: str, schema: Mapping[str, str], path: str)
     return df.sparkSession.table(name)
 
 
-def write_dlq(df: DataFrame, root: str, run_date: str, fmt: str = "json", single: bool = False) -> bool:
+def write_dlq(df: DataFrame, root: str, run_date: str, fmt: str = "json", single: bool = False,
+              max_single_rows: int = 5_000_000) -> bool:
     """Dead-letter output for one run date, written only if non-empty; reruns replace it.
 
     Emptiness is checked with ``isEmpty()`` (stops at the first row) rather than ``count()``.
-    ``single=True`` writes one file (only because a single file is asked for; it funnels the
-    DLQ through one task, which is bounded by the DLQ's size, not the input's).
+    ``single=True`` writes one file when the DLQ has at most ``max_single_rows`` rows.
     """
     if df.isEmpty():
         return False
     out = df.withColumn("run_date", F.lit(run_date))
     if single:
-        out = out.repartition(1)
+        # one file means one writer task: only when the DLQ is small enough (counted up to
+        # the bound, never further); a bigger DLQ is written by all tasks as usual
+        if df.limit(max_single_rows + 1).count() <= max_single_rows:
+            out = out.repartition(1)
     w = out.write.mode("overwrite").partitionBy("run_date")
     w = w.option("header", True) if fmt == "csv" else w.options(**JSON_TS_OPTIONS) if fmt == "json" else w
     w.format(fmt).save(root)

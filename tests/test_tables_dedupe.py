@@ -67,3 +67,14 @@ def test_salted_equals_unsalted(spark):
     salted = skew.salted_join(df, small, ["k"], salts=4, hot_keys=hot)
     assert salted.count() == df.join(small, "k").count()
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, df.join(small, "k").select(*salted.columns).collect()))
+
+
+def test_group_bound_is_enforced(spark):
+    import pytest
+
+    from lakeloom.operators import marts
+
+    df = spark.range(50).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    assert marts.group_values(df, ["k"], "v", max_values=50).count() == 1
+    with pytest.raises(ValueError):
+        marts.group_values(df, ["k"], "v", max_values=10)
