@@ -25,6 +25,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming state lives in RocksDB (off-heap, spills to local disk, checkpointed to the
+    # shared folder) so windows/sessions/dedupe state is not bounded by executor heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -117,3 +121,20 @@ def spread(df):
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle/scan sizing for a job reading ``input_bytes`` on ``total_cores`` cores.
+
+    Initial shuffle partitions ≈ input / 256 MB, at least 2× the cores (AQE coalesces small
+    ones and splits skewed ones at runtime); scan splits of 256 MB keep task counts sane on
+    100 TB inputs. Apply with ``spark.conf.set`` before building the job.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
