@@ -55,6 +55,7 @@ def get_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    ship_package(spark)
     # session-level settings also apply when getOrCreate returned an existing session
     for k, v in conf.items():
         if k.startswith("spark.sql."):
@@ -138,3 +139,36 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lakeloom`` importable in Python workers (pandas UDFs pickle functions by module).
+
+    Equivalent of ``--py-files``: the package is zipped once per application into the shared
+    folder and registered with ``addPyFile``. Skipped when the workers can already import it
+    (e.g. the package is installed on the cluster image).
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark).replace("file:", "")
+    if "://" in root:  # remote shared storage: stage the zip locally; addPyFile distributes it
+        root = tempfile.mkdtemp(prefix="lakeloom-pkg-")
+    os.makedirs(f"{root}/lakeloom", exist_ok=True)
+    target = f"{root}/lakeloom/lakeloom-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
