@@ -107,13 +107,10 @@ def vector_search(base: DataFrame, queries: DataFrame, k: int = 5, base_id: str
     return _final_topk(b.mapInPandas(kernel, HIT_SCHEMA), k)
 
 
-def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 20000) -> DataFrame:
-    """Exact top-k of ``b`` rows for each ``q`` row within the same ``list_id``.
-
-    Each list is cut into ``ceil(rows / block_rows)`` hash blocks on both sides; a query row
-    is replicated to every base block of its list and vice versa, so every (query, base) pair
-    of a list is scored exactly once and no group exceeds ``block_rows`` rows per side.
-    """
+def _blocked_groups(q: DataFrame, b: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Cut each list into ``ceil(rows / block_rows)`` hash blocks on both sides and replicate
+    a query row to every base block of its list (and vice versa): every (query, base) pair of
+    a list meets in exactly one group, and no group exceeds ``block_rows`` rows per side."""
     def chunks(df, alias):
         sizes = df.groupBy("list_id").agg(F.count(F.lit(1)).alias("n"))
         return sizes.select("list_id", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(block_rows))).cast("int").alias(alias))
@@ -128,13 +125,21 @@ def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 20000)
     qq = (q.join(plan, "list_id")
            .withColumn("qblk", F.pmod(F.xxhash64("query_id"), F.col("nq")).cast("int"))
            .withColumn("bblk", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-           .select("list_id", "bblk", "qblk", "query_id", "vec"))
+           .select("list_id", "bblk", "qblk", "query_id", F.col("vec").alias("qvec")))
+    return qq, bb, ["list_id", "bblk", "qblk"]
+
+
+def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 20000) -> DataFrame:
+    """Exact top-k of ``b`` rows for each ``q`` row within the same ``list_id``, scored in
+    bounded blocks (see :func:`_blocked_groups`); partial top-k per block, final per query."""
+    qq, bb, keys = _blocked_groups(q, b, block_rows)
 
     def kernel(qpdf: pd.DataFrame, bpdf: pd.DataFrame) -> pd.DataFrame:
-        return _topk_block(qpdf["query_id"].to_numpy(dtype="int64"), _matrix(qpdf["vec"]),
+        if len(qpdf) == 0 or len(bpdf) == 0:
+            return _topk_block(np.zeros(0), None, np.zeros(0), None, k)
+        return _topk_block(qpdf["query_id"].to_numpy(dtype="int64"), _matrix(qpdf["qvec"]),
                            bpdf["vec_id"].to_numpy(dtype="int64"), _matrix(bpdf["vec"]), k)
 
-    keys = ["list_id", "bblk", "qblk"]
     partials = qq.groupBy(*keys).cogroup(bb.groupBy(*keys)).applyInPandas(kernel, HIT_SCHEMA)
     return _final_topk(partials, k)
 
@@ -264,6 +269,41 @@ def similar_pairs(df: DataFrame, id_col: str = "vec_id", vec: str = "embedding",
         kernel, "id_a bigint, id_b bigint, similarity double")
 
 
+def similar_pairs_ivf(assigned: DataFrame, centroids: DataFrame, max_dist: float = 0.5, nprobe: int = 2,
+                      block_rows: int = 20000) -> DataFrame:
+    """Similarity join pruned by an IVF index, for tables too large for all pairs.
+
+    Every row visits its ``nprobe`` nearest lists and is compared with the rows living there,
+    in the same bounded blocks as :func:`blocked_search`; a pair is found when either row's
+    probes reach the other's list. Pairs split across non-probed lists are missed (probe all
+    lists to get :func:`similar_pairs` exactly). Output ``(id_a, id_b, similarity)``.
+    """
+    queries = assigned.select(F.col("vec_id").alias("query_id"), "embedding")
+    probes = probe_lists(queries, centroids, nprobe)
+    q = queries.join(probes, "query_id").select("query_id", "list_id", F.col("embedding").alias("vec"))
+    b = assigned.select("vec_id", "list_id", F.col("embedding").alias("vec"))
+    qq, bb, keys = _blocked_groups(q, b, block_rows)
+    min_sim = 1.0 - max_dist
+    schema = "id_a bigint, id_b bigint, similarity double"
+
+    def kernel(qpdf: pd.DataFrame, bpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(qpdf) == 0 or len(bpdf) == 0:
+            return pd.DataFrame({"id_a": pd.Series([], "int64"), "id_b": pd.Series([], "int64"),
+                                 "similarity": pd.Series([], "float64")})
+        qi = qpdf["query_id"].to_numpy(dtype="int64")
+        bi = bpdf["vec_id"].to_numpy(dtype="int64")
+        S = _matrix(qpdf["qvec"]) @ _matrix(bpdf["vec"]).T
+        ii, jj = np.nonzero(np.nan_to_num(S, nan=-2.0) >= min_sim)
+        keep = qi[ii] != bi[jj]
+        ii, jj = ii[keep], jj[keep]
+        return pd.DataFrame({"id_a": np.minimum(qi[ii], bi[jj]), "id_b": np.maximum(qi[ii], bi[jj]),
+                             "similarity": S[ii, jj]})
+
+    pairs = qq.groupBy(*keys).cogroup(bb.groupBy(*keys)).applyInPandas(kernel, schema)
+    # a pair reached from both sides appears twice: keep one (bounded by the output size)
+    return pairs.groupBy("id_a", "id_b").agg(F.max("similarity").alias("similarity"))
+
+
 # --- text embeddings and near duplicates ---------------------------------------------------------------
 
 def embed(df: DataFrame, text_col: str = "text", dims: int = 256, id_col: str = "doc_id") -> DataFrame:

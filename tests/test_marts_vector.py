@@ -95,3 +95,13 @@ def test_near_duplicates(spark):
                 "doc_id long, text string")
     got = {(r.id, r.rep_id) for r in vx.dedupe_candidates(df, threshold=0.7).collect()}
     assert got == {(2, 1)}
+
+
+def test_similar_pairs_ivf_prunes_but_never_invents(spark):
+    e = Tables(spark, SF).embeddings
+    exact = {(r.id_a, r.id_b) for r in vx.similar_pairs(e, max_dist=0.7, block_rows=50).collect()}
+    assigned, centroids = vx.build_ivf(e, num_lists=4, seed=3)
+    full = {(r.id_a, r.id_b) for r in vx.similar_pairs_ivf(assigned, centroids, 0.7, nprobe=4, block_rows=40).collect()}
+    assert full == exact  # probing every list is the exact join
+    pruned = {(r.id_a, r.id_b) for r in vx.similar_pairs_ivf(assigned, centroids, 0.7, nprobe=1).collect()}
+    assert pruned <= exact
