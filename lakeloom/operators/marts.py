@@ -39,8 +39,8 @@ def enrich(facts: DataFrame, dim: DataFrame, left_on: str, right_on: str, dim_co
 
     ``orderBy().limit(n)`` is planned as ``TakeOrderedAndProject`` (per-task top-n, then merge).
     """
-    j = facts.alias("F").join(dim.alias("D"), F.col(f"F.{left_on}") == F.col(f"D.{right_on}"), "inner")
-    out = j.select("F.*", *[F.col(f"D.{x}") for x in dim_cols])
+    j = facts.alias("fact").join(dim.alias("dim"), F.col(f"fact.{left_on}") == F.col(f"dim.{right_on}"), "inner")
+    out = j.select("fact.*", *[F.col(f"dim.{x}") for x in dim_cols])
     return out.orderBy(*[c(o) for o in order]).limit(n)
 
 

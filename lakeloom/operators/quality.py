@@ -32,7 +32,7 @@ class Rule:
     fails: Column | Callable[[DataFrame], Column]
 
     def predicate(self, df: DataFrame) -> Column:
-        return self.fails(df) if callable(self.fails) else self.fails
+        return self.fails if isinstance(self.fails, Column) else self.fails(df)
 
 
 def error_codes(df: DataFrame, rules: Sequence[Rule]) -> Column:
