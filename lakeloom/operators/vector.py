@@ -182,7 +182,9 @@ def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int, query_id:
 
     The centroid table has one row per list (a parameter-bounded size) and is broadcast.
     """
-    cpdf = centroids.orderBy("list_id").toPandas()  # num_lists rows
+    if centroids.count() > MAX_BROADCAST_LISTS:
+        raise ValueError("too many IVF lists to broadcast their centroids")
+    cpdf = centroids.orderBy("list_id").toPandas()  # num_lists rows, checked above
     spark = queries.sparkSession
     bc = spark.sparkContext.broadcast((cpdf["list_id"].to_numpy(dtype="int64"), _matrix(cpdf["centroid"])))
 

@@ -137,7 +137,7 @@ def q_vector_search_ivf(spark, sf):
 
 
 @query("vector_index_status", oracle="""
-SELECT COUNT(*) AS base_rows, COUNT(*) AS indexed_rows, 1.0 AS coverage FROM embeddings""")
+SELECT COUNT(*) AS base_rows, COUNT(*) AS indexed_rows, CAST(1.0 AS DOUBLE) AS coverage FROM embeddings""")
 def q_vector_index_status(spark, sf):
     e, (assigned, _) = _ivf(spark, sf)
     return vx.index_status(e, assigned)
