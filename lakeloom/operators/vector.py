@@ -329,52 +329,52 @@ _SIG_TYPE = "struct<shingles: array<bigint>, sig: array<bigint>>"
 
 
 def _signature_udf(shingle: int, num_hashes: int, seed: int = 42):
-    """Arrow UDF: text → (distinct word-shingle hashes, MinHash signature).
+    """Arrow UDF: per-word hashes (computed in the JVM) → (distinct shingle hashes, MinHash
+    signature).
 
-    Per row it is a small helper (tokenise, hash each shingle once, then ``num_hashes``
-    universal hash permutations as one numpy min-reduction); Spark does everything else.
+    Per row it is a small numpy helper: combine ``shingle`` consecutive word hashes into one
+    shingle hash, then ``num_hashes`` universal hash permutations as one min-reduction.
     """
-    import re
-
-    import xxhash
-
     rng = np.random.default_rng(seed)
     a = rng.integers(1, 2**63 - 1, size=num_hashes, dtype=np.uint64) | np.uint64(1)
     b = rng.integers(0, 2**63 - 1, size=num_hashes, dtype=np.uint64)
-    word = re.compile(r"\w+")
-
     # odd multipliers that combine the hashes of ``shingle`` consecutive words into one
-    mult = (rng.integers(1, 2**63 - 1, size=shingle, dtype=np.uint64) | np.uint64(1))
-    empty = {"shingles": [], "sig": [0] * num_hashes}
-
-    def one(text):
-        if text is None:
-            return empty
-        w = word.findall(text.lower())
-        if not w:
-            return empty
-        wh = np.fromiter((xxhash.xxh64_intdigest(x) for x in w), dtype=np.uint64, count=len(w))
-        n = max(1, len(w) - shingle + 1)
+    mult = rng.integers(1, 2**63 - 1, size=shingle, dtype=np.uint64) | np.uint64(1)
+    no_shingles = np.zeros(0, dtype=np.int64)
+    no_sig = np.zeros(num_hashes, dtype=np.int64)
+
+    def one(word_hashes):
+        if word_hashes is None or len(word_hashes) == 0:
+            return no_shingles, no_sig
+        wh = np.asarray(word_hashes, dtype=np.int64).view(np.uint64)
+        n = max(1, len(wh) - shingle + 1)
         g = np.zeros(n, dtype=np.uint64)
         with np.errstate(over="ignore"):
-            for j in range(min(shingle, len(w))):
+            for j in range(min(shingle, len(wh))):
                 g += wh[j:j + n] * mult[j]
             h = np.unique(g)
             perm = a[:, None] * h[None, :] + b[:, None]
-        return {"shingles": h.view(np.int64).tolist(), "sig": perm.min(axis=1).view(np.int64).tolist()}
+        return h.view(np.int64), perm.min(axis=1).view(np.int64)
 
     @F.pandas_udf(_SIG_TYPE)
-    def signature(texts: pd.Series) -> pd.DataFrame:
-        rows = [one(t) for t in texts]
-        return pd.DataFrame({"shingles": [r["shingles"] for r in rows], "sig": [r["sig"] for r in rows]})
+    def signature(word_hashes: pd.Series) -> pd.DataFrame:
+        rows = [one(v) for v in word_hashes]
+        return pd.DataFrame({"shingles": [r[0] for r in rows], "sig": [r[1] for r in rows]})
 
     return signature
 
 
 def minhash_signatures(df: DataFrame, id_col: str, text_col: str, shingle: int = 5, num_hashes: int = 64) -> DataFrame:
-    """Word-shingle MinHash signatures over the whole text: ``(id, shingles, sig)``."""
-    sig = _signature_udf(shingle, num_hashes)(F.col(text_col))
-    return spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), sig.alias("s")).select("id", "s.shingles", "s.sig")
+    """Word-shingle MinHash signatures over the whole text: ``(id, shingles, sig)``.
+
+    Tokenising and word hashing are JVM expressions (``split`` + ``transform(xxhash64)``);
+    only the shingle combination and the min-hash run in the Arrow UDF.
+    """
+    src = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    words = F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+    hashed = src.select("id", F.transform(words, lambda w: F.xxhash64(w)).alias("wh"))
+    sig = _signature_udf(shingle, num_hashes)(F.col("wh"))
+    return hashed.select("id", sig.alias("s")).select("id", "s.shingles", "s.sig")
 
 
 def dedupe_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
