@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.functions.columns import c
 
 ERRORS = "validation_errors"
 VALID = "is_valid"
@@ -232,5 +231,5 @@ def error_delta(dlq: DataFrame, ts_col: str, period: str = "day", errors: str =
 __all__ = [
     "Rule", "validate", "split", "event_rules", "price_rules", "email_rules", "standard_rules",
     "apply_standard_validations", "amount_rules", "error_record", "fill_null", "trim_columns",
-    "clean_events", "profile", "completeness_checks", "error_counts", "health", "error_delta", "c",
+    "clean_events", "profile", "completeness_checks", "error_counts", "health", "error_delta",
 ]

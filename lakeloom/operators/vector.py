@@ -14,7 +14,6 @@ Scale rules followed here:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from lakeloom.functions.columns import is_true
 from lakeloom.operators import dedupe as dd
 from lakeloom.operators import skew
 from lakeloom.operators import tables as tb
