@@ -190,3 +190,27 @@ def run_daily_sales(spark: SparkSession, csv_path: str, report_table: str, repor
                              "transaction_month")
     spark.catalog.refreshTable(report_table)
     return spark.table(report_table)
+
+
+def run_weblog_full(spark: SparkSession, csv_paths, root: str, principal_groups=("analysts",),
+                    cut: str | None = None) -> dict:
+    """The whole web-log lakehouse: staging → silver → gold → row policy → model.
+
+    The model predicts ``label = total_purchases > 1`` from (total_events, total_spent),
+    trained on days before ``cut`` and evaluated on the days from ``cut`` (a held-out period;
+    with no ``cut`` it is evaluated on its training data, as the sample project does).
+    Returns the DataFrames of each layer plus the fitted model.
+    """
+    from lakeloom.operators import governance, ml
+
+    gold, silver = run_weblog(spark, csv_paths, root)
+    secured = governance.secured(gold, {"analysts": F.col("total_spent") > 0}, principal_groups)
+    feats = ml.features(gold, ["total_events", "total_spent"], F.col("total_purchases") > 1,
+                        keep=["customer_id", "event_date"])
+    train, test = ml.split_time(feats, "event_date", cut) if cut else (feats, feats)
+    model = ml.train(train, ["total_events", "total_spent"])
+    return {
+        "silver": silver, "gold": gold, "secured": secured, "model": model,
+        "metrics": ml.evaluate(model, test),
+        "predictions": ml.predict(model, feats, "will_return"),
+    }

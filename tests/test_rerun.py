@@ -82,3 +82,15 @@ def test_late_rows_are_dropped_after_watermark(spark):
     # the same first-day events arrive again, ~a month late: beyond the 1-hour watermark delay
     events.filter(F.dayofmonth("ts") == 1).write.parquet(f"{root}/src/part=1")
     assert run() == first
+
+
+def test_weblog_full_flow(spark):
+    root = shared_dir(spark, "weblog_full")
+    flows.weblog_from_events(Tables(spark, SF).events).write.option("header", True).csv(f"{root}/bronze")
+    out = flows.run_weblog_full(spark, f"{root}/bronze", root, cut="2024-01-20")
+    gold_n = out["gold"].count()
+    assert out["silver"].count() == Tables(spark, SF).events.count()
+    assert out["secured"].filter(F.col("total_spent") <= 0).count() == 0
+    assert out["predictions"].count() == gold_n
+    m = out["metrics"].first()
+    assert 0.0 <= m.accuracy <= 1.0 and m.log_loss >= 0.0
