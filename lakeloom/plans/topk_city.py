@@ -45,6 +45,17 @@ def top_items_per_city(orders: DataFrame, customer: DataFrame, nation: DataFrame
     return ranked.select("delivery_city", "item_id", "total_quantity_sold", "rank")
 
 
+def run_topk(spark, orders: DataFrame, customer: DataFrame, nation: DataFrame, lineitem: DataFrame, table: str,
+             path: str | None = None, now: str = NOW, interval: str = INTERVAL, k: int = K) -> DataFrame:
+    """The whole flow: recent orders ⋈ items → sums → top k per city → CREATE OR REPLACE table.
+
+    One action (the write); a rerun replaces the table instead of appending to it.
+    """
+    from lakeloom.sources.sinks import replace_table
+
+    return replace_table(top_items_per_city(orders, customer, nation, lineitem, now, interval, k), table, path)
+
+
 ORACLE = f"""
 WITH o AS (
   SELECT o.o_orderkey AS order_id, n.n_name AS delivery_city, o.o_orderdate AS created_at

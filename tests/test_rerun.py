@@ -94,3 +94,14 @@ def test_weblog_full_flow(spark):
     assert out["predictions"].count() == gold_n
     m = out["metrics"].first()
     assert 0.0 <= m.accuracy <= 1.0 and m.log_loss >= 0.0
+
+
+def test_topk_flow_replaces_its_table(spark):
+    from lakeloom.plans import topk_city
+
+    t = Tables(spark, SF)
+    root = shared_dir(spark, "topk")
+    name = f"top_items_{root[-12:]}"
+    first = topk_city.run_topk(spark, t.orders, t.customer, t.nation, t.lineitem, name, root).count()
+    again = topk_city.run_topk(spark, t.orders, t.customer, t.nation, t.lineitem, name, root).count()
+    assert first == again > 0
