@@ -162,3 +162,14 @@ def q_dedupe_semantic(spark, sf):
 @query("embed_text")
 def q_embed_text(spark, sf):
     return vx.embed(Tables(spark, sf).documents, "text", 256).select("doc_id", "embedding", "status")
+
+
+@query("vector_search_ivf_recall")
+def q_vector_search_ivf_recall(spark, sf):
+    """Recall@5 of the IVF search (half of the lists probed) against the exact search, every
+    embedding being a query — the quality report that goes with an IVF index."""
+    e, (assigned, centroids) = _ivf(spark, sf)
+    queries = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    approx = vx.vector_search_ivf(assigned, centroids, queries, k=5, fraction=0.5)
+    exact = vx.vector_search(e, queries, 5)
+    return vx.recall_at_k(approx, exact)
