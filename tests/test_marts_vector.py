@@ -105,3 +105,21 @@ def test_similar_pairs_ivf_prunes_but_never_invents(spark):
     assert full == exact  # probing every list is the exact join
     pruned = {(r.id_a, r.id_b) for r in vx.similar_pairs_ivf(assigned, centroids, 0.7, nprobe=1).collect()}
     assert pruned <= exact
+
+
+def test_embed_is_unit_length_and_drops_empty(spark):
+    df = inline(spark, [(1, "spark shuffles data between stages"), (2, "   "), (3, "data lakes keep raw data")],
+                "doc_id long, text string")
+    out = {r.doc_id: r for r in vx.embed(df, "text", 64).collect()}
+    assert set(out) == {1, 3}
+    for r in out.values():
+        assert abs(sum(x * x for x in r.embedding) - 1.0) < 1e-5 and r.status == ""
+
+
+def test_ivf_assigns_every_row_once(spark):
+    e = Tables(spark, SF).embeddings
+    assigned, centroids = vx.build_ivf(e, num_lists=5, seed=11)
+    assert assigned.count() == e.count() == assigned.select("vec_id").distinct().count()
+    assert centroids.count() == 5
+    assert assigned.agg(F.min("list_id"), F.max("list_id")).first() == (0, 4) or \
+        assigned.select("list_id").distinct().count() <= 5
