@@ -55,6 +55,8 @@ def split(df: DataFrame, errors: str = ERRORS, valid: str = VALID) -> tuple[Data
 # --- rule sets -------------------------------------------------------------------------
 
 
+# fixed values: the web-event error codes, in rule order — ID_NULL, USER_ID_INVALID,
+# CREATED_AT_NULL, SESSION_ID_EMPTY, CITY_EMPTY — each appended as "CODE;"
 def event_rules(
     id_col: str = "id",
     user_col: str = "user_id",
@@ -79,6 +81,7 @@ EVENT_STRING_COLUMNS = [
 ]
 
 
+# fixed values: the price-bar error codes, in rule order — INVALID_CLOSE, INVALID_VOLUME, MISSING_KEY
 def price_rules(close: str = "close", volume: str = "volume", date: str = "date", ticker: str = "ticker") -> list[Rule]:
     """Daily price bar rules."""
     return [
