@@ -20,12 +20,19 @@ from lakeloom.operators.marts import latest_agg
 from lakeloom.session import cut_lineage
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
+           materialize: bool = False) -> DataFrame:
     """MERGE: matched keys take the source row, unmatched source rows are inserted, other
     target rows are kept. The source is reduced to one row per key first (by ``order`` when
-    given, else it must already be unique — defect D10)."""
+    given, else it must already be unique — defect D10).
+
+    The source feeds both the anti-join (its keys) and the union (its rows); with
+    ``materialize=True`` it is computed once into the shared checkpoint folder instead of twice.
+    """
     src = latest_agg(source, keys, order) if order else source
     src = src.select(*target.columns)
+    if materialize:
+        src = cut_lineage(src)
     kept = target.join(src.select(*keys), on=list(keys), how="left_anti")
     return kept.unionByName(src)
 
@@ -45,7 +52,7 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys:
         raise ValueError("the partition column must be one of the merge keys")
     touched = source.select(partition_col).distinct()
     current = spark.table(table).join(touched, partition_col, "left_semi")
-    merged = cut_lineage(upsert(current, source.select(*spark.table(table).columns), keys, order))
+    merged = cut_lineage(upsert(current, source.select(*spark.table(table).columns), keys, order, materialize=True))
     rewrite_partitions(merged, table)
 
 
