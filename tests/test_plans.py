@@ -57,3 +57,13 @@ def test_blocked_vector_groups_stay_bounded_under_a_hot_list(spark):
     # and the blocked search still answers every query
     hits = vx.blocked_search(queries, base, 3, block_rows=100)
     assert hits.select("query_id").distinct().count() == 600
+
+
+def test_near_duplicate_cluster_is_a_star_not_all_pairs(spark):
+    from lakeloom.operators import vector as vx
+
+    text = " ".join(f"word{i}" for i in range(60))
+    copies = spark.range(30).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    edges = vx.dedupe_candidates(copies, threshold=0.9)
+    got = {(r.id, r.rep_id) for r in edges.collect()}
+    assert got == {(i, 0) for i in range(1, 30)}  # 29 links to the smallest id, not 435 pairs
