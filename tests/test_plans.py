@@ -67,3 +67,10 @@ def test_near_duplicate_cluster_is_a_star_not_all_pairs(spark):
     edges = vx.dedupe_candidates(copies, threshold=0.9)
     got = {(r.id, r.rep_id) for r in edges.collect()}
     assert got == {(i, 0) for i in range(1, 30)}  # 29 links to the smallest id, not 435 pairs
+
+
+def test_hot_key_report_finds_the_third(spark):
+    df = _hot(spark)
+    top = skew.hot_keys(df, "k", n=3, min_share=0.01).collect()
+    assert len(top) == 1 and top[0].key == 0 and abs(top[0].share - 1 / 3) < 1e-9
+    assert [r.k for r in skew.skewed_keys(df, ["k"], n=5, min_share=0.2).collect()] == [0]
