@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import common, quality, sharding
+from lakeloom.llm import common, ngram_join, quality, sentencepieces, sharding, token_output
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sharding")
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(common.documents(spark, sf_dir, "doc_id", "text"), shards=40)
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op3_token_output")
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
+    return token_output.token_table(docs, vocabulary("word_bpe_49k.json"))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: token count, checksum of the ids, and whether decoding gave the text back."""
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
+    return sentencepieces.round_trip(docs, vocabulary("piece_bpe_32k.model"))
+
+
+@query("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(common.documents(spark, sf_dir, "doc_id", "text"))
