@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import common, ngram_join, quality, sentencepieces, sharding, token_output
+from lakeloom.llm import common, line_dedup, ngram_join, quality, sentencepieces, sharding, token_output
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,29 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(common.documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op6_line_dedup", r"""
+WITH l AS (
+    SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM documents),
+k AS (SELECT *, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS key FROM l),
+n AS (SELECT *, len(string_split(key, ' ')) AS words FROM k WHERE key <> ''),
+b AS (SELECT key FROM n GROUP BY key HAVING count(DISTINCT coalesce('s' || source, 'n')) >= 8),
+h AS (SELECT doc_id, pos, words FROM n WHERE key IN (SELECT key FROM b)),
+t AS (SELECT doc_id, sum(words) AS words FROM n GROUP BY doc_id),
+cut AS (SELECT h.doc_id FROM h JOIN t ON h.doc_id = t.doc_id GROUP BY h.doc_id, t.words HAVING sum(h.words) * 2 <= t.words),
+kept AS (
+    SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.pos) AS text
+    FROM l LEFT JOIN h ON l.doc_id = h.doc_id AND l.pos = h.pos WHERE h.pos IS NULL GROUP BY l.doc_id),
+dropped AS (SELECT doc_id, count(*) AS n FROM h WHERE doc_id IN (SELECT doc_id FROM cut) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN dropped.n IS NULL THEN d.text ELSE coalesce(kept.text, '') END AS text,
+       CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS INTEGER) AS n_lines,
+       CAST(coalesce(dropped.n, 0) AS INTEGER) AS n_dropped
+FROM documents d LEFT JOIN dropped ON d.doc_id = dropped.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id
+""")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the lines on eight sources or more cut out."""
+    return line_dedup.dedup(common.documents(spark, sf_dir, "doc_id", "text", "source")).select(
+        "doc_id", "text", "n_lines", "n_dropped")
