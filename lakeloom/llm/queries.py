@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import common, line_dedup, ngram_join, quality, sentencepieces, sharding, token_output
+from lakeloom.llm import common, decontaminate, line_dedup, ngram_join, quality, sentencepieces, sharding, token_output
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the lines on eight sources or more cut out."""
     return line_dedup.dedup(common.documents(spark, sf_dir, "doc_id", "text", "source")).select(
         "doc_id", "text", "n_lines", "n_dropped")
+
+
+@query("op5_decontamination")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, literally or with other numbers and names."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.matches(common.documents(spark, sf_dir, "doc_id", "text"), items)
