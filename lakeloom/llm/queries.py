@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import common, decontaminate, line_dedup, ngram_join, quality, sentencepieces, sharding, token_output
+from lakeloom.llm import common, decontaminate, line_dedup, ngram_join, quality, sentencepieces, sharding, token_output, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, literally or with other numbers and names."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return decontaminate.matches(common.documents(spark, sf_dir, "doc_id", "text"), items)
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.score(docs, toxicity.learn(docs, labels))
