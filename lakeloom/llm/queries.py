@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import common, decontaminate, line_dedup, ngram_join, quality, sentencepieces, sharding, token_output, toxicity
+from lakeloom.llm import common, decontaminate, html_extract, line_dedup, ngram_join, quality, sentencepieces, sharding, token_output, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir, "doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return toxicity.score(docs, toxicity.learn(docs, labels))
+
+
+@query("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
