@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import common, decontaminate, html_extract, line_dedup, ngram_join, quality, sentencepieces, sharding, token_output, toxicity
+from lakeloom.llm import common, decontaminate, html_extract, line_dedup, ngram_join, quality, sentencepieces, sharding, token_counts, token_output, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -132,3 +132,29 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_html_extraction")
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
+
+
+def revisions(docs: DataFrame) -> DataFrame:
+    """Three edits of every document, at places and of kinds that its id decides.
+
+    A cut of up to 40 characters, an insertion of the document's source and language as a sentence, and a
+    replacement of 12 characters by their own upper case.
+    """
+    n = F.length("text")
+    at = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), n + 1)
+    edits = F.array(
+        F.struct(F.lit(0).alias("seq"), at(0).alias("at"), F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(41)).alias("size"), F.lit("").alias("text")),
+        F.struct(F.lit(1).alias("seq"), at(1).alias("at"), F.lit(0).cast("bigint").alias("size"),
+                 F.concat(F.lit(" See "), F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("lang", F.lit("")), F.lit(".\n")).alias("text")),
+        F.struct(F.lit(2).alias("seq"), at(2).alias("at"), F.lit(12).cast("bigint").alias("size"),
+                 F.upper(F.substring(F.col("text"), (at(2) + 1).cast("int"), F.lit(12))).alias("text")))
+    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.inline(edits))
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits of each."""
+    import public_tokenizers
+
+    docs = common.documents(spark, sf_dir, "doc_id", "text", "source", "lang")
+    return token_counts.update(docs.select("doc_id", "text"), revisions(docs), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
