@@ -291,14 +291,16 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
     return df.mapInArrow(run, _schema(df, f"{text} string"))
 
 
-def round_trip(df: DataFrame, model: str, text: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, model: str, text: str = "text", ids: str | None = None) -> DataFrame:
     """``df`` without its text, with n_tokens, ids_crc32 (little-endian 32-bit ids), n_chars and exact.
 
     Encodes each text, decodes the ids and compares: ``exact`` is whether the decoded text is
     the normalised text without its dummy prefix (for a model that changes nothing, the text itself).
+    With ``ids`` the ids are kept under that name.
     """
     at = df.columns.index(text)
     rest = df.drop(text)
+    more = ["n_tokens bigint", "ids_crc32 bigint", "n_chars bigint", "exact boolean", *([f"{ids} array<int>"] if ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -310,12 +312,14 @@ def round_trip(df: DataFrame, model: str, text: str = "text") -> DataFrame:
                 raw = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B")
                 sums = [zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 part = b.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [*(col for i, col in enumerate(part.columns) if i != at), pa.array(np.diff(offsets)), pa.array(sums, pa.int64()),
-                     pa.array([len(x) for x in back], pa.int64()), pa.array([x == c.plain(y) for x, y in zip(back, own, strict=True)])],
-                    names=[*(n for i, n in enumerate(b.schema.names) if i != at), "n_tokens", "ids_crc32", "n_chars", "exact"])
-
-    return df.mapInArrow(run, _schema(rest, "n_tokens bigint", "ids_crc32 bigint", "n_chars bigint", "exact boolean"))
+                found = [pa.array(np.diff(offsets)), pa.array(sums, pa.int64()), pa.array([len(x) for x in back], pa.int64()),
+                         pa.array([x == c.plain(y) for x, y in zip(back, own, strict=True)])]
+                if ids:
+                    found.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat)))
+                yield pa.RecordBatch.from_arrays([*(x for i, x in enumerate(part.columns) if i != at), *found],
+                                                 names=[*(n for i, n in enumerate(b.schema.names) if i != at), *(m.split()[0] for m in more)])
+
+    return df.mapInArrow(run, _schema(rest, *more))
 
 
 def verify(df: DataFrame, model: str, text: str = "text") -> DataFrame:
