@@ -4,7 +4,7 @@ Every line with a word gets a key: two 64-bit hashes of its words (white space c
 ``spread`` builds one HyperLogLog sketch of sites a key; partial sketches merge in the
 aggregation, so a line on a third of all rows leaves each task as one small sketch.
 Lines whose estimate lies near the threshold get their sites counted exactly; the others are
-far enough from it for the sketch's error. ``remove`` then drops the lines on ``min_sites``
+far enough from it for the sketch's error. ``dedup`` then drops the lines on ``min_sites``
 sites or more from all documents.
 
 A document with more than half of its words in such lines isn't a page with boilerplate but a
@@ -18,14 +18,16 @@ text, so equal rows are treated alike. Extra columns are kept. An empty table st
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import SPACES, stored, temp_names
 from lakeloom.llm.common import words as common_words
 
-#: Rows of a small side that may be broadcast (40 bytes each: 20 MB); more go by a shuffle join.
+#: Rows of a small side that may be broadcast (keys: 16 bytes each); more go by a shuffle join.
 BROADCAST_ROWS = 500_000
+#: Bytes of lines' numbers and words that may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def _row_keys(df: DataFrame, key: str, text: str) -> list:
@@ -60,9 +62,10 @@ def spread(df: DataFrame, min_sites: int, site: str = "source", text: str = "tex
     return sure.unionByName(exact)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if it has few rows; else left to a shuffle join."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, bytes_each: Column | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it has few rows (and bytes); else left to a shuffle join."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(0) if bytes_each is None else bytes_each).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= BROADCAST_ROWS and (size["b"] or 0) <= BROADCAST_BYTES else df
 
 
 def boilerplate(df: DataFrame, min_sites: int, key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
@@ -72,11 +75,13 @@ def boilerplate(df: DataFrame, min_sites: int, key: str = "doc_id", text: str =
     return rows.groupBy("r1", "r2").agg(F.collect_set(F.struct("at", "words")).alias("hits"))
 
 
-def dedup(df: DataFrame, min_sites: int = 8, key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
-    """``df`` with boilerplate lines cut out of ``text``, and ``n_lines``, ``n_dropped`` (ints)."""
+def dedup(df: DataFrame, min_sites: int = 8, key: str = "doc_id", text: str = "text", site: str = "source",
+          names: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """``df`` with boilerplate lines cut out of ``text``, and two ints that replace columns of their ``names``."""
     r1, r2, hits, every, cuts = temp_names(df, "_r1", "_r2", "_hits", "_every", "_cuts")
     found = stored(boilerplate(df, min_sites, key, text, site), "drops")
-    found = _small(found.select(F.col("r1").alias(r1), F.col("r2").alias(r2), F.col("hits").alias(hits)))
+    found = _small(found.select(F.col("r1").alias(r1), F.col("r2").alias(r2), F.col("hits").alias(hits)),
+                   40 + 16 * F.size(hits))
     keys = [k.alias(n) for k, n in zip(_row_keys(df, key, text), (r1, r2), strict=True)]
     x = df.select("*", *keys).join(found, [r1, r2], "left")
     dropped = F.aggregate(hits, F.lit(0).cast("bigint"), lambda a, h: a + h["words"])
@@ -88,14 +93,15 @@ def dedup(df: DataFrame, min_sites: int = 8, key: str = "doc_id", text: str = "t
     slices = F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), lambda k: F.slice(
         F.col(every), F.get(F.col(cuts), k) + 2, F.get(F.col(cuts), k + 1) - F.get(F.col(cuts), k) - 1))
     return x.select(*[F.when(F.col(hits).isNull(), F.col(text)).otherwise(F.array_join(F.flatten(slices), "\n")).alias(text)
-                      if c == text else F.col(f"`{c}`") for c in df.columns],
-                    F.coalesce(F.size(every), F.lit(0)).alias("n_lines"), F.coalesce(F.size(hits), F.lit(0)).alias("n_dropped"))
+                      if c == text else F.col(f"`{c}`") for c in df.columns if c.lower() not in names],
+                    F.coalesce(F.size(every), F.lit(0)).alias(names[0]), F.coalesce(F.size(hits), F.lit(0)).alias(names[1]))
 
 
 def clean(docs: DataFrame, min_sites: int = 8) -> DataFrame:
     """Pipeline stage: the documents without boilerplate lines; n_chars follows the text if it is there."""
-    x = dedup(docs, min_sites)
+    names = temp_names(docs, "_n_lines", "_n_dropped")
+    x = dedup(docs, min_sites, names=tuple(names))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        x = x.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
+        x = x.withColumn("n_chars", F.when(F.col(names[1]) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
     return x.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,6 +9,8 @@ rule rejects, what it alone rejects, and what would be kept without it.
 Defined results: a null text has no words, so every count is 0 and ``too_few_words`` fails;
 an empty text likewise. Repeated rows each get their own ledger row; nothing is joined, so a
 hot source or a group of copies can't gather in one task. A null doc_id is carried through.
+The columns ``measures``, ``failed``, ``base_failed`` and ``kept`` replace such columns of the input;
+``keep`` returns the input's own columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -70,9 +72,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     windows, and the marked positions, in order, cover ``min(3, gap)`` words each. Sorting
     keeps a text of n words at n log n.
     """
-    t, w, ln, s, p, out = common.temp_names(df, "_t", "_w", "_ln", "_s", "_p", "measures")
-    if out != "measures":
-        raise ValueError("the input already has a column 'measures'")
+    t, w, ln, s, p = common.temp_names(df, "_t", "_w", "_ln", "_s", "_p")
     x = df.withColumn(t, F.coalesce(F.col(text), F.lit("")))
     x = x.withColumn(w, common.words(F.col(t)))
     # lines that hold a word; \n-split, so other line ends stay part of a line
@@ -98,7 +98,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
         "n_lines": F.size(ln),
     }
-    x = x.withColumn(out, F.struct(*[v.cast("bigint").alias(k) for k, v in values.items()]))
+    x = x.withColumn("measures", F.struct(*[v.cast("bigint").alias(k) for k, v in values.items()]))
     return x.drop(t, w, ln, s, p)
 
 
@@ -146,4 +146,5 @@ def verdicts(df: DataFrame, text: str = "text", policy: str = PRODUCTION) -> Dat
 
 def keep(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:
     """Pipeline stage: the documents that ``policy`` keeps, with their own columns only."""
-    return verdicts(docs, policy=policy).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
+    return verdicts(packed, policy=policy).where("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -15,7 +15,8 @@ the same for a word in a long text as in a short one.
 ``verify`` encodes texts with the sentencepiece library too and counts differing ids.
 
 Defined results: null and empty texts have no ids and decode to the empty text. Text is
-encoded whole. Repeated rows and ids each keep their row; nothing is shuffled. Extra columns are kept by ``encode``.
+encoded whole. Repeated rows and ids each keep their row; nothing is shuffled. Extra columns are kept;
+new columns replace columns of their name.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeloom.llm.idtable import TABLE_PIECES, IdTable, looked_up, row_slices
 
@@ -253,15 +255,18 @@ def codec(path: str) -> Codec:
 
 def _schema(df: DataFrame, *more: str) -> str:
     """The schema of ``df`` as text, with more columns."""
-    taken = {c.lower() for c in df.columns}
-    for c in more:
-        if c.split()[0].lower() in taken:
-            raise ValueError(f"the input already has a column {c.split()[0]!r}")
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), *more])
 
 
+def _without(df: DataFrame, keep: str, *names: str) -> DataFrame:
+    """``df`` without columns of these names (case ignored), but for the column to work on."""
+    gone = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c == keep or c.lower() not in gone])
+
+
 def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the ids of each text as ``array<int>``."""
+    df = _without(df, text, ids)
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,6 +282,7 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> D
 
 def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of each list of ids (null: empty)."""
+    df = _without(df, ids, text)
     at = df.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,6 +304,7 @@ def round_trip(df: DataFrame, model: str, text: str = "text", ids: str | None =
     the normalised text without its dummy prefix (for a model that changes nothing, the text itself).
     With ``ids`` the ids are kept under that name.
     """
+    df = _without(df, text, "n_tokens", "ids_crc32", "n_chars", "exact", *([ids] if ids else []))
     at = df.columns.index(text)
     rest = df.drop(text)
     more = ["n_tokens bigint", "ids_crc32 bigint", "n_chars bigint", "exact boolean", *([f"{ids} array<int>"] if ids else [])]
@@ -324,6 +331,7 @@ def round_trip(df: DataFrame, model: str, text: str = "text", ids: str | None =
 
 def verify(df: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``df`` without its text, with n_tokens and whether the sentencepiece library gives the same ids."""
+    df = _without(df, text, "n_tokens", "parity")
     at = df.columns.index(text)
     rest = df.drop(text)
 
