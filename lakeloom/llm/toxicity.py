@@ -40,10 +40,10 @@ class Fit:
     """Bounds and settings of learning."""
 
     rows: int = 20_000
-    stems: tuple[int, ...] = (4, 5, 6)
-    min_docs: int = 3
+    stems: tuple[int, ...] = (4, 5, 6, 7, 8)
+    min_docs: int = 4
     min_share: float = 0.01
-    min_odds: float = 3.0
+    min_odds: float = 2.5
     terms: int = 2_000
     exceptions: int = 500
 
@@ -118,15 +118,15 @@ class Lexicon:
         a = self.matcher()
         if not len(a):
             return []
-        # what isn't a letter after folding separates words; folded phrases use one space
+        # a word's ends are those of the text as it stands: a sign after a word isn't a letter of it
         letters = letters_of(text)
         n, found, free = len(letters), {}, []
         for last, entries in a.iter(letters):
             for kind, size, weight in entries:
                 lo, hi = last - size + 1, last + 1
-                if lo and letters[lo - 1].isalpha():
+                if lo and text[lo - 1].isalpha():
                     continue
-                if kind != "stem" and hi < n and letters[hi].isalpha():
+                if kind != "stem" and hi < n and text[hi].isalpha():
                     continue
                 if kind == "except":
                     free.append((lo, hi))
