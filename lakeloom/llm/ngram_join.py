@@ -18,9 +18,9 @@ by chance.
    enumerate the 2-subsets of their prefix, and two light sets meet on an equal subset. Larger
    sets are heavy: they scan the inverted lists of their prefix shingles, which also hold the
    light sets large enough to link with a heavy one. Both prefixes are long enough that a
-   link shares a subset (a shingle) in it; positions prune further. ``x`` is where the
-   estimated cost of enumerating passes that of scanning, summed over size classes.
-   Candidates are verified on whole sets.
+   link shares a subset (a shingle) in it; what a pair shares there is counted over all lists
+   and bounds its overlap. ``x`` is where the estimated cost of enumerating passes that of scanning,
+   summed over size classes. Pairs that the bound leaves are verified on whole sets.
 5. *Components* of the verified links and the classes.
 
 Spark deals all of it out by key: lists by hash range, groups by block, candidates by centre. Texts
@@ -44,8 +44,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.common import stored
 from lakeloom.llm.components import components
-from lakeloom.llm.idtable import row_slices
-from lakeloom.llm.shingles import SLICE_CHARS, Shingler, mix, overlap
+from lakeloom.llm.shingles import mix, overlap, sets, shingle_hashes, slices
 
 
 @dataclass(frozen=True)
@@ -103,12 +102,11 @@ def frequency_classes(docs: DataFrame, p: Params) -> bytes:
     bits, words = p.sketch_bits, p.words
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, sums = Shingler(words), np.zeros(1 << bits, np.uint32)
+        sums = np.zeros(1 << bits, np.uint32)
         for b in batches:
-            texts = b.column(0).to_pylist()
-            for lo, hi in row_slices([len(t or "") for t in texts], SLICE_CHARS):
-                flat, _ = s.flat(texts[lo:hi])
-                sums += np.bincount((flat >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+            for lo, hi in slices(b.column(0)):
+                flat, _ = shingle_hashes(b.column(0).slice(lo, hi - lo), words)
+                np.add.at(sums, (flat >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
         for k, raw in _emit_counts(sums):
             yield pa.record_batch([pa.array([k], pa.int32()), pa.array([raw], pa.binary())], ["slice", "counts"])
 
@@ -134,23 +132,28 @@ def profile(docs: DataFrame, classes: bytes, p: Params) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        s = Shingler(p.words)
         cls = np.frombuffer(zlib.decompress(shared.value), np.uint8)
         for b in batches:
-            texts, ids = b.column(1).to_pylist(), b.column(0)
-            for lo, hi in row_slices([len(t or "") for t in texts], SLICE_CHARS):
-                ns, fps, mins, prefixes = [], [], [], []
-                for x in s.sets(texts[lo:hi]):
+            ids = b.column(0)
+            for lo, hi in slices(b.column(1)):
+                flat, at = shingle_hashes(b.column(1).slice(lo, hi - lo), p.words)
+                full = np.flatnonzero(np.diff(at))
+                least = np.zeros((hi - lo, p.hashes), np.uint64)
+                for k, o in enumerate(odd if len(full) else ()):
+                    least[full, k] = np.minimum.reduceat(flat * o, at[full])
+                mins = pa.ListArray.from_arrays(
+                    np.concatenate([[0], np.cumsum(np.where(np.diff(at) > 0, p.hashes, 0))]).astype(np.int32),
+                    pa.array(least[full].ravel().view(np.int64)))
+                ns, fps, prefixes = [], [], []
+                for i, j in zip(at[:-1], at[1:], strict=True):
+                    x = np.unique(flat[i:j])
                     n = len(x)
                     ns.append(n)
-                    fps.append(xxhash.xxh3_128_digest(x.tobytes()))
-                    mins.append(np.array([mix(x * o).min() for o in odd]).view(np.int64).tolist() if n else [])
-                    keep = n - p.least(n) + 2
-                    c = cls[x >> np.uint64(64 - bits)]
-                    first = np.argsort(c, kind="stable")[:keep]
+                    fps.append(xxhash.xxh3_128_digest(x))
+                    first = np.argsort(cls[x >> np.uint64(64 - bits)], kind="stable")[:n - p.least(n) + 2]
                     prefixes.append(x[first].tobytes())
                 yield pa.record_batch([ids.slice(lo, hi - lo), pa.array(ns, pa.int64()), pa.array(fps, pa.binary()),
-                                       pa.array(mins, pa.list_(pa.int64())), pa.array(prefixes, pa.binary())],
+                                       mins, pa.array(prefixes, pa.binary())],
                                       ["doc_id", "n", "fp", "mins", "prefix"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PROFILE)
@@ -253,19 +256,16 @@ def verified(docs: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
     rows = centres.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, at, own = Shingler(p.words), None, []
+        at, own = None, []
         for batch in batches:
-            ids = [c.to_pylist() for c in batch.columns[:4]]
-            texts, found = batch.column(4).to_pylist(), []
-            for lo, hi in row_slices([len(t or "") for t in texts], SLICE_CHARS):
-                for k, x in zip(range(lo, hi), s.sets(texts[lo:hi]), strict=True):
-                    a, salt, role, b = (c[k] for c in ids)
-                    if (a, salt) != at:
-                        at, own = (a, salt), []
-                    if role == 0:
-                        own.append(x)
-                    elif any(_link(len(y), len(x), overlap(y, x), p) for y in own):
-                        found.append((a, b))
+            keys, found = zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True), []
+            for (a, salt, role, b), x in zip(keys, sets(batch.column(4), p.words), strict=True):
+                if (a, salt) != at:
+                    at, own = (a, salt), []
+                if role == 0:
+                    own.append(x)
+                elif any(_link(len(y), len(x), overlap(y, x), p) for y in own):
+                    found.append((a, b))
             if found:
                 yield _edges(found)
 
@@ -296,7 +296,7 @@ class _Forest:
         return i != j
 
 
-def block_links(ids: list[int], sets: list[np.ndarray], asks: list[int], known: list[int], p: Params) -> list[tuple[int, int]]:
+def block_links(ids: list[int], rows: list[np.ndarray], asks: list[int], known: list[int], p: Params) -> list[tuple[int, int]]:
     """A spanning forest of the links between the rows ``asks`` and all rows of a block.
 
     ``known`` rows are already in one component. Each asking row scans the inverted
@@ -306,16 +306,16 @@ def block_links(ids: list[int], sets: list[np.ndarray], asks: list[int], known:
     forest, found = _Forest(len(ids)), []
     for i, j in zip(known[:-1], known[1:], strict=True):
         forest.join(i, j)
-    sizes = np.array([len(x) for x in sets])
-    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    sizes = np.array([len(x) for x in rows])
+    flat = np.concatenate(rows) if rows else np.empty(0, np.uint64)
+    owner = np.repeat(np.arange(len(rows)), sizes)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     main = known[0] if known else 0
     for i in asks:
         if i != main and forest.root(i) == forest.root(main):
             continue
-        x = sets[i]
+        x = rows[i]
         lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
         lens = hi - lo
         within = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
@@ -361,14 +361,13 @@ def home_links(docs: DataFrame, homes: DataFrame, p: Params) -> DataFrame:
     rows = rows.repartition("home", "mine", "ask").sortWithinPartitions("home", "mine", "ask", F.desc("asks"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Shingler(p.words)
         for _, group in _groups(batches, 3):
-            sets = s.sets([r[3] for r in group])
+            own = sets(pa.array([r[3] for r in group], pa.string()), p.words)
             ids = [r[2] for r in group]
             # small neighbourhoods (2, 3): every row asks, the centre first; else rows marked 1 ask
             asks = [i for i, r in enumerate(group) if r[0]]
             known = [i for i, r in enumerate(group) if r[1]]
-            found = block_links(ids, sets, asks, known, p)
+            found = block_links(ids, own, asks, known, p)
             if found:
                 yield _edges(found)
 
@@ -405,15 +404,15 @@ def boundary(reps: DataFrame, classes: bytes, p: Params) -> int:
     return x
 
 
-def _postings(prefix: np.ndarray, n: int, light: bool, scan: bool, p: Params) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(kind, keys, positions) that a set posts: its prefix shingles, and for a light set 2-subsets of its prefix."""
+def _postings(prefix: np.ndarray, n: int, light: bool, scan: bool, p: Params) -> Iterator[tuple[int, np.ndarray]]:
+    """(kind, keys) that a set posts: its prefix shingles, and for a light set 2-subsets of its prefix."""
     k = n - int(p.least(n))
     if scan:
-        yield 0, prefix[:k + 1], np.arange(k + 1)
+        yield 0, prefix[:k + 1]
     if light:
         i, j = np.triu_indices(min(k + 2, len(prefix)), 1)
         lo, hi = np.minimum(prefix[i], prefix[j]), np.maximum(prefix[i], prefix[j])
-        yield 1, mix(lo * np.uint64(0x9E3779B97F4A7C15) + mix(hi)), j - 1
+        yield 1, mix(lo * np.uint64(0x9E3779B97F4A7C15) + mix(hi))
 
 
 def _short(x: np.ndarray) -> bytes:
@@ -426,9 +425,12 @@ def _long(raw: bytes, keys: bytes) -> np.ndarray:
 
 
 def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Params) -> DataFrame:
-    """Pairs ``(a, b)`` of different neighbourhoods that share a prefix shingle or, both light, a 2-subset.
+    """Pairs ``(a, b)`` of different neighbourhoods that share enough of their prefixes to link.
 
-    Postings travel packed: a row holds those of one bucket from one slice of documents.
+    Postings travel packed: a row holds those of one bucket from one slice of documents. Each bucket counts
+    what its pairs share; the counts of a pair are summed over buckets. What two sets share outside both
+    prefixes lies behind the prefix that ends first, so the overlap is at most the shared
+    prefix shingles and the longer rest; pairs that stay below the needed overlap go.
     """
     rows = reps.join(homes, "doc_id", "left").select("doc_id", F.coalesce("home", "doc_id").alias("home"), "n", "prefix")
     low = int(p.least(x + 1))
@@ -438,53 +440,60 @@ def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Param
             ids, homes_, sizes = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
             parts = []
             for i, (n, raw) in enumerate(zip(sizes.tolist(), b.column(3).to_pylist(), strict=True)):
-                for kind, keys, pos in _postings(np.frombuffer(raw, np.uint64), n, n <= x, n >= low, p):
-                    parts.append((keys, np.full(len(keys), i, np.int32), pos.astype(np.int32), np.full(len(keys), kind, np.int8)))
+                for kind, keys in _postings(np.frombuffer(raw, np.uint64), n, n <= x, n >= low, p):
+                    parts.append((keys, np.full(len(keys), i, np.int32), np.full(len(keys), kind, np.int8)))
             if not parts:
                 continue
-            key, own, pos, kind = (np.concatenate(z) for z in zip(*parts, strict=True))
+            key, own, kind = (np.concatenate(z) for z in zip(*parts, strict=True))
             bucket = (mix(key ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(buckets)).astype(np.int64) * 2 + kind
             order = np.argsort(bucket, kind="stable")
-            key, own, pos, bucket = key[order], own[order], pos[order], bucket[order]
+            key, own, bucket = key[order], own[order], bucket[order]
             cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
             out = []
             for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                 docs, local = np.unique(own[lo:hi], return_inverse=True)
-                out.append((int(bucket[lo]), key[lo:hi].tobytes(), _short(local), _short(pos[lo:hi]),
+                out.append((int(bucket[lo]), key[lo:hi].tobytes(), _short(local),
                             np.stack([ids[docs], homes_[docs], sizes[docs]]).tobytes()))
             cols = list(zip(*out, strict=True))
             yield pa.record_batch([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                                  ["bucket", "key", "own", "pos", "docs"])
+                                  ["bucket", "key", "own", "docs"])
 
-    posts = rows.mapInArrow(post, "bucket bigint, key binary, own binary, pos binary, docs binary")
+    posts = rows.mapInArrow(post, "bucket bigint, key binary, own binary, docs binary")
     posts = posts.repartition("bucket").sortWithinPartitions("bucket")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket,), group in _groups(batches, 1):
-            docs = [np.frombuffer(g[3], np.int64).reshape(3, -1) for g in group]
+            docs = [np.frombuffer(g[2], np.int64).reshape(3, -1) for g in group]
             base = np.cumsum([0, *(d.shape[1] for d in docs)])
             ids, homes_, sizes = np.concatenate(docs, axis=1)
             key = np.concatenate([np.frombuffer(g[0], np.uint64) for g in group])
             own = np.concatenate([_long(g[1], g[0]) + o for g, o in zip(group, base, strict=False)])
-            pos = np.concatenate([_long(g[2], g[0]) for g in group])
-            for a, b in list_pairs(key, homes_[own], sizes[own], pos, ids[own], x if bucket % 2 == 0 else -1, p):
-                yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+            for a, b, na, nb, count in list_pairs(key, homes_[own], sizes[own], ids[own], x if bucket % 2 == 0 else -1, p):
+                kind = np.full(len(a), bucket % 2, np.int32)
+                yield pa.record_batch([pa.array(z) for z in (a, b, na, nb, kind, count)], ["a", "b", "na", "nb", "kind", "shared"])
 
-    return posts.mapInArrow(meet, "a bigint, b bigint").distinct()
+    pairs = posts.mapInArrow(meet, "a bigint, b bigint, na bigint, nb bigint, kind int, shared bigint")
+    pairs = pairs.groupBy("a", "b", "na", "nb", "kind").agg(F.sum("shared").alias("shared"))
+    # of m shared prefix shingles a light pair shares m(m-1)/2 subsets
+    m = F.when(F.col("kind") == 0, F.col("shared")).otherwise(F.floor((1 + F.sqrt(1 + 8 * F.col("shared"))) / 2))
+    need = F.ceil(p.percent * (F.col("na") + F.col("nb")) / (100 + p.percent))
+    least = lambda n: F.ceil(p.percent * F.col(n) / 100)  # noqa: E731  what lies outside a prefix of n - least(n) + 1 (+ 1)
+    rest = F.greatest(least("na"), least("nb")) - 1 - F.col("kind")
+    return pairs.where(m + F.greatest(rest, F.lit(0)) >= need).select("a", "b").distinct()
 
 
 #: Pairs of list entries looked at in one step.
 STEP = 1 << 21
 
 
-def list_pairs(key, home, size, pos, doc, light: int, p: Params) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of entries with equal keys and different homes that can still link, each as (smaller id, larger id).
+def list_pairs(key, home, size, doc, light: int, p: Params) -> Iterator[tuple[np.ndarray, ...]]:
+    """(smaller id, larger id, their sizes, lists shared) of entries with equal keys, different homes and near sizes.
 
     Entries of one home lie together in a list, so pairs inside a home aren't even looked at.
     Pairs of two sets of up to ``light`` shingles are left to the subsets.
     """
     order = np.lexsort((home, key))
-    key, home, size, pos, doc = (z[order] for z in (key, home, size, pos, doc))
+    key, home, size, doc = (z[order] for z in (key, home, size, doc))
     n = len(key)
     if not n:
         return
@@ -502,14 +511,14 @@ def list_pairs(key, home, size, pos, doc, light: int, p: Params) -> Iterator[tup
         i = np.repeat(todo[lo:hi], lens[lo:hi])
         j = home_end[i] + np.arange(len(i)) - np.repeat(np.cumsum(lens[lo:hi]) - lens[lo:hi], lens[lo:hi])
         lo = hi
-        c = p.needed(size[i], size[j])
-        ok = (c <= np.minimum(size[i], size[j])) & (pos[i] <= size[i] - c) & (pos[j] <= size[j] - c) & (doc[i] != doc[j])
+        ok = (p.needed(size[i], size[j]) <= np.minimum(size[i], size[j])) & (doc[i] != doc[j])
         if light >= 0:
             ok &= (size[i] > light) | (size[j] > light)
-        a, b = doc[i[ok]], doc[j[ok]]
-        if len(a):
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield both[0], both[1]
+        i, j = i[ok], j[ok]
+        if len(i):
+            i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
+            rows, count = np.unique(np.stack([doc[i], doc[j], size[i], size[j]]), axis=1, return_counts=True)
+            yield (*rows, count)
 
 
 # ---------------------------------------------------------------- the join
