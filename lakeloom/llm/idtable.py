@@ -7,8 +7,8 @@ from itertools import chain
 
 import numpy as np
 
-#: Pieces in a table before it is started anew (a cache: results don't depend on it).
-TABLE_PIECES = 400_000
+#: Pieces in a table before it is started anew (a cache: results don't depend on it); about 200 bytes each.
+TABLE_PIECES = 800_000
 
 
 class IdTable:

@@ -33,14 +33,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.idtable import TABLE_PIECES, IdTable, looked_up, row_slices
+from lakeloom.llm.idtable import IdTable, row_slices
 
 MARK = "▁"
 #: Piece types and model types of the model file format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Characters of text handed to the library at once.
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 20
 
 
 @dataclass
@@ -182,7 +182,7 @@ class Codec:
     """Encodes and decodes batches of texts with the rebuilt tokenizer.
 
     Where words are apart, each distinct word of a worker goes through the library once, in
-    multithreaded batches, and texts are put together from the words' ids and strings; otherwise whole texts go.
+    multithreaded batches, and texts are put together from the words' ids; otherwise whole texts go.
     """
 
     def __init__(self, path: str):
@@ -194,11 +194,11 @@ class Codec:
         if self.apart:
             self.words = build(m)
             self.words.normalizer = None
-            self.words.decoder = _decoder(m, strip=False)
             self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
-            # a word starts with a piece that starts with the mark
-            self.starts = np.array([p.startswith(MARK) for p, _, _ in m.pieces])
-            self.strings: dict[bytes, str] = {}
+        raw = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
+        self.bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.sizes = np.array([len(x) for x in raw], np.int64)
+        self.at = np.cumsum(self.sizes) - self.sizes
 
     def normal(self, text: str) -> str:
         """The normalised text with marks; without a character map this is a matter of spaces only."""
@@ -224,23 +224,19 @@ class Codec:
         return np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
-        """The texts of flat ids."""
-        if not self.apart:
-            return self.whole.decode_batch([ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)],
-                                           skip_special_tokens=False)
-        first = self.starts[ids]
-        first[offsets[:-1][offsets[:-1] < len(ids)]] = True
-        cuts = np.append(np.flatnonzero(first), len(ids))
-        raw = np.ascontiguousarray(ids, np.int32).tobytes()
-        ends = (4 * cuts).tolist()
-        keys = [raw[a:b] for a, b in zip(ends, ends[1:])]
-        if len(self.strings) > TABLE_PIECES:
-            self.strings.clear()
-        parts = looked_up(keys, self.strings, lambda new: self.strings.update(zip(new, self.words.decode_batch(
-            [np.frombuffer(k, np.int32).tolist() for k in new], skip_special_tokens=False), strict=True)))
-        at = np.searchsorted(cuts, offsets).tolist()
-        texts = ["".join(parts[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-        return [x.removeprefix(" ") for x in texts] if self.prefix else texts
+        """The texts of flat ids: the pieces' bytes put together; a text whose bytes aren't UTF-8 goes to the library."""
+        sizes = self.sizes[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        raw = self.bytes[np.repeat(self.at[ids] - ends[:-1], sizes) + np.arange(int(ends[-1]))].tobytes()
+        cuts = ends[offsets].tolist()
+        out = []
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            try:
+                text = raw[a:b].decode("utf-8")
+                out.append(text.removeprefix(" ") if self.prefix else text)
+            except UnicodeDecodeError:
+                out.append(self.whole.decode(ids[offsets[k]:offsets[k + 1]].tolist(), skip_special_tokens=False))
+        return out
 
 
 _CODECS: dict[str, Codec] = {}
@@ -271,9 +267,8 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [x or "" for x in b.column(at).to_pylist()]
-            for lo, hi in row_slices([len(x) for x in texts], SLICE_CHARS):
-                flat, offsets = codec(model).encode(texts[lo:hi])
+            for lo, hi in row_slices(pc.fill_null(pc.utf8_length(b.column(at)), 0).to_pylist(), SLICE_CHARS):
+                flat, offsets = codec(model).encode([x or "" for x in b.column(at).slice(lo, hi - lo).to_pylist()])
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, lists], names=[*b.schema.names, ids])
 
@@ -311,9 +306,8 @@ def round_trip(df: DataFrame, model: str, text: str = "text", ids: str | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [x or "" for x in b.column(at).to_pylist()]
-            for lo, hi in row_slices([len(x) for x in texts], SLICE_CHARS):
-                c, own = codec(model), texts[lo:hi]
+            for lo, hi in row_slices(pc.fill_null(pc.utf8_length(b.column(at)), 0).to_pylist(), SLICE_CHARS):
+                c, own = codec(model), [x or "" for x in b.column(at).slice(lo, hi - lo).to_pylist()]
                 flat, offsets = c.encode(own)
                 back = c.decode(flat, offsets)
                 raw = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B")
