@@ -77,15 +77,15 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     x = x.withColumn(w, common.words(F.col(t)))
     # lines that hold a word; \n-split, so other line ends stay part of a line
     x = x.withColumn(ln, F.filter(F.split(F.col(t), "\n"), lambda z: F.translate(z, " \t\x0b\x0c\r", "") != F.lit("")))
+    # no function below refers to a column from inside a lambda: pushed into a filter, it would be worked out per element
     n = F.size(w)
-    windows = F.transform(
-        F.sequence(F.lit(0), n - 3),
-        lambda i: F.struct(F.xxhash64(F.get(F.col(w), i), F.get(F.col(w), i + 1), F.get(F.col(w), i + 2)).alias("h"),
-                           i.alias("at")))
+    rest = lambda k: F.slice(F.col(w), k, n)
+    runs = F.arrays_zip(F.col(w).alias("a"), rest(2).alias("b"), rest(3).alias("c"))
+    windows = F.slice(F.transform(runs, lambda z, i: F.struct(F.xxhash64(z["a"], z["b"], z["c"]).alias("h"), i.alias("at"))), 1, n - 2)
     x = x.withColumn(s, F.when(n >= 3, F.sort_array(windows)))
-    same = lambda z, i: F.coalesce(F.get(F.col(s), i)["h"] == z["h"], F.lit(False))
-    x = x.withColumn(p, F.sort_array(F.transform(
-        F.filter(F.col(s), lambda z, i: same(z, i - 1) | same(z, i + 1)), lambda z: z["at"])))
+    # both places of each pair of equal neighbours; a place that comes twice covers nothing more
+    pairs = F.zip_with(F.col(s), F.slice(F.col(s), 2, F.size(s)), lambda y, z: F.when(y["h"] == z["h"], F.array(y["at"], z["at"])))
+    x = x.withColumn(p, F.sort_array(F.flatten(F.filter(pairs, lambda z: z.isNotNull()))))
     covered = F.aggregate(
         F.col(p), F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda a, at: F.struct((a["n"] + F.least(F.lit(3), at - a["last"])).alias("n"), at.alias("last")),
