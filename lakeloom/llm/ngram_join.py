@@ -49,11 +49,15 @@ from lakeloom.llm.shingles import mix, overlap, sets, shingle_hashes, slices
 
 @dataclass(frozen=True)
 class Params:
-    """Words a shingle, similarity in percent, and settings of cost (never of the result)."""
+    """Words a shingle, similarity in percent, and settings of cost (never of the result).
+
+    The sketch tells frequent shingles best with a cell for every ten shingles or fewer of the
+    corpus: raise ``sketch_bits`` by one with each doubling (2^bits bytes are broadcast, 4 * 2^bits held by a task).
+    """
 
     words: int = 5
     percent: int = 75
-    sketch_bits: int = 22
+    sketch_bits: int = 24
     hashes: int = 8
     shared: int = 4
     block: int = 256
@@ -110,12 +114,13 @@ def frequency_classes(docs: DataFrame, p: Params) -> bytes:
         for k, raw in _emit_counts(sums):
             yield pa.record_batch([pa.array([k], pa.int32()), pa.array([raw], pa.binary())], ["slice", "counts"])
 
-    cells = np.zeros(1 << bits, np.int64)
-    for k, x in _summed(docs.select("text").mapInArrow(count, "slice int, counts binary"), "<u4", np.add).items():
-        cells[k << SLICE_BITS:(k << SLICE_BITS) + len(x)] = x
-    mean = cells.mean()
-    usual = mean + 8 * np.sqrt(mean) + 8
-    return zlib.compress(np.where(cells > usual, np.log2(np.maximum(cells / usual, 1)).astype(np.uint8) + 1, 0).astype(np.uint8).tobytes(), 1)
+    found = _summed(docs.select("text").mapInArrow(count, "slice int, counts binary"), "<u4", np.add)
+    mean = sum(int(x.sum(dtype=np.int64)) for x in found.values()) / (1 << bits)
+    usual = mean + 4 * mean ** 0.5 + 2
+    classes = np.zeros(1 << bits, np.uint8)
+    for k, x in found.items():
+        classes[k << SLICE_BITS:(k << SLICE_BITS) + len(x)] = np.where(x > usual, np.log2(np.maximum(x / usual, 1)).astype(np.uint8) + 1, 0)
+    return zlib.compress(classes.tobytes(), 1)
 
 
 # ---------------------------------------------------------------- profiles and classes
