@@ -60,11 +60,6 @@ def flatten(df: DataFrame, mapping: Mapping[str, str], keep: Sequence[str] = ())
     return df.select(*keep, *[F.col(path).alias(name) for name, path in mapping.items()])
 
 
-def nest(df: DataFrame, name: str, fields: Mapping[str, str | Column], keep: Sequence[str] = ()) -> DataFrame:
-    """Build a struct column from flat ones (the inverse of :func:`flatten`)."""
-    return df.select(*keep, F.struct(*[c(v).alias(k) for k, v in fields.items()]).alias(name))
-
-
 # --- predicates ----------------------------------------------------------------------
 
 
@@ -104,17 +99,11 @@ def between(df: DataFrame, col: str, lo, hi) -> DataFrame:
 def in_list(col: str | Column, values: Iterable) -> Column:
     """Membership in a short literal list (kept as an ``In`` expression, pushed to the scan).
 
-    For long lists use :func:`semi_join_in` — it is a join, not a giant literal.
+    For long lists use a left semi join: a join, not a giant literal.
     """
     return c(col).isin(list(values))
 
 
-def semi_join_in(df: DataFrame, col: str, allowed: DataFrame, allowed_col: str) -> DataFrame:
-    """Membership against a table of allowed values (left-semi join; Catalyst/AQE picks
-    broadcast when the allowed table's measured size is under the threshold)."""
-    return df.join(allowed.select(F.col(allowed_col).alias("__allowed")), F.col(col) == F.col("__allowed"), "left_semi")
-
-
 def ilike_any(col: str | Column, patterns: Iterable[str]) -> Column:
     """Case-insensitive LIKE against any of several patterns."""
     pred = F.lit(False)

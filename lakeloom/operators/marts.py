@@ -44,49 +44,38 @@ def enrich(facts: DataFrame, dim: DataFrame, left_on: str, right_on: str, dim_co
     return out.orderBy(*[c(o) for o in order]).limit(n)
 
 
-MAX_GROUP_VALUES = 1_000_000
+#: Values that a list holds at most, about; a larger group has several lists.
+LIST_VALUES = 100_000
 
 
-def check_group_bound(df: DataFrame, keys: Sequence[str], max_values: int) -> None:
-    """Raise when any key holds more than ``max_values`` rows.
+def value_lists(df: DataFrame, keys: Sequence[str], value: str, alias: str, most: int = LIST_VALUES) -> DataFrame:
+    """``keys, chunk_no, alias``: all values of a key in sorted lists of about ``most`` values.
 
-    One partial+final count aggregate (no row leaves its task except one count per key and
-    task); run before any operator that materialises a whole group as one value.
+    Counts a key (partial sums, one small row a key) say how many lists it needs; a hash of the
+    value deals it to one, so a hot key's lists are made by many tasks and none holds the whole group. A
+    group of up to ``most`` rows is one list, number 0. Equal values share a list.
     """
-    biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if biggest is not None and biggest > max_values:
-        raise ValueError(f"a key holds {biggest} rows (> {max_values}); aggregate it instead of listing it")
+    rows = df.select(*keys, F.col(value).alias("__v"))
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most)
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]
+    chunks = F.coalesce(F.ceil(F.col("l.__n") / most), F.lit(1))
+    dealt = rows.alias("r").join(large.alias("l"), same, "left").select(
+        *[F.col(f"r.{k}").alias(k) for k in keys], "r.__v", F.pmod(F.xxhash64("r.__v"), chunks).alias("chunk_no"))
+    return dealt.groupBy(*keys, "chunk_no").agg(F.array_sort(F.collect_list("__v")).alias(alias))
 
 
 def cogroup(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str,
-            max_values: int | None = MAX_GROUP_VALUES) -> DataFrame:
-    """Multi-input key join keeping each side's value list (CoGroupByKey).
+            most: int = LIST_VALUES) -> DataFrame:
+    """Multi-input key join keeping each side's values (CoGroupByKey): ``key, chunk_no`` and both lists.
 
-    Each side is reduced to one row per key first (partial aggregation), then the two
-    per-key rows are full-outer joined — the join never sees raw rows. Lists are sorted so
-    the result is deterministic. A list is one value held by one task, so both sides are
-    checked against ``max_values`` first (``None`` skips the check for known-bounded keys).
+    Each side is reduced to its lists (:func:`value_lists`) and these are full-outer joined, so the
+    join never sees raw rows. A key with more than ``most`` values on a side has several chunks.
     """
-    if max_values is not None:
-        check_group_bound(left, [key], max_values)
-        check_group_bound(right, [key], max_values)
-    lg = left.groupBy(key).agg(F.array_sort(F.collect_list(left_value)).alias(f"{left_value}_list"))
-    rg = right.groupBy(key).agg(F.array_sort(F.collect_list(right_value)).alias(f"{right_value}_list"))
-    j = lg.join(rg, on=key, how="full_outer")
-    return j.select(
-        key,
-        F.coalesce(F.col(f"{left_value}_list"), F.array().cast(lg.schema[f"{left_value}_list"].dataType)).alias(f"{left_value}_list"),
-        F.coalesce(F.col(f"{right_value}_list"), F.array().cast(rg.schema[f"{right_value}_list"].dataType)).alias(f"{right_value}_list"),
-    )
-
-
-def cogroup_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Per-key sizes of both sides of a co-group (skew-safe summary of :func:`cogroup`)."""
-    lg = left.groupBy(key).agg(F.count(F.lit(1)).alias("left_rows"))
-    rg = right.groupBy(key).agg(F.count(F.lit(1)).alias("right_rows"))
-    j = lg.join(rg, on=key, how="full_outer")
-    return j.select(key, F.coalesce("left_rows", F.lit(0)).alias("left_rows"),
-                    F.coalesce("right_rows", F.lit(0)).alias("right_rows"))
+    lg = value_lists(left, [key], left_value, f"{left_value}_list", most)
+    rg = value_lists(right, [key], right_value, f"{right_value}_list", most)
+    j = lg.join(rg, on=[key, "chunk_no"], how="full_outer")
+    empty = lambda df, c: F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType)).alias(c)
+    return j.select(key, "chunk_no", empty(lg, f"{left_value}_list"), empty(rg, f"{right_value}_list"))
 
 
 # --- aggregates ---------------------------------------------------------------------------
@@ -115,15 +104,9 @@ def customer_day(df: DataFrame, customer: str, ts: str, amount: str) -> DataFram
 
 
 def group_values(df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None,
-                 max_values: int | None = MAX_GROUP_VALUES) -> DataFrame:
-    """All values of a key together, sorted (GroupByKey).
-
-    A list holds the whole group in one task, so the largest group is measured first and
-    must not exceed ``max_values``; unbounded groups should be aggregated (see :func:`combine`).
-    """
-    if max_values is not None:
-        check_group_bound(df, keys, max_values)
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(alias or f"{value}_list"))
+                 most: int = LIST_VALUES) -> DataFrame:
+    """All values of a key together, sorted (GroupByKey): ``keys, chunk_no`` and a list of bounded size."""
+    return value_lists(df, keys, value, alias or f"{value}_list", most)
 
 
 def latest_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -207,11 +190,6 @@ def lag_return(df: DataFrame, key: str, ts: str, value: str, name: str = "return
     return df.withColumn(name, safe_divide(F.col(value) - prev, prev))
 
 
-def moving_avg(df: DataFrame, key: str, ts: str, value: str, rows: int, name: str | None = None) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(ts).rowsBetween(-(rows - 1), Window.currentRow)
-    return df.withColumn(name or f"moving_avg_{rows}", F.avg(value).over(w))
-
-
 # --- sorts / limits -------------------------------------------------------------------------
 
 

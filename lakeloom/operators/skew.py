@@ -28,7 +28,8 @@ def hot_keys(df: DataFrame, key: str, n: int = 10, min_share: float = 0.0) -> Da
     return out.orderBy(F.col("n").desc(), F.col("key")).limit(n)
 
 
-MAX_HOT_KEYS = 100_000
+#: Hot keys that may be broadcast; a longer list is joined.
+BROADCAST_KEYS = 100_000
 
 
 def _salt(df: DataFrame, salts: int, cols: Sequence[str] | None = None):
@@ -39,7 +40,8 @@ def _salt(df: DataFrame, salts: int, cols: Sequence[str] | None = None):
 def salted_sum(df: DataFrame, keys: Sequence[str], value: str, salts: int = 16, alias: str = "total") -> DataFrame:
     """SUM by keys in two levels: (keys, salt) then keys. A hot key is summed by ``salts``
     tasks in parallel before the final merge."""
-    level1 = (df.withColumn("__salt", _salt(df, salts))
+    # salting on the columns in use keeps the scan as narrow as the plain sum's
+    level1 = (df.select(*keys, value).withColumn("__salt", _salt(df, salts, [*keys, value]))
                 .groupBy(*keys, "__salt").agg(F.sum(value).alias("__part")))
     return level1.groupBy(*keys).agg(F.sum("__part").alias(alias))
 
@@ -50,9 +52,12 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int
 
     ``hot_keys`` (one column per join key) lists keys to salt; ``None`` salts every key.
     ``big`` rows get a deterministic salt from a hash of the row (stable under retries);
-    ``small`` rows of salted keys are replicated once per salt value. The hot-key list is a
-    top-n result, so it is bounded by construction and joined by broadcast.
+    ``small`` rows of salted keys are replicated once per salt value, so only joins that keep the
+    big side's rows are right: inner, left, left_semi and left_anti. A short hot-key list is
+    broadcast after its count; a long one is joined.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"):
+        raise ValueError(f"a salted join replicates the small side: {how!r} would repeat its unmatched rows")
     on = list(on)
     row_salt = _salt(big, salts)
     if hot_keys is None:
@@ -60,20 +65,19 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int
         s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     else:
         hk = hot_keys.select(*on).distinct().withColumn("__hot", F.lit(True))
-        if hk.count() > MAX_HOT_KEYS:  # the list is broadcast: its size must be bounded
-            raise ValueError(f"more than {MAX_HOT_KEYS} hot keys; salt everything (hot_keys=None) instead")
-        b = (big.join(F.broadcast(hk), on=on, how="left")
+        if hk.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+            hk = F.broadcast(hk)
+        b = (big.join(hk, on=on, how="left")
                 .withColumn("__salt", F.when(F.col("__hot"), row_salt).otherwise(F.lit(0))).drop("__hot"))
-        s = (small.join(F.broadcast(hk), on=on, how="left")
+        s = (small.join(hk, on=on, how="left")
                   .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
                                                   .otherwise(F.array(F.lit(0))))).drop("__hot"))
     return b.join(s, on=[*on, "__salt"], how=how).drop("__salt")
 
 
-def skewed_keys(df: DataFrame, keys: Sequence[str], n: int = 32, min_share: float = 0.01) -> DataFrame:
-    """Keys (possibly composite) whose share of rows is at least ``min_share`` — at most
-    ``1 / min_share`` of them exist, and at most ``n`` are returned, so the list is bounded."""
+def skewed_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01) -> DataFrame:
+    """All keys (possibly composite) whose share of rows is at least ``min_share``; there are at
+    most ``1 / min_share`` of them, so the list is bounded."""
     total = df.count()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return (counts.filter(F.col("n") >= F.lit(min_share * max(total, 1)))
-                  .orderBy(F.col("n").desc(), *keys).limit(n).select(*keys))
+    return counts.filter(F.col("n") >= F.lit(min_share * max(total, 1))).orderBy(F.col("n").desc(), *keys).select(*keys)

@@ -30,24 +30,6 @@ HIT_SCHEMA = "query_id bigint, vec_id bigint, score double"
 MAX_BROADCAST_LISTS = 1_000_000
 
 
-def unit(col: str | Column) -> Column:
-    """L2-normalised copy of an array<float|double> column (NULL for a zero vector)."""
-    c = F.col(col) if isinstance(col, str) else col
-    norm = F.sqrt(F.aggregate(F.transform(c, lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, b: a + b))
-    return F.when(norm > 0, F.transform(c, lambda x: x.cast("double") / norm))
-
-
-def cosine(a: str | Column, b: str | Column) -> Column:
-    """Cosine similarity of two array columns as a native expression (``zip_with`` + ``aggregate``)."""
-    ca = F.col(a) if isinstance(a, str) else a
-    cb = F.col(b) if isinstance(b, str) else b
-
-    def dot(x, y):
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-
-    return dot(ca, cb) / (F.sqrt(dot(ca, ca)) * F.sqrt(dot(cb, cb)))
-
-
 def _matrix(series: pd.Series) -> np.ndarray:
     m = np.stack([np.asarray(v, dtype=np.float64) for v in series]) if len(series) else np.zeros((0, 0))
     if m.size:

@@ -13,7 +13,7 @@ from lakeloom.plans import flows
 from lakeloom.plans.catalog_quality import DOC_ERRORS_SQL, document_rules
 from lakeloom.plans.registry import query
 from lakeloom.plans.tables import Tables
-from lakeloom.session import shared_dir
+from lakeloom.session import path_exists, shared_dir
 from lakeloom.sources import files, sinks
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -87,7 +87,7 @@ WHERE strftime(ts, '%Y%m%d') BETWEEN '20240105' AND '20240120'""")
 def q_scan_suffix_range(spark, sf):
     root = shared_dir(spark, "suffix")
     e = Tables(spark, sf).events.select("event_id", "ts", F.date_format("ts", "yyyyMMdd").alias("suffix"))
-    e.repartition("suffix").write.partitionBy("suffix").parquet(root)
+    sinks.rebalanced(e, "suffix").write.partitionBy("suffix").parquet(root)
     out = files.read_suffix_range(spark, root, "20240105", "20240120")
     return out.select("event_id", "ts", F.col("suffix").cast("string").alias("suffix"))
 
@@ -146,7 +146,11 @@ def q_replace_table(spark, sf):
 def q_ctas_partition_cluster(spark, sf):
     root = shared_dir(spark, "ctas_pc")
     gold = customer_day_from_events(Tables(spark, sf).events)
-    out = sinks.write_partitioned(gold, _table_name(root, "customer_summary_gold"), ["event_date"], ["customer_id"], root)
+    name = _table_name(root, "customer_summary_gold")
+    # a table that holds a day more is replaced whole: the day must not stay behind
+    more = gold.unionByName(gold.withColumn("event_date", F.lit("1999-12-31").cast("date")))
+    sinks.write_partitioned(more, name, ["event_date"], ["customer_id"], root)
+    out = sinks.write_partitioned(gold, name, ["event_date"], ["customer_id"], root)
     return out.select("customer_id", "event_date", "total_events", "total_spent", "total_purchases")
 
 
@@ -194,15 +198,19 @@ def _doc_dlq(spark, sf):
 def q_write_dlq_json(spark, sf):
     root = shared_dir(spark, "dlq_json")
     dlq = _doc_dlq(spark, sf)
+    sinks.write_dlq(dlq, root, "2024-01-30", "json")
     sinks.write_dlq(dlq, root, "2024-01-31", "json")
     sinks.write_dlq(dlq, root, "2024-01-31", "json")  # rerun replaces the run's partition
+    sinks.write_dlq(dlq.limit(0), root, "2024-01-30", "json")  # a clean rerun clears it
+    if path_exists(spark, f"{root}/run_date=2024-01-30"):
+        raise ValueError("the cleared run left dead letters")
     return spark.read.schema("doc_id bigint, validation_errors string").json(f"{root}/run_date=2024-01-31")
 
 
 @query("write_dlq_csv", oracle=DOC_DLQ_SQL)
 def q_write_dlq_csv(spark, sf):
     root = shared_dir(spark, "dlq_csv")
-    sinks.write_dlq(_doc_dlq(spark, sf), root, "2024-01-31", "csv", single=True)
+    sinks.write_dlq(_doc_dlq(spark, sf), root, "2024-01-31", "csv")
     return files.read_csv(spark, f"{root}/run_date=2024-01-31", "doc_id bigint, validation_errors string")
 
 

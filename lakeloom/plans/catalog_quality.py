@@ -180,12 +180,13 @@ def q_pipe_customer_dq(spark, sf):
     root = shared_dir(spark, "contacts")
     contacts_from_documents(Tables(spark, sf).documents).write.option("header", True).csv(f"{root}/src")
     clean, errors = flows.run_contacts_dq(spark, f"{root}/src", root, "2024-01-31")
+    errors = errors.withColumn("id", F.col("id").try_cast("bigint"))
     return dd.union_all(clean, errors, allow_missing=True).select("id", "email", "validation_errors")
 
 
 # --- standard rules -------------------------------------------------------------------------------
 
-# fixed values: the allowed-country list of the standard check
+# the allowed-country list of the standard check
 ALLOWED_COUNTRIES = ["FRANCE", "GERMANY", "ROMANIA", "RUSSIA", "UNITED KINGDOM"]
 
 

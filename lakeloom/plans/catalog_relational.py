@@ -197,14 +197,14 @@ def q_join_enrich_federated(spark, sf):
 @query("join_cogroup", oracle="""
 WITH l AS (SELECT l_orderkey AS k, array_to_string(list_sort(list(l_linenumber)), ',') AS lines FROM lineitem GROUP BY 1),
      o AS (SELECT o_orderkey AS k, array_to_string(list_sort(list(o_orderstatus)), ',') AS statuses FROM orders GROUP BY 1)
-SELECT coalesce(l.k, o.k) AS order_key, coalesce(l.lines, '') AS lines, coalesce(o.statuses, '') AS statuses
+SELECT coalesce(l.k, o.k) AS order_key, CAST(0 AS BIGINT) AS chunk_no, coalesce(l.lines, '') AS lines, coalesce(o.statuses, '') AS statuses
 FROM l FULL OUTER JOIN o ON l.k = o.k""")
 def q_join_cogroup(spark, sf):
     t = Tables(spark, sf)
     li = t.lineitem.select(F.col("l_orderkey").alias("order_key"), "l_linenumber")
     o = t.orders.select(F.col("o_orderkey").alias("order_key"), "o_orderstatus")
     g = marts.cogroup(li, o, "order_key", "l_linenumber", "o_orderstatus")
-    return g.select("order_key", F.array_join("l_linenumber_list", ",").alias("lines"),
+    return g.select("order_key", "chunk_no", F.array_join("l_linenumber_list", ",").alias("lines"),
                     F.array_join("o_orderstatus_list", ",").alias("statuses"))
 
 
@@ -225,9 +225,8 @@ SELECT CASE WHEN l_returnflag = 'R' THEN 'returned' ELSE 'kept' END AS branch, C
 FROM lineitem GROUP BY 1""")
 def q_agg_global_count(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_returnflag")
-    yes, no = cf.route(li, F.col("l_returnflag") == "R")
-    return dd.union_all(marts.row_count(yes, "row_count").withColumn("branch", F.lit("returned")),
-                        marts.row_count(no, "row_count").withColumn("branch", F.lit("kept")))
+    branch = F.when(F.col("l_returnflag") == "R", F.lit("returned")).otherwise(F.lit("kept"))
+    return li.select(branch.alias("branch")).groupBy("branch").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query("combine_per_key", oracle="""
@@ -252,11 +251,11 @@ def q_combine_globally(spark, sf):
 
 
 @query("group_by_key", oracle="""
-SELECT l_orderkey, array_to_string(list_sort(list(l_linenumber)), ',') AS line_numbers FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey, CAST(0 AS BIGINT) AS chunk_no, array_to_string(list_sort(list(l_linenumber)), ',') AS line_numbers FROM lineitem GROUP BY l_orderkey""")
 def q_group_by_key(spark, sf):
     li = Tables(spark, sf).lineitem
     g = marts.group_values(li, ["l_orderkey"], "l_linenumber", "line_numbers")
-    return g.select("l_orderkey", F.array_join("line_numbers", ",").alias("line_numbers"))
+    return g.select("l_orderkey", "chunk_no", F.array_join("line_numbers", ",").alias("line_numbers"))
 
 
 _LATEST_LINE_ORACLE = f"""
@@ -499,7 +498,8 @@ def q_salted_join(spark, sf):
     t = Tables(spark, sf)
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
-    return skew.salted_join(li, o, ["l_orderkey"], salts=8, hot_keys=None)
+    # only measured hot keys are salted; the other rows of orders stay single
+    return skew.salted_join(li, o, ["l_orderkey"], salts=8, hot_keys=skew.skewed_keys(li, ["l_orderkey"], min_share=0.01))
 
 
 # --- 2.10 scalar functions -------------------------------------------------------------------

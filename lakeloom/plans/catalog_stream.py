@@ -21,12 +21,27 @@ from lakeloom.streaming import streams as st
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+#: Micro-batches that a stream query reads at least.
+BATCHES = 4
+
+
 def _land(spark, sf, copies: int = 1) -> tuple[str, str]:
+    """The events as files in order of time, read one a micro-batch: state lives on between batches.
+
+    With several copies, each time range lands ``copies`` times in a row, so repeats come in later batches.
+    """
     root = shared_dir(spark, "stream")
     e = Tables(spark, sf).events
-    for i in range(copies):
-        e.write.parquet(f"{root}/src/copy={i}")
-    return root, f"{root}/src/copy=*"
+    cuts = e.select(F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("t")).approxQuantile(
+        "t", [i / BATCHES for i in range(1, BATCHES)], 0.0001)
+    part = F.lit(0)
+    for c in cuts:
+        part = part + F.when(F.unix_micros(F.col("ts").cast("timestamp")) >= F.lit(int(c)), 1).otherwise(0)
+    e = e.withColumn("__part", part)
+    for i in range(BATCHES):
+        for k in range(copies):  # the file source takes the oldest files first
+            e.filter(F.col("__part") == i).drop("__part").write.parquet(f"{root}/src/part={i}{k}")
+    return root, f"{root}/src/part=*"
 
 
 def _ntz(df, *cols):
@@ -43,7 +58,7 @@ HAVING time_bucket(INTERVAL '{size}', ts) + INTERVAL '{size}' <= (SELECT MAX(ts)
 @query("stream_tumbling", oracle=WINDOW_ORACLE.format(size="1 day", delay="1 hour"))
 def q_stream_tumbling(spark, sf):
     root, src = _land(spark, sf)
-    sdf = st.file_stream(spark, src, EVENTS_SCHEMA)
+    sdf = st.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1)
     out = st.stream_windows(sdf, "ts", "1 day", None, "1 hour", ["event_type"], "value")
     st.run_available(out, f"{root}/out", f"{root}/chk")
     res = spark.read.parquet(f"{root}/out")
@@ -61,7 +76,7 @@ WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL '1 hour'"""
 @query("stream_sliding", oracle=SLIDING_ORACLE)
 def q_stream_sliding(spark, sf):
     root, src = _land(spark, sf)
-    sdf = st.file_stream(spark, src, EVENTS_SCHEMA)
+    sdf = st.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1)
     out = st.stream_windows(sdf, "ts", "1 day", "12 hours", "1 hour", ["event_type"])
     st.run_available(out, f"{root}/out", f"{root}/chk")
     return _ntz(spark.read.parquet(f"{root}/out"), "window_start", "window_end")
@@ -77,7 +92,7 @@ SELECT * FROM a WHERE session_end <= (SELECT MAX(ts) FROM events) - INTERVAL '1
 @query("stream_session", oracle=SESSION_ORACLE)
 def q_stream_session(spark, sf):
     root, src = _land(spark, sf)
-    sdf = st.file_stream(spark, src, EVENTS_SCHEMA)
+    sdf = st.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1)
     out = st.stream_sessions(sdf, "ts", ["user_id"], "2 hours", "1 hour")
     st.run_available(out, f"{root}/out", f"{root}/chk")
     return _ntz(spark.read.parquet(f"{root}/out"), "session_start", "session_end")
@@ -86,7 +101,7 @@ def q_stream_session(spark, sf):
 @query("stream_dedupe", oracle="SELECT * FROM events")
 def q_stream_dedupe(spark, sf):
     root, src = _land(spark, sf, copies=2)
-    sdf = st.file_stream(spark, src, EVENTS_SCHEMA)
+    sdf = st.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1)
     out = st.stream_dedupe(sdf, ["event_id"], "ts", "1 hour")
     st.run_available(out, f"{root}/out", f"{root}/chk")
     return _ntz(spark.read.parquet(f"{root}/out"), "ts").select("event_id", "ts", "user_id", "event_type", "value", "props")
@@ -102,6 +117,6 @@ def q_stream_bronze(spark, sf):
 SELECT CAST(event_id AS INTEGER) AS id, CAST(user_id AS INTEGER) AS user_id, event_type FROM events WHERE ({EVENT_ERRORS_SQL}) = ''""")
 def q_stream_validate(spark, sf):
     root, src = _land(spark, sf)
-    sdf = flows.events_as_web_events(st.file_stream(spark, src, EVENTS_SCHEMA))
+    sdf = flows.events_as_web_events(st.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1))
     st.stream_validate(sdf, q.event_rules(), f"{root}/ok", f"{root}/dlq", f"{root}/chk")
     return spark.read.parquet(f"{root}/ok").select("id", "user_id", "event_type")

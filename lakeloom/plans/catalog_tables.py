@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.functions.columns import is_true
+from lakeloom.functions.columns import case_chain, is_true
 from lakeloom.operators import dedupe as dd
 from lakeloom.operators import tables as tb
 from lakeloom.plans import flows
 from lakeloom.plans.catalog_quality import BARS_SQL
 from lakeloom.plans.registry import query
 from lakeloom.plans.tables import Tables
-from lakeloom.session import shared_dir
+from lakeloom.session import cut_lineage, shared_dir
 from lakeloom.sources import sinks
 
 # --- MERGE (insert only) ----------------------------------------------------------------------
@@ -44,14 +44,19 @@ def q_merge_insert_only(spark, sf):
 
 @query("dedupe_post_merge", oracle=_MERGE_INSERT_ORACLE)
 def q_dedupe_post_merge(spark, sf):
-    """Staging → production through a written table: run twice, the second run adds nothing."""
+    """Staging → production table by appending the rows it lacks: run twice, the second run adds nothing."""
     root = shared_dir(spark, "post_merge")
-    first = sinks.replace_table(_merge_insert(spark, sf), f"prod_{root[-12:]}", f"{root}/v1")
+    name = f"prod_{root[-12:]}"
     t = Tables(spark, sf)
+    target = (t.orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+              .select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"), F.col("o_orderdate").alias("ts")))
+    sinks.replace_table(target, name, root)
     staged = t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_extendedprice").alias("value"),
                                F.col("l_shipdate").alias("ts"))
-    again, _ = tb.merge_insert(first, staged, ["id"], "ts", ["value"])
-    return sinks.replace_table(again, f"prod2_{root[-12:]}", f"{root}/v2")
+    for _ in range(2):
+        new, _rejects = tb.rows_to_insert(spark.table(name), staged, ["id"], "ts", ["value"])
+        sinks.append_table(cut_lineage(new), name, root)
+    return spark.table(name)
 
 
 # --- UPSERT ------------------------------------------------------------------------------------
@@ -75,37 +80,69 @@ def _report(lineitem, status):
 
 @query("merge_upsert", oracle=_UPSERT_ORACLE)
 def q_merge_upsert(spark, sf):
+    """A stored report, partitioned by month, takes the second half of the line items by MERGE."""
     li = Tables(spark, sf).lineitem
-    return tb.upsert(_report(li, "F"), _report(li, "O"), ["transaction_date", "product_id"])
+    root = shared_dir(spark, "merge_upsert")
+    name = f"report_{root[-12:]}"
+    month = lambda df: tb.with_partition(df, "transaction_date", "month", "transaction_month")
+    sinks.write_partitioned(month(_report(li, "F")), name, ["transaction_month"], path=root)
+    tb.upsert_partitions(spark, name, month(_report(li, "O")), ["transaction_date", "product_id", "transaction_month"], "transaction_month")
+    return spark.table(name).drop("transaction_month")
 
 
 def transactions_from_lineitem(lineitem, status):
-    """Raw transactions (text amounts, as landed) from line items of one line status."""
+    """Raw transactions (all text, as landed) from line items of one line status; some are broken on their way.
+
+    By order and line: a word as amount, a negative one, none, a date that isn't one, no product.
+    """
+    k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    at = lambda n, r: F.pmod(k, F.lit(n)) == r
+    amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
     return lineitem.filter(F.col("l_linestatus") == status).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("transaction_date"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("amount"),
-        F.col("l_quantity").alias("quantity"))
+        F.when(at(97, 5), F.lit("2024-13-45")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("transaction_date"),
+        F.when(~at(101, 7), F.col("l_partkey").cast("string")).alias("product_id"),
+        F.when(at(89, 1), F.lit("abc")).when(at(89, 2), F.concat(F.lit("-"), amount)).when(~at(89, 3), amount).alias("amount"),
+        F.col("l_quantity").cast("string").alias("quantity"))
+
 
+_K = "(l_orderkey * 10 + l_linenumber)"
+_BROKEN = f"({_K} % 97 = 5 OR {_K} % 101 = 7 OR {_K} % 89 IN (1, 2, 3))"
+_SALES_SQL = """(SELECT CAST(l_shipdate AS DATE) AS transaction_date, l_partkey AS product_id,
+   CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales, SUM(l_quantity) AS total_quantity
+ FROM lineitem WHERE l_linestatus = '{s}' AND NOT """ + _BROKEN + """ GROUP BY 1, 2)"""
+_SALES_ORACLE = f"""
+SELECT transaction_date, product_id, total_sales, total_quantity, NULL AS transaction_id, NULL AS validation_errors
+FROM {_SALES_SQL.format(s='F')} f
+WHERE NOT EXISTS (SELECT 1 FROM {_SALES_SQL.format(s='O')} o
+                  WHERE o.transaction_date = f.transaction_date AND o.product_id = f.product_id)
+UNION ALL SELECT transaction_date, product_id, total_sales, total_quantity, NULL, NULL FROM {_SALES_SQL.format(s='O')}
+UNION ALL SELECT NULL, NULL, NULL, NULL, l_orderkey || '-' || l_linenumber,
+  CASE WHEN {_K} % 89 = 3 THEN 'AMOUNT_MISSING;' ELSE '' END || CASE WHEN {_K} % 89 = 1 THEN 'AMOUNT_NOT_NUMERIC;' ELSE '' END
+  || CASE WHEN {_K} % 89 = 2 THEN 'AMOUNT_NEGATIVE;' ELSE '' END || CASE WHEN {_K} % 97 = 5 THEN 'DATE_INVALID;' ELSE '' END
+  || CASE WHEN {_K} % 101 = 7 THEN 'PRODUCT_INVALID;' ELSE '' END
+FROM lineitem WHERE l_linestatus IN ('F', 'O') AND {_BROKEN}"""
 
-@query("pipe_daily_sales", oracle=_UPSERT_ORACLE)
+
+@query("pipe_daily_sales", oracle=_SALES_ORACLE)
 def q_pipe_daily_sales(spark, sf):
-    """Two runs into a date-partitioned report: the second rewrites only the dates it carries."""
+    """Two runs into a month-partitioned report, and the dead letters of both."""
     root = shared_dir(spark, "daily_sales")
     li = Tables(spark, sf).lineitem
     name = f"daily_sales_{root[-12:]}"
+    letters = []
     for i, status in enumerate(["F", "O"]):
         src = f"{root}/raw/run={i}"
         transactions_from_lineitem(li, status).write.option("header", True).csv(src)
-        out = flows.run_daily_sales(spark, src, name, f"{root}/report")
-    return out.select("transaction_date", "product_id", F.col("total_sales").cast("double").alias("total_sales"),
-                      "total_quantity")
+        out, rejects = flows.run_daily_sales(spark, src, name, f"{root}/report", f"2024-01-0{i + 1}")
+        letters.append(rejects.select("transaction_id", "validation_errors"))
+    report = out.select("transaction_date", "product_id", F.col("total_sales").cast("double").alias("total_sales"), "total_quantity")
+    return dd.union_all(report, *letters, allow_missing=True)
 
 
 # --- schema evolution ------------------------------------------------------------------------------
 
-# fixed values: URL → channel, first match wins
+# URL → channel, first match wins
 CHANNEL_BRANCHES = [("%://m.%", "mobile"), ("%://blog.%", "blog"), ("%spam%", "spam")]
 CHANNEL_SQL = """CASE WHEN url ILIKE '%://m.%' THEN 'mobile' WHEN url ILIKE '%://blog.%' THEN 'blog'
                       WHEN url ILIKE '%spam%' THEN 'spam' ELSE 'web' END"""
@@ -127,9 +164,11 @@ def q_add_column(spark, sf):
 
 @query("update_case", oracle=f"SELECT page_id, url, {CHANNEL_SQL} AS channel FROM pages")
 def q_update_case(spark, sf):
-    df = spark.table(_pages_table(spark, sf))
+    """UPDATE of the stored table."""
+    name = _pages_table(spark, sf)
     branches = [(is_true(F.col("url").ilike(p)), v) for p, v in CHANNEL_BRANCHES]
-    return tb.backfill_case(df, "channel", branches, "web")
+    tb.update_where(spark, name, {"channel": case_chain(branches, "web")}, F.col("channel").isNull())
+    return spark.table(name)
 
 
 @query("merge_schemas", oracle="""
@@ -169,14 +208,22 @@ WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'""")
 def q_derived_partition(spark, sf):
     root = shared_dir(spark, "derived_partition")
     e = tb.with_partition(Tables(spark, sf).events.select("event_id", "ts"), "ts", "day", "ts_day")
-    e.repartition("ts_day").write.partitionBy("ts_day").parquet(root)
+    sinks.rebalanced(e, "ts_day").write.partitionBy("ts_day").parquet(root)
     back = spark.read.parquet(root)
     return tb.prune(back, "ts", "2024-01-10", "2024-01-20", "day", "ts_day").select("event_id", "ts", "ts_day")
 
 
 @query("delete_rows", oracle="SELECT * FROM orders WHERE NOT coalesce(o_orderstatus = 'P', false)")
 def q_delete_rows(spark, sf):
-    return tb.delete_where(Tables(spark, sf).orders, F.col("o_orderstatus") == "P")
+    """DELETE from a stored table partitioned by status: one partition is emptied and goes, none else is rewritten."""
+    root = shared_dir(spark, "delete_rows")
+    name = f"orders_{root[-12:]}"
+    o = Tables(spark, sf).orders
+    sinks.write_partitioned(o, name, ["o_orderstatus"], path=root)
+    tb.delete_from(spark, name, F.col("o_orderstatus") == "P")
+    if any("P" in r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()):
+        raise ValueError("an emptied partition stayed")
+    return spark.table(name).select(*o.columns)
 
 
 # --- price flow -----------------------------------------------------------------------------------

@@ -84,19 +84,20 @@ def run_prices(spark: SparkSession, bronze_root: str, silver_path: str, dlq_root
     checked = quality.validate(raw, quality.price_rules())
     clean, dlq = quality.split(checked)
     fresh = dd.dedupe_latest(clean, ["ticker", "date"], "event_id", [])
+    fresh = tb.with_partition(fresh, "date", "month", "month")
     if path_exists(spark, silver_path):
-        current = spark.read.parquet(silver_path)
-        merged = tb.upsert(current, fresh.select(*current.columns), ["ticker", "date"])
-        merged = cut_lineage(merged)  # the target is rewritten from itself
-    else:
-        merged = fresh
-    merged.write.mode("overwrite").parquet(silver_path)
+        # only the months that this run touches are read, merged and replaced
+        stored = spark.read.parquet(silver_path)
+        current = stored.join(fresh.select("month").distinct(), "month", "left_semi").select(*fresh.columns)
+        fresh = cut_lineage(tb.upsert(current, fresh, ["ticker", "date"]))
+    (sinks.rebalanced(fresh, "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("month").parquet(silver_path))
     sinks.write_dlq(dlq, dlq_root, run_date, "json")
-    silver = spark.read.parquet(silver_path)
+    silver = spark.read.parquet(silver_path).drop("month")
     gold = gold_metrics(silver)
     if gold_path:
-        gold.repartition("date").sortWithinPartitions("date", "ticker").write.mode("overwrite") \
-            .partitionBy("date").parquet(gold_path)
+        (sinks.rebalanced(gold, "date").sortWithinPartitions("date", "ticker").write.mode("overwrite")
+              .option("partitionOverwriteMode", "static").partitionBy("date").parquet(gold_path))
         gold = spark.read.parquet(gold_path)
     return gold, silver
 
@@ -112,6 +113,8 @@ def gold_metrics(silver: DataFrame) -> DataFrame:
 # --- web log lakehouse ---------------------------------------------------------------------------
 
 WEBLOG_RAW_SCHEMA = "customer_id long, log_id long, timestamp string, url string, purchase_amount string"
+#: All text: a value that doesn't cast must reach the dead letters as it came.
+WEBLOG_STAGING_SCHEMA = "customer_id string, log_id string, timestamp string, url string, purchase_amount string"
 WEBLOG_SILVER_TYPES = {"customer_id": "bigint", "log_id": "bigint", "event_ts": "timestamp",
                        "url": "string", "purchase_amount": "decimal(38,9)"}
 
@@ -127,18 +130,16 @@ def weblog_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def run_weblog(spark: SparkSession, csv_paths, root: str) -> tuple[DataFrame, DataFrame]:
+def run_weblog(spark: SparkSession, csv_paths, root: str, run_date: str = "2024-01-31") -> tuple[DataFrame, DataFrame]:
     """CSV → raw staging (overwrite) → typed silver (drop NULL customer) → customer-day gold.
 
-    Returns (gold, silver)."""
-    raw = files.load_csv(spark, csv_paths, _name("web_log_raw"), WEBLOG_RAW_SCHEMA, skip_rows=1,
+    Rows with a value that doesn't cast go to the dead letters below ``root/dlq`` with the names
+    of the columns that failed; they are in neither table. Returns (gold, silver)."""
+    raw = files.load_csv(spark, csv_paths, _name("web_log_raw"), WEBLOG_STAGING_SCHEMA, skip_rows=1,
                          path=f"{root}/raw")
-    typed = raw.select(
-        F.col("customer_id"), F.col("log_id"),
-        F.try_to_timestamp(F.col("timestamp")).alias("event_ts"),
-        F.col("url"), F.col("purchase_amount").try_cast("decimal(38,9)").alias("purchase_amount"),
-    ).filter(F.col("customer_id").isNotNull())
-    silver = sinks.write_typed(typed, _name("web_log_silver"), WEBLOG_SILVER_TYPES, f"{root}/silver")
+    typed, rejects = files.cast_or_reject(raw.withColumnRenamed("timestamp", "event_ts"), WEBLOG_SILVER_TYPES)
+    sinks.write_dlq(rejects, f"{root}/dlq", run_date)
+    silver = sinks.write_typed(typed.filter(F.col("customer_id").isNotNull()), _name("web_log_silver"), WEBLOG_SILVER_TYPES, f"{root}/silver")
     gold_df = marts.customer_day(silver, "customer_id", "event_ts", "purchase_amount")
     gold = sinks.write_partitioned(gold_df, _name("customer_summary_gold"), ["event_date"], ["customer_id"],
                                    f"{root}/gold")
@@ -149,47 +150,64 @@ def run_weblog(spark: SparkSession, csv_paths, root: str) -> tuple[DataFrame, Da
 
 def run_contacts_dq(spark: SparkSession, csv_path: str, root: str, run_date: str) -> tuple[DataFrame, DataFrame]:
     """contacts CSV → email rules → (clean table, one error CSV with reasons)."""
-    contacts = files.read_csv(spark, csv_path, "id long, email string")
-    clean, dlq = quality.split(quality.validate(contacts, quality.email_rules()))
-    out = sinks.overwrite_table(clean, _name("contacts_clean"), f"{root}/clean")
-    sinks.write_dlq(dlq, f"{root}/errors", run_date, "csv", single=True)
-    errors = files.read_csv(spark, f"{root}/errors/run_date={run_date}", "id long, email string, validation_errors string")
-    return out, errors
+    contacts = files.read_csv(spark, csv_path, "id string, email string")
+    rules = [quality.Rule("ID_NOT_NUMERIC", F.col("id").isNotNull() & F.col("id").try_cast("bigint").isNull()),
+             *quality.email_rules()]
+    clean, dlq = quality.split(quality.validate(contacts, rules))
+    out = sinks.overwrite_table(clean.withColumn("id", F.col("id").cast("bigint")), _name("contacts_clean"), f"{root}/clean")
+    schema = "id string, email string, validation_errors string"
+    if sinks.write_dlq(dlq, f"{root}/errors", run_date, "csv"):
+        return out, files.read_csv(spark, f"{root}/errors/run_date={run_date}", schema)
+    return out, spark.createDataFrame([], schema)
 
 
 # --- daily product sales ---------------------------------------------------------------------------
 
-SALES_SCHEMA = "transaction_id string, transaction_date string, product_id long, amount string, quantity double"
+SALES_SCHEMA = "transaction_id string, transaction_date string, product_id string, amount string, quantity string"
+
+
+def sales_rules() -> list[quality.Rule]:
+    """Amount rules, and dates, products and quantities that don't cast; a report key must not be NULL."""
+    bad = lambda c, kind: F.col(c).isNull() | F.col(c).try_cast(kind).isNull()
+    return [*quality.amount_rules("amount"), quality.Rule("DATE_INVALID", bad("transaction_date", "date")),
+            quality.Rule("PRODUCT_INVALID", bad("product_id", "bigint")),
+            quality.Rule("QUANTITY_INVALID", F.col("quantity").isNotNull() & F.col("quantity").try_cast("double").isNull())]
 
 
 def daily_sales(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Validated transactions → (per (date, product) totals, rejects)."""
-    checked = quality.validate(transactions, quality.amount_rules("amount"))
-    clean, rejects = quality.split(checked)
-    report = (clean.groupBy(F.to_date("transaction_date").alias("transaction_date"), "product_id")
-                   .agg(F.sum(F.col("amount").cast("decimal(18,2)")).alias("total_sales"),
-                        F.sum("quantity").alias("total_quantity")))
+    """Validated transactions → (per (date, product) totals, rejects with their error codes).
+
+    Amounts are summed as they are, at nine decimals; only the total is rounded to cents.
+    """
+    clean, rejects = quality.split(quality.validate(transactions, sales_rules()))
+    report = (clean.groupBy(F.col("transaction_date").cast("date").alias("transaction_date"), F.col("product_id").cast("bigint").alias("product_id"))
+                   .agg(F.sum(F.col("amount").cast("decimal(38,9)")).cast("decimal(18,2)").alias("total_sales"),
+                        F.sum(F.col("quantity").cast("double")).alias("total_quantity")))
     return report, rejects
 
 
-def run_daily_sales(spark: SparkSession, csv_path: str, report_table: str, report_path: str) -> DataFrame:
+def run_daily_sales(spark: SparkSession, csv_path: str, report_table: str, report_path: str,
+                    run_date: str = "2024-01-31") -> tuple[DataFrame, DataFrame]:
     """raw transactions CSV → validate → daily product totals → UPSERT into the report table.
 
     The report is partitioned by month (derived from ``transaction_date``, so a key never
     changes partition); a run rewrites only the months it carries (``tables.upsert_partitions``).
+    Rows that break a rule go to ``report_path-dlq`` under the run date. Returns (report, this run's rejects).
     """
     tx = files.read_csv(spark, csv_path, SALES_SCHEMA)
-    fresh, _ = daily_sales(tx)
+    fresh, rejects = daily_sales(tx)
+    wrote = sinks.write_dlq(rejects, f"{report_path}-dlq", run_date)
     fresh = tb.with_partition(fresh, "transaction_date", "month", "transaction_month").select(
         "transaction_date", "product_id", "total_sales", "total_quantity", "transaction_month")
     if not spark.catalog.tableExists(report_table):
-        (fresh.repartition("transaction_month").write.mode("overwrite").partitionBy("transaction_month")
-              .option("path", report_path).saveAsTable(report_table))
+        sinks.write_partitioned(fresh, report_table, ["transaction_month"], path=report_path)
     else:
         tb.upsert_partitions(spark, report_table, fresh, ["transaction_date", "product_id", "transaction_month"],
                              "transaction_month")
     spark.catalog.refreshTable(report_table)
-    return spark.table(report_table)
+    schema = f"{SALES_SCHEMA}, validation_errors string"
+    letters = spark.read.schema(schema).json(f"{report_path}-dlq/run_date={run_date}") if wrote else spark.createDataFrame([], schema)
+    return spark.table(report_table), letters
 
 
 def run_weblog_full(spark: SparkSession, csv_paths, root: str, principal_groups=("analysts",),

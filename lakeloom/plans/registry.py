@@ -35,7 +35,6 @@ def load_all() -> None:
     from lakeloom.plans import (  # noqa: F401
         catalog_governance,
         catalog_io,
-        catalog_ml,
         catalog_quality,
         catalog_relational,
         catalog_stream,

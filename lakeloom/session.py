@@ -1,13 +1,13 @@
 """Session construction and the shared scratch folder.
 
 The session settings are the ones every pipeline in this package assumes: UTC session
-zone (timestamps compare like the SQL oracle), AQE with skew-join splitting and
-runtime-measured broadcast decisions, dynamic partition overwrite (re-runs replace only the
-partitions they touch) and no UI server.
+zone (timestamps compare like the SQL oracle), AQE with skew-join splitting and no UI server.
+Writers that replace only some partitions say so themselves; no function changes its caller's session.
 """
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -15,15 +15,12 @@ from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
-    # broadcast decisions come from sizes AQE measures at runtime (after filters and
-    # aggregates), not from file-size guesses at planning time; explicit broadcast() hints
-    # (used only on size-checked sides) still apply
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
+    # sides whose size is known to be under 10 MB are broadcast without being shuffled first;
+    # AQE decides the rest from sizes it measures
+    "spark.sql.autoBroadcastJoinThreshold": "10485760",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # streaming state lives in RocksDB (off-heap, spills to local disk, checkpointed to the
     # shared folder) so windows/sessions/dedupe state is not bounded by executor heap
@@ -82,6 +79,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if existing:
             # getCheckpointDir returns <root>/<uuid>; keep using that folder
             return existing
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -101,6 +100,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder on the path's file system; False if there was none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
+@contextlib.contextmanager
+def conf_set(spark: SparkSession, key: str, value: str):
+    """A session setting that holds inside a ``with`` block only."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with this package's settings; the caller's stays as it is."""
+    own = spark.newSession()
+    for k, v in {**spark.conf.getAll, **DEFAULTS}.items():
+        if k.startswith("spark.sql.") and own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own
+
+
 def cut_lineage(df):
     """Materialise ``df`` in the shared checkpoint folder and return a DataFrame reading it.
 
@@ -111,34 +137,12 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def spread(df):
-    """Round-robin ``df`` over the cluster's cores when it arrived in fewer partitions.
-
-    Only for per-row work that is expensive (regex or shingling over whole texts): a large
-    single-row-group file is read by one task, and without this all the text work would run
-    on one core. With many input files (the normal case at scale) nothing changes.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Shuffle/scan sizing for a job reading ``input_bytes`` on ``total_cores`` cores.
+def spread(df, partitions: int | None = None):
+    """``df`` dealt round-robin to ``partitions`` tasks, for expensive per-row work on few large files.
 
-    Initial shuffle partitions ≈ input / 256 MB, at least 2× the cores (AQE coalesces small
-    ones and splits skewed ones at runtime); scan splits of 256 MB keep task counts sane on
-    100 TB inputs. Apply with ``spark.conf.set`` before building the job.
+    ``None`` leaves the scan's own partitions; the plan never depends on the size of the input.
     """
-    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-    }
+    return df.repartition(partitions) if partitions else df
 
 
 _SHIPPED: set[str] = set()

@@ -132,10 +132,18 @@ def read_with_rejects(spark: SparkSession, fmt: str, path: str | Sequence[str],
                       **options) -> tuple[DataFrame, DataFrame]:
     """(ok, rejects): rows that fail parsing land in the rejects frame with their raw text.
 
-    PERMISSIVE mode with a corrupt-record column; the parsed frame is cached because Spark
-    refuses queries that reference only the corrupt column of a raw file scan.
+    JSON lines are read as text and parsed by ``from_json`` with a corrupt-record column, so both
+    frames are plain filters over one scan. Other formats use the reader's own PERMISSIVE mode,
+    whose frame is stored first: Spark refuses queries of the corrupt column alone off a file scan.
     """
     full = schema.add(T.StructField(CORRUPT, T.StringType(), True)) if CORRUPT not in schema.fieldNames() else schema
+    if fmt == "json" and not options:
+        how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.from_json("value", full, how).alias("row"))
+        bad = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
+        names = [f.name for f in full.fields if f.name != CORRUPT]
+        return (lines.filter(~bad).select(*[F.col("row")[c].alias(c) for c in names]),
+                lines.filter(bad).select(F.col("value").alias("raw_record")))
     r = spark.read.format(fmt).schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     for k, v in options.items():
         r = r.option(k, v)

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.session import delete_path
+
 
 def replace_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
     """CREATE OR REPLACE TABLE name AS <df>; returns the table."""
@@ -35,18 +37,24 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> DataFr
     return replace_table(df, name, path)
 
 
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` gathered by ``columns`` for writing; AQE splits large and joins small partitions."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def write_partitioned(df: DataFrame, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = (),
                       path: str | None = None) -> DataFrame:
     """CTAS ... PARTITION BY p CLUSTER BY k.
 
-    ``repartition(p)`` sends each partition value's rows to one writer task (one file per
-    partition value instead of one per task × value) and ``sortWithinPartitions(k)`` lays
-    rows out by the cluster key so Parquet row-group min/max statistics can skip blocks.
+    A REBALANCE on the partition columns gathers each value's rows in few writer tasks and lets
+    AQE split a value that is too large for one; ``sortWithinPartitions(k)`` lays rows out by
+    the cluster key so Parquet row-group min/max statistics can skip blocks. The whole table is
+    replaced: partitions that ``df`` lacks go.
     """
-    out = df.repartition(*[F.col(p) for p in partition_by])
+    out = rebalanced(df, *partition_by)
     if cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
-    w = out.write.mode("overwrite").partitionBy(*partition_by)
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
@@ -60,22 +68,17 @@ def write_typed(df: DataFrame, name: str, schema: Mapping[str, str], path: str)
     return df.sparkSession.table(name)
 
 
-def write_dlq(df: DataFrame, root: str, run_date: str, fmt: str = "json", single: bool = False,
-              max_single_rows: int = 5_000_000) -> bool:
-    """Dead-letter output for one run date, written only if non-empty; reruns replace it.
+def write_dlq(df: DataFrame, root: str, run_date: str, fmt: str = "json") -> bool:
+    """Dead-letter output for one run date; a rerun replaces it, also when nothing is left to write.
 
     Emptiness is checked with ``isEmpty()`` (stops at the first row) rather than ``count()``.
-    ``single=True`` writes one file when the DLQ has at most ``max_single_rows`` rows.
+    Other run dates are never touched, whatever the session's overwrite mode. Returns whether rows were written.
     """
     if df.isEmpty():
+        delete_path(df.sparkSession, f"{root}/run_date={run_date}")
         return False
     out = df.withColumn("run_date", F.lit(run_date))
-    if single:
-        # one file means one writer task: only when the DLQ is small enough (counted up to
-        # the bound, never further); a bigger DLQ is written by all tasks as usual
-        if df.limit(max_single_rows + 1).count() <= max_single_rows:
-            out = out.repartition(1)
-    w = out.write.mode("overwrite").partitionBy("run_date")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date")
     w = w.option("header", True) if fmt == "csv" else w.options(**JSON_TS_OPTIONS) if fmt == "json" else w
     w.format(fmt).save(root)
     return True
@@ -88,11 +91,8 @@ def write_dlq_table(df: DataFrame, name: str, path: str | None = None) -> DataFr
 def land_bronze(df: DataFrame, root: str, key: str, run_date: str, fmt: str = "json") -> None:
     """Land raw records by ``key`` and run date; a rerun replaces the same run's files only
     (dynamic partition overwrite on ``(key, run_date)``)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = (df.withColumn("run_date", F.lit(run_date))
-           .repartition(F.col(key))
-           .write.mode("overwrite").partitionBy(key, "run_date").format(fmt))
+    w = (rebalanced(df.withColumn("run_date", F.lit(run_date)), key)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key, "run_date").format(fmt))
     if fmt == "json":
         w = w.options(**JSON_TS_OPTIONS)
     w.save(root)

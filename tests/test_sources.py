@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from conftest import SF
 from lakeloom.plans.tables import Tables
-from lakeloom.session import shared_dir
+from lakeloom.session import path_exists, shared_dir
 from lakeloom.sources import files, sinks
 from lakeloom.sources.files import inline
 
@@ -47,10 +47,19 @@ def test_gen_weblog_distribution(spark):
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, again.collect()))  # seeded: reproducible
 
 
-def test_write_dlq_is_idempotent_and_skips_empty(spark):
+def test_write_dlq_is_idempotent_and_clears_an_empty_rerun(spark):
     root = shared_dir(spark, "dlq")
     dlq = inline(spark, [(1, "A;"), (2, "B;")], "id int, validation_errors string")
     assert sinks.write_dlq(dlq, root, "2024-01-31")
     assert sinks.write_dlq(dlq, root, "2024-01-31")
     assert spark.read.json(f"{root}/run_date=2024-01-31").count() == 2
     assert not sinks.write_dlq(dlq.filter("id > 5"), root, "2024-02-01")
+    # another date's letters stay in a session of either overwrite mode; a clean rerun clears its own
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        assert sinks.write_dlq(dlq, root, "2024-02-01")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert spark.read.json(f"{root}/run_date=2024-01-31").count() == 2
+    assert not sinks.write_dlq(dlq.filter("id > 5"), root, "2024-01-31")
+    assert not path_exists(spark, f"{root}/run_date=2024-01-31") and path_exists(spark, f"{root}/run_date=2024-02-01")

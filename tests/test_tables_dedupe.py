@@ -62,18 +62,20 @@ def test_salted_equals_unsalted(spark):
     plain = sorted(map(tuple, df.groupBy("k").agg(F.sum("v").alias("total")).collect()))
     assert sorted(map(tuple, skew.salted_sum(df, ["k"], "v", salts=7).collect())) == plain
     small = spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    hot = skew.skewed_keys(df, ["k"], n=2, min_share=0.3)
+    hot = skew.skewed_keys(df, ["k"], min_share=0.3)
     salted = skew.salted_join(df, small, ["k"], salts=4, hot_keys=hot)
     assert salted.count() == df.join(small, "k").count()
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, df.join(small, "k").select(*salted.columns).collect()))
 
 
-def test_group_bound_is_enforced(spark):
-    import pytest
-
+def test_large_groups_have_several_lists(spark):
     from lakeloom.operators import marts
 
-    df = spark.range(50).select(F.lit(1).alias("k"), F.col("id").alias("v"))
-    assert marts.group_values(df, ["k"], "v", max_values=50).count() == 1
-    with pytest.raises(ValueError):
-        marts.group_values(df, ["k"], "v", max_values=10)
+    df = spark.range(500).select(F.lit(1).alias("k"), F.col("id").alias("v")).unionByName(spark.range(3).select(F.lit(2).alias("k"), F.col("id").alias("v")))
+    assert marts.group_values(df, ["k"], "v", most=500).count() == 2
+    rows = marts.group_values(df, ["k"], "v", most=50).collect()
+    assert len([r for r in rows if r.k == 1]) == 10 and len([r for r in rows if r.k == 2]) == 1
+    assert max(len(r.v_list) for r in rows) < 100
+    assert sorted(v for r in rows if r.k == 1 for v in r.v_list) == list(range(500))
+    both = marts.cogroup(df, df.filter("k = 2").withColumnRenamed("v", "w"), "k", "v", "w", most=50)
+    assert sorted(v for r in both.collect() if r.k == 1 for v in r.v_list) == list(range(500))
