@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.session import delete_path
+from lakeloom.session import conf_set, delete_path
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -54,10 +54,12 @@ def write_partitioned(df: DataFrame, name: str, partition_by: Sequence[str], clu
     out = rebalanced(df, *partition_by)
     if cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+    w = out.write.mode("overwrite").partitionBy(*partition_by)
     if path:
         w = w.option("path", path)
-    w.saveAsTable(name)
+    # as a writer option it would stay with the table and rule its later inserts too
+    with conf_set(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "static"):
+        w.saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -70,6 +70,15 @@ def test_delete_and_update_change_the_stored_table(spark):
         tb.update_where(spark, _name(root), {"p": F.lit("z")}, F.lit(True))
 
 
+def test_changes_of_a_replaced_table_leave_other_partitions(spark):
+    root = shared_dir(spark, "dml2")
+    df = inline(spark, [(1, "a"), (2, "b"), (3, "c")], "k int, p string")
+    sinks.write_partitioned(df, _name(root), ["p"], path=root)
+    tb.delete_from(spark, _name(root), F.col("p") == "b")
+    tb.upsert_partitions(spark, _name(root), inline(spark, [(4, "c")], "k int, p string"), ["k", "p"], "p")
+    assert sorted(r.k for r in spark.table(_name(root)).collect()) == [1, 3, 4]
+
+
 def test_replaced_tables_lose_stale_partitions(spark):
     root = shared_dir(spark, "stale")
     df = inline(spark, [(1, "d1"), (2, "d2")], "k int, d string")
