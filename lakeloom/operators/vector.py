@@ -25,9 +25,14 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.marts import top_k_per
 from lakeloom.session import cut_lineage, spread
+from lakeloom.sources.sinks import rebalanced
 
 HIT_SCHEMA = "query_id bigint, vec_id bigint, score double"
+MAX_BROADCAST_QUERIES = 4096
+#: Rows (list id and two counts) of a plan that is broadcast; a longer one is joined.
 MAX_BROADCAST_LISTS = 1_000_000
+#: Bytes of centroids that are broadcast.
+MAX_CENTROID_BYTES = 64 << 20
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
@@ -69,14 +74,20 @@ def _final_topk(partials: DataFrame, k: int) -> DataFrame:
 
 
 def vector_search(base: DataFrame, queries: DataFrame, k: int = 5, base_id: str = "vec_id", base_vec: str = "embedding",
-                  query_id: str = "query_id", query_vec: str = "embedding", max_broadcast_queries: int = 4096,
-                  block_rows: int = 20000) -> DataFrame:
-    """Exact cosine top-k base rows per query: ``(query_id, vec_id, score, rank)``."""
+                  query_id: str = "query_id", query_vec: str = "embedding", blocked: bool = False,
+                  block_rows: int = 2000) -> DataFrame:
+    """Exact cosine top-k base rows per query: ``(query_id, vec_id, score, rank)``.
+
+    By default the queries are few and are broadcast (at most ``MAX_BROADCAST_QUERIES``; more is an
+    error); ``blocked=True`` is for query tables of any size and scores blocks against blocks.
+    """
     b = base.select(F.col(base_id).cast("bigint").alias("vec_id"), F.col(base_vec).alias("vec"))
     q = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(query_vec).alias("vec"))
-    if q.count() > max_broadcast_queries:
+    if blocked:
         return blocked_search(q.withColumn("list_id", F.lit(0)), b.withColumn("list_id", F.lit(0)), k, block_rows)
-    qpdf = q.toPandas()  # bounded by the check above
+    qpdf = q.limit(MAX_BROADCAST_QUERIES + 1).toPandas()
+    if len(qpdf) > MAX_BROADCAST_QUERIES:
+        raise ValueError(f"more than {MAX_BROADCAST_QUERIES} queries to broadcast; search with blocked=True")
     spark = base.sparkSession
     bq = spark.sparkContext.broadcast((qpdf["query_id"].to_numpy(dtype="int64"), _matrix(qpdf["vec"])))
 
@@ -110,7 +121,7 @@ def _blocked_groups(q: DataFrame, b: DataFrame, block_rows: int) -> tuple[DataFr
     return qq, bb, ["list_id", "bblk", "qblk"]
 
 
-def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 20000) -> DataFrame:
+def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 2000) -> DataFrame:
     """Exact top-k of ``b`` rows for each ``q`` row within the same ``list_id``, scored in
     bounded blocks (see :func:`_blocked_groups`); partial top-k per block, final per query."""
     qq, bb, keys = _blocked_groups(q, b, block_rows)
@@ -142,13 +153,13 @@ def build_ivf(base: DataFrame, num_lists: int = 500, seed: int = 42, id_col: str
     """IVF index: k-means (cosine) centroids and each base row's list.
 
     Returns ``(assignments(vec_id, list_id, embedding), centroids(list_id, centroid))``.
-    ``num_lists`` is capped by the row count (k-means needs at least one row per list).
+    k-means needs at least one row per list: more lists than rows is an error.
     """
     feats = base.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vec).alias("embedding"),
                         array_to_vector(F.col(vec)).alias("features"))
-    n = feats.count()
-    k = max(1, min(num_lists, n))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="features",
+    if feats.limit(num_lists).count() < num_lists:
+        raise ValueError(f"fewer rows than the {num_lists} lists asked for")
+    model = KMeans(k=num_lists, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="features",
                    predictionCol="list_id").fit(feats)
     assigned = model.transform(feats).select("vec_id", F.col("list_id").cast("int").alias("list_id"), "embedding")
     spark = base.sparkSession
@@ -157,14 +168,24 @@ def build_ivf(base: DataFrame, num_lists: int = 500, seed: int = 42, id_col: str
     return assigned, centroids
 
 
+def store_ivf(assigned: DataFrame, centroids: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write an index once, its rows partitioned by list, and read it back: a search then opens the probed lists only."""
+    rebalanced(assigned, "list_id").write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy("list_id").parquet(f"{path}/rows")
+    centroids.write.mode("overwrite").parquet(f"{path}/centroids")
+    spark = assigned.sparkSession
+    return spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/centroids")
+
+
 def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int, query_id: str = "query_id",
                 vec: str = "embedding") -> DataFrame:
     """The ``nprobe`` nearest lists of each query: ``(query_id, list_id)``.
 
-    The centroid table has one row per list (a parameter-bounded size) and is broadcast.
+    The centroid table has one row per list and is broadcast after a check of its bytes.
     """
-    if centroids.count() > MAX_BROADCAST_LISTS:
-        raise ValueError("too many IVF lists to broadcast their centroids")
+    size = centroids.agg(F.sum(8 * F.size("centroid"))).first()[0] or 0
+    if size > MAX_CENTROID_BYTES:
+        raise ValueError(f"{size} bytes of centroids are too many to broadcast; build fewer lists")
     cpdf = centroids.orderBy("list_id").toPandas()  # num_lists rows, checked above
     spark = queries.sparkSession
     bc = spark.sparkContext.broadcast((cpdf["list_id"].to_numpy(dtype="int64"), _matrix(cpdf["centroid"])))
@@ -182,7 +203,7 @@ def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int, query_id:
 
 def vector_search_ivf(assigned: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
                       fraction: float = 0.01, query_id: str = "query_id", vec: str = "embedding",
-                      block_rows: int = 20000) -> DataFrame:
+                      block_rows: int = 2000) -> DataFrame:
     """Search only the ``ceil(fraction · lists)`` nearest lists of each query (exact inside
     them): an equi-join on ``list_id`` instead of a scan of every base row."""
     num_lists = centroids.count()
@@ -191,6 +212,8 @@ def vector_search_ivf(assigned: DataFrame, centroids: DataFrame, queries: DataFr
     q = (queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vec).alias("vec"))
                 .join(probes, "query_id"))
     b = assigned.select("vec_id", "list_id", F.col("embedding").alias("vec"))
+    # of a stored index only the probed lists' folders are read (dynamic partition pruning)
+    b = b.join(F.broadcast(probes.select("list_id").distinct()), "list_id", "left_semi")
     return blocked_search(q, b, k, block_rows)
 
 
@@ -215,7 +238,7 @@ def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
 # --- similarity joins ------------------------------------------------------------------------------
 
 def similar_pairs(df: DataFrame, id_col: str = "vec_id", vec: str = "embedding", max_dist: float = 0.5,
-                  block_rows: int = 20000) -> DataFrame:
+                  block_rows: int = 2000) -> DataFrame:
     """All pairs with cosine distance ``<= max_dist`` — exact, as a blocked self-join.
 
     Rows are hashed into ``nb`` blocks; block pair (a, b) with a <= b is one group that
@@ -253,7 +276,7 @@ def similar_pairs(df: DataFrame, id_col: str = "vec_id", vec: str = "embedding",
 
 
 def similar_pairs_ivf(assigned: DataFrame, centroids: DataFrame, max_dist: float = 0.5, nprobe: int = 2,
-                      block_rows: int = 20000) -> DataFrame:
+                      block_rows: int = 2000) -> DataFrame:
     """Similarity join pruned by an IVF index, for tables too large for all pairs.
 
     Every row visits its ``nprobe`` nearest lists and is compared with the rows living there,

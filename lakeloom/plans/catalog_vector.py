@@ -11,6 +11,7 @@ from lakeloom.operators import vector as vx
 from lakeloom.plans.catalog_io import CUSTOMER_DAY_SQL, customer_day_from_events
 from lakeloom.plans.registry import query
 from lakeloom.plans.tables import Tables
+from lakeloom.session import shared_dir
 
 NUMERIC = ["total_events", "total_spent"]
 CUT = "2024-01-20"
@@ -115,13 +116,13 @@ def q_topk_vector(spark, sf):
 
 
 def _num_lists(n: int) -> int:
-    # the sample index used 500 lists for 200,000 rows; keep ~400 rows per list at any size
-    return max(2, min(500, math.ceil(n / 400)))
+    # the sample index used 500 lists for 200,000 rows: about 400 rows a list at any size
+    return max(2, math.ceil(n / 400))
 
 
 def _ivf(spark, sf):
     e = Tables(spark, sf).embeddings
-    return e, vx.build_ivf(e, _num_lists(e.count()), seed=42)
+    return e, vx.store_ivf(*vx.build_ivf(e, _num_lists(e.count()), seed=42), shared_dir(spark, "ivf"))
 
 
 @query("vector_index_ivf")
@@ -172,5 +173,5 @@ def q_vector_search_ivf_recall(spark, sf):
     e, (assigned, centroids) = _ivf(spark, sf)
     queries = e.select(F.col("vec_id").alias("query_id"), "embedding")
     approx = vx.vector_search_ivf(assigned, centroids, queries, k=5, fraction=0.5)
-    exact = vx.vector_search(e, queries, 5)
+    exact = vx.vector_search(e, queries, 5, blocked=True)
     return vx.recall_at_k(approx, exact)
