@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from lakeloom.llm.common import stored
 from lakeloom.llm.idtable import TABLE_PIECES, looked_up, row_slices
 
 #: Pre-tokens a leaf at most when it is made.
-LEAF = 64
+LEAF = 16
 #: Characters of text split at once.
 SLICE_CHARS = 1 << 21
 
@@ -54,7 +54,8 @@ class Counter:
         self.known: dict[str, int] = {}
 
     def _learn(self, new: list[str]) -> None:
-        self.known.update(zip(new, map(len, self.encoding.encode_ordinary_batch(new, num_threads=1)), strict=True))
+        encode = self.encoding.encode_ordinary
+        self.known.update((x, len(encode(x))) for x in new)
 
     def counts(self, pieces: list[str]) -> list[int]:
         if len(self.known) > TABLE_PIECES:
@@ -66,33 +67,35 @@ class Tree:
     """Leaves with their text, and binary trees of sums over their characters and tokens."""
 
     def __init__(self, text: str, chars: list[int], tokens: list[int]):
-        ends = np.cumsum([0, *chars]).tolist()
-        self.set([text[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], tokens)
+        ends = [0, *accumulate(chars)]
+        self.set([text[a:b] for a, b in zip(ends, ends[1:])], tokens)
         self.reencoded = 0
 
     def set(self, leaves: list[str], tokens: list[int]) -> None:
+        """Node k sums nodes 2k and 2k + 1; the leaves follow from ``width`` on."""
         self.leaves = leaves
         self.width = w = 1 << max(0, len(leaves) - 1).bit_length()
-        self.sums = np.zeros((2, 2 * w), np.int64)
-        self.sums[0, w:w + len(leaves)] = [len(x) for x in leaves]
-        self.sums[1, w:w + len(leaves)] = tokens
-        while w > 1:
-            self.sums[:, w // 2:w] = self.sums[:, w:2 * w].reshape(2, -1, 2).sum(axis=2)
-            w //= 2
+        rest = [0] * (w - len(leaves))
+        self.chars = [0] * w + [len(x) for x in leaves] + rest
+        self.tokens = [0] * w + list(tokens) + rest
+        for sums in (self.chars, self.tokens):
+            for k in range(w - 1, 0, -1):
+                sums[k] = sums[2 * k] + sums[2 * k + 1]
 
     def total(self, what: int) -> int:
-        return int(self.sums[what, 1])
+        """The text's characters (0) or tokens (1)."""
+        return (self.tokens if what else self.chars)[1]
 
     def find(self, at: int) -> tuple[int, int]:
         """The leaf that holds character ``at`` (the last one for the end) and the leaf's first character."""
-        if at >= self.total(0):
+        if at >= self.chars[1]:
             last = max(0, len(self.leaves) - 1)
-            return last, self.total(0) - (len(self.leaves[last]) if self.leaves else 0)
-        node, before = 1, 0
+            return last, self.chars[1] - (len(self.leaves[last]) if self.leaves else 0)
+        node, before, chars = 1, 0, self.chars
         while node < self.width:
             node *= 2
-            if at >= before + self.sums[0, node]:
-                before += int(self.sums[0, node])
+            if at >= before + chars[node]:
+                before += chars[node]
                 node += 1
         return node - self.width, before
 
@@ -100,10 +103,11 @@ class Tree:
         """Change a leaf and the sums above it."""
         self.leaves[leaf] = text
         node = leaf + self.width
-        change = np.array([len(text), tokens]) - self.sums[:, node]
+        more, also = len(text) - self.chars[node], tokens - self.tokens[node]
         while node:
-            self.sums[:, node] += change
-            node //= 2
+            self.chars[node] += more
+            self.tokens[node] += also
+            node >>= 1
 
     def edit(self, at: int, size: int, text: str, counter: Counter) -> None:
         """Replace ``size`` characters at ``at`` by ``text`` and encode what that may have changed."""
@@ -123,18 +127,16 @@ class Tree:
         own = own[:at - start] + text + own[at - start + size:]
         while True:
             # with what follows in sight, does a pre-token start where the next leaf does?
-            ahead = self.leaves[last + 1:last + 9]
-            if not any(ahead) and last + 9 < len(self.leaves):
-                ahead = self.leaves[last + 1:]
-            pieces, stop, seen = [], 0, own + "".join(ahead)
-            for m in counter.pattern.finditer(seen):
-                if m.start() >= len(own):
+            after = next((k for k in range(last + 1, len(self.leaves)) if self.leaves[k]), None)
+            pieces, stop = [], 0
+            for piece in counter.split(own if after is None else own + self.leaves[after]):
+                if stop >= len(own):
                     break
-                pieces.append(m.group())
-                stop = m.end()
-            if stop <= len(own) or last + 1 >= len(self.leaves):
+                pieces.append(piece)
+                stop += len(piece)
+            if stop <= len(own) or after is None:
                 break
-            last += 1
+            last = after
             own += self.leaves[last]
         tokens = sum(counter.counts(pieces))
         self.reencoded += len(own)
@@ -149,7 +151,7 @@ class Tree:
         """Make leaves of usual size again; empty ones go."""
         counts = counter.counts(pieces)
         new = [("".join(pieces[i:i + LEAF]), sum(counts[i:i + LEAF])) for i in range(0, len(pieces), LEAF)]
-        old = [(x, int(n)) for x, n in zip(self.leaves, self.sums[1, self.width:], strict=False)]
+        old = list(zip(self.leaves, self.tokens[self.width:], strict=False))
         every = [x for x in [*old[:leaf], *new, *old[leaf + 1:]] if x[0]]
         self.set([x for x, _ in every], [n for _, n in every])
 
