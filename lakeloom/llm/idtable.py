@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -30,17 +30,28 @@ class IdTable:
         self.used = 0
 
     def _add(self, new: list) -> None:
-        for piece, ids in zip(new, self.learn(new), strict=True):
-            k = len(self.at)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            if k >= len(self.starts):
-                self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
-                self.sizes = np.concatenate([self.sizes, np.empty_like(self.sizes)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.starts[k], self.sizes[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.at[piece] = k
+        found = self.learn(new)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        lo, hi, end = len(self.at), len(self.at) + len(new), self.used + int(sizes.sum())
+        while end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while hi > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
+            self.sizes = np.concatenate([self.sizes, np.empty_like(self.sizes)])
+        self.ids[self.used:end] = np.fromiter(chain.from_iterable(found), np.int32, end - self.used)
+        self.starts[lo:hi], self.sizes[lo:hi] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used = end
+        self.at.update(zip(new, range(lo, hi), strict=True))
+
+    def _rows(self, keys: list) -> np.ndarray:
+        """The table's row of each piece, after the new ones have been learned."""
+        rows = np.fromiter(map(self.at.get, keys, repeat(-1)), np.int64, len(keys))
+        lacking = np.flatnonzero(rows < 0)
+        if len(lacking):
+            pieces = [keys[i] for i in lacking.tolist()]
+            self._add(list(dict.fromkeys(pieces)))
+            rows[lacking] = np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
+        return rows
 
     def encode(self, split: list[list], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, each followed by ``end_id`` if given, and the texts' offsets in them."""
@@ -48,7 +59,7 @@ class IdTable:
             self.clear()
         end = int(end_id is not None)
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        which = np.array(looked_up(list(chain.from_iterable(split)), self.at, self._add), np.int64)
+        which = self._rows(list(chain.from_iterable(split)))
         sizes = self.sizes[which]
         text = np.repeat(np.arange(len(split)), counts)
         before = np.cumsum(sizes) - sizes

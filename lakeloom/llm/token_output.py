@@ -54,6 +54,7 @@ class WordEncoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[i] = bool(suffix) and token.endswith(suffix)
+        self.marked = bool(self.ends.any())
         self.lower = any(n and n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]]))
 
     #: Words that may be encoded side by side: no signs of added tokens, letters whose classes never change.
@@ -63,12 +64,12 @@ class WordEncoder:
         """The ids of each word. Plain words go to the library a thousand to a text; each piece of a word ends in
         a token with the end-of-word mark, so their ids are told apart by counting pieces."""
         words = [w.decode("utf-8") for w in new]
-        plain = [i for i, w in enumerate(words) if self.ends.any() and self.PLAIN(w) and "<|" not in w]
+        plain = [i for i, w in enumerate(words) if w.isascii() and w.isalpha() or self.PLAIN(w) and "<|" not in w] if self.marked else []
         out: list = [None] * len(words)
         for k in range(0, len(plain), 1000):
             part = plain[k:k + 1000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words[i] for i in part)], add_special_tokens=False)[0].ids, np.int64)
-            counts = np.cumsum([0, *(len(self.pieces(words[i].lower())) for i in part)])
+            counts = np.cumsum([0, *(1 if words[i].isascii() and words[i].isalpha() else len(self.pieces(words[i].lower())) for i in part)])
             stops = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
             if stops[-1] == len(ids) and len(stops) == counts[-1] + 1:
                 cuts, listed = stops[counts].tolist(), ids.tolist()
