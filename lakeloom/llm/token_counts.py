@@ -33,7 +33,7 @@ from lakeloom.llm.common import stored
 from lakeloom.llm.idtable import TABLE_PIECES, looked_up, row_slices
 
 #: Pre-tokens a leaf at most when it is made.
-LEAF = 16
+LEAF = 32
 #: Characters of text split at once.
 SLICE_CHARS = 1 << 21
 
@@ -199,7 +199,7 @@ def recount(docs: DataFrame, built: DataFrame, edits: DataFrame, ranks: str, pat
     Texts, trees and edits of a document meet in one sorted partition and are read as a stream.
     """
     blank = F.lit(None)
-    leaves = built.distinct().select("doc_id", "h", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("seq"), blank.cast("bigint").alias("at"),
+    leaves = built.select("doc_id", "h", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("seq"), blank.cast("bigint").alias("at"),
                                      blank.cast("bigint").alias("size"), blank.cast("string").alias("text"), "chars", "tokens")
     none = [blank.cast("array<int>").alias("chars"), blank.cast("array<int>").alias("tokens")]
     texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("h"), F.lit(1).alias("kind"),
@@ -228,6 +228,8 @@ def recount(docs: DataFrame, built: DataFrame, edits: DataFrame, ranks: str, pat
         for b in batches:
             for doc, h, kind, _, at, size, text, chars, tokens in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 if kind == 0:
+                    if (doc, h) == own and not copies:  # a repeated row's tree is the same
+                        continue
                     close()
                     own, tree, copies, edits_seen, shape = (doc, h), None, 0, 0, (chars, tokens)
                 elif kind == 1:
