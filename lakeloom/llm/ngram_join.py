@@ -305,8 +305,10 @@ def block_links(ids: list[int], rows: list[np.ndarray], asks: list[int], known:
     """A spanning forest of the links between the rows ``asks`` and all rows of a block.
 
     ``known`` rows are already in one component. Each asking row scans the inverted
-    lists of its shingles and counts overlaps with all rows at once. A row that has come to the
-    first known (else first) row's component needn't ask: whoever is outside asks it.
+    lists of its shingles and counts overlaps with all rows at once. A row that has come to the known
+    rows' component needn't ask: whoever is outside asks it, here or in the block where the two change
+    roles. Without known rows that holds for the first row's component only if every row asks here; else each
+    asking row asks in full, for two blocks could each leave a link to the other.
     """
     forest, found = _Forest(len(ids)), []
     for i, j in zip(known[:-1], known[1:], strict=True):
@@ -316,9 +318,9 @@ def block_links(ids: list[int], rows: list[np.ndarray], asks: list[int], known:
     owner = np.repeat(np.arange(len(rows)), sizes)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-    main = known[0] if known else 0
+    main = known[0] if known else 0 if len(asks) == len(ids) else None
     for i in asks:
-        if i != main and forest.root(i) == forest.root(main):
+        if main is not None and i != main and forest.root(i) == forest.root(main):
             continue
         x = rows[i]
         lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")

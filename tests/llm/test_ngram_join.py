@@ -103,6 +103,27 @@ def test_stage_keeps_one_of_each_group(spark):
     assert ngram_join.keep_one(df.limit(0)).count() == 0
 
 
+def test_large_neighbourhoods_whose_centre_links_with_nobody(spark):
+    """Two clusters joined by one link, in small blocks: no block may leave that link to another that leaves it too."""
+    data, homes, want, size = [], [], set(), 23
+    for seed in range(60):
+        r = random.Random(seed)
+        ids = r.sample(range(seed * 1000, seed * 1000 + 1000), size)
+        text = [f"w{seed}x{k}" for k in range(200)]
+        # 140 shingles each: two of them link if their offsets differ by 20 or less, so only 10 and 30 join the clusters
+        for i, at in zip(ids[1:], [*range(11), *range(30, 41)], strict=True):
+            data.append((i, " ".join(text[at:at + 144])))
+            homes.append((i, ids[0]))
+        data.append((ids[0], " ".join(f"c{seed}x{k}" for k in range(144))))
+        want.add(frozenset(ids[1:]))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    links = ngram_join.home_links(docs, spark.createDataFrame(homes, "doc_id long, home long"), replace(ngram_join.Params(), block=4, bitmap_bits=17))
+    got = {}
+    for x in components(links, "a", "b").collect():
+        got.setdefault(x["component"], set()).add(x["node"])
+    assert {frozenset(g) for g in got.values()} == want
+
+
 def test_every_light_boundary_is_right(spark):
     """Pairs between light and heavy sets are found wherever the boundary lies."""
     data = corpus(6, 150)
