@@ -4,27 +4,29 @@ Texts become templates: numbers, units after a number, and names (capitalised wo
 sentence) turn into typed placeholders, the rest into lower-case words. A benchmark item whose
 numbers or names were exchanged keeps its template, so windows of template words still meet.
 
-1. *Blocks.* Each document is cut into neighbouring blocks of ``window`` template words, and the
-   blocks' hashes are joined with all windows of all items. Any shared run of ``2 * window - 1`` words
-   holds a whole block, so no such run is missed, at one row a block.
-2. *Windows.* Documents with a hit are cut into all their windows; these are joined with the items'
-   again, now with positions. Hits on one diagonal (same offset of document and item) line up.
+1. *Suspects.* All windows of ``window`` words of each document are hashed and joined with all windows of
+   all items, as templates and as literal words (lower case, no placeholders).
+2. *Windows.* The windows of documents with a hit are joined with the items' again, now with
+   positions. Hits on one diagonal (same offset of document and item) line up.
 3. *Slots.* On each diagonal the raw values behind the placeholders are paired. A copy or a
    re-parameterised question maps each value of the item to one value of the document; a diagonal
    where one value maps to two is an accidental likeness and is refused.
 
 A document is contaminated by an item if one diagonal holds at least ``share`` percent of the
-item's windows with consistent slots.
+item's template windows with consistent slots, or of its literal windows. Template windows with fewer
+than ``literals`` words that aren't placeholders are no evidence; literal windows all are, so an item of
+numbers or names alone is found by its copies.
 
-Defined results: null and empty texts match nothing; an item or document shorter than ``window`` template
-words has no window and matches nothing; windows with fewer than ``literals`` words that
-aren't placeholders are no evidence. Repeated documents each count; repeated items are told apart by
+Defined results: null and empty texts match nothing; an item shorter than ``window`` words is one window of its
+own length. Repeated documents each count; repeated items are told apart by
 id (items with one id and several texts count as one item with all their windows). Null ids of documents are
 carried. Extra columns aren't read. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,24 +61,35 @@ def template(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(mark(w).isin(NUMBER, UNIT, NAME), mark(w)).otherwise(w))
 
 
-def _hash(words: Column, at: Column, window: int) -> Column:
-    return F.xxhash64(F.slice(words, at + 1, window))
+def literal_words(text: Column) -> Column:
+    """The words of a text in lower case, values and names as they are."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+
+
+def _hash(words: Column, at: Column, size, exact) -> Column:
+    return F.xxhash64(F.lit(exact) if isinstance(exact, bool) else exact, F.slice(words, at + 1, size))
 
 
-def _starts(words: Column, window: int, step: int) -> Column:
-    return F.when(F.size(words) >= window, F.sequence(F.lit(0), F.size(words) - window, F.lit(step)))
+def _starts(words: Column, size: Column | int) -> Column:
+    return F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size))
 
 
 def item_windows(items: DataFrame, window: int, literals: int, key: str = "item_id", text: str = "text") -> DataFrame:
-    """``h, item_id, item_at, n_windows, item_raw`` of every window of every item with enough plain words."""
-    x = items.select(F.col(key).alias("item_id"), tokens(marked(F.col(text))).alias("raw"))
-    x = x.withColumn("t", template(F.col("raw")))
-    x = x.select("item_id", "raw", "t", F.explode(_starts(F.col("t"), window, 1)).alias("item_at"))
-    plain = F.size(F.filter(F.slice("t", F.col("item_at") + 1, window), lambda w: ~w.isin(NUMBER, UNIT, NAME)))
-    x = x.where(plain >= literals).select("item_id", "item_at", _hash(F.col("t"), F.col("item_at"), window).alias("h"),
-                                          F.slice("raw", F.col("item_at") + 1, window).alias("item_raw"))
-    counts = x.groupBy("item_id").agg(F.count_distinct("item_at").alias("n_windows"))
-    return x.join(counts, "item_id")
+    """``h, exact, size, item_id, item_at, n_windows, item_raw`` of every window of every item: all literal ones
+    (``exact``), and the template ones with enough plain words. A short item is one window."""
+    raw = tokens(marked(F.col(text)))
+    words = literal_words(F.col(text))
+    x = items.select(F.col(key).alias("item_id"), F.inline(F.array(
+        F.struct(F.lit(False).alias("exact"), raw.alias("raw"), template(raw).alias("t")),
+        F.struct(F.lit(True).alias("exact"), words.alias("raw"), words.alias("t")))))
+    x = x.withColumn("size", F.least(F.lit(window), F.size("t"))).where("size > 0")
+    x = x.select("item_id", "exact", "size", "raw", "t", F.explode(_starts(F.col("t"), F.col("size"))).alias("item_at"))
+    plain = F.size(F.filter(F.slice("t", F.col("item_at") + 1, F.col("size")), lambda w: ~w.isin(NUMBER, UNIT, NAME)))
+    x = x.where(F.col("exact") | (plain >= literals)).select(
+        "item_id", "exact", "size", "item_at", _hash(F.col("t"), F.col("item_at"), F.col("size"), F.col("exact")).alias("h"),
+        F.slice("raw", F.col("item_at") + 1, F.col("size")).alias("item_raw"))
+    counts = x.groupBy("item_id", "exact").agg(F.count_distinct("item_at").alias("n_windows"))
+    return x.join(counts, ["item_id", "exact"])
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -91,33 +104,46 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 6, literals: int =
     ``literal`` tells a copy from a re-parameterised question. Only consistent diagonals make a row.
     """
     own = stored(item_windows(items, window, literals), "item-windows")
+    kinds = [(r["exact"], r["size"]) for r in own.select("exact", "size").distinct().collect()]
+    if not kinds:
+        kinds = [(True, window)]
     hashes = _small(own.select("h").distinct())
-    # a block reads the template off the text in one pass; values needn't be kept yet
+    # the first pass reads the template off the text in one pass; values needn't be kept yet
     t = F.split(F.regexp_replace(marked(F.col(text)), rf"([{NUMBER}-{NAME}])[\p{{L}}\p{{M}}\p{{N}}{POINT}]*", "$1"),
                 rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{POINT}]+")
-    x = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("same"), F.filter(t, lambda w: w != "").alias("t"))
-    blocks = x.select("doc_id", "same", F.explode(F.transform(
-        _starts(F.col("t"), window, window), lambda at: _hash(F.col("t"), at, window))).alias("h"))
-    found = stored(blocks.join(hashes, "h", "left_semi").select("doc_id", "same").distinct(), "suspects")
+    x = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("same"), F.filter(t, lambda w: w != "").alias("t"),
+                    literal_words(F.col(text)).alias("words"))
+
+    def hashed(exact: bool, size: int) -> Column:
+        words = F.col("words" if exact else "t")
+        return F.coalesce(F.transform(_starts(words, size), lambda at: _hash(words, at, size, exact)), F.array().cast("array<bigint>"))
+
+    every = x.select("doc_id", "same", F.explode(F.concat(*[hashed(*k) for k in kinds])).alias("h"))
+    found = stored(every.join(hashes, "h", "left_semi").select("doc_id", "same").distinct(), "suspects")
 
     suspects = _small(found.withColumnRenamed("doc_id", "_id"))
     x = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("same"))
-    x = x.join(suspects, ["same"], "left_semi").select("doc_id", "same", tokens(marked(F.col("text"))).alias("raw"))
+    x = x.join(suspects, ["same"], "left_semi").select("doc_id", "same", tokens(marked(F.col("text"))).alias("raw"),
+                                                       literal_words(F.col("text")).alias("words"))
     x = x.withColumn("t", template(F.col("raw")))
-    x = x.select("doc_id", "same", "raw", F.posexplode(F.transform(
-        _starts(F.col("t"), window, 1), lambda at: _hash(F.col("t"), at, window))).alias("at", "h"))
-    x = x.join(_small(own), "h")
-    pairs = F.filter(F.arrays_zip(F.col("item_raw").alias("i"), F.slice("raw", F.col("at") + 1, window).alias("d")),
+    parts = [x.select("doc_id", "same", F.col("words" if e else "raw").alias("raw"), F.posexplode(hashed(e, n)).alias("at", "h"))
+             for e, n in kinds]
+    x = reduce(DataFrame.unionByName, parts)
+    x = x.join(_small(own), "h").withColumn("raw", F.slice("raw", F.col("at") + 1, F.col("size")))
+    pairs = F.filter(F.arrays_zip(F.col("item_raw").alias("i"), F.col("raw").alias("d")),
                      lambda z: F.substring(z["i"], 1, 1).isin(NUMBER, UNIT, NAME))
-    x = x.select("doc_id", "same", "item_id", "n_windows", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), pairs.alias("slots"))
+    x = x.select("doc_id", "same", "item_id", "exact", "n_windows", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), pairs.alias("slots"))
     # an item's windows bound the rows of a diagonal, so its slots may be gathered
-    x = x.groupBy("doc_id", "same", "item_id", "n_windows", "diagonal").agg(
+    x = x.groupBy("doc_id", "same", "item_id", "exact", "n_windows", "diagonal").agg(
         F.count_distinct("item_at").alias("n_hits"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     values = F.size(F.array_distinct(F.transform("slots", lambda z: z["i"])))
     x = x.where(F.col("n_hits") * 100 >= F.col("n_windows") * share).withColumn("consistent", F.size("slots") == values)
     x = x.where("consistent").withColumn("literal", ~F.exists("slots", lambda z: z["i"] != z["d"]))
+    # the slots tell a copy best; an item found by its literal windows alone is one
+    best = F.max(F.struct("n_hits", "n_windows"))
     return x.groupBy("doc_id", "item_id").agg(
-        F.max("n_windows").alias("n_windows"), F.max("n_hits").alias("n_hits"), F.max("literal").alias("literal"),
+        best["n_windows"].alias("n_windows"), best["n_hits"].alias("n_hits"),
+        F.coalesce(F.max(F.when(~F.col("exact"), F.col("literal"))), F.max("literal")).alias("literal"),
         F.max("consistent").alias("consistent"))
 
 

@@ -177,6 +177,21 @@ def test_decontamination(spark):
     assert decontaminate.matches(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_finds_every_literal_copy(spark):
+    """Copies at every offset of items of 6 to 10 words, of items under the window, of items dense in numbers and names."""
+    items = [(n, " ".join(f"item{n}word{k}" for k in range(n))) for n in range(6, 11)]
+    items += [(20, "Compute 12 + 15 * 3 - 4 / 2"), (21, "Name them: Ann Bob Carl Dora Emil Fred Gina Hugo"), (22, "seven quiet brewers"), (23, "4 5 6")]
+    docs, want = [], set()
+    for k, t in items:
+        for lead in range(6):
+            docs.append((len(docs), " ".join([f"lead{i}" for i in range(lead)] + [t] + [f"tail{i}" for i in range(9)])))
+            want.add((docs[-1][0], k))
+    docs += [(1000, "Compute 13 + 16 * 4 - 5 / 3"), (1001, "7 8 9 10 11"), (1002, "seven quiet bakers")]
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert all(r["literal"] for r in got)
+
+
 def test_decontamination_refuses_inconsistent_slots(spark):
     item = "Alice gave Bob nine red apples and then Alice asked Bob how many green apples Bob wanted from Alice that day"
     fine = item.replace("Alice", "Carol").replace("Bob", "Dave")
