@@ -2,17 +2,21 @@
 
 Texts become templates: numbers, units after a number, and names (capitalised words inside a
 sentence) turn into typed placeholders, the rest into lower-case words. A benchmark item whose
-numbers or names were exchanged keeps its template, so windows of template words still meet.
+numbers or names were exchanged keeps its template, so windows of template words still meet. Neighbouring names
+are one placeholder. Each text is read in three ways: a capitalised word that starts a sentence is a word, or
+it is a name, or there are no placeholders at all (literal). Each reading is matched with its own kind.
 
 1. *Suspects.* All windows of ``window`` words of each document are hashed and joined with all windows of
    all items, as templates and as literal words (lower case, no placeholders).
 2. *Windows.* The windows of documents with a hit are joined with the items' again, now with
-   positions. Hits on one diagonal (same offset of document and item) line up.
-3. *Slots.* On each diagonal the raw values behind the placeholders are paired. A copy or a
+   positions. Hits on one diagonal (same offset of document and item) line up; a word put in or left out
+   shifts the offset, so hits of several diagonals count together as a chain that goes forward in both texts.
+3. *Slots.* On each diagonal and chain the raw values behind the placeholders are paired. A copy or a
    re-parameterised question maps each value of the item to one value of the document; a diagonal
-   where one value maps to two is an accidental likeness and is refused.
+   where one value maps to two is an accidental likeness and is refused. A chain takes a hit only if its slots
+   stay consistent (the longest chain up to each item window is kept, so this may miss a longer one; whole diagonals are looked at anyway).
 
-A document is contaminated by an item if one diagonal holds at least ``share`` percent of the
+A document is contaminated by an item if one diagonal or chain holds at least ``share`` percent of the
 item's template windows with consistent slots, or of its literal windows. Template windows with fewer
 than ``literals`` words that aren't placeholders are no evidence; literal windows all are, so an item of
 numbers or names alone is found by its copies.
@@ -32,8 +36,10 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.common import stored
 
-#: Placeholder marks (private-use characters): number, unit, name; and a point inside a number.
-NUMBER, UNIT, NAME, POINT = "\ue001", "\ue002", "\ue003", "\ue004"
+#: Placeholder marks (private-use characters): number, unit, name; a point inside a number, a space inside a name.
+NUMBER, UNIT, NAME, POINT, JOIN = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
+#: Readings of a text: templates whose sentences start with a word, or with a name; literal words.
+PLAIN, INITIAL, EXACT = 0, 1, 2
 UNITS = ["km", "cm", "mm", "m", "kg", "g", "mg", "l", "ml", "s", "ms", "h", "min", "hours?", "minutes?", "seconds?", "days?",
          "weeks?", "months?", "years?", "miles?", "feet", "foot", "inch(?:es)?", "pounds?", "lbs?", "ounces?", "dollars?",
          "cents?", "euros?", "percent", "degrees?", "mph", "kmh", "watts?", "volts?", "hz", "gb", "mb", "kb"]
@@ -41,10 +47,13 @@ UNITS = ["km", "cm", "mm", "m", "kg", "g", "mg", "l", "ml", "s", "ms", "h", "min
 BROADCAST_ROWS = 500_000
 
 
-def marked(text: Column) -> Column:
-    """The text with a mark before each number, unit and name; the values stay."""
+def marked(text: Column, initial: bool = False) -> Column:
+    """The text with a mark before each number, unit and name; the values stay. ``initial``: a capitalised
+    word at the start of a sentence is a name too."""
+    before = r"[\p{Ll}\p{N},;:] " + (r"|^|\n|[.!?\"”’)(“] {0,2}" if initial else "")
     x = F.regexp_replace(text, r"(?<=\p{N})[.,](?=\p{N})", POINT)
-    x = F.regexp_replace(x, r"\p{Lu}(?<=[\p{Ll}\p{N},;:] \p{Lu})\p{L}*", f"{NAME}$0")
+    x = F.regexp_replace(x, rf"\p{{Lu}}(?<=(?:{before})\p{{Lu}})\p{{L}}*", f"{NAME}$0")
+    x = F.regexp_replace(x, rf" {NAME}(?<={NAME}\p{{L}}{{1,40}} {NAME})", JOIN)
     x = F.regexp_replace(x, rf"(?<=\p{{N}}) ?((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}])", f" {UNIT}$1")
     x = F.regexp_replace(x, rf"\p{{N}}[\p{{N}}{POINT}]*", f" {NUMBER}$0 ")
     return F.lower(x)
@@ -52,7 +61,7 @@ def marked(text: Column) -> Column:
 
 def tokens(marked_text: Column) -> Column:
     """The words of a marked text; a value keeps its mark."""
-    return F.filter(F.split(F.coalesce(marked_text, F.lit("")), rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{POINT}]+"), lambda w: w != "")
+    return F.filter(F.split(F.coalesce(marked_text, F.lit("")), rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{JOIN}]+"), lambda w: w != "")
 
 
 def template(words: Column) -> Column:
@@ -66,8 +75,13 @@ def literal_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def _hash(words: Column, at: Column, size, exact) -> Column:
-    return F.xxhash64(F.lit(exact) if isinstance(exact, bool) else exact, F.slice(words, at + 1, size))
+def _hash(words: Column, at: Column, size: int, kind: int) -> Column:
+    """A window's hash from the words' hashes, read one by one (a slice of each window costs far more)."""
+    return F.xxhash64(F.lit(kind), *[F.get(words, at + k) for k in range(size)])
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def _starts(words: Column, size: Column | int) -> Column:
@@ -75,21 +89,47 @@ def _starts(words: Column, size: Column | int) -> Column:
 
 
 def item_windows(items: DataFrame, window: int, literals: int, key: str = "item_id", text: str = "text") -> DataFrame:
-    """``h, exact, size, item_id, item_at, n_windows, item_raw`` of every window of every item: all literal ones
-    (``exact``), and the template ones with enough plain words. A short item is one window."""
-    raw = tokens(marked(F.col(text)))
-    words = literal_words(F.col(text))
-    x = items.select(F.col(key).alias("item_id"), F.inline(F.array(
-        F.struct(F.lit(False).alias("exact"), raw.alias("raw"), template(raw).alias("t")),
-        F.struct(F.lit(True).alias("exact"), words.alias("raw"), words.alias("t")))))
+    """``h, kind, size, item_id, item_at, n_windows, item_raw`` of every window of every item: all literal ones,
+    and the template ones with enough plain words. A short item is one window."""
+    raw = {PLAIN: tokens(marked(F.col(text))), INITIAL: tokens(marked(F.col(text), True)), EXACT: literal_words(F.col(text))}
+    x = items.select(F.col(key).alias("item_id"), F.inline(F.array(*[
+        F.struct(F.lit(k).alias("kind"), r.alias("raw"), (r if k == EXACT else template(r)).alias("t")) for k, r in raw.items()])))
     x = x.withColumn("size", F.least(F.lit(window), F.size("t"))).where("size > 0")
-    x = x.select("item_id", "exact", "size", "raw", "t", F.explode(_starts(F.col("t"), F.col("size"))).alias("item_at"))
+    x = x.select("item_id", "kind", "size", "raw", "t", F.explode(_starts(F.col("t"), F.col("size"))).alias("item_at"))
     plain = F.size(F.filter(F.slice("t", F.col("item_at") + 1, F.col("size")), lambda w: ~w.isin(NUMBER, UNIT, NAME)))
-    x = x.where(F.col("exact") | (plain >= literals)).select(
-        "item_id", "exact", "size", "item_at", _hash(F.col("t"), F.col("item_at"), F.col("size"), F.col("exact")).alias("h"),
+    x = x.where((F.col("kind") == EXACT) | (plain >= literals)).select(
+        "item_id", "kind", "size", "item_at",
+        F.xxhash64("kind", _hashes(F.slice("t", F.col("item_at") + 1, F.col("size")))).alias("h"),
         F.slice("raw", F.col("item_at") + 1, F.col("size")).alias("item_raw"))
-    counts = x.groupBy("item_id", "exact").agg(F.count_distinct("item_at").alias("n_windows"))
-    return x.join(counts, ["item_id", "exact"])
+    counts = x.groupBy("item_id", "kind").agg(F.count_distinct("item_at").alias("n_windows"))
+    return x.join(counts, ["item_id", "kind"])
+
+
+def _consistent(slots: Column) -> Column:
+    return F.size(slots) == F.size(F.array_distinct(F.transform(slots, lambda z: z["i"])))
+
+
+SLOTS = "array<struct<i:string,d:string>>"
+
+
+def _chain(hits: Column) -> Column:
+    """``n, slots`` of the longest chain of hits forward in document and item whose slots agree.
+
+    ``hits`` (at, back = -item_at, slots) come in order, of one place the later item window first. The longest chain up to
+    each item window is kept, so the state is bounded by the item.
+    """
+    def step(chains: Column, h: Column) -> Column:
+        fit = F.filter(chains, lambda c: (c["e"] < -h["back"]) & _consistent(F.array_union(c["slots"], h["slots"])))
+        longest = F.array_max(F.transform(fit, lambda c: F.struct(c["n"].alias("n"), c["slots"].alias("slots"))))
+        new = F.struct((-h["back"]).alias("e"), (F.coalesce(longest["n"], F.lit(0)) + 1).alias("n"),
+                       F.array_union(F.coalesce(longest["slots"], F.array().cast(SLOTS)), h["slots"]).alias("slots"))
+        held = F.transform(F.array(new), lambda x: F.when(
+            F.exists(chains, lambda c: (c["e"] == x["e"]) & (c["n"] >= x["n"])), chains).otherwise(
+            F.concat(F.filter(chains, lambda c: c["e"] != x["e"]), F.array(x))))
+        return F.get(held, F.lit(0))
+
+    chains = F.aggregate(hits, F.array().cast("array<struct<e:int,n:int,slots:" + SLOTS + ">>"), step)
+    return F.array_max(F.transform(chains, lambda c: F.struct(c["n"].alias("n"), c["slots"].alias("slots"))))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -104,47 +144,57 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 6, literals: int =
     ``literal`` tells a copy from a re-parameterised question. Only consistent diagonals make a row.
     """
     own = stored(item_windows(items, window, literals), "item-windows")
-    kinds = [(r["exact"], r["size"]) for r in own.select("exact", "size").distinct().collect()]
+    kinds = [(r["kind"], r["size"]) for r in own.select("kind", "size").distinct().collect()]
     if not kinds:
-        kinds = [(True, window)]
+        kinds = [(EXACT, window)]
     hashes = _small(own.select("h").distinct())
-    # the first pass reads the template off the text in one pass; values needn't be kept yet
-    t = F.split(F.regexp_replace(marked(F.col(text)), rf"([{NUMBER}-{NAME}])[\p{{L}}\p{{M}}\p{{N}}{POINT}]*", "$1"),
-                rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{POINT}]+")
-    x = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("same"), F.filter(t, lambda w: w != "").alias("t"),
-                    literal_words(F.col(text)).alias("words"))
 
-    def hashed(exact: bool, size: int) -> Column:
-        words = F.col("words" if exact else "t")
-        return F.coalesce(F.transform(_starts(words, size), lambda at: _hash(words, at, size, exact)), F.array().cast("array<bigint>"))
+    def bare(initial: bool) -> Column:
+        # the first pass reads the template off the text in one pass; values needn't be kept yet
+        t = F.split(F.regexp_replace(marked(F.col(text), initial), rf"([{NUMBER}-{NAME}])[\p{{L}}\p{{M}}\p{{N}}{POINT}{JOIN}]*", "$1"),
+                    rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{JOIN}]+")
+        return F.filter(t, lambda w: w != "")
+
+    def hashed(kind: int, size: int) -> Column:
+        words = F.col(f"h{kind}")
+        return F.coalesce(F.transform(_starts(words, size), lambda at: _hash(words, at, size, kind)), F.array().cast("array<bigint>"))
 
+    x = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("same"), _hashes(bare(False)).alias("h0"),
+                    _hashes(bare(True)).alias("h1"), _hashes(literal_words(F.col(text))).alias("h2"))
     every = x.select("doc_id", "same", F.explode(F.concat(*[hashed(*k) for k in kinds])).alias("h"))
     found = stored(every.join(hashes, "h", "left_semi").select("doc_id", "same").distinct(), "suspects")
 
     suspects = _small(found.withColumnRenamed("doc_id", "_id"))
     x = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("same"))
-    x = x.join(suspects, ["same"], "left_semi").select("doc_id", "same", tokens(marked(F.col("text"))).alias("raw"),
-                                                       literal_words(F.col("text")).alias("words"))
-    x = x.withColumn("t", template(F.col("raw")))
-    parts = [x.select("doc_id", "same", F.col("words" if e else "raw").alias("raw"), F.posexplode(hashed(e, n)).alias("at", "h"))
-             for e, n in kinds]
+    x = x.join(suspects, ["same"], "left_semi").select(
+        "doc_id", "same", tokens(marked(F.col("text"))).alias("raw0"), tokens(marked(F.col("text"), True)).alias("raw1"),
+        literal_words(F.col("text")).alias("raw2"))
+    x = x.select("*", _hashes(template(F.col("raw0"))).alias("h0"), _hashes(template(F.col("raw1"))).alias("h1"), _hashes(F.col("raw2")).alias("h2"))
+    parts = [x.select("doc_id", "same", F.col(f"raw{k}").alias("raw"), F.posexplode(hashed(k, n)).alias("at", "h")) for k, n in kinds]
     x = reduce(DataFrame.unionByName, parts)
     x = x.join(_small(own), "h").withColumn("raw", F.slice("raw", F.col("at") + 1, F.col("size")))
     pairs = F.filter(F.arrays_zip(F.col("item_raw").alias("i"), F.col("raw").alias("d")),
                      lambda z: F.substring(z["i"], 1, 1).isin(NUMBER, UNIT, NAME))
-    x = x.select("doc_id", "same", "item_id", "exact", "n_windows", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), pairs.alias("slots"))
+    x = stored(x.select("doc_id", "same", "item_id", "kind", "n_windows", "at", "item_at", pairs.alias("slots")), "hits")
+    group = ["doc_id", "same", "item_id", "kind", "n_windows"]
+    enough = F.col("n_hits") * 100 >= F.col("n_windows") * share
     # an item's windows bound the rows of a diagonal, so its slots may be gathered
-    x = x.groupBy("doc_id", "same", "item_id", "exact", "n_windows", "diagonal").agg(
+    one = x.groupBy(*group, (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
         F.count_distinct("item_at").alias("n_hits"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    values = F.size(F.array_distinct(F.transform("slots", lambda z: z["i"])))
-    x = x.where(F.col("n_hits") * 100 >= F.col("n_windows") * share).withColumn("consistent", F.size("slots") == values)
-    x = x.where("consistent").withColumn("literal", ~F.exists("slots", lambda z: z["i"] != z["d"]))
-    # the slots tell a copy best; an item found by its literal windows alone is one
+    one = one.where(enough & _consistent(F.col("slots"))).select(*group, "n_hits", "slots")
+    # one document bounds the hits of a chain
+    hits = F.collect_set(F.struct("at", (-F.col("item_at")).alias("back"), F.col("slots").cast(SLOTS).alias("slots")))
+    some = x.groupBy(*group).agg(F.count_distinct("item_at").alias("n_hits"), F.sort_array(hits).alias("hits"))
+    some = some.where(enough).select(*group, _chain(F.col("hits")).alias("c"))
+    some = some.select(*group, F.col("c.n").cast("bigint").alias("n_hits"), F.col("c.slots").alias("slots")).where(enough)
+    x = one.withColumn("slots", F.col("slots").cast(SLOTS)).unionByName(some)
+    x = x.withColumn("literal", ~F.exists("slots", lambda z: z["i"] != z["d"]))
+    # slots tell a copy best, those with the most names first; an item found by its literal windows alone is one
     best = F.max(F.struct("n_hits", "n_windows"))
+    literal = [F.max(F.when(F.col("kind") == k, F.col("literal"))) for k in (INITIAL, PLAIN, EXACT)]
     return x.groupBy("doc_id", "item_id").agg(
-        best["n_windows"].alias("n_windows"), best["n_hits"].alias("n_hits"),
-        F.coalesce(F.max(F.when(~F.col("exact"), F.col("literal"))), F.max("literal")).alias("literal"),
-        F.max("consistent").alias("consistent"))
+        best["n_windows"].alias("n_windows"), best["n_hits"].alias("n_hits"), F.coalesce(*literal).alias("literal"),
+        F.lit(True).alias("consistent"))
 
 
 def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:

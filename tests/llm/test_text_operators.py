@@ -192,6 +192,21 @@ def test_decontamination_finds_every_literal_copy(spark):
     assert all(r["literal"] for r in got)
 
 
+def test_decontamination_finds_shifted_and_sentence_initial_values(spark):
+    """A name of another number of words, a word put in, names that start the sentences, names in lower case."""
+    items = [(1, "every morning before work the old farmer asks young Ann about new brown hens that live behind the red barn"),
+             (2, "Ann buys red apples at market. Ann eats two of them. Ann gives her friend some more. Ann counts what is left."),
+             (3, "yesterday Carl met Dora near Paris while Emil drove Fred from Rome towards Genoa with Hugo")]
+    cases = [(1, items[0][1].replace("Ann", "Mary Ann Smith"), {1}), (2, items[0][1].replace("asks", "often asks").replace("Ann", "Tom"), {1}),
+             (3, "Well now. " + items[1][1].replace("Ann", "Bob"), {2}), (4, items[1][1].replace("Ann", "Mary Lou"), {2}),
+             (5, items[2][1].lower(), {3}), (6, "the red barn is where brown hens live and an old farmer works before every morning", set()),
+             (7, items[0][1].replace("about new", "about seven big new"), {1})]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in cases], "doc_id long, text string")
+    got = decontaminate.matches(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, k) for i, _, ks in cases for k in ks}
+    assert not any(r["literal"] for r in got if r["doc_id"] in (1, 2, 3, 4))
+
+
 def test_decontamination_refuses_inconsistent_slots(spark):
     item = "Alice gave Bob nine red apples and then Alice asked Bob how many green apples Bob wanted from Alice that day"
     fine = item.replace("Alice", "Carol").replace("Bob", "Dave")
