@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import common, decontaminate, html_extract, line_dedup, ngram_join, quality, sentencepieces, sharding, token_counts, token_output, toxicity
+from lakeloom.llm import (common, decontaminate, html_extract, license_scan, line_dedup, ngram_join, quality, sentencepieces, sharding,
+                          token_counts, token_output, toxicity)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -158,3 +159,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = common.documents(spark, sf_dir, "doc_id", "text", "source", "lang")
     return token_counts.update(docs.select("doc_id", "text"), revisions(docs), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op11_license_scan", license_scan.oracle())
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licenses its text names or quotes."""
+    return license_scan.scan(common.documents(spark, sf_dir, "doc_id", "text"))
