@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import (common, decontaminate, html_extract, license_scan, line_dedup, ngram_join, quality, sentencepieces, sharding,
-                          token_counts, token_output, toxicity)
+from lakeloom.llm import (common, conversation_repair, decontaminate, html_extract, license_scan, line_dedup, ngram_join, quality,
+                          sentencepieces, sharding, token_counts, token_output, toxicity)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -165,3 +165,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the licenses its text names or quotes."""
     return license_scan.scan(common.documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, its cheapest repair and the repaired text's hash."""
+    return conversation_repair.report(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
