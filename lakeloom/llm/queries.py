@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import (common, conversation_repair, decontaminate, html_extract, license_scan, line_dedup, ngram_join, quality,
-                          sentencepieces, sharding, token_counts, token_output, toxicity)
+from lakeloom.llm import (common, conversation_repair, decontaminate, hard_negatives, html_extract, license_scan, line_dedup, ngram_join,
+                          quality, sentencepieces, sharding, token_counts, token_output, toxicity)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -171,3 +171,9 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation's faults after damage, its cheapest repair and the repaired text's hash."""
     return conversation_repair.report(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+
+
+@query("op13_hard_negatives", hard_negatives.ORACLE)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding."""
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))

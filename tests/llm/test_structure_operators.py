@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.llm import conversation_repair as cr
+from lakeloom.llm import hard_negatives as hn
 from lakeloom.llm import license_scan as ls
 
 SF = "/root/testdata/sf0.001"
@@ -259,3 +260,63 @@ def test_one_conversation_with_a_third_of_the_rows(spark):
     rows += [(c, t, "user" if t % 2 else "assistant", "Hello.") for c in range(1, 1000) for t in range(6)]
     got = reported(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     assert len(got) == 1000 and got[0][2] > 1500
+
+
+# --- hard negatives ----------------------------------------------------------------------------------------------
+
+def brute_mine(rows, positives=5, negatives=3):
+    part = []
+    for i, v, label in rows:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        part.append((i, (label + 1) % 10 if i % 7 == 0 else label, [math.floor(256 * x) for x in v]))
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    out = []
+    for a in {r[0] for r in part if r[0] % 50 == 0}:
+        _, label, v = min(r for r in part if r[0] == a)
+        same = sorted((-dot(v, w), i) for i, lab, w in part if lab == label and i != a)[:positives]
+        others = sorted((-dot(v, w), i) for i, lab, w in part if lab != label)
+        for p, pid in same:
+            inside = [(n, i) for n, i in others if 50 * -p <= 100 * -n <= 95 * -p][:negatives]
+            out += [(a, pid, k + 1, i, -p, -n) for k, (n, i) in enumerate(inside)]
+    return sorted(out)
+
+
+VECTORS = "vec_id long, embedding array<double>, label int, KEY string, a long"
+
+
+def mined(spark, rows, **how):
+    return sorted(tuple(r) for r in hn.mine(spark.createDataFrame([(*r, "x", 1) for r in rows], VECTORS), **how).collect())
+
+
+@pytest.mark.parametrize("block_rows", [7, 64, 8192])
+def test_hard_negatives_equal_brute_force(spark, block_rows):
+    rng = random.Random(block_rows)
+    rows = [(i, [rng.choice([-1.0, 0.0, 0.5, 1.0, rng.random()]) for _ in range(4)], rng.randrange(3)) for i in range(400)]
+    rows[3:9] = [(3, None, 1), (4, [1.0, None, 1.0, 1.0], 1), (5, [1.0, math.nan, 0.0, 0.0], 2), (None, [1.0] * 4, 1), (7, [math.inf] * 4, 1),
+                 (8, [1.0] * 4, None)]
+    rows += [(150, [1.0] * 4, 1), (150, [0.5] * 4, 0), (20, [1.0], 0), (21, [], 1)] + [(31, [1.0] * 4, 2)] * 5
+    assert mined(spark, rows, block_rows=block_rows) == brute_mine(rows)
+
+
+def test_hard_negatives_with_ties_and_a_hot_label(spark):
+    rows = [(i, [1.0, 1.0] if i % 3 else [1.0, 0.6], 1 if i % 10 < 7 else i % 10) for i in range(600)]
+    got = mined(spark, rows, block_rows=50)
+    assert got == brute_mine(rows) and got
+
+
+def test_hard_negatives_of_zero_and_negative_scores(spark):
+    rows = [(0, [1.0, 0.0], 1)] + [(i, [0.0 if i % 2 else -0.5, 1.0], 1 + i % 3) for i in range(1, 49)]
+    got = mined(spark, rows)
+    assert got == brute_mine(rows) and {r[4] for r in got} == {0}
+
+
+def test_hard_negatives_of_large_components_are_exact(spark):
+    rows = [(i, [float(1 << 20) + i, 3.0], 1 + i % 2) for i in range(60)]
+    assert mined(spark, rows, high=100) and mined(spark, rows) == brute_mine(rows)
+    keys = hn.pack(hn.np.array([-5, 5]), hn.np.array([-(1 << 62), 1 << 62]), hn.POSITIVE, hn.np.array([-1, 1]))
+    assert [c.tolist() for c in hn.unpack(keys.column(0))] == [[-5, 5], [-(1 << 62), 1 << 62], [0, 0], [-1, 1]]
+
+
+def test_hard_negatives_of_an_empty_table(spark):
+    assert mined(spark, []) == [] and mined(spark, [(1, [1.0], 1)]) == [] and mined(spark, [(50, [1.0], 1)]) == []
