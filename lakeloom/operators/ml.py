@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -34,28 +34,58 @@ def split_time(df: DataFrame, ts: str, cut: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col(ts) < bound), df.filter(F.col(ts) >= bound)
 
 
+def earlier_days(df: DataFrame, key: str, day: str, values: Sequence[str], prefix: str = "earlier_", scale: int = 6) -> DataFrame:
+    """Adds ``ln(1 + sum over the key's earlier days)`` of each value, rounded; what the day itself holds can't leak into it.
+
+    The window runs over one row per key and day, so a key's partition is bounded by the days.
+    """
+    before = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda c: F.coalesce(F.sum(F.col(c).cast("double")).over(before), F.lit(0.0))
+    return df.withColumns({f"{prefix}{c}": F.round(F.log1p(total(c)), scale) for c in values})
+
+
 def build_pipeline(numeric: Sequence[str], categorical: Sequence[str] = (), label: str = "label",
-                   reg_param: float = 0.0, max_iter: int = 100) -> Pipeline:
-    stages = []
-    encoded = []
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__vec", handleInvalid="keep"))
-        encoded.append(f"{c}__vec")
-    stages.append(VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features", handleInvalid="keep"))
-    stages.append(LogisticRegression(featuresCol="features", labelCol=label, regParam=reg_param, maxIter=max_iter))
+                   reg_param: float = 0.0, max_iter: int = 100, encoder: str = "onehot", smoothing: float = 0.0,
+                   threshold: float = 0.5, tol: float = 1e-6) -> Pipeline:
+    """Encoders, assembler and logistic regression.
+
+    ``encoder`` is ``onehot`` (one column a category) or ``target`` (a category's share of positive labels, pulled to the
+    share of all rows by ``smoothing`` rows; a new category has that share): the latter stays one column for any number of categories.
+    """
+    if encoder not in ("onehot", "target"):
+        raise ValueError(f"unknown encoder {encoder}")
+    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
+    if encoder == "target" and categorical:
+        stages.append(TargetEncoder(inputCols=[f"{c}__idx" for c in categorical], outputCols=[f"{c}__vec" for c in categorical],
+                                    labelCol=label, targetType="binary", smoothing=smoothing, handleInvalid="keep"))
+    else:
+        stages += [OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__vec", handleInvalid="keep") for c in categorical]
+    stages.append(VectorAssembler(inputCols=[*numeric, *[f"{c}__vec" for c in categorical]], outputCol="features", handleInvalid="keep"))
+    stages.append(LogisticRegression(featuresCol="features", labelCol=label, regParam=reg_param, maxIter=max_iter, tol=tol,
+                                     threshold=threshold))
     return Pipeline(stages=stages)
 
 
 def train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), label: str = "label",
-          reg_param: float = 0.0, max_iter: int = 100) -> PipelineModel:
-    return build_pipeline(numeric, categorical, label, reg_param, max_iter).fit(df)
+          reg_param: float = 0.0, max_iter: int = 100, **how) -> PipelineModel:
+    """Fits :func:`build_pipeline` (``how`` are its further parameters)."""
+    return build_pipeline(numeric, categorical, label, reg_param, max_iter, **how).fit(df)
+
 
+def store(model: PipelineModel, path: str) -> str:
+    """Saves a fitted model; :func:`load` reads it wherever it is used."""
+    model.write().overwrite().save(path)
+    return path
 
-def coefficients(model: PipelineModel, numeric: Sequence[str]) -> DataFrame:
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def coefficients(model: PipelineModel, names: Sequence[str]) -> DataFrame:
     """Model weights as a small DataFrame (feature, coefficient) plus the intercept."""
     lr = model.stages[-1]
-    names = list(numeric) + [f"f{i}" for i in range(len(numeric), lr.numFeatures)]
+    names = list(names) + [f"f{i}" for i in range(len(names), lr.numFeatures)]
     rows = [(n, float(w)) for n, w in zip(names, lr.coefficients.toArray())] + [("intercept", float(lr.intercept))]
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, coefficient double")
 
@@ -67,8 +97,11 @@ def predict(model: PipelineModel, df: DataFrame, label_name: str = "predicted_la
                       vector_to_array("probability")[1].alias("probability"))
 
 
-def evaluate(model: PipelineModel, df: DataFrame, label: str = "label") -> DataFrame:
-    """One row: precision, recall, accuracy, f1_score, log_loss, roc_auc (positive class 1)."""
+def evaluate(model: PipelineModel, df: DataFrame, label: str = "label", bins: int = 1000) -> DataFrame:
+    """One row: precision, recall, accuracy, f1_score, log_loss, roc_auc (positive class 1).
+
+    The curve has ``bins`` points; 0 takes every distinct score.
+    """
     scored = model.transform(df)
     p1 = vector_to_array("probability")[1]
     eps = F.lit(1e-15)
@@ -82,7 +115,7 @@ def evaluate(model: PipelineModel, df: DataFrame, label: str = "label") -> DataF
         F.avg(-(y * F.log(clipped) + (1 - y) * F.log(1 - clipped))).alias("log_loss"),
     )
     auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label,
-                                        metricName="areaUnderROC").evaluate(scored)
+                                        metricName="areaUnderROC", numBins=bins).evaluate(scored)
     tp, fp, tn, fn = (F.col(x).cast("double") for x in ("tp", "fp", "tn", "fn"))
     precision = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
     recall = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0))

@@ -2,8 +2,8 @@
 index coverage, exact similarity joins and MinHash near-duplicate candidates.
 
 Scale rules followed here:
-* the query set is broadcast only after its size is checked (``max_broadcast_queries``);
-  beyond it, search switches to the blocked kernel below, which is still exact;
+* the query set is broadcast only after its size is checked (``MAX_BROADCAST_QUERIES``, more is an
+  error); ``blocked=True`` takes any number through the blocked kernel below, which is exact too;
 * every scoring group holds at most ``block_rows`` base rows and ``block_rows`` query rows:
   a hot IVF list (or a huge base) is split into hash blocks, and each query meets every
   block of its lists once — partial top-k per block, final top-k per query;
@@ -44,12 +44,14 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return m
 
 
-def _topk_block(qids: np.ndarray, Q: np.ndarray, bids: np.ndarray, B: np.ndarray, k: int) -> pd.DataFrame:
-    """Exact top-k of base rows for each query in one block; ties broken by smaller id."""
+def _topk_block(qids: np.ndarray, Q: np.ndarray, bids: np.ndarray, B: np.ndarray, k: int, decimals: int | None = None) -> pd.DataFrame:
+    """Exact top-k of base rows for each query in one block; ties (of scores rounded to ``decimals``, if given) broken by smaller id."""
     if len(qids) == 0 or len(bids) == 0:
-        return pd.DataFrame({"query_id": pd.Series([], "int64"), "vec_id": pd.Series([], "int64"),
-                             "score": pd.Series([], "float64")})
+        return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
+                             "score": pd.Series([], dtype="float64")})
     S = np.nan_to_num(Q @ B.T, nan=-np.inf)  # (nq, nb)
+    if decimals is not None:
+        S = np.round(S, decimals)
     kk = min(k, len(bids))
     out_q, out_b, out_s = [], [], []
     for j in range(len(qids)):
@@ -75,16 +77,17 @@ def _final_topk(partials: DataFrame, k: int) -> DataFrame:
 
 def vector_search(base: DataFrame, queries: DataFrame, k: int = 5, base_id: str = "vec_id", base_vec: str = "embedding",
                   query_id: str = "query_id", query_vec: str = "embedding", blocked: bool = False,
-                  block_rows: int = 2000) -> DataFrame:
+                  block_rows: int = 2000, decimals: int | None = None) -> DataFrame:
     """Exact cosine top-k base rows per query: ``(query_id, vec_id, score, rank)``.
 
     By default the queries are few and are broadcast (at most ``MAX_BROADCAST_QUERIES``; more is an
-    error); ``blocked=True`` is for query tables of any size and scores blocks against blocks.
+    error); ``blocked=True`` is for query tables of any size and scores blocks against blocks. With ``decimals``
+    scores are rounded before they are ranked, so that vectors alike but for rounding errors rank by id.
     """
     b = base.select(F.col(base_id).cast("bigint").alias("vec_id"), F.col(base_vec).alias("vec"))
     q = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(query_vec).alias("vec"))
     if blocked:
-        return blocked_search(q.withColumn("list_id", F.lit(0)), b.withColumn("list_id", F.lit(0)), k, block_rows)
+        return blocked_search(q.withColumn("list_id", F.lit(0)), b.withColumn("list_id", F.lit(0)), k, block_rows, decimals)
     qpdf = q.limit(MAX_BROADCAST_QUERIES + 1).toPandas()
     if len(qpdf) > MAX_BROADCAST_QUERIES:
         raise ValueError(f"more than {MAX_BROADCAST_QUERIES} queries to broadcast; search with blocked=True")
@@ -94,7 +97,7 @@ def vector_search(base: DataFrame, queries: DataFrame, k: int = 5, base_id: str
     def kernel(batches):
         qids, Q = bq.value
         for pdf in batches:
-            yield _topk_block(qids, Q, pdf["vec_id"].to_numpy(dtype="int64"), _matrix(pdf["vec"]), k)
+            yield _topk_block(qids, Q, pdf["vec_id"].to_numpy(dtype="int64"), _matrix(pdf["vec"]), k, decimals)
 
     return _final_topk(b.mapInPandas(kernel, HIT_SCHEMA), k)
 
@@ -121,7 +124,7 @@ def _blocked_groups(q: DataFrame, b: DataFrame, block_rows: int) -> tuple[DataFr
     return qq, bb, ["list_id", "bblk", "qblk"]
 
 
-def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 2000) -> DataFrame:
+def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 2000, decimals: int | None = None) -> DataFrame:
     """Exact top-k of ``b`` rows for each ``q`` row within the same ``list_id``, scored in
     bounded blocks (see :func:`_blocked_groups`); partial top-k per block, final per query."""
     qq, bb, keys = _blocked_groups(q, b, block_rows)
@@ -130,7 +133,7 @@ def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 2000) -
         if len(qpdf) == 0 or len(bpdf) == 0:
             return _topk_block(np.zeros(0), None, np.zeros(0), None, k)
         return _topk_block(qpdf["query_id"].to_numpy(dtype="int64"), _matrix(qpdf["qvec"]),
-                           bpdf["vec_id"].to_numpy(dtype="int64"), _matrix(bpdf["vec"]), k)
+                           bpdf["vec_id"].to_numpy(dtype="int64"), _matrix(bpdf["vec"]), k, decimals)
 
     partials = qq.groupBy(*keys).cogroup(bb.groupBy(*keys)).applyInPandas(kernel, HIT_SCHEMA)
     return _final_topk(partials, k)
@@ -259,8 +262,8 @@ def similar_pairs(df: DataFrame, id_col: str = "vec_id", vec: str = "embedding",
 
     def kernel(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if len(lp) == 0 or len(rp) == 0:
-            return pd.DataFrame({"id_a": pd.Series([], "int64"), "id_b": pd.Series([], "int64"),
-                                 "similarity": pd.Series([], "float64")})
+            return pd.DataFrame({"id_a": pd.Series([], dtype="int64"), "id_b": pd.Series([], dtype="int64"),
+                                 "similarity": pd.Series([], dtype="float64")})
         li = lp["id"].to_numpy(dtype="int64")
         ri = rp["rid"].to_numpy(dtype="int64")
         S = _matrix(lp["vec"]) @ _matrix(rp["rvec"]).T
@@ -294,8 +297,8 @@ def similar_pairs_ivf(assigned: DataFrame, centroids: DataFrame, max_dist: float
 
     def kernel(qpdf: pd.DataFrame, bpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(bpdf) == 0:
-            return pd.DataFrame({"id_a": pd.Series([], "int64"), "id_b": pd.Series([], "int64"),
-                                 "similarity": pd.Series([], "float64")})
+            return pd.DataFrame({"id_a": pd.Series([], dtype="int64"), "id_b": pd.Series([], dtype="int64"),
+                                 "similarity": pd.Series([], dtype="float64")})
         qi = qpdf["query_id"].to_numpy(dtype="int64")
         bi = bpdf["vec_id"].to_numpy(dtype="int64")
         S = _matrix(qpdf["qvec"]) @ _matrix(bpdf["vec"]).T
@@ -368,13 +371,15 @@ def _signature_udf(shingle: int, num_hashes: int, seed: int = 42):
     return signature
 
 
-def minhash_signatures(df: DataFrame, id_col: str, text_col: str, shingle: int = 5, num_hashes: int = 64) -> DataFrame:
+def minhash_signatures(df: DataFrame, id_col: str, text_col: str, shingle: int = 5, num_hashes: int = 64,
+                       partitions: int | None = None) -> DataFrame:
     """Word-shingle MinHash signatures over the whole text: ``(id, shingles, sig)``.
 
     Tokenising and word hashing are JVM expressions (``split`` + ``transform(xxhash64)``);
-    only the shingle combination and the min-hash run in the Arrow UDF.
+    only the shingle combination and the min-hash run in the Arrow UDF. ``partitions`` deals the texts
+    to that many tasks first (see ``session.spread``).
     """
-    src = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    src = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), partitions)
     words = F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
     hashed = src.select("id", F.transform(words, lambda w: F.xxhash64(w)).alias("wh"))
     sig = _signature_udf(shingle, num_hashes)(F.col("wh"))

@@ -137,6 +137,13 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, name: str):
+    """``df`` written once as Parquet in the shared folder and read back: cuts lineage, also of plans that have run empty."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df, partitions: int | None = None):
     """``df`` dealt round-robin to ``partitions`` tasks, for expensive per-row work on few large files.
 
