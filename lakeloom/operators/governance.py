@@ -74,15 +74,16 @@ def mask(df: DataFrame, methods: Mapping[str, str], principal_groups: Sequence[s
 
 
 def discover_pii(df: DataFrame, detectors: Mapping[str, str] | None = None, columns: Sequence[str] | None = None,
-                 sample_fraction: float | None = None, seed: int = 42) -> DataFrame:
+                 sample_fraction: float | None = None, seed: int = 42, partitions: int | None = None) -> DataFrame:
     """Scan string columns for PII classes in ONE pass: a single aggregate of
     ``count_if(col rlike pattern)`` per (column, class), unpivoted to rows
     ``(column_name, pii_class, hits, rows, hit_rate)``. ``sample_fraction`` scans a
-    Bernoulli sample instead of the whole table (the sampling option of a PII scanner)."""
+    Bernoulli sample instead of the whole table (the sampling option of a PII scanner). ``partitions`` deals
+    the rows to that many tasks first (``session.spread``), for long texts in few files."""
     detectors = dict(detectors or PII_DETECTORS)
     cols = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
     src = df.select(*cols)
-    src = spread(src.sample(fraction=sample_fraction, seed=seed) if sample_fraction else src)
+    src = spread(src.sample(fraction=sample_fraction, seed=seed) if sample_fraction else src, partitions)
     aggs = []
     for c in cols:
         aggs.append(F.count(F.col(c)).alias(f"{c}||rows"))

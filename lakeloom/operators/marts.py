@@ -6,8 +6,9 @@ Design notes for scale:
   ``WindowGroupLimit`` before the shuffle, so a hot group ships at most k rows per task;
 * "latest per key" is a ``max_by(struct, order)`` aggregate, not a window: a key holding a
   third of all rows is collapsed map-side instead of landing in one sort task;
+* row numbers of a key with very many rows are counted by several tasks: ranges of the order, counts, offsets;
 * time-series windows (LAG, moving averages) run over per-(key, day) bars whose size per key
-  is bounded by the number of days, never over raw rows.
+  is bounded by the number of days, or over segments of a key that carry the rows before them along.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.columns import c, safe_divide, since
+from lakeloom.session import stored
 
 # --- joins -------------------------------------------------------------------------------
 
@@ -44,26 +46,35 @@ def enrich(facts: DataFrame, dim: DataFrame, left_on: str, right_on: str, dim_co
     return out.orderBy(*[c(o) for o in order]).limit(n)
 
 
-#: Values that a list holds at most, about; a larger group has several lists.
+#: Values that a list holds at most; a larger group has several lists.
 LIST_VALUES = 100_000
 
 
 def value_lists(df: DataFrame, keys: Sequence[str], value: str, alias: str, most: int = LIST_VALUES) -> DataFrame:
-    """``keys, chunk_no, alias``: all values of a key in sorted lists of about ``most`` values.
+    """``keys, chunk_no, alias``: all values of a key in sorted lists of ``most`` values, the last one shorter.
 
-    Counts a key (partial sums, one small row a key) say how many lists it needs; a hash of the
-    value deals it to one, so a hot key's lists are made by many tasks and none holds the whole group. A
-    group of up to ``most`` rows is one list, number 0. Equal values share a list.
+    Keys with more than ``most`` rows are numbered (:func:`row_rank`, by several tasks) and cut by these numbers, so equal
+    values are dealt to several lists too; the lists of a key follow one another in order. Other keys are one list, number 0.
     """
     rows = df.select(*keys, F.col(value).alias("__v"))
-    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most)
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]
-    chunks = F.coalesce(F.ceil(F.col("l.__n") / most), F.lit(1))
-    dealt = rows.alias("r").join(large.alias("l"), same, "left").select(
-        *[F.col(f"r.{k}").alias(k) for k in keys], "r.__v", F.pmod(F.xxhash64("r.__v"), chunks).alias("chunk_no"))
+    large = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most), "large-keys")
+    if large.isEmpty():
+        dealt = rows.withColumn("chunk_no", F.lit(0).cast("bigint"))
+    else:
+        some, rest = _of_keys(rows, large, keys)
+        numbered = row_rank(some, keys, [F.col("__v")], "__at")
+        dealt = numbered.withColumn("chunk_no", F.floor((F.col("__at") - 1) / most)).drop("__at").unionByName(
+            rest.withColumn("chunk_no", F.lit(0).cast("bigint")))
     return dealt.groupBy(*keys, "chunk_no").agg(F.array_sort(F.collect_list("__v")).alias(alias))
 
 
+def _of_keys(df: DataFrame, some: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` split into the rows whose keys are in ``some`` (nulls match) and the others."""
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]
+    join = lambda how: df.alias("r").join(some.select(*keys).alias("l"), same, how)
+    return join("left_semi"), join("left_anti")
+
+
 def cogroup(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str,
             most: int = LIST_VALUES) -> DataFrame:
     """Multi-input key join keeping each side's values (CoGroupByKey): ``key, chunk_no`` and both lists.
@@ -147,23 +158,63 @@ def dedupe_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return top_k_per(df, keys, order, 1)
 
 
-def row_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """ROW_NUMBER kept as a column (e.g. as a MERGE source)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+#: Rows of a key that one task numbers; a key with more is cut into ranges.
+RANK_ROWS = 1_000_000
+
+
+def row_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn", most: int | None = RANK_ROWS) -> DataFrame:
+    """ROW_NUMBER kept as a column (e.g. as a MERGE source).
+
+    Rows of keys with more than ``most`` rows are dealt to ranges of (keys, order), about ``most`` rows each, and written; a row's
+    number is its place in its range plus the counts of the ranges before. Equal rows are told apart by their place in the
+    file, so a hot order value is cut too. ``None`` numbers every key in one task.
+    """
+    plain = lambda x: x.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    if most is None:
+        return plain(df)
+    large = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most), "large-keys")
+    total = large.agg(F.sum("__n")).first()[0]
+    if not total:
+        return plain(df)
+    some, rest = _of_keys(df, large, keys)
+    # written before they are dealt: a file's row numbers hold when a task is run again
+    placed = stored(some, "rank-rows").withColumn("__place", F.monotonically_increasing_id())
+    ranged = placed.repartitionByRange(-(-total // most), *[F.col(k) for k in keys], *order, F.col("__place"))
+    ranged = stored(ranged.withColumn("__range", F.spark_partition_id()), "rank-ranges")
+    counts = ranged.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"l.{k}")) for k in [*keys, "__range"]]
+    inside = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(*order, "__place"))
+    numbered = ranged.withColumn("__in", inside).alias("r").join(counts.alias("l"), same).select(
+        *[F.col(f"r.{x}") for x in df.columns], (F.col("r.__in") + F.col("l.__before")).cast("bigint").alias(name))
+    return numbered.unionByName(plain(rest))
 
 
 def time_series_metrics(df: DataFrame, key: str, ts: str, value: str,
-                        windows: Mapping[str, int] | None = None, exact_scale: int | None = None) -> DataFrame:
+                        windows: Mapping[str, int] | None = None, exact_scale: int | None = None,
+                        segment_rows: int | None = None) -> DataFrame:
     """LAG change, safe return and row-count moving averages over ONE shared window order.
 
     All expressions use the same ``partitionBy(key).orderBy(ts)`` spec so Spark sorts once.
     The first row has a NULL change; moving averages use a short frame at the start.
     With ``exact_scale`` the moving sums are exact decimals (``value`` has at most that many
-    decimals), so the average does not depend on the summation order.
+    decimals), so the average does not depend on the summation order. ``segment_rows`` cuts each key's series into segments of so
+    many rows, each with copies of the rows that its first frames reach back to, so a long series is done by many tasks.
     """
     windows = windows or {"moving_avg_7d": 7, "moving_avg_30d": 30}
-    w = Window.partitionBy(key).orderBy(ts)
+    columns = df.columns
+    if segment_rows:
+        halo = max(1, *(rows - 1 for rows in windows.values()))
+        if segment_rows < halo:
+            raise ValueError(f"segments of {segment_rows} rows are shorter than the {halo} rows before a frame")
+        df = row_rank(df, [key], [F.col(ts)], "__at")
+        place, own = (F.col("__at") - 1) % segment_rows, F.floor((F.col("__at") - 1) / segment_rows)
+        parts = F.when(place >= segment_rows - halo, F.array(own, own + 1)).otherwise(F.array(own))
+        df = df.withColumn("__own", own).withColumn("__part", F.explode(parts))
+        w = Window.partitionBy(key, "__part").orderBy("__at")
+    else:
+        w = Window.partitionBy(key).orderBy(ts)
     prev = F.lag(value).over(w)
     cols = {
         "daily_change": F.col(value) - prev,
@@ -176,7 +227,10 @@ def time_series_metrics(df: DataFrame, key: str, ts: str, value: str,
         else:
             exact = F.sum(F.col(value).cast(f"decimal(18,{exact_scale})")).over(frame).cast("double")
             cols[name] = exact / F.count(F.lit(1)).over(frame)
-    return df.withColumns(cols)
+    out = df.withColumns(cols)
+    if segment_rows:
+        out = out.where("__own = __part")
+    return out.select(*columns, *cols)
 
 
 def lag_change(df: DataFrame, key: str, ts: str, value: str, name: str = "change") -> DataFrame:
@@ -207,13 +261,14 @@ def sample_n(df: DataFrame, n: int, order_by: Sequence[Column] | None = None, se
              key_cols: Sequence[str] | None = None) -> DataFrame:
     """A deterministic LIMIT-with-no-order replacement (the sampling operator).
 
-    With ``order_by`` it is a top-n; otherwise rows are ranked by a seeded hash of
-    ``key_cols`` so repeated runs pick the same rows regardless of partitioning.
+    With ``order_by`` it is a top-n; otherwise rows are ranked by the md5 of the seed and
+    ``key_cols`` (joined by ``|``) so repeated runs, and other engines, pick the same rows.
     """
     if order_by is not None:
         return df.orderBy(*order_by).limit(n)
     cols = [F.col(x) for x in (key_cols or df.columns)]
-    return df.orderBy(F.xxhash64(F.lit(seed), *cols), *cols).limit(n)
+    mark = F.md5(F.concat_ws("|", F.lit(str(seed)), *[x.cast("string") for x in cols]).cast("binary"))
+    return df.orderBy(mark, *cols).limit(n)
 
 
 def preview(df: DataFrame, n: int, order_by: Sequence[Column]) -> DataFrame:

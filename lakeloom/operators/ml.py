@@ -17,6 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeloom.session import shared_dir
+
 
 def features(df: DataFrame, numeric: Sequence[str], label_expr: Column | None = None, label: str = "label",
              keep: Sequence[str] = ()) -> DataFrame:
@@ -67,9 +69,12 @@ def build_pipeline(numeric: Sequence[str], categorical: Sequence[str] = (), labe
 
 
 def train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), label: str = "label",
-          reg_param: float = 0.0, max_iter: int = 100, **how) -> PipelineModel:
-    """Fits :func:`build_pipeline` (``how`` are its further parameters)."""
-    return build_pipeline(numeric, categorical, label, reg_param, max_iter, **how).fit(df)
+          reg_param: float = 0.0, max_iter: int = 100, path: str | None = None, **how) -> PipelineModel:
+    """Fits :func:`build_pipeline` (``how`` are its further parameters), saves the model at ``path`` (default: a folder below
+    the shared one) and returns it as loaded from there: a model that was just fitted carries a summary bound to its
+    session, which can't be sent to executors once that session observes a write (``quality.write_checked``)."""
+    fitted = build_pipeline(numeric, categorical, label, reg_param, max_iter, **how).fit(df)
+    return load(store(fitted, path or shared_dir(df.sparkSession, "model")))
 
 
 def store(model: PipelineModel, path: str) -> str:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -190,24 +190,15 @@ def error_counts(dlq: DataFrame, errors: str = ERRORS, period_col: str | None =
     return codes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_errors"))
 
 
-def health(df: DataFrame, dlq: DataFrame, ts_col: str, now: str, max_dlq_share: float = 0.05,
-           max_lag_hours: float = 24.0) -> DataFrame:
-    """One-row run health: processed rows, DLQ rows, freshness lag, and threshold alerts.
+def _run_measures(ok: Column, ts: Column) -> list[Column]:
+    return [F.count_if(ok).alias("processed"), F.count_if(~ok).alias("dead_lettered"), F.max(F.when(ok, ts)).alias("latest_ts")]
 
-    Both inputs are tagged, unioned and reduced by ONE global aggregate (partial per task,
-    one final row) — nothing is joined or collected.
-    """
-    tagged = (df.select(F.col(ts_col).alias("__ts"), F.lit(0).alias("__dl"))
-              .unionByName(dlq.select(F.col(ts_col).alias("__ts"), F.lit(1).alias("__dl"))))
-    out = tagged.agg(
-        F.count_if(F.col("__dl") == 0).alias("processed"),
-        F.count_if(F.col("__dl") == 1).alias("dead_lettered"),
-        F.max(F.when(F.col("__dl") == 0, F.col("__ts"))).alias("latest_ts"),
-    )
+
+def _run_health(measures: DataFrame, now: str, max_dlq_share: float, max_lag_hours: float) -> DataFrame:
     lag_h = (F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.col("latest_ts").cast("timestamp"))) / 3600.0
     share = F.when(F.col("processed") + F.col("dead_lettered") > 0,
                    F.col("dead_lettered") / (F.col("processed") + F.col("dead_lettered"))).otherwise(F.lit(0.0))
-    return out.select(
+    return measures.select(
         "processed", "dead_lettered",
         F.round(share, 6).alias("dlq_share"),
         F.round(lag_h, 3).alias("lag_hours"),
@@ -216,6 +207,57 @@ def health(df: DataFrame, dlq: DataFrame, ts_col: str, now: str, max_dlq_share:
     )
 
 
+def health(df: DataFrame, dlq: DataFrame, ts_col: str, now: str, max_dlq_share: float = 0.05,
+           max_lag_hours: float = 24.0) -> DataFrame:
+    """One-row run health: processed rows, DLQ rows, freshness lag, and threshold alerts.
+
+    Both inputs are tagged, unioned and reduced by ONE global aggregate (partial per task,
+    one final row) — nothing is joined or collected. A run that writes its rows anyway measures them
+    on the way, without reading them again: :func:`write_checked`.
+    """
+    tagged = (df.select(F.col(ts_col).alias("__ts"), F.lit(True).alias("__ok"))
+              .unionByName(dlq.select(F.col(ts_col).alias("__ts"), F.lit(False).alias("__ok"))))
+    return _run_health(tagged.agg(*_run_measures(F.col("__ok"), F.col("__ts"))), now, max_dlq_share, max_lag_hours)
+
+
+def write_checked(checked: DataFrame, path: str, ts_col: str, valid: str = VALID) -> dict:
+    """Writes validated rows once, valid and dead-lettered ones in a folder each (``valid=true``, ``valid=false``), and returns
+    the run's measures, observed by the tasks that write: processed, dead_lettered, latest_ts."""
+    seen = Observation("checked")
+    ok = F.coalesce(F.col(valid), F.lit(False))
+    rows = checked.withColumn(valid, ok).observe(seen, *_run_measures(F.col(valid), F.col(ts_col)))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(valid).parquet(path)
+    return seen.get
+
+
+def health_of(spark: SparkSession, measures: dict, now: str, max_dlq_share: float = 0.05, max_lag_hours: float = 24.0) -> DataFrame:
+    """The :func:`health` row of measures that a write has taken (a few numbers)."""
+    row = spark.createDataFrame([(measures["processed"], measures["dead_lettered"], measures["latest_ts"])],
+                                "processed bigint, dead_lettered bigint, latest_ts timestamp_ntz")
+    return _run_health(row, now, max_dlq_share, max_lag_hours)
+
+
+def orphans(child: DataFrame, keys: Sequence[str], parent: DataFrame, parent_keys: Sequence[str], name: str) -> DataFrame:
+    """``check, rows, bad_rows``: rows of ``child`` whose key ``parent`` doesn't have (a null key has no parent).
+
+    The child is counted per key before the join, so a hot key crosses the shuffle as one row a task; Spark may put
+    a runtime Bloom filter of the parent's keys before it.
+    """
+    counts = child.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n"))
+    known = parent.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(parent_keys)]).distinct()
+    on = [f"__k{i}" for i in range(len(keys))]
+    both = counts.join(known.withColumn("__there", F.lit(True)), on, "left")
+    return both.agg(F.lit(name).alias("check"), F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+                    F.coalesce(F.sum(F.when(F.col("__there").isNull(), F.col("__n"))), F.lit(0)).alias("bad_rows")).select("check", "rows", "bad_rows")
+
+
+def mismatches(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, other: str, name: str) -> DataFrame:
+    """``check, rows, bad_rows``: matching rows whose ``value`` and ``other`` (of the right side) differ; nulls are equal to each other."""
+    both = left.select(*keys, F.col(value).alias("__l")).join(right.select(*keys, F.col(other).alias("__r")), list(keys))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("__l").eqNullSafe(F.col("__r"))).alias("bad_rows")).select(
+        F.lit(name).alias("check"), "rows", "bad_rows")
+
+
 def error_delta(dlq: DataFrame, ts_col: str, period: str = "day", errors: str = ERRORS) -> DataFrame:
     """Error counter per period (``day``/``week``/``month``/``year``) and its change vs the
     previous period of the same code.
@@ -234,5 +276,6 @@ def error_delta(dlq: DataFrame, ts_col: str, period: str = "day", errors: str =
 __all__ = [
     "Rule", "validate", "split", "event_rules", "price_rules", "email_rules", "standard_rules",
     "apply_standard_validations", "amount_rules", "error_record", "fill_null", "trim_columns",
-    "clean_events", "profile", "completeness_checks", "error_counts", "health", "error_delta",
+    "clean_events", "profile", "completeness_checks", "error_counts", "health", "write_checked", "health_of",
+    "orphans", "mismatches", "error_delta",
 ]

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.columns import case_chain, is_true
@@ -149,6 +149,30 @@ def as_of(history: DataFrame, keys: Sequence[str], ts: str, t: str, tiebreak: Se
     return dedupe_latest(history.filter(F.col(ts) <= bound), keys, ts, tiebreak)
 
 
+#: Closing period of versions that still hold.
+OPEN = "9999-12-31"
+
+
+def store_versions(history: DataFrame, keys: Sequence[str], ts: str, path: str, tiebreak: Sequence[str] = (), grain: str = "month") -> None:
+    """Writes a keyed change history as validity intervals, partitioned by the period in which a version ended.
+
+    ``valid_from`` is the version's time, ``valid_to`` that of the next one (null: still valid). Of versions at one time
+    the last by ``tiebreak`` stays.
+    """
+    nxt = F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts, *tiebreak))
+    rows = history.withColumns({"valid_from": F.col(ts), "valid_to": nxt}).where("valid_to IS NULL OR valid_to > valid_from")
+    rows = rows.withColumn("closed", F.coalesce(F.trunc(F.to_date("valid_to"), grain), F.lit(OPEN).cast("date")))
+    rebalanced(rows, "closed").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("closed").parquet(path)
+
+
+def stored_as_of(spark: SparkSession, path: str, t: str, grain: str = "month") -> DataFrame:
+    """State at time ``t`` of a history stored by :func:`store_versions`; periods that closed before ``t`` aren't read."""
+    rows = spark.read.parquet(path)
+    bound = F.lit(t).cast(dict(rows.dtypes)["valid_from"])
+    inside = (F.col("valid_from") <= bound) & (F.col("valid_to").isNull() | (F.col("valid_to") > bound))
+    return rows.where((F.col("closed") >= F.trunc(F.to_date(F.lit(t)), grain)) & inside).drop("valid_from", "valid_to", "closed")
+
+
 def with_partition(df: DataFrame, ts: str, grain: str = "day", name: str | None = None) -> DataFrame:
     """Derived partition column (hidden partitioning re-aimed): ``to_date`` / ``trunc``."""
     name = name or f"{ts}_{grain}"

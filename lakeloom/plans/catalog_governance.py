@@ -49,4 +49,4 @@ FROM documents""")
 
 @query("discover_pii", oracle=_discover_sql(["text", "lang", "source"]))
 def q_discover_pii(spark, sf):
-    return gv.discover_pii(Tables(spark, sf).documents)
+    return gv.discover_pii(Tables(spark, sf).documents, partitions=spark.sparkContext.defaultParallelism)

@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.operators import marts
+from lakeloom.operators import dedupe as dd
+from lakeloom.operators import governance, marts
 from lakeloom.operators import quality as q
 from lakeloom.plans import flows
 from lakeloom.plans.catalog_quality import DOC_ERRORS_SQL, document_rules
@@ -232,10 +233,31 @@ def q_temp_view(spark, sf):
     return spark.sql(f"SELECT order_id, delivery_city, created_at FROM {view}")
 
 
-@query("pipe_weblog", oracle=CUSTOMER_DAY_SQL)
+#: Web-log rows of which some can't be read: a word as amount, a time that isn't one, no customer.
+_BROKEN_LOG = {"amount": "event_id % 53 = 1", "time": "event_id % 59 = 2", "customer": "event_id % 61 = 3"}
+
+
+@query("pipe_weblog", oracle=f"""
+WITH read AS (SELECT * FROM events WHERE NOT ({_BROKEN_LOG["amount"]}) AND NOT ({_BROKEN_LOG["time"]}) AND NOT ({_BROKEN_LOG["customer"]}))
+SELECT customer_id, event_date, total_events, total_spent, total_purchases, CAST(NULL AS VARCHAR) AS log_id, CAST(NULL AS VARCHAR) AS cast_errors
+FROM ({CUSTOMER_DAY_SQL.replace("FROM events", "FROM read")}) WHERE total_spent > 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, CAST(event_id AS VARCHAR),
+       CASE WHEN {_BROKEN_LOG["time"]} THEN 'event_ts;' ELSE '' END || CASE WHEN {_BROKEN_LOG["amount"]} THEN 'purchase_amount;' ELSE '' END
+FROM events WHERE {_BROKEN_LOG["amount"]} OR {_BROKEN_LOG["time"]}""")
 def q_pipe_weblog(spark, sf):
+    """The log from CSV to the gold rows that analysts may see, and the rows that couldn't be read with the columns at fault."""
     root = shared_dir(spark, "weblog")
-    flows.weblog_from_events(Tables(spark, sf).events).write.option("header", True).csv(f"{root}/bronze")
+    log = flows.weblog_from_events(Tables(spark, sf).events)
+    bad = lambda k: F.expr(_BROKEN_LOG[k].replace("event_id", "log_id"))
+    log = log.withColumns({
+        "purchase_amount": F.when(bad("amount"), F.lit("free")).otherwise(F.col("purchase_amount")),
+        "timestamp": F.when(bad("time"), F.lit("yesterday")).otherwise(F.col("timestamp")),
+        "customer_id": F.when(~bad("customer"), F.col("customer_id"))})
+    log.write.option("header", True).csv(f"{root}/bronze")
     gold, _ = flows.run_weblog(spark, f"{root}/bronze", root)
-    return gold.select("customer_id", "event_date", "total_events",
-                       F.col("total_spent").cast("double").alias("total_spent"), "total_purchases")
+    seen = governance.secured(gold, {"analysts": F.col("total_spent") > 0}, ["analysts"])
+    rejects = spark.read.schema("log_id string, cast_errors string").json(f"{root}/dlq")
+    return dd.union_all(seen.select("customer_id", "event_date", "total_events", F.col("total_spent").cast("double").alias("total_spent"),
+                                    "total_purchases"), rejects, allow_missing=True).select(
+        "customer_id", "event_date", "total_events", "total_spent", "total_purchases", "log_id", "cast_errors")

@@ -17,6 +17,7 @@ from lakeloom.operators import skew
 from lakeloom.plans import topk_city
 from lakeloom.plans.registry import query
 from lakeloom.plans.tables import Tables
+from lakeloom.session import shared_dir
 
 
 def money_sum(x) -> F.Column:
@@ -32,8 +33,10 @@ LINE_ORDER_SQL = ", ".join(f"{x} DESC" for x in LINE_ORDER)
 
 @query("pipe_topk_city", oracle=topk_city.ORACLE)
 def q_pipe_topk_city(spark, sf):
+    """The whole flow, up to the table that each run replaces."""
     t = Tables(spark, sf)
-    return topk_city.top_items_per_city(t.orders, t.customer, t.nation, t.lineitem)
+    root = shared_dir(spark, "topk_city")
+    return topk_city.run_topk(spark, t.orders, t.customer, t.nation, t.lineitem, f"top_items_{root[-12:]}", root)
 
 
 # --- 2.3 projections and filters -----------------------------------------------------------
@@ -378,7 +381,7 @@ def q_preview(spark, sf):
     return marts.preview(Tables(spark, sf).lineitem, 10, [F.col(x) for x in ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]])
 
 
-@query("limit_sample")
+@query("limit_sample", oracle="SELECT * FROM orders ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 100")
 def q_limit_sample(spark, sf):
     """Seeded hash sample of 100 orders (a sampling operator: the limit is the feature)."""
     return marts.sample_n(Tables(spark, sf).orders, 100, seed=42, key_cols=["o_orderkey"])

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeloom.operators import quality as q
-from lakeloom.plans import flows
-from lakeloom.plans.catalog_quality import EVENT_ERRORS_SQL
+from lakeloom.plans.catalog_quality import EVENT_ERRORS_SQL, WEB_SQL, web_events
 from lakeloom.plans.registry import query
 from lakeloom.plans.tables import Tables
 from lakeloom.session import shared_dir
@@ -114,9 +113,9 @@ def q_stream_bronze(spark, sf):
 
 
 @query("stream_validate", oracle=f"""
-SELECT CAST(event_id AS INTEGER) AS id, CAST(user_id AS INTEGER) AS user_id, event_type FROM events WHERE ({EVENT_ERRORS_SQL}) = ''""")
+SELECT id, user_id, event_type FROM {WEB_SQL} WHERE ({EVENT_ERRORS_SQL}) = ''""")
 def q_stream_validate(spark, sf):
     root, src = _land(spark, sf)
-    sdf = flows.events_as_web_events(st.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1))
+    sdf = web_events(st.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1))
     st.stream_validate(sdf, q.event_rules(), f"{root}/ok", f"{root}/dlq", f"{root}/chk")
     return spark.read.parquet(f"{root}/ok").select("id", "user_id", "event_type")

@@ -198,8 +198,22 @@ def q_rename_retype(spark, sf):
 SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem WHERE l_shipdate <= TIMESTAMP '1999-01-01'
 QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_quantity DESC) = 1""")
 def q_as_of(spark, sf):
+    """Versions stored as validity intervals by the month in which they ended; the look-up skips what ended before."""
     h = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
-    return tb.as_of(h, ["l_orderkey", "l_linenumber"], "l_shipdate", "1999-01-01 00:00:00", ["l_quantity"])
+    path = shared_dir(spark, "versions")
+    tb.store_versions(h, ["l_orderkey", "l_linenumber"], "l_shipdate", path, ["l_quantity"])
+    return tb.stored_as_of(spark, path, "1999-01-01 00:00:00")
+
+
+@query("as_of_price", oracle=f"""
+SELECT ticker, date, close FROM {BARS_SQL} WHERE date <= DATE '2024-01-17'
+QUALIFY ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY date DESC) = 1""")
+def q_as_of_price(spark, sf):
+    """The price that held on a day: a history of many short versions, stored by the day they ended."""
+    bars = flows.price_bars(Tables(spark, sf).events).select("ticker", "date", "close")
+    path = shared_dir(spark, "price_versions")
+    tb.store_versions(bars, ["ticker"], "date", path, grain="week")
+    return tb.stored_as_of(spark, path, "2024-01-17", grain="week")
 
 
 @query("derived_partition", oracle="""
@@ -243,7 +257,7 @@ FROM s WINDOW w AS (PARTITION BY ticker ORDER BY date)"""
 @query("pipe_prices", oracle=PRICES_GOLD_ORACLE)
 def q_pipe_prices(spark, sf):
     """Two runs: the second run's lookback overlaps the first; silver is upserted, so gold
-    counts each (ticker, date) once."""
+    counts each (ticker, date) once, and only the dates from the overlap on are written again."""
     root = shared_dir(spark, "prices")
     bars = flows.price_bars(Tables(spark, sf).events).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
     runs = [("2024-01-20", F.col("date") <= "2024-01-20"), ("2024-01-31", F.col("date") >= "2024-01-15")]
@@ -251,7 +265,7 @@ def q_pipe_prices(spark, sf):
     for run_date, pred in runs:
         sinks.land_bronze(bars.filter(pred), f"{root}/bronze", "ticker", run_date)
         gold, _ = flows.run_prices(spark, f"{root}/bronze",
-                                   f"{root}/silver", f"{root}/dlq", run_date, f"{root}/gold/{run_date}")
+                                   f"{root}/silver", f"{root}/dlq", run_date, f"{root}/gold")
     return gold.select("ticker", "date", "close", "volume", "daily_change", "daily_return_pct",
                        "moving_avg_7d", "moving_avg_30d")
 
@@ -282,5 +296,5 @@ FROM {BARS_SQL} WINDOW w AS (PARTITION BY ticker ORDER BY date)""")
 def q_win_moving_avg(spark, sf):
     from lakeloom.operators import marts
     bars = flows.price_bars(Tables(spark, sf).events)
-    out = marts.time_series_metrics(bars, "ticker", "date", "close", {"moving_avg_7d": 7}, exact_scale=2)
+    out = marts.time_series_metrics(bars, "ticker", "date", "close", {"moving_avg_7d": 7}, exact_scale=2, segment_rows=10_000)
     return out.select("ticker", "date", "moving_avg_7d")

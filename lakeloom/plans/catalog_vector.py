@@ -70,8 +70,10 @@ def _fit(spark, sf):
     train, _ = ml.split_time(_gold_features(spark, sf), "event_date", CUT)
     train = cut_lineage(train)
     share = train.agg(F.avg("label")).first()[0]  # a day counts as predicted when it is likelier than the average day
-    return ml.store(ml.train(train, NUMERIC, CATEGORICAL, reg_param=REG_PARAM, max_iter=500, encoder="target", smoothing=SMOOTHING,
-                             threshold=share, tol=1e-13), shared_dir(spark, "model"))
+    path = shared_dir(spark, "model")
+    ml.train(train, NUMERIC, CATEGORICAL, reg_param=REG_PARAM, max_iter=500, path=path, encoder="target", smoothing=SMOOTHING,
+             threshold=share, tol=1e-13)
+    return path
 
 
 def _model(spark, sf):

@@ -77,14 +77,17 @@ def run_prices(spark: SparkSession, bronze_root: str, silver_path: str, dlq_root
     """NDJSON bronze → validate → split → dedupe (ticker, date) → UPSERT silver, DLQ → gold.
 
     Silver is upserted on (ticker, date), not appended (defect D1), and the DLQ replaces its
-    run-date partition (defect D13). Returns (gold, silver).
+    run-date partition (defect D13). A stored gold table is recomputed from the first date that the run touches: the
+    months from there on, with the rows that the longest average reaches back to; dates before keep their files.
+    Returns (gold, silver).
     """
     glob = f"{bronze_root}/ticker=*/run_date={run_date}/*.json"
     raw = files.read_ndjson(spark, glob, BAR_SCHEMA, base_path=bronze_root).withColumn("date", F.to_date("date"))
     checked = quality.validate(raw, quality.price_rules())
     clean, dlq = quality.split(checked)
     fresh = dd.dedupe_latest(clean, ["ticker", "date"], "event_id", [])
-    fresh = tb.with_partition(fresh, "date", "month", "month")
+    fresh = cut_lineage(tb.with_partition(fresh, "date", "month", "month"))
+    first = fresh.agg(F.min("date")).first()[0]
     if path_exists(spark, silver_path):
         # only the months that this run touches are read, merged and replaced
         stored = spark.read.parquet(silver_path)
@@ -93,13 +96,29 @@ def run_prices(spark: SparkSession, bronze_root: str, silver_path: str, dlq_root
     (sinks.rebalanced(fresh, "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("month").parquet(silver_path))
     sinks.write_dlq(dlq, dlq_root, run_date, "json")
-    silver = spark.read.parquet(silver_path).drop("month")
-    gold = gold_metrics(silver)
-    if gold_path:
+    stored = spark.read.parquet(silver_path)
+    silver = stored.drop("month")
+    if not gold_path:
+        return gold_metrics(silver), silver
+    again = path_exists(spark, gold_path)
+    if not again or first is not None:
+        gold = gold_metrics_from(stored, first) if again else gold_metrics(silver)
         (sinks.rebalanced(gold, "date").sortWithinPartitions("date", "ticker").write.mode("overwrite")
-              .option("partitionOverwriteMode", "static").partitionBy("date").parquet(gold_path))
-        gold = spark.read.parquet(gold_path)
-    return gold, silver
+              .option("partitionOverwriteMode", "dynamic" if again else "static").partitionBy("date").parquet(gold_path))
+    return spark.read.parquet(gold_path), silver
+
+
+#: Rows that a gold row's longest average reaches back to.
+GOLD_HALO = 29
+
+
+def gold_metrics_from(stored: DataFrame, first) -> DataFrame:
+    """The gold rows from ``first`` on, of a silver table stored by month: rows before it are read for the averages only."""
+    day = F.lit(first).cast("date")
+    later = stored.where((F.col("month") >= F.trunc(day, "month")) & (F.col("date") >= day))
+    before = marts.top_k_per(stored.where((F.col("month") <= F.trunc(day, "month")) & (F.col("date") < day)), ["ticker"],
+                             [F.col("date").desc()], GOLD_HALO)
+    return gold_metrics(before.unionByName(later).drop("month")).where(F.col("date") >= day)
 
 
 def gold_metrics(silver: DataFrame) -> DataFrame:
@@ -214,7 +233,7 @@ def run_weblog_full(spark: SparkSession, csv_paths, root: str, principal_groups=
                     cut: str | None = None) -> dict:
     """The whole web-log lakehouse: staging → silver → gold → row policy → model.
 
-    The model predicts ``label = total_purchases > 1`` from (total_events, total_spent),
+    The model predicts ``label = total_purchases > 1`` from events and spend of the customer's earlier days,
     trained on days before ``cut`` and evaluated on the days from ``cut`` (a held-out period;
     with no ``cut`` it is evaluated on its training data, as the sample project does).
     Returns the DataFrames of each layer plus the fitted model.
@@ -223,10 +242,11 @@ def run_weblog_full(spark: SparkSession, csv_paths, root: str, principal_groups=
 
     gold, silver = run_weblog(spark, csv_paths, root)
     secured = governance.secured(gold, {"analysts": F.col("total_spent") > 0}, principal_groups)
-    feats = ml.features(gold, ["total_events", "total_spent"], F.col("total_purchases") > 1,
-                        keep=["customer_id", "event_date"])
+    known = ["earlier_total_events", "earlier_total_spent"]
+    feats = ml.features(ml.earlier_days(gold, "customer_id", "event_date", ["total_events", "total_spent"]), known,
+                        F.col("total_purchases") > 1, keep=["customer_id", "event_date"])
     train, test = ml.split_time(feats, "event_date", cut) if cut else (feats, feats)
-    model = ml.train(train, ["total_events", "total_spent"])
+    model = ml.train(train, known)
     return {
         "silver": silver, "gold": gold, "secured": secured, "model": model,
         "metrics": ml.evaluate(model, test),

@@ -40,7 +40,9 @@ KEYS = ["pipe_topk_city", "validate_rules", "dedupe_latest", "merge_upsert", "pi
         "stream_session", "vector_search", "join_semantic", "discover_pii", "pipe_weblog", "scan_corrupt",
         "stream_dedupe", "stream_validate", "land_bronze", "scan_ndjson_glob", "merge_insert_only", "pipe_daily_sales",
         "update_case", "derived_partition", "mask_columns", "scalar_functions", "write_dlq_json", "dq_error_delta",
-        "cast_reject", "join_cogroup", "hot_keys", "salted_agg", "facade_union", "udf_flatmap"]
+        "cast_reject", "join_cogroup", "hot_keys", "salted_agg", "facade_union", "udf_flatmap", "vector_index_ivf",
+        "vector_index_status", "vector_search_ivf", "dedupe_semantic", "embed_text", "train_logreg", "eval_logreg", "agg_predicted_by_key",
+        "pipe_events_dq", "dq_health", "dq_consistency", "as_of", "as_of_price", "limit_sample"]
 
 
 @pytest.mark.parametrize("key", KEYS)
