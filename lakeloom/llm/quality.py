@@ -104,13 +104,17 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``measures`` and ``failed`` (bigint): bit k is set if rule k fails."""
-    x = measure(df, text)
+    return measure(df, text).withColumn("failed", _failed())
+
+
+def _failed() -> Column:
+    """The failure bits of a row with ``measures``."""
     m = lambda k: F.col("measures")[k]
     bits = [F.when(r.fails(m), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("bigint") for r in RULES]
     total = bits[0]
     for b in bits[1:]:
         total = total.bitwiseOR(b)
-    return x.withColumn("failed", total)
+    return total
 
 
 def rejects(policy: str, failed: str = "failed") -> Column:
@@ -147,4 +151,8 @@ def verdicts(df: DataFrame, text: str = "text", policy: str = PRODUCTION) -> Dat
 def keep(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:
     """Pipeline stage: the documents that ``policy`` keeps, with their own columns only."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-    return verdicts(packed, policy=policy).where("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    # the measurements stand behind a generator: a filter on the verdict would else be pushed below them and work
+    # each out again wherever a rule reads it
+    x = measure(packed).select(F.inline(F.array(F.struct("row", "measures")))).withColumn("failed", _failed())
+    x = x.where(~(rejects("base") | rejects(policy)))
+    return x.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
