@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeloom.llm.common import stored
 from lakeloom.llm.idtable import IdTable, row_slices
 from lakeloom.session import shared_dir
 
@@ -185,4 +186,5 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | No
     spark = docs.sparkSession
     path = path or shared_dir(spark, "tokens")
     write_tokens(docs, path, tokenizer, end_id)
-    return offsets(checksums(read_tokens(spark, path))).select("doc_id", "start", "n_tokens", "ids_crc32")
+    # offsets read the checksums twice; the files are read and summed up once
+    return offsets(stored(checksums(read_tokens(spark, path)), "checksums")).select("doc_id", "start", "n_tokens", "ids_crc32")
