@@ -14,7 +14,8 @@ by chance.
    central document are grouped with it. Inside a group, links are found directly: first to the central
    document, then of what is left against all members, in blocks of bounded size; a
    block gives a spanning forest of its links, never all pairs.
-4. *Heavy-light join* of everything across neighbourhoods. Sets of up to ``x`` shingles are light: they
+   Two groups whose members meet in long lists are compared in the same way, as pairs of blocks.
+4. *Heavy-light join* of everything else across neighbourhoods. Sets of up to ``x`` shingles are light: they
    enumerate the 2-subsets of their prefix, and two light sets meet on an equal subset. Larger
    sets are heavy: they scan the inverted lists of their prefix shingles, which also hold the
    light sets large enough to link with a heavy one. Both prefixes are long enough that a
@@ -63,6 +64,7 @@ class Params:
     block: int = 256
     bucket_rows: int = 1 << 20
     bitmap_bits: int = 26
+    wide: int = 64
 
     def least(self, n: np.ndarray | int):
         """The least overlap that a set of ``n`` can link with."""
@@ -431,8 +433,9 @@ def _long(raw: bytes, keys: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if 4 * len(raw) == len(keys) else "<u4").astype(np.int64)
 
 
-def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Params) -> DataFrame:
-    """Pairs ``(a, b)`` of different neighbourhoods that share enough of their prefixes to link.
+def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(a, b)`` of documents of different neighbourhoods that share enough of their prefixes to link, and
+    pairs of neighbourhoods that meet in wide lists (:func:`list_pairs`).
 
     Postings travel packed: a row holds those of one bucket from one slice of documents. Each bucket counts
     what its pairs share; the counts of a pair are summed over buckets. What two sets share outside both
@@ -469,15 +472,25 @@ def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Param
     posts = posts.repartition("bucket").sortWithinPartitions("bucket")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent(a, b, na, nb, kind, count):
+            columns = [a, b, na, nb, np.full(len(a), kind, np.int32), count]
+            return pa.record_batch([pa.array(z) for z in columns], ["a", "b", "na", "nb", "kind", "shared"])
+
         for (bucket,), group in _groups(batches, 1):
             docs = [np.frombuffer(g[2], np.int64).reshape(3, -1) for g in group]
             base = np.cumsum([0, *(d.shape[1] for d in docs)])
             ids, homes_, sizes = np.concatenate(docs, axis=1)
             key = np.concatenate([np.frombuffer(g[0], np.uint64) for g in group])
             own = np.concatenate([_long(g[1], g[0]) + o for g, o in zip(group, base, strict=False)])
-            for a, b, na, nb, count in list_pairs(key, homes_[own], sizes[own], ids[own], x if bucket % 2 == 0 else -1, p):
-                kind = np.full(len(a), bucket % 2, np.int32)
-                yield pa.record_batch([pa.array(z) for z in (a, b, na, nb, kind, count)], ["a", "b", "na", "nb", "kind", "shared"])
+            del group, docs
+            light = x if bucket % 2 == 0 else -1
+            wide = set()
+            for i, j, count in list_pairs(key, own, ids, homes_, sizes, light, wide, p):
+                i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+                yield sent(ids[i], ids[j], sizes[i], sizes[j], bucket % 2, count)
+            if wide:
+                a, b = np.array(sorted(wide), np.int64).T
+                yield sent(a, b, np.zeros_like(a), np.zeros_like(a), WIDE, np.ones_like(a))
 
     pairs = posts.mapInArrow(meet, "a bigint, b bigint, na bigint, nb bigint, kind int, shared bigint")
     pairs = pairs.groupBy("a", "b", "na", "nb", "kind").agg(F.sum("shared").alias("shared"))
@@ -486,29 +499,46 @@ def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Param
     need = F.ceil(p.percent * (F.col("na") + F.col("nb")) / (100 + p.percent))
     least = lambda n: F.ceil(p.percent * F.col(n) / 100)  # noqa: E731  what lies outside a prefix of n - least(n) + 1 (+ 1)
     rest = F.greatest(least("na"), least("nb")) - 1 - F.col("kind")
-    return pairs.where(m + F.greatest(rest, F.lit(0)) >= need).select("a", "b").distinct()
+    promising = m + F.greatest(rest, F.lit(0)) >= need
+    found = stored(pairs.where((F.col("kind") == WIDE) | promising).select("a", "b", "kind").distinct(), "candidates")
+    return found.where(F.col("kind") != WIDE).select("a", "b").distinct(), found.where(F.col("kind") == WIDE).select("a", "b")
 
 
-#: Pairs of list entries looked at in one step.
-STEP = 1 << 21
+#: Pairs of list entries looked at in one step: some 30 MB of arrays.
+STEP = 1 << 18
+#: Marks a pair of neighbourhoods among the pairs of documents.
+WIDE = 2
 
 
-def list_pairs(key, home, size, doc, light: int, p: Params) -> Iterator[tuple[np.ndarray, ...]]:
-    """(smaller id, larger id, their sizes, lists shared) of entries with equal keys, different homes and near sizes.
+def list_pairs(key, own, ids, home, size, light: int, wide: set, p: Params) -> Iterator[tuple[np.ndarray, ...]]:
+    """``(i, j, lists shared)`` of entries with equal keys, different homes and near sizes.
 
-    Entries of one home lie together in a list, so pairs inside a home aren't even looked at.
-    Pairs of two sets of up to ``light`` shingles are left to the subsets.
+    ``own`` numbers an entry's document, whose id, home and size the next three arrays hold. Pairs inside a home aren't
+    looked at, nor are pairs between two homes that both fill a list with ``p.wide`` entries or more: such
+    homes are added to ``wide``, to be compared as a whole, in blocks. Pairs of two sets of up to ``light`` shingles are left to the subsets.
     """
-    order = np.lexsort((home, key))
-    key, home, size, doc = (z[order] for z in (key, home, size, doc))
     n = len(key)
     if not n:
         return
-    new = np.flatnonzero(key[1:] != key[:-1]) + 1
-    list_end = np.repeat(np.append(new, n), np.diff(np.concatenate([[0], new, [n]])))
-    new = np.flatnonzero((key[1:] != key[:-1]) | (home[1:] != home[:-1])) + 1
-    home_end = np.repeat(np.append(new, n), np.diff(np.concatenate([[0], new, [n]])))
-    todo = np.flatnonzero(list_end > home_end)
+    order = np.lexsort((home[own], key))
+    key, own = key[order], own[order]
+    starts = lambda *by: np.concatenate([[0], np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in by])) + 1])
+    runs = starts(key, home[own])
+    lens = np.diff(np.append(runs, n))
+    # entries of large runs go to the end of their list, so that those before them meet all the others
+    large = np.repeat(lens >= p.wide, lens)
+    order = np.lexsort((home[own], large, key))
+    key, own, large = key[order], own[order], large[order]
+    lists = starts(key)
+    list_end = np.repeat(np.append(lists[1:], n), np.diff(np.append(lists, n)))
+    runs = starts(key, home[own])
+    home_end = np.repeat(np.append(runs[1:], n), np.diff(np.append(runs, n)))
+    heads = runs[large[runs]]
+    cuts = np.append(starts(key[heads]), len(heads)) if len(heads) else heads
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        here = sorted(home[own[heads[lo:hi]]].tolist())
+        wide.update((a, b) for k, a in enumerate(here) for b in here[k + 1:])
+    todo = np.flatnonzero(~large & (list_end > home_end))
     lens = (list_end - home_end)[todo]
     ends = np.cumsum(lens)
     lo = 0
@@ -518,14 +548,42 @@ def list_pairs(key, home, size, doc, light: int, p: Params) -> Iterator[tuple[np
         i = np.repeat(todo[lo:hi], lens[lo:hi])
         j = home_end[i] + np.arange(len(i)) - np.repeat(np.cumsum(lens[lo:hi]) - lens[lo:hi], lens[lo:hi])
         lo = hi
-        ok = (p.needed(size[i], size[j]) <= np.minimum(size[i], size[j])) & (doc[i] != doc[j])
+        i, j = own[i], own[j]
+        ok = (p.needed(size[i], size[j]) <= np.minimum(size[i], size[j])) & (ids[i] != ids[j])
         if light >= 0:
             ok &= (size[i] > light) | (size[j] > light)
         i, j = i[ok], j[ok]
         if len(i):
-            i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
-            rows, count = np.unique(np.stack([doc[i], doc[j], size[i], size[j]]), axis=1, return_counts=True)
-            yield (*rows, count)
+            # numbers of two documents fit one word
+            both, count = np.unique(np.minimum(i, j) << 32 | np.maximum(i, j), return_counts=True)
+            yield both >> 32, both & 0xFFFFFFFF, count
+
+
+def cross_links(docs: DataFrame, homes: DataFrame, wide: DataFrame, p: Params) -> DataFrame:
+    """Links between the members of two neighbourhoods that meet in wide lists, as a spanning forest a pair of blocks."""
+    members = homes.unionByName(homes.select(F.col("home").alias("doc_id"), "home").distinct()).distinct()
+    sizes = members.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks"))
+    dealt = stored(members.join(sizes, "home").withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks")), "members")
+    pairs = wide.join(sizes.select(F.col("home").alias("a"), F.col("blocks").alias("na")), "a").join(
+        sizes.select(F.col("home").alias("b"), F.col("blocks").alias("nb")), "b")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    one = pairs.join(dealt.select(F.col("home").alias("a"), "doc_id", F.col("own").alias("i")), "a").select(
+        "a", "b", "i", each("nb").alias("j"), F.lit(1).alias("asks"), "doc_id")
+    two = pairs.join(dealt.select(F.col("home").alias("b"), "doc_id", F.col("own").alias("j")), "b").select(
+        "a", "b", each("na").alias("i"), "j", F.lit(0).alias("asks"), "doc_id")
+    plan = stored(one.unionByName(two), "blocks")
+    texts = texts_of(docs, plan.select("doc_id"), p)
+    rows = plan.join(texts, "doc_id").select("a", "b", "i", "j", "asks", "doc_id", "text")
+    rows = rows.repartition("a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j", F.desc("asks"), "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in _groups(batches, 4):
+            own = sets(pa.array([r[2] for r in group], pa.string()), p.words)
+            found = block_links([r[1] for r in group], own, [k for k, r in enumerate(group) if r[0]], [], p)
+            if found:
+                yield _edges(found)
+
+    return rows.mapInArrow(run, "a bigint, b bigint")
 
 
 # ---------------------------------------------------------------- the join
@@ -547,7 +605,8 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     x = boundary(reps, classes, p)
     postings = reps.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(postings) // p.bucket_rows + 1)
-    across = verified(docs, stored(candidates(reps, homes, x, buckets, p), "candidates"), p)
+    pairs, wide = candidates(reps, homes, x, buckets, p)
+    across = verified(docs, pairs, p).unionByName(cross_links(docs, homes, wide, p))
     # a repeated id with several sets lies in several classes: they are one component
     ids = full.select("doc_id", "fp").join(class_of, "fp").select("doc_id", "class_id")
     several = ids.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a <> z")
@@ -564,12 +623,17 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
 def keep_one(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """Pipeline stage: of each component the document with the smallest id stays, in one row.
 
-    Documents with a null id have no links and all stay.
+    Rows with that id but other texts stay too, one row a text (the first by a hash of its columns). Documents with a null
+    id have no links and all stay.
     """
     found = stored(join(docs, p).where("doc_id IS NOT NULL").select("doc_id", "component_id"), "joined")
     repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
     kept = docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
+    kept = kept.select(*[F.col(f"`{c}`") for c in docs.columns])
     if not repeated.isEmpty():
-        once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+        every = [F.col(f"`{c}`") for c in docs.columns]
+        once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(
+            F.min_by(F.struct(*every), F.xxhash64(*every)).alias("row"))
+        once = once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+        kept = kept.join(repeated, "doc_id", "left_anti").select(*every).unionByName(once)
+    return kept

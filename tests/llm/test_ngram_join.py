@@ -73,6 +73,7 @@ ODD = [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "Hello World"), (1004,
 
 @pytest.mark.parametrize("seed,settings", [
     (1, {}), (2, {"block": 8, "sketch_bits": 17, "bucket_rows": 500}), (3, {"block": 4, "shared": 7, "hashes": 8, "bitmap_bits": 17}),
+    (5, {"wide": 2, "block": 6, "shared": 7}),  # most pairs of neighbourhoods are compared in blocks
     (4, {"shared": 99}),  # no neighbourhoods at all: everything goes through the heavy-light join
 ])
 def test_join_equals_brute_force(spark, seed, settings):
@@ -103,6 +104,35 @@ def test_stage_keeps_one_of_each_group(spark):
     assert ngram_join.keep_one(df.limit(0)).count() == 0
 
 
+def test_stage_keeps_every_text_of_a_repeated_id(spark):
+    a, b = "one two three four five six " * 3, "red green blue black white grey " * 3
+    data = [(1, a, "x"), (1, b, "x"), (1, b, "y"), (2, a, "x"), (3, b, "x"), (4, "alone here", "x")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    kept = sorted((r["doc_id"], r["text"]) for r in ngram_join.keep_one(df).collect())
+    assert kept == [(1, a), (1, b), (4, "alone here")]
+
+
+def test_pairs_of_wide_homes_are_left_to_the_blocks():
+    """Lists with two homes of many entries, some small homes and singles: every pair is listed or its homes are wide."""
+    r = np.random.default_rng(3)
+    n = 400
+    ids, home, size = np.arange(n) * 7, r.choice([1, 2, 3, *range(100, 130)], n, p=[.3, .3, .1, *[.01] * 30]), r.integers(90, 110, n)
+    key = np.repeat(np.arange(6, dtype=np.uint64), 150)
+    own = np.concatenate([r.choice(n, 150, replace=False) for _ in range(6)])
+    wide, got = set(), {}
+    for i, j, c in ngram_join.list_pairs(key, own, ids, home, size, -1, wide, replace(ngram_join.Params(), wide=20)):
+        for x, y, z in zip(i.tolist(), j.tolist(), c.tolist(), strict=True):
+            got[x, y] = got.get((x, y), 0) + z
+    assert (1, 2) in wide and wide <= {(1, 2), (1, 3), (2, 3)}
+    for k in range(6):
+        entries = own[key == k].tolist()
+        for a in entries:
+            for b in entries:
+                if a < b and home[a] != home[b] and (min(home[a], home[b]), max(home[a], home[b])) not in wide:
+                    assert got.get((a, b), 0) > 0
+    assert all(home[a] != home[b] for a, b in got)
+
+
 def test_large_neighbourhoods_whose_centre_links_with_nobody(spark):
     """Two clusters joined by one link, in small blocks: no block may leave that link to another that leaves it too."""
     data, homes, want, size = [], [], set(), 23
@@ -135,9 +165,9 @@ def test_every_light_boundary_is_right(spark):
     want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
     homes = spark.createDataFrame([], "doc_id long, home long")
     for x in (0, 4, 12, 60, 1000):
-        got = {(r["a"], r["b"]) for r in ngram_join.candidates(prof, homes, x, 8, p).collect()}
-        assert want <= got
-        assert {tuple(r) for r in ngram_join.verified(df, ngram_join.candidates(prof, homes, x, 8, p), p).collect()} == want
+        pairs, wide = ngram_join.candidates(prof, homes, x, 8, p)
+        assert want <= {(r["a"], r["b"]) for r in pairs.collect()} and wide.isEmpty()
+        assert {tuple(r) for r in ngram_join.verified(df, pairs, p).collect()} == want
 
 
 def test_shingle_sets():
