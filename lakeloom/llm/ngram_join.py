@@ -14,7 +14,7 @@ by chance.
    central document are grouped with it. Inside a group, links are found directly: first to the central
    document, then of what is left against all members, in blocks of bounded size; a
    block gives a spanning forest of its links, never all pairs.
-   Two groups whose members meet in long lists are compared in the same way, as pairs of blocks.
+   A document that meets many members of a group in one list is compared with all of them, again in blocks.
 4. *Heavy-light join* of everything else across neighbourhoods. Sets of up to ``x`` shingles are light: they
    enumerate the 2-subsets of their prefix, and two light sets meet on an equal subset. Larger
    sets are heavy: they scan the inverted lists of their prefix shingles, which also hold the
@@ -434,8 +434,8 @@ def _long(raw: bytes, keys: bytes) -> np.ndarray:
 
 
 def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Params) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``(a, b)`` of documents of different neighbourhoods that share enough of their prefixes to link, and
-    pairs of neighbourhoods that meet in wide lists (:func:`list_pairs`).
+    """Pairs ``(a, b)`` of documents of different neighbourhoods that share enough of their prefixes to link, and pairs of
+    a document ``a`` and a neighbourhood ``b`` that it meets in a wide list (:func:`list_pairs`).
 
     Postings travel packed: a row holds those of one bucket from one slice of documents. Each bucket counts
     what its pairs share; the counts of a pair are summed over buckets. What two sets share outside both
@@ -484,13 +484,13 @@ def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Param
             own = np.concatenate([_long(g[1], g[0]) + o for g, o in zip(group, base, strict=False)])
             del group, docs
             light = x if bucket % 2 == 0 else -1
-            wide = set()
-            for i, j, count in list_pairs(key, own, ids, homes_, sizes, light, wide, p):
+            asks: list = []
+            for i, j, count in list_pairs(key, own, ids, homes_, sizes, light, asks, p):
                 i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
                 yield sent(ids[i], ids[j], sizes[i], sizes[j], bucket % 2, count)
-            if wide:
-                a, b = np.array(sorted(wide), np.int64).T
-                yield sent(a, b, np.zeros_like(a), np.zeros_like(a), WIDE, np.ones_like(a))
+            if asks:
+                a, b = np.unique(np.concatenate(asks, axis=1), axis=1)
+                yield sent(ids[a], b, np.zeros_like(a), np.zeros_like(a), WIDE, np.ones_like(a))
 
     pairs = posts.mapInArrow(meet, "a bigint, b bigint, na bigint, nb bigint, kind int, shared bigint")
     pairs = pairs.groupBy("a", "b", "na", "nb", "kind").agg(F.sum("shared").alias("shared"))
@@ -506,16 +506,17 @@ def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Param
 
 #: Pairs of list entries looked at in one step: some 30 MB of arrays.
 STEP = 1 << 18
-#: Marks a pair of neighbourhoods among the pairs of documents.
+#: Marks a pair of a document and a home that it asks as a whole.
 WIDE = 2
 
 
-def list_pairs(key, own, ids, home, size, light: int, wide: set, p: Params) -> Iterator[tuple[np.ndarray, ...]]:
+def list_pairs(key, own, ids, home, size, light: int, asks: list, p: Params) -> Iterator[tuple[np.ndarray, ...]]:
     """``(i, j, lists shared)`` of entries with equal keys, different homes and near sizes.
 
     ``own`` numbers an entry's document, whose id, home and size the next three arrays hold. Pairs inside a home aren't
-    looked at, nor are pairs between two homes that both fill a list with ``p.wide`` entries or more: such
-    homes are added to ``wide``, to be compared as a whole, in blocks. Pairs of two sets of up to ``light`` shingles are left to the subsets.
+    looked at. A home that fills a list with ``p.wide`` entries or more isn't paired entry by entry: the list's other documents
+    ask it as a whole, in blocks; of two such homes the one with fewer entries asks. ``asks`` takes arrays of (document,
+    home). Pairs of two sets of up to ``light`` shingles are left to the subsets.
     """
     n = len(key)
     if not n:
@@ -523,28 +524,33 @@ def list_pairs(key, own, ids, home, size, light: int, wide: set, p: Params) -> I
     order = np.lexsort((home[own], key))
     key, own = key[order], own[order]
     starts = lambda *by: np.concatenate([[0], np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in by])) + 1])
+    ends = lambda first: np.repeat(np.append(first[1:], n), np.diff(np.append(first, n)))  # noqa: E731  of each entry's group
     runs = starts(key, home[own])
     lens = np.diff(np.append(runs, n))
-    # entries of large runs go to the end of their list, so that those before them meet all the others
+    # entries of large runs go to the end of their list
     large = np.repeat(lens >= p.wide, lens)
     order = np.lexsort((home[own], large, key))
     key, own, large = key[order], own[order], large[order]
     lists = starts(key)
-    list_end = np.repeat(np.append(lists[1:], n), np.diff(np.append(lists, n)))
+    small_end = ends(lists) - np.repeat(np.add.reduceat(large, lists, dtype=np.int64), np.diff(np.append(lists, n)))
     runs = starts(key, home[own])
-    home_end = np.repeat(np.append(runs[1:], n), np.diff(np.append(runs, n)))
-    heads = runs[large[runs]]
-    cuts = np.append(starts(key[heads]), len(heads)) if len(heads) else heads
-    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        here = sorted(home[own[heads[lo:hi]]].tolist())
-        wide.update((a, b) for k, a in enumerate(here) for b in here[k + 1:])
-    todo = np.flatnonzero(~large & (list_end > home_end))
-    lens = (list_end - home_end)[todo]
-    ends = np.cumsum(lens)
+    home_end = ends(runs)
+    for lo in lists[large[ends(lists)[lists] - 1]].tolist():
+        hi = int(np.searchsorted(key, key[lo], "right"))
+        here, mine = home[own[lo:hi]], own[lo:hi]
+        hosts, filled = np.unique(here[large[lo:hi]], return_counts=True)
+        rank = {h: k for k, h in enumerate(hosts[np.lexsort((hosts, filled))].tolist())}
+        place = np.array([rank.get(h, -1) for h in here.tolist()])
+        for h, k in rank.items():
+            who = mine[place < k]
+            asks.append(np.stack([who, np.full(len(who), h, np.int64)]))
+    todo = np.flatnonzero(~large & (small_end > home_end))
+    lens = (small_end - home_end)[todo]
+    totals = np.cumsum(lens)
     lo = 0
     while lo < len(todo):
         # a step holds whole entries; one entry has at most as many partners as its list is long
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + STEP, "right")))
+        hi = max(lo + 1, int(np.searchsorted(totals, (totals[lo - 1] if lo else 0) + STEP, "right")))
         i = np.repeat(todo[lo:hi], lens[lo:hi])
         j = home_end[i] + np.arange(len(i)) - np.repeat(np.cumsum(lens[lo:hi]) - lens[lo:hi], lens[lo:hi])
         lo = hi
@@ -559,27 +565,26 @@ def list_pairs(key, own, ids, home, size, light: int, wide: set, p: Params) -> I
             yield both >> 32, both & 0xFFFFFFFF, count
 
 
-def cross_links(docs: DataFrame, homes: DataFrame, wide: DataFrame, p: Params) -> DataFrame:
-    """Links between the members of two neighbourhoods that meet in wide lists, as a spanning forest a pair of blocks."""
+def cross_links(docs: DataFrame, homes: DataFrame, asks: DataFrame, p: Params) -> DataFrame:
+    """Links between documents ``a`` and the members of the homes ``b`` that they ask, as a spanning forest a pair of blocks."""
     members = homes.unionByName(homes.select(F.col("home").alias("doc_id"), "home").distinct()).distinct()
-    sizes = members.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks"))
-    dealt = stored(members.join(sizes, "home").withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks")), "members")
-    pairs = wide.join(sizes.select(F.col("home").alias("a"), F.col("blocks").alias("na")), "a").join(
-        sizes.select(F.col("home").alias("b"), F.col("blocks").alias("nb")), "b")
+    blocks = lambda df: df.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks"))
+    asks = asks.select(F.col("b").alias("home"), F.col("a").alias("doc_id"))
+    members = members.join(asks.select("home").distinct(), "home", "left_semi")
+    sides = blocks(asks).withColumnRenamed("blocks", "na").join(blocks(members).withColumnRenamed("blocks", "nb"), "home")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    one = pairs.join(dealt.select(F.col("home").alias("a"), "doc_id", F.col("own").alias("i")), "a").select(
-        "a", "b", "i", each("nb").alias("j"), F.lit(1).alias("asks"), "doc_id")
-    two = pairs.join(dealt.select(F.col("home").alias("b"), "doc_id", F.col("own").alias("j")), "b").select(
-        "a", "b", each("na").alias("i"), "j", F.lit(0).alias("asks"), "doc_id")
+    one = asks.join(sides, "home").select("home", own("na").alias("i"), each("nb").alias("j"), F.lit(1).alias("asks"), "doc_id")
+    two = members.join(sides, "home").select("home", each("na").alias("i"), own("nb").alias("j"), F.lit(0).alias("asks"), "doc_id")
     plan = stored(one.unionByName(two), "blocks")
     texts = texts_of(docs, plan.select("doc_id"), p)
-    rows = plan.join(texts, "doc_id").select("a", "b", "i", "j", "asks", "doc_id", "text")
-    rows = rows.repartition("a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j", F.desc("asks"), "doc_id")
+    rows = plan.join(texts, "doc_id").select("home", "i", "j", "asks", "doc_id", "text")
+    rows = rows.repartition("home", "i", "j").sortWithinPartitions("home", "i", "j", F.desc("asks"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in _groups(batches, 4):
-            own = sets(pa.array([r[2] for r in group], pa.string()), p.words)
-            found = block_links([r[1] for r in group], own, [k for k, r in enumerate(group) if r[0]], [], p)
+        for _, group in _groups(batches, 3):
+            sets_ = sets(pa.array([r[2] for r in group], pa.string()), p.words)
+            found = block_links([r[1] for r in group], sets_, [k for k, r in enumerate(group) if r[0]], [], p)
             if found:
                 yield _edges(found)
 
@@ -605,8 +610,8 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     x = boundary(reps, classes, p)
     postings = reps.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(postings) // p.bucket_rows + 1)
-    pairs, wide = candidates(reps, homes, x, buckets, p)
-    across = verified(docs, pairs, p).unionByName(cross_links(docs, homes, wide, p))
+    pairs, asks = candidates(reps, homes, x, buckets, p)
+    across = verified(docs, pairs, p).unionByName(cross_links(docs, homes, asks, p))
     # a repeated id with several sets lies in several classes: they are one component
     ids = full.select("doc_id", "fp").join(class_of, "fp").select("doc_id", "class_id")
     several = ids.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a <> z")

@@ -112,25 +112,27 @@ def test_stage_keeps_every_text_of_a_repeated_id(spark):
     assert kept == [(1, a), (1, b), (4, "alone here")]
 
 
-def test_pairs_of_wide_homes_are_left_to_the_blocks():
-    """Lists with two homes of many entries, some small homes and singles: every pair is listed or its homes are wide."""
+def test_wide_homes_are_asked_as_a_whole():
+    """Lists with two homes of many entries, some small homes and singles: every pair is listed, or one of the two asks the other's home."""
     r = np.random.default_rng(3)
     n = 400
     ids, home, size = np.arange(n) * 7, r.choice([1, 2, 3, *range(100, 130)], n, p=[.3, .3, .1, *[.01] * 30]), r.integers(90, 110, n)
     key = np.repeat(np.arange(6, dtype=np.uint64), 150)
     own = np.concatenate([r.choice(n, 150, replace=False) for _ in range(6)])
-    wide, got = set(), {}
-    for i, j, c in ngram_join.list_pairs(key, own, ids, home, size, -1, wide, replace(ngram_join.Params(), wide=20)):
+    asks, got = [], {}
+    for i, j, c in ngram_join.list_pairs(key, own, ids, home, size, -1, asks, replace(ngram_join.Params(), wide=20)):
         for x, y, z in zip(i.tolist(), j.tolist(), c.tolist(), strict=True):
             got[x, y] = got.get((x, y), 0) + z
-    assert (1, 2) in wide and wide <= {(1, 2), (1, 3), (2, 3)}
+    asked = {tuple(x) for x in np.concatenate(asks, axis=1).T.tolist()}
+    assert {h for _, h in asked} <= {1, 2, 3} and all(home[d] != h for d, h in asked)
     for k in range(6):
         entries = own[key == k].tolist()
         for a in entries:
             for b in entries:
-                if a < b and home[a] != home[b] and (min(home[a], home[b]), max(home[a], home[b])) not in wide:
-                    assert got.get((a, b), 0) > 0
+                if a < b and home[a] != home[b]:
+                    assert got.get((a, b), 0) > 0 or (a, home[b]) in asked or (b, home[a]) in asked
     assert all(home[a] != home[b] for a, b in got)
+    assert list(ngram_join.list_pairs(key[:0], own[:0], ids, home, size, -1, asks, ngram_join.Params())) == []
 
 
 def test_large_neighbourhoods_whose_centre_links_with_nobody(spark):
@@ -165,8 +167,8 @@ def test_every_light_boundary_is_right(spark):
     want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
     homes = spark.createDataFrame([], "doc_id long, home long")
     for x in (0, 4, 12, 60, 1000):
-        pairs, wide = ngram_join.candidates(prof, homes, x, 8, p)
-        assert want <= {(r["a"], r["b"]) for r in pairs.collect()} and wide.isEmpty()
+        pairs, asks = ngram_join.candidates(prof, homes, x, 8, p)
+        assert want <= {(r["a"], r["b"]) for r in pairs.collect()} and asks.isEmpty()
         assert {tuple(r) for r in ngram_join.verified(df, pairs, p).collect()} == want
 
 
