@@ -65,6 +65,7 @@ class Params:
     bucket_rows: int = 1 << 20
     bitmap_bits: int = 26
     wide: int = 64
+    ask_block: int = 1024
 
     def least(self, n: np.ndarray | int):
         """The least overlap that a set of ``n`` can link with."""
@@ -568,7 +569,7 @@ def list_pairs(key, own, ids, home, size, light: int, asks: list, p: Params) ->
 def cross_links(docs: DataFrame, homes: DataFrame, asks: DataFrame, p: Params) -> DataFrame:
     """Links between documents ``a`` and the members of the homes ``b`` that they ask, as a spanning forest a pair of blocks."""
     members = homes.unionByName(homes.select(F.col("home").alias("doc_id"), "home").distinct()).distinct()
-    blocks = lambda df: df.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks"))
+    blocks = lambda df: df.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / p.ask_block).alias("blocks"))
     asks = asks.select(F.col("b").alias("home"), F.col("a").alias("doc_id"))
     members = members.join(asks.select("home").distinct(), "home", "left_semi")
     sides = blocks(asks).withColumnRenamed("blocks", "na").join(blocks(members).withColumnRenamed("blocks", "nb"), "home")

@@ -73,7 +73,7 @@ ODD = [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "Hello World"), (1004,
 
 @pytest.mark.parametrize("seed,settings", [
     (1, {}), (2, {"block": 8, "sketch_bits": 17, "bucket_rows": 500}), (3, {"block": 4, "shared": 7, "hashes": 8, "bitmap_bits": 17}),
-    (5, {"wide": 2, "block": 6, "shared": 7}),  # most pairs of neighbourhoods are compared in blocks
+    (5, {"wide": 2, "block": 6, "shared": 7, "ask_block": 5}),  # most pairs of neighbourhoods are compared in blocks
     (4, {"shared": 99}),  # no neighbourhoods at all: everything goes through the heavy-light join
 ])
 def test_join_equals_brute_force(spark, seed, settings):

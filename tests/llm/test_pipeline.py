@@ -62,7 +62,7 @@ def test_stages_take_odd_rows_and_keep_the_columns(spark):
 
 def test_registered_queries():
     found = [k for k in entry.queries() if re.match(r"op\d+_", k)]
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in found) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in found) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert {k for k in entry.oracle_sql() if k.startswith("op")} == {"op6_line_dedup", "op10_quality_rules", "op11_license_scan", "op13_hard_negatives"}
 
