@@ -7,8 +7,9 @@ Lines whose estimate lies near the threshold get their sites counted exactly; th
 far enough from it for the sketch's error. ``dedup`` then drops the lines on ``min_sites``
 sites or more from all documents.
 
-A document with more than half of its words in such lines isn't a page with boilerplate but a
-copy of one: it stays whole, for the near-duplicate join to decide.
+A document all of whose words are in such lines has no text of its own to keep: it is a copy of one that is on
+many sites (or a notice alone). It stays whole, for the near-duplicate join to keep one of the copies; every
+other document loses its boilerplate lines, whatever their share.
 
 Defined results: a null site counts as one site of its own; a null text stays null, an empty
 one empty; lines without a word are never counted nor dropped; a line repeated in a document counts its
@@ -85,7 +86,7 @@ def dedup(df: DataFrame, min_sites: int = 8, key: str = "doc_id", text: str = "t
     keys = [k.alias(n) for k, n in zip(_row_keys(df, key, text), (r1, r2), strict=True)]
     x = df.select("*", *keys).join(found, [r1, r2], "left")
     dropped = F.aggregate(hits, F.lit(0).cast("bigint"), lambda a, h: a + h["words"])
-    whole = F.col(hits).isNull() | (dropped * 2 > F.size(common_words(F.col(text))))
+    whole = F.col(hits).isNull() | (dropped >= F.size(common_words(F.col(text))))
     x = x.withColumn(hits, F.when(~whole, F.sort_array(F.transform(hits, lambda h: h["at"]))))
     x = x.withColumn(every, F.split(F.col(text), "\n"))
     # the kept lines are the slices between neighbouring dropped ones

@@ -120,7 +120,7 @@ def brute_lines(data, least):
             lines = t.split("\n")
             hit = [" ".join(words(x)) in spread for x in lines]
             gone = sum(len(words(x)) for x, h in zip(lines, hit) if h)
-            if any(hit) and 2 * gone <= len(words(t)):
+            if any(hit) and gone < len(words(t)):
                 t = "\n".join(x for x, h in zip(lines, hit) if not h)
         out.append((i, t))
     return out
@@ -129,7 +129,8 @@ def brute_lines(data, least):
 LINES = [(i, f"Share  this page\nown words of document {i} that nobody else has\nmore of them {i}\n\nshare this page", f"s{i}") for i in range(6)]
 LINES += [(10, "Share this page", "s1"), (11, None, "s1"), (12, "", None), (13, "on two sites\nx y z a b c d e", "s1"), (14, "on two sites\nq r s t u v w", None),
           (15, "Share this page\nlong own line of enough words here", None), (15, "Share this page\nlong own line of enough words here", None),
-          (None, "Share this page\nanother own line with quite some words", "s9")]
+          (None, "Share this page\nanother own line with quite some words", "s9"),
+          (16, "Share this page\nown\nshare this page\n\nShare this page", "s2"), (17, "Share this page\nshare this page", "s2")]
 
 
 def test_line_dedup(spark):
@@ -140,6 +141,9 @@ def test_line_dedup(spark):
         want = brute_lines(LINES, least)
         assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(want)
     assert {r["N_Dropped"] for r in line_dedup.clean(df, 3).collect()} == {"k"}
+    # most of 16 is boilerplate and goes all the same; 17 holds nothing else and stays
+    left = {r["doc_id"]: r["text"] for r in line_dedup.clean(df, 3).collect()}
+    assert left[16] == "own\n" and left[17] == "Share this page\nshare this page"
     assert line_dedup.clean(df.limit(0), 3).count() == 0
 
 
