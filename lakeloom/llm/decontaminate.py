@@ -3,8 +3,9 @@
 Texts become templates: numbers, units after a number, and names (capitalised words inside a
 sentence) turn into typed placeholders, the rest into lower-case words. A benchmark item whose
 numbers or names were exchanged keeps its template, so windows of template words still meet. Neighbouring names
-are one placeholder. Each text is read in three ways: a capitalised word that starts a sentence is a word, or
-it is a name, or there are no placeholders at all (literal). Each reading is matched with its own kind.
+are one placeholder, as are the parts of a name with an apostrophe or hyphen. Each text is read in three ways: a capitalised word that starts a sentence is a word, or
+it is a name, or there are no placeholders at all (literal). Each reading is matched with its own kind. A text is
+marked and split once; the three readings are taken from these tokens.
 
 1. *Suspects.* All windows of ``window`` words of each document are hashed and joined with all windows of
    all items, as templates and as literal words (lower case, no placeholders).
@@ -17,7 +18,8 @@ it is a name, or there are no placeholders at all (literal). Each reading is mat
    stay consistent (the longest chain up to each item window is kept, so this may miss a longer one; whole diagonals are looked at anyway).
 
 A document is contaminated by an item if one diagonal or chain holds at least ``share`` percent of the
-item's template windows with consistent slots, or of its literal windows. Template windows with fewer
+item's template windows with consistent slots, or of its literal windows. It holds a literal copy (``literal``) if all of the item's
+literal windows are there. Template windows with fewer
 than ``literals`` words that aren't placeholders are no evidence; literal windows all are, so an item of
 numbers or names alone is found by its copies.
 
@@ -38,6 +40,9 @@ from lakeloom.llm.common import stored
 
 #: Placeholder marks (private-use characters): number, unit, name; a point inside a number, a space inside a name.
 NUMBER, UNIT, NAME, POINT, JOIN = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
+#: Marks of words that the readings take differently: a capitalised word at the start of a sentence, a name right after
+#: it (or its part after ' or -), and a further word or part of a name.
+START, NEXT, MORE = "\ue006", "\ue007", "\ue008"
 #: Readings of a text: templates whose sentences start with a word, or with a name; literal words.
 PLAIN, INITIAL, EXACT = 0, 1, 2
 UNITS = ["km", "cm", "mm", "m", "kg", "g", "mg", "l", "ml", "s", "ms", "h", "min", "hours?", "minutes?", "seconds?", "days?",
@@ -47,37 +52,67 @@ UNITS = ["km", "cm", "mm", "m", "kg", "g", "mg", "l", "ml", "s", "ms", "h", "min
 BROADCAST_ROWS = 500_000
 
 
-def marked(text: Column, initial: bool = False) -> Column:
-    """The text with a mark before each number, unit and name; the values stay. ``initial``: a capitalised
-    word at the start of a sentence is a name too."""
-    before = r"[\p{Ll}\p{N},;:] " + (r"|^|\n|[.!?\"”’)(“] {0,2}" if initial else "")
-    x = F.regexp_replace(text, r"(?<=\p{N})[.,](?=\p{N})", POINT)
-    x = F.regexp_replace(x, rf"\p{{Lu}}(?<=(?:{before})\p{{Lu}})\p{{L}}*", f"{NAME}$0")
-    x = F.regexp_replace(x, rf" {NAME}(?<={NAME}\p{{L}}{{1,40}} {NAME})", JOIN)
-    x = F.regexp_replace(x, rf"(?<=\p{{N}}) ?((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}])", f" {UNIT}$1")
-    x = F.regexp_replace(x, rf"\p{{N}}[\p{{N}}{POINT}]*", f" {NUMBER}$0 ")
+def marked(text: Column) -> Column:
+    """The text in lower case with a mark before each number, unit and capitalised word; the values stay."""
+    gap = "[ '’-]"
+    x = F.regexp_replace(text, r"[.,](?<=\p{N}.)(?=\p{N})", POINT)
+    x = F.regexp_replace(x, r"\p{Lu}(?<=[\p{Ll}\p{N},;:] \p{Lu})", f"{NAME}$0")
+    x = F.regexp_replace(x, r"\p{Lu}(?<=(?:^|\n|[.!?\"”’)(“] {0,2})\p{Lu})(?<!\p{L}’\p{Lu})", f"{START}$0")
+    x = F.regexp_replace(x, rf"['’-](?=\p{{Lu}})(?<=[{NAME}{START}][\p{{L}}'’-]{{1,60}})", f"$0{NAME}")
+    x = F.regexp_replace(x, rf"({gap}){NAME}(?<={NAME}\p{{L}}{{1,40}}{gap}{NAME})", f"$1{MORE}")
+    x = F.regexp_replace(x, rf"({gap}){NAME}(?<={START}\p{{L}}{{1,40}}{gap}{NAME})", f"$1{NEXT}")
+    # a number without a unit leaves a lone mark, which isn't a word
+    x = F.regexp_replace(x, rf"(\p{{N}}[\p{{N}}{POINT}]*)(?: ?((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}]))?", f" {NUMBER}$1 {UNIT}$2 ")
     return F.lower(x)
 
 
-def tokens(marked_text: Column) -> Column:
-    """The words of a marked text; a value keeps its mark."""
-    return F.filter(F.split(F.coalesce(marked_text, F.lit("")), rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{JOIN}]+"), lambda w: w != "")
+def _split(marked_text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(marked_text, F.lit("")), rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{MORE}]+"), lambda w: (w != "") & (w != UNIT))
+
+
+def _mark(word: Column) -> Column:
+    return F.substring(word, 1, 1)
+
+
+def _bare(word: Column) -> Column:
+    """A word without its mark."""
+    return F.when(_mark(word).between(NUMBER, MORE), F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
+def raw_words(marked_text: Column, kind: int) -> Column:
+    """The words of a marked text in a reading, with their values: a name of several words is one, its parts joined."""
+    x = marked_text
+    gap = "[ '’-]"
+    if kind == INITIAL:
+        x = F.replace(F.regexp_replace(x, rf"{gap}[{NEXT}{MORE}]", JOIN), F.lit(START), F.lit(NAME))
+    elif kind == PLAIN:
+        x = F.replace(F.regexp_replace(x, rf"{gap}{MORE}", JOIN), F.lit(START), F.lit(""))
+        x = F.replace(x, F.lit(NEXT), F.lit(NAME))
+    return _split(x) if kind != EXACT else F.transform(_split(x), _bare)
 
 
 def template(words: Column) -> Column:
     """Template words: a marked value becomes its mark alone."""
-    mark = lambda w: F.substring(w, 1, 1)
-    return F.transform(words, lambda w: F.when(mark(w).isin(NUMBER, UNIT, NAME), mark(w)).otherwise(w))
+    return F.transform(words, lambda w: F.when(_mark(w).isin(NUMBER, UNIT, NAME), _mark(w)).otherwise(w))
+
 
+def readings(split: Column) -> list[Column]:
+    """Template words in the three readings, straight from the split words of a marked text."""
+    def plain(w: Column) -> Column:
+        m = _mark(w)
+        return F.when(m == START, F.substring(w, 2, 1 << 30)).when(m == NEXT, F.lit(NAME)).when(m.between(NUMBER, NAME), m).otherwise(w)
 
-def literal_words(text: Column) -> Column:
-    """The words of a text in lower case, values and names as they are."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+    def initial(w: Column) -> Column:
+        m = _mark(w)
+        return F.when(m == START, F.lit(NAME)).when(m.between(NUMBER, NAME), m).otherwise(w)
 
+    return [F.transform(F.filter(split, lambda w: _mark(w) != MORE), plain),
+            F.transform(F.filter(split, lambda w: ~_mark(w).isin(NEXT, MORE)), initial), F.transform(split, _bare)]
 
-def _hash(words: Column, at: Column, size: int, kind: int) -> Column:
+
+def _hash(words: Column, at: Column, size: int) -> Column:
     """A window's hash from the words' hashes, read one by one (a slice of each window costs far more)."""
-    return F.xxhash64(F.lit(kind), *[F.get(words, at + k) for k in range(size)])
+    return F.xxhash64(*[F.get(words, at + k) for k in range(size)])
 
 
 def _hashes(words: Column) -> Column:
@@ -91,7 +126,7 @@ def _starts(words: Column, size: Column | int) -> Column:
 def item_windows(items: DataFrame, window: int, literals: int, key: str = "item_id", text: str = "text") -> DataFrame:
     """``h, kind, size, item_id, item_at, n_windows, item_raw`` of every window of every item: all literal ones,
     and the template ones with enough plain words. A short item is one window."""
-    raw = {PLAIN: tokens(marked(F.col(text))), INITIAL: tokens(marked(F.col(text), True)), EXACT: literal_words(F.col(text))}
+    raw = {k: raw_words(marked(F.col(text)), k) for k in (PLAIN, INITIAL, EXACT)}
     x = items.select(F.col(key).alias("item_id"), F.inline(F.array(*[
         F.struct(F.lit(k).alias("kind"), r.alias("raw"), (r if k == EXACT else template(r)).alias("t")) for k, r in raw.items()])))
     x = x.withColumn("size", F.least(F.lit(window), F.size("t"))).where("size > 0")
@@ -99,7 +134,7 @@ def item_windows(items: DataFrame, window: int, literals: int, key: str = "item_
     plain = F.size(F.filter(F.slice("t", F.col("item_at") + 1, F.col("size")), lambda w: ~w.isin(NUMBER, UNIT, NAME)))
     x = x.where((F.col("kind") == EXACT) | (plain >= literals)).select(
         "item_id", "kind", "size", "item_at",
-        F.xxhash64("kind", _hashes(F.slice("t", F.col("item_at") + 1, F.col("size")))).alias("h"),
+        F.xxhash64(_hashes(F.slice("t", F.col("item_at") + 1, F.col("size")))).alias("h"),
         F.slice("raw", F.col("item_at") + 1, F.col("size")).alias("item_raw"))
     counts = x.groupBy("item_id", "kind").agg(F.count_distinct("item_at").alias("n_windows"))
     return x.join(counts, ["item_id", "kind"])
@@ -149,30 +184,25 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 6, literals: int =
         kinds = [(EXACT, window)]
     hashes = _small(own.select("h").distinct())
 
-    def bare(initial: bool) -> Column:
-        # the first pass reads the template off the text in one pass; values needn't be kept yet
-        t = F.split(F.regexp_replace(marked(F.col(text), initial), rf"([{NUMBER}-{NAME}])[\p{{L}}\p{{M}}\p{{N}}{POINT}{JOIN}]*", "$1"),
-                    rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{JOIN}]+")
-        return F.filter(t, lambda w: w != "")
-
-    def hashed(kind: int, size: int) -> Column:
-        words = F.col(f"h{kind}")
-        return F.coalesce(F.transform(_starts(words, size), lambda at: _hash(words, at, size, kind)), F.array().cast("array<bigint>"))
+    def hashed(words: str, size: int) -> Column:
+        return F.coalesce(F.transform(_starts(F.col(words), size), lambda at: _hash(F.col(words), at, size)), F.array().cast("array<bigint>"))
 
-    x = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("same"), _hashes(bare(False)).alias("h0"),
-                    _hashes(bare(True)).alias("h1"), _hashes(literal_words(F.col(text))).alias("h2"))
-    every = x.select("doc_id", "same", F.explode(F.concat(*[hashed(*k) for k in kinds])).alias("h"))
+    x = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("same"), _split(marked(F.col(text))).alias("t"))
+    x = x.select("doc_id", "same", *[_hashes(r).alias(f"h{k}") for k, r in enumerate(readings(F.col("t")))])
+    # readings that agree on a window give one hash
+    windows = reduce(F.array_union, [hashed(f"h{k}", n) for k, n in kinds])
+    every = x.select("doc_id", "same", F.explode(windows).alias("h"))
     found = stored(every.join(hashes, "h", "left_semi").select("doc_id", "same").distinct(), "suspects")
 
     suspects = _small(found.withColumnRenamed("doc_id", "_id"))
     x = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("same"))
-    x = x.join(suspects, ["same"], "left_semi").select(
-        "doc_id", "same", tokens(marked(F.col("text"))).alias("raw0"), tokens(marked(F.col("text"), True)).alias("raw1"),
-        literal_words(F.col("text")).alias("raw2"))
-    x = x.select("*", _hashes(template(F.col("raw0"))).alias("h0"), _hashes(template(F.col("raw1"))).alias("h1"), _hashes(F.col("raw2")).alias("h2"))
-    parts = [x.select("doc_id", "same", F.col(f"raw{k}").alias("raw"), F.posexplode(hashed(k, n)).alias("at", "h")) for k, n in kinds]
+    x = x.join(suspects, ["same"], "left_semi").select("doc_id", "same", marked(F.col("text")).alias("m"))
+    x = x.select("doc_id", "same", *[raw_words(F.col("m"), k).alias(f"raw{k}") for k in (PLAIN, INITIAL, EXACT)])
+    x = x.select("*", *[_hashes(F.col(f"raw{k}") if k == EXACT else template(F.col(f"raw{k}"))).alias(f"h{k}") for k in (PLAIN, INITIAL, EXACT)])
+    parts = [x.select("doc_id", "same", F.lit(k).alias("kind"), F.lit(n).alias("size"), F.col(f"raw{k}").alias("raw"),
+                      F.posexplode(hashed(f"h{k}", n)).alias("at", "h")) for k, n in kinds]
     x = reduce(DataFrame.unionByName, parts)
-    x = x.join(_small(own), "h").withColumn("raw", F.slice("raw", F.col("at") + 1, F.col("size")))
+    x = x.join(_small(own), ["h", "kind", "size"]).withColumn("raw", F.slice("raw", F.col("at") + 1, F.col("size")))
     pairs = F.filter(F.arrays_zip(F.col("item_raw").alias("i"), F.col("raw").alias("d")),
                      lambda z: F.substring(z["i"], 1, 1).isin(NUMBER, UNIT, NAME))
     x = stored(x.select("doc_id", "same", "item_id", "kind", "n_windows", "at", "item_at", pairs.alias("slots")), "hits")
@@ -188,13 +218,10 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 6, literals: int =
     some = some.where(enough).select(*group, _chain(F.col("hits")).alias("c"))
     some = some.select(*group, F.col("c.n").cast("bigint").alias("n_hits"), F.col("c.slots").alias("slots")).where(enough)
     x = one.withColumn("slots", F.col("slots").cast(SLOTS)).unionByName(some)
-    x = x.withColumn("literal", ~F.exists("slots", lambda z: z["i"] != z["d"]))
-    # slots tell a copy best, those with the most names first; an item found by its literal windows alone is one
     best = F.max(F.struct("n_hits", "n_windows"))
-    literal = [F.max(F.when(F.col("kind") == k, F.col("literal"))) for k in (INITIAL, PLAIN, EXACT)]
     return x.groupBy("doc_id", "item_id").agg(
-        best["n_windows"].alias("n_windows"), best["n_hits"].alias("n_hits"), F.coalesce(*literal).alias("literal"),
-        F.lit(True).alias("consistent"))
+        best["n_windows"].alias("n_windows"), best["n_hits"].alias("n_hits"),
+        F.max((F.col("kind") == EXACT) & (F.col("n_hits") == F.col("n_windows"))).alias("literal"), F.lit(True).alias("consistent"))
 
 
 def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:

@@ -211,6 +211,34 @@ def test_decontamination_finds_shifted_and_sentence_initial_values(spark):
     assert not any(r["literal"] for r in got if r["doc_id"] in (1, 2, 3, 4))
 
 
+def test_decontamination_finds_names_with_apostrophe_or_hyphen(spark):
+    """One name becomes one of several parts; a number word instead of another isn't a literal copy."""
+    item = "every morning before work farmer Omar asks young Petra about seven brown hens that live behind the red barn"
+    names = item.replace("Omar", "O'Neil").replace("Petra", "Jean-Luc")
+    start = "Omar asks young Petra about brown hens behind the barn. Omar feeds them. Omar counts all hens that are left."
+    cases = [(1, names, {1}), (2, names.lower(), {1}), (3, item.replace("seven", "nine"), {1}), (4, item, {1}),
+             (5, start.replace("Omar", "Jean-Luc Picard").replace("Petra", "D’Arcy"), {2})]
+    docs = spark.createDataFrame([(i, f"well {t} indeed" if i < 5 else t) for i, t, _ in cases], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, start)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["literal"] for r in decontaminate.matches(docs, items).collect()}
+    assert {k for k in got if k[0] != 2} == {(i, k) for i, _, ks in cases for k in ks if i != 2}
+    assert [k for k, literal in got.items() if literal] == [(4, 1)]
+
+
+def test_decontamination_readings_agree(spark):
+    """The first pass reads templates off the split words as the second does off the marked text."""
+    texts = ["Mary Ann Smith met Jean-Luc O'Neil at 3.5 km, Bob’s. Jean-Luc Picard saw Ann’s dog\nBob Jones", "", "5km 1,000 x2y É-É A-B’C \n\nÄ", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").unionByName(
+        spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text"))
+    m = decontaminate.marked(F.col("text"))
+    kinds = (decontaminate.PLAIN, decontaminate.INITIAL, decontaminate.EXACT)
+    raw = [decontaminate.raw_words(m, k) for k in kinds]
+    want = [r if k == decontaminate.EXACT else decontaminate.template(r) for k, r in zip(kinds, raw, strict=True)]
+    got = decontaminate.readings(decontaminate._split(m))
+    rows = docs.select(*[(g == w).alias(f"same{k}") for k, g, w in zip(kinds, got, want, strict=True)])
+    assert rows.where("NOT (same0 AND same1 AND same2)").count() == 0
+
+
 def test_decontamination_refuses_inconsistent_slots(spark):
     item = "Alice gave Bob nine red apples and then Alice asked Bob how many green apples Bob wanted from Alice that day"
     fine = item.replace("Alice", "Carol").replace("Bob", "Dave")
