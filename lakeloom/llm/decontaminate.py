@@ -179,7 +179,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 6, literals: int =
     ``literal`` tells a copy from a re-parameterised question. Only consistent diagonals make a row.
     """
     own = stored(item_windows(items, window, literals), "item-windows")
-    kinds = [(r["kind"], r["size"]) for r in own.select("kind", "size").distinct().collect()]
+    kinds = sorted((r["kind"], r["size"]) for r in own.select("kind", "size").distinct().collect())
     if not kinds:
         kinds = [(EXACT, window)]
     hashes = _small(own.select("h").distinct())
@@ -187,14 +187,17 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 6, literals: int =
     def hashed(words: str, size: int) -> Column:
         return F.coalesce(F.transform(_starts(F.col(words), size), lambda at: _hash(F.col(words), at, size)), F.array().cast("array<bigint>"))
 
-    x = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("same"), _split(marked(F.col(text))).alias("t"))
-    x = x.select("doc_id", "same", *[_hashes(r).alias(f"h{k}") for k, r in enumerate(readings(F.col("t")))])
+    x = docs.select(F.xxhash64(text).alias("same"), _split(marked(F.col(text))).alias("t"))
+    x = x.select("same", *[_hashes(r).alias(f"h{k}") for k, r in enumerate(readings(F.col("t")))])
+    # places first, hashes after: a hash for each place is far cheaper than arrays of hashes. Literal words are the most.
+    x = x.select("same", *[f"h{k}" for k in (PLAIN, INITIAL, EXACT)],
+                 F.explode(F.sequence(F.lit(0), F.greatest(F.size(f"h{EXACT}"), F.lit(1)) - 1)).alias("at"))
+    at = F.col("at")
+    x = x.select("same", *[F.when(at + n <= F.size(f"h{k}"), _hash(F.col(f"h{k}"), at, n)).alias(f"w{i}") for i, (k, n) in enumerate(kinds)])
     # readings that agree on a window give one hash
-    windows = reduce(F.array_union, [hashed(f"h{k}", n) for k, n in kinds])
-    every = x.select("doc_id", "same", F.explode(windows).alias("h"))
-    found = stored(every.join(hashes, "h", "left_semi").select("doc_id", "same").distinct(), "suspects")
-
-    suspects = _small(found.withColumnRenamed("doc_id", "_id"))
+    windows = [F.col("w0"), *[F.when(~F.col(f"w{i}").eqNullSafe(F.col(f"w{i - 1}")), F.col(f"w{i}")) for i in range(1, len(kinds))]]
+    every = x.select("same", F.explode(F.array(*windows)).alias("h")).where("h IS NOT NULL")
+    suspects = _small(stored(every.join(hashes, "h", "left_semi").select("same").distinct(), "suspects"))
     x = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("same"))
     x = x.join(suspects, ["same"], "left_semi").select("doc_id", "same", marked(F.col("text")).alias("m"))
     x = x.select("doc_id", "same", *[raw_words(F.col("m"), k).alias(f"raw{k}") for k in (PLAIN, INITIAL, EXACT)])
