@@ -55,20 +55,26 @@ class IdTable:
 
     def encode(self, split: list[list], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, each followed by ``end_id`` if given, and the texts' offsets in them."""
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        return self.gather(list(chain.from_iterable(split)), None, counts, end_id)
+
+    def gather(self, keys: list, codes: np.ndarray | None, counts: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, for the pieces ``keys[codes]`` (all keys in order, if there are no codes) of texts of ``counts`` pieces."""
         if len(self.at) > TABLE_PIECES or self.used > 8 * TABLE_PIECES:
             self.clear()
-        end = int(end_id is not None)
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        which = self._rows(list(chain.from_iterable(split)))
+        end, texts = int(end_id is not None), len(counts)
+        which = self._rows(keys)
+        if codes is not None:
+            which = which[codes]
         sizes = self.sizes[which]
-        text = np.repeat(np.arange(len(split)), counts)
+        text = np.repeat(np.arange(texts), counts)
         before = np.cumsum(sizes) - sizes
         total = int(sizes.sum())
         within = np.arange(total) - np.repeat(before, sizes)
-        out = np.full(total + end * len(split), end_id or 0, np.int32)
+        out = np.full(total + end * texts, end_id or 0, np.int32)
         # each earlier text has added its end id
         out[np.repeat(before + end * text, sizes) + within] = self.ids[np.repeat(self.starts[which], sizes) + within]
-        per_text = np.bincount(text, weights=sizes, minlength=len(split)).astype(np.int64) + end
+        per_text = np.bincount(text, weights=sizes, minlength=texts).astype(np.int64) + end
         return out, np.concatenate([[0], np.cumsum(per_text)])
 
 

@@ -17,10 +17,12 @@ Extra columns are dropped. An empty table writes no rows and reads back empty.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ from lakeloom.session import shared_dir
 
 #: Characters of text encoded at once.
 SLICE_CHARS = 1 << 20
+#: Pieces in a worker's table before it is started anew (a cache: results don't depend on it).
+PIECES = 600_000
 TOKENS_SCHEMA = "doc_id bigint, ids array<int>, part int, seq bigint"
 
 
@@ -47,6 +51,7 @@ class WordEncoder:
         self.check(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.table = IdTable(self._learn)
+        self.known: dict[str, list[int] | None] = {}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [spec["pre_tokenizer"]])
@@ -61,26 +66,38 @@ class WordEncoder:
     #: Words that may be encoded side by side: no signs of added tokens, letters whose classes never change.
     PLAIN = re.compile("[!-~\u00c0-\u024f]+").fullmatch
 
-    def _learn(self, new: list[bytes]) -> list[list[int]]:
-        """The ids of each word. Plain words go to the library a thousand to a text; each piece of a word ends in
-        a token with the end-of-word mark, so their ids are told apart by counting pieces."""
-        words = [w.decode("utf-8") for w in new]
-        plain = [i for i, w in enumerate(words) if w.isascii() and w.isalpha() or self.PLAIN(w) and "<|" not in w] if self.marked else []
+    def _learn(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word. Plain words are cut into pieces, as the tokenizer does, and each new piece goes to the library
+        once, a thousand to a text; each piece ends in a token with the end-of-word mark, so their ids are told apart."""
         out: list = [None] * len(words)
-        for k in range(0, len(plain), 1000):
-            part = plain[k:k + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words[i] for i in part)], add_special_tokens=False)[0].ids, np.int64)
-            counts = np.cumsum([0, *(1 if words[i].isascii() and words[i].isalpha() else len(self.pieces(words[i].lower())) for i in part)])
-            stops = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
-            if stops[-1] == len(ids) and len(stops) == counts[-1] + 1:
-                cuts, listed = stops[counts].tolist(), ids.tolist()
-                for i, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
-                    out[i] = listed[a:b]
+        if self.marked:
+            split = [[w] if w.isascii() and w.isalpha() else self.pieces(w.lower()) if self.PLAIN(w) and "<|" not in w else None for w in words]
+            new: dict[str, list[int]] = {p: [] for w in split if w for p in w}
+            told = self._learn_pieces(list(new))
+            new = dict(zip(new, told, strict=True))
+            for i, w in enumerate(split):
+                if w:
+                    found = [new[p] for p in w]
+                    out[i] = found[0] if len(found) == 1 else None if None in found else list(chain.from_iterable(found))
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = e.ids
         return out
 
+    def _learn_pieces(self, pieces: list[str]) -> list[list[int] | None]:
+        """The ids of pieces, from a table of the worker; none for those whose ids can't be told from their neighbours'."""
+        if len(self.known) > PIECES:
+            self.known.clear()
+        new = [p for p in pieces if p not in self.known]
+        for k in range(0, len(new), 1000):
+            part = new[k:k + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            stops = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+            sure = stops[-1] == len(ids) and len(stops) == len(part) + 1
+            cuts, listed = stops.tolist(), ids.tolist()
+            self.known.update(zip(part, (listed[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)) if sure else repeat(None), strict=False))
+        return [self.known[p] for p in pieces]
+
     @staticmethod
     def check(path: str) -> None:
         """Refuse a tokenizer that may treat a word differently beside other words."""
@@ -97,11 +114,23 @@ class WordEncoder:
         if not (spaces_out and local and added):
             raise ValueError("this tokenizer may look across white space; encode whole texts instead")
 
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, each followed by ``end_id``, and the texts' offsets in them."""
-        raw = (t.encode("utf-8") for t in texts)
         # where the tokenizer lowers case itself, words that differ in A-Z only share an entry
-        return self.table.encode([(t.lower() if self.lower and b"<|" not in t else t).split() for t in raw], end_id)
+        if self.lower:
+            texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        # a text's white space at its ends gives empty words, which have no ids
+        split = pc.ascii_split_whitespace(texts)
+        words = pc.dictionary_encode(split.flatten())
+        new, codes = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        # lists of numbers hold no cycles; the collector would walk the whole table again and again
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self.table.gather(new, codes, pc.list_value_length(split).to_numpy(), end_id)
+        finally:
+            if collecting:
+                gc.enable()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -135,7 +164,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, fi
         for b in batches:
             n = b.num_rows
             for lo, hi in row_slices(pc.utf8_length(b.column(1)).to_pylist(), SLICE_CHARS):
-                ids, offsets = encoder.encode(b.column(1).slice(lo, hi - lo).to_pylist(), end_id)
+                ids, offsets = encoder.encode(b.column(1).slice(lo, hi - lo), end_id)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.record_batch([b.column(0).slice(lo, hi - lo), lists, pa.array(np.full(hi - lo, part, np.int32)),
                                        pa.array(np.arange(done + lo, done + hi))], ["doc_id", "ids", "part", "seq"])
