@@ -4,8 +4,8 @@ index coverage, exact similarity joins and MinHash near-duplicate candidates.
 Scale rules followed here:
 * the query set is broadcast only after its size is checked (``MAX_BROADCAST_QUERIES``, more is an
   error); ``blocked=True`` takes any number through the blocked kernel below, which is exact too;
-* every scoring group holds at most ``block_rows`` base rows and ``block_rows`` query rows:
-  a hot IVF list (or a huge base) is split into hash blocks, and each query meets every
+* every scoring group holds a bounded number of base rows and of query rows (``GROUP_BLOCKS * block_rows``
+  of each in a search): a hot IVF list (or a huge base) is split into hash blocks, and each query meets every
   block of its lists once — partial top-k per block, final top-k per query;
 * scoring is numpy matrix products inside Arrow batches (``mapInPandas`` /
   ``cogroup().applyInPandas``); only k rows per query per block leave a task.
@@ -14,6 +14,7 @@ Scale rules followed here:
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,8 @@ HIT_SCHEMA = "query_id bigint, vec_id bigint, score double"
 MAX_BROADCAST_QUERIES = 4096
 #: Rows (list id and two counts) of a plan that is broadcast; a longer one is joined.
 MAX_BROADCAST_LISTS = 1_000_000
+#: Blocks of rows that are sent to a task together; they are scored in parts.
+GROUP_BLOCKS = 4
 #: Bytes of centroids that are broadcast.
 MAX_CENTROID_BYTES = 64 << 20
 
@@ -44,14 +47,37 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return m
 
 
-def _topk_block(qids: np.ndarray, Q: np.ndarray, bids: np.ndarray, B: np.ndarray, k: int, decimals: int | None = None) -> pd.DataFrame:
-    """Exact top-k of base rows for each query in one block; ties (of scores rounded to ``decimals``, if given) broken by smaller id."""
+def packed(sizes: Sequence[int], most: int) -> np.ndarray:
+    """A group number for each of several lists, in their order: neighbours share a group of ``most`` rows, a longer list has its own."""
+    groups, held = np.zeros(len(sizes), dtype="int64"), 0
+    for i, n in enumerate(sizes):
+        groups[i] = groups[i - 1] if i else 0
+        if held and held + n > most:
+            groups[i], held = groups[i] + 1, 0
+        held += int(n)
+    return groups
+
+
+def in_parts(batches: Iterator[pd.DataFrame], width: int, values: int = 1 << 20) -> Iterator[pd.DataFrame]:
+    """The batches cut so that a matrix with ``width`` columns and a row for each of theirs stays small."""
+    step = max(1, values // max(1, width))
+    for pdf in batches:
+        for i in range(0, len(pdf), step):
+            yield pdf.iloc[i:i + step].reset_index(drop=True)
+
+
+def _topk_block(qids: np.ndarray, Q: np.ndarray, bids: np.ndarray, B: np.ndarray, k: int, decimals: int | None = None,
+                allowed: np.ndarray | None = None) -> pd.DataFrame:
+    """Exact top-k of base rows for each query in one block; ties (of scores rounded to ``decimals``, if given) broken by smaller id.
+    With ``allowed`` (queries by rows) the other pairs score minus infinity."""
     if len(qids) == 0 or len(bids) == 0:
         return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
                              "score": pd.Series([], dtype="float64")})
     S = np.nan_to_num(Q @ B.T, nan=-np.inf)  # (nq, nb)
     if decimals is not None:
         S = np.round(S, decimals)
+    if allowed is not None:
+        S[~allowed] = -np.inf
     kk = min(k, len(bids))
     out_q, out_b, out_s = [], [], []
     for j in range(len(qids)):
@@ -102,10 +128,12 @@ def vector_search(base: DataFrame, queries: DataFrame, k: int = 5, base_id: str
     return _final_topk(b.mapInPandas(kernel, HIT_SCHEMA), k)
 
 
-def _blocked_groups(q: DataFrame, b: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+def _blocked_groups(q: DataFrame, b: DataFrame, block_rows: int, of_q: Sequence[str] = (),
+                    of_b: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, list[str]]:
     """Cut each list into ``ceil(rows / block_rows)`` hash blocks on both sides and replicate
     a query row to every base block of its list (and vice versa): every (query, base) pair of
-    a list meets in exactly one group, and no group exceeds ``block_rows`` rows per side."""
+    a list meets in exactly one group, and no group exceeds ``block_rows`` rows per side.
+    The columns ``of_q`` and ``of_b`` go along."""
     def chunks(df, alias):
         sizes = df.groupBy("list_id").agg(F.count(F.lit(1)).alias("n"))
         return sizes.select("list_id", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(block_rows))).cast("int").alias(alias))
@@ -116,24 +144,43 @@ def _blocked_groups(q: DataFrame, b: DataFrame, block_rows: int) -> tuple[DataFr
     bb = (b.join(plan, "list_id")
            .withColumn("bblk", F.pmod(F.xxhash64("vec_id"), F.col("nb")).cast("int"))
            .withColumn("qblk", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-           .select("list_id", "bblk", "qblk", "vec_id", "vec"))
+           .select("list_id", "bblk", "qblk", "vec_id", "vec", *of_b))
     qq = (q.join(plan, "list_id")
            .withColumn("qblk", F.pmod(F.xxhash64("query_id"), F.col("nq")).cast("int"))
            .withColumn("bblk", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-           .select("list_id", "bblk", "qblk", "query_id", F.col("vec").alias("qvec")))
+           .select("list_id", "bblk", "qblk", "query_id", F.col("vec").alias("qvec"), *of_q))
     return qq, bb, ["list_id", "bblk", "qblk"]
 
 
 def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 2000, decimals: int | None = None) -> DataFrame:
     """Exact top-k of ``b`` rows for each ``q`` row within the same ``list_id``, scored in
-    bounded blocks (see :func:`_blocked_groups`); partial top-k per block, final per query."""
-    qq, bb, keys = _blocked_groups(q, b, block_rows)
+    bounded blocks (see :func:`_blocked_groups`); partial top-k per block, final per query.
+
+    If ``q`` has a column ``lists``, ``list_id`` stands for a group of lists: a query meets only the rows of its group whose
+    ``home`` is in ``lists``. Rows are sent ``GROUP_BLOCKS`` blocks at a time, so that each is copied to fewer tasks.
+    """
+    choosy = "lists" in q.columns
+    qq, bb, keys = _blocked_groups(q, b, GROUP_BLOCKS * block_rows, ["lists"] if choosy else [], ["home"] if choosy else [])
 
     def kernel(qpdf: pd.DataFrame, bpdf: pd.DataFrame) -> pd.DataFrame:
+        found = [_topk_block(np.zeros(0), None, np.zeros(0), None, k)]
         if len(qpdf) == 0 or len(bpdf) == 0:
-            return _topk_block(np.zeros(0), None, np.zeros(0), None, k)
-        return _topk_block(qpdf["query_id"].to_numpy(dtype="int64"), _matrix(qpdf["qvec"]),
-                           bpdf["vec_id"].to_numpy(dtype="int64"), _matrix(bpdf["vec"]), k, decimals)
+            return found[0]
+        bids, B = bpdf["vec_id"].to_numpy(dtype="int64"), _matrix(bpdf["vec"])
+        homes, column = np.unique(bpdf["home"].to_numpy(), return_inverse=True) if choosy else (None, None)
+        for part in in_parts([qpdf], len(bids), block_rows * block_rows):
+            allowed = None
+            if choosy:
+                wanted = np.concatenate(part["lists"].to_list())
+                at = np.repeat(np.arange(len(part)), part["lists"].map(len))
+                place = np.minimum(np.searchsorted(homes, wanted), len(homes) - 1)
+                there = homes[place] == wanted  # a list may have no live row
+                allowed = np.zeros((len(part), len(homes)), bool)
+                allowed[at[there], place[there]] = True
+                allowed = allowed[:, column]
+            hits = _topk_block(part["query_id"].to_numpy(dtype="int64"), _matrix(part["qvec"]), bids, B, k, decimals, allowed)
+            found.append(hits[hits["score"] > -np.inf])
+        return pd.concat(found)
 
     partials = qq.groupBy(*keys).cogroup(bb.groupBy(*keys)).applyInPandas(kernel, HIT_SCHEMA)
     return _final_topk(partials, k)
@@ -232,7 +279,8 @@ def index_status(base: DataFrame, assigned: DataFrame, id_col: str = "vec_id") -
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
     """Share of the exact neighbours that the approximate search also returned."""
-    hit = exact.join(approx.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_semi")
+    # sorted, not broadcast: hits stored by one query after the other are far smaller on disk than in memory
+    hit = exact.join(approx.select("query_id", "vec_id").hint("merge"), ["query_id", "vec_id"], "left_semi")
     tagged = exact.select(F.lit(1).alias("e"), F.lit(0).alias("h")).unionByName(
         hit.select(F.lit(0).alias("e"), F.lit(1).alias("h")))
     return tagged.agg((F.sum("h") / F.sum("e")).alias("recall"))

@@ -206,3 +206,17 @@ def test_empty_groups_of_a_blocked_search(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [0.0, 1.0], 5)], "query_id long, vec array<double>, list_id int")
     b = spark.createDataFrame([(7, [1.0, 0.0], 0)], "vec_id long, vec array<double>, list_id int")
     assert [(r["query_id"], r["vec_id"]) for r in vx.blocked_search(q, b, 3, block_rows=1).collect()] == [(1, 7)]
+
+
+def test_metric_join_sends_a_row_once_to_a_block(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=16)]) for i in range(400)], VECTORS)
+    dealt = mj.dealt_cells(df, "vec_id", "embedding", 0.9, 40)
+    groups = vx.packed(dealt.sizes, 100)
+    rows = dealt.homes.toPandas().assign(block=lambda x: groups[x["cell"]])
+    sent, width = mj._sent(dealt, groups, np.ones(groups.max() + 1, int))
+    frames = list(sent(rows))
+    visits = dealt.visits(rows).sum()
+    assert sum(len(c) for _, _, cells in frames for c in cells) == visits + 400  # with their own cells
+    assert sum(len(at) for _, at, _ in frames) <= 400 * (groups.max() + 1) < visits
+    assert [len(x) for x in vx.in_parts([rows], width, 100 * width)] == [100] * 4
