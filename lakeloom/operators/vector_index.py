@@ -51,6 +51,7 @@ class _Lists(NamedTuple):
     centroids: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
+    rows: np.ndarray
 
     def angles(self, vectors: pd.Series) -> np.ndarray:
         return np.arccos(np.clip(vx._matrix(vectors) @ self.centroids.T, -1.0, 1.0))
@@ -114,7 +115,7 @@ def _collected(table: DataFrame) -> _Lists:
     if size > vx.MAX_CENTROID_BYTES:
         raise ValueError(f"{size} bytes of centroids are too many to broadcast; build fewer lists")
     pdf = table.orderBy("list_id").toPandas()
-    bounds = [pdf[c].to_numpy(dtype="float64") if c in pdf else np.zeros(len(pdf)) for c in ("lo", "hi")]
+    bounds = [pdf[c].to_numpy(dtype="float64") if c in pdf else np.zeros(len(pdf)) for c in ("lo", "hi", "rows")]
     return _Lists(pdf["list_id"].to_numpy(dtype="int64"), vx._matrix(pdf["centroid"]), *bounds)
 
 
@@ -123,7 +124,7 @@ def _assigned(rows: DataFrame, centroids: DataFrame) -> DataFrame:
     known = rows.sparkSession.sparkContext.broadcast(_collected(centroids))
 
     def nearest(batches):
-        for pdf in batches:
+        for pdf in vx.in_parts(batches, len(known.value.ids)):
             a = known.value.angles(pdf["embedding"])
             at = a.argmin(axis=1) if len(pdf) else np.zeros(0, int)
             yield pdf.assign(angle=a[np.arange(len(pdf)), at], list_id=known.value.ids[at].astype("int32"))[
@@ -210,10 +211,13 @@ def _queries(queries: DataFrame, query_id: str, vec: str) -> DataFrame:
     return x.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vec"))
 
 
-def _probes(queries: DataFrame, known, first: int, beyond: bool = False) -> DataFrame:
-    """``query_id, list_id`` of the first lists in probe order; or, ``beyond`` them, of those within the query's ``reach``."""
+def _probes(queries: DataFrame, known, groups: np.ndarray, first: int, beyond: bool = False) -> DataFrame:
+    """``query_id, grp, lists`` of the first lists in probe order; or, ``beyond`` them, of those within the query's ``reach``.
+
+    ``groups`` numbers the group of each list: a query has one row for each group with a list that it probes.
+    """
     def probe(batches):
-        for pdf in batches:
+        for pdf in vx.in_parts(batches, len(groups)):
             bound, order = known.value.bounds(pdf["vec"])
             place = np.empty_like(order)
             np.put_along_axis(place, order, np.broadcast_to(np.arange(order.shape[1]), order.shape), axis=1)
@@ -221,15 +225,24 @@ def _probes(queries: DataFrame, known, first: int, beyond: bool = False) -> Data
             if beyond:
                 wanted = ~wanted & (bound <= pdf["reach"].to_numpy()[:, None] + EPSILON)
             at, column = np.nonzero(wanted)
-            yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy()[at], "list_id": known.value.ids[column].astype("int32")})
+            begins = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(groups[column], prepend=-1) != 0))
+            lists = np.split(known.value.ids[column].astype("int32"), begins[1:]) if len(at) else []
+            yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy()[at[begins]], "grp": groups[column[begins]].astype("int32"), "lists": pd.Series(lists, dtype=object)})
 
-    return queries.mapInPandas(probe, "query_id bigint, list_id int")
+    return queries.mapInPandas(probe, "query_id bigint, grp int, lists array<int>")
 
 
 def _look(rows: DataFrame, queries: DataFrame, probes: DataFrame, k: int, block_rows: int) -> DataFrame:
     # of a stored index only the probed lists' folders are read (dynamic partition pruning)
-    rows = rows.join(F.broadcast(probes.select("list_id").distinct()), "list_id", "left_semi")
-    return vx.blocked_search(queries.join(probes, "query_id"), rows.select("vec_id", "list_id", F.col("embedding").alias("vec")), k, block_rows)
+    rows = rows.join(F.broadcast(_lists_of(probes).select("list_id").distinct()), "list_id", "left_semi")
+    # probes grow with queries times lists but lie in small files, so their size on disk must not choose a broadcast
+    asked = queries.join(probes.hint("merge"), "query_id").withColumnRenamed("grp", "list_id")
+    rows = rows.select("vec_id", F.col("list_id").alias("home"), F.col("grp").alias("list_id"), F.col("embedding").alias("vec"))
+    return vx.blocked_search(asked, rows, k, block_rows)
+
+
+def _lists_of(probes: DataFrame) -> DataFrame:
+    return probes.select("query_id", F.explode("lists").alias("list_id"))
 
 
 def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 5, nprobe: int | None = None, query_id: str = "query_id",
@@ -243,18 +256,22 @@ def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 5, nprob
     known = spark.sparkContext.broadcast(arrays)
     asking, rows = _queries(queries, query_id, vec), live_rows(spark, path, upto)
     first = nprobe or max(1, len(arrays.ids) // 20)
-    probes = stored(_probes(asking, known, first), "probes")
+    # neighbouring lists are searched together: a query is sent once to a group, not once to each list
+    groups = vx.packed(arrays.rows, vx.GROUP_BLOCKS * block_rows)
+    grouped = spark.createDataFrame([(int(i), int(g)) for i, g in zip(arrays.ids, groups, strict=True)], "list_id int, grp int")
+    rows = rows.join(F.broadcast(grouped), "list_id")  # one row a list, fewer than the centroids checked above
+    probes = stored(_probes(asking, known, groups, first), "probes")
     hits = _look(rows, asking, probes, k, block_rows)
     if nprobe:
-        return Found(hits, probes)
+        return Found(hits, _lists_of(probes))
     hits = stored(hits, "hits")
     # the k-th angle so far; a query with fewer hits may not leave out any list
     reach = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"))
     reach = reach.select("query_id", F.when(F.col("n") >= k, F.acos(F.least(F.greatest("s", F.lit(-1.0)), F.lit(1.0)))).alias("reach"))
     widened = asking.join(reach, "query_id", "left").withColumn("reach", F.coalesce("reach", F.lit(4.0)))
-    more = stored(_probes(widened, known, first, beyond=True), "probes")
+    more = stored(_probes(widened, known, groups, first, beyond=True), "probes")
     both = hits.drop("rank").unionByName(_look(rows, asking, more, k, block_rows).drop("rank"))
-    return Found(vx._final_topk(both, k), probes.unionByName(more))
+    return Found(vx._final_topk(both, k), _lists_of(probes.unionByName(more)))
 
 
 def tune_probes(spark: SparkSession, path: str, queries: DataFrame, k: int = 5, recall: float = 0.95, sample: int = 256,
@@ -269,7 +286,7 @@ def tune_probes(spark: SparkSession, path: str, queries: DataFrame, k: int = 5,
     known = spark.sparkContext.broadcast(_collected(lists(spark, path)))
 
     def places(batches):
-        for pdf in batches:
+        for pdf in vx.in_parts(batches, len(known.value.ids)):
             _, order = known.value.bounds(pdf["vec"])
             yield pd.DataFrame({"query_id": np.repeat(pdf["query_id"].to_numpy(), order.shape[1]),
                                 "list_id": known.value.ids[order].ravel().astype("int32"),

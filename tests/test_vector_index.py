@@ -220,3 +220,14 @@ def test_metric_join_sends_a_row_once_to_a_block(spark):
     assert sum(len(c) for _, _, cells in frames for c in cells) == visits + 400  # with their own cells
     assert sum(len(at) for _, at, _ in frames) <= 400 * (groups.max() + 1) < visits
     assert [len(x) for x in vx.in_parts([rows], width, 100 * width)] == [100] * 4
+
+
+def test_probes_are_grouped_and_never_broadcast(spark, index):
+    rows, df, path = index
+    groups = vx.packed([40] * 12, 120)
+    assert groups.tolist() == [0] * 3 + [1] * 3 + [2] * 3 + [3] * 3 and vx.packed([1, 900, 1, 1], 100).tolist() == [0, 1, 2, 2]
+    got = vi.search(spark, path, df, 5, nprobe=12, query_id="vec_id", block_rows=30)
+    assert got.probes.count() == 480 * 12  # every list of every query, from one row a group
+    plan = got.hits._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [query_id" in plan and "BroadcastHashJoin [query_id" not in plan
+    assert found(got.hits) == brute(rows, rows, 5)
