@@ -16,6 +16,8 @@ and each round is written to the shared folder.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,6 +29,8 @@ from lakeloom.session import stored
 #: A pair goes on to the exact comparison if its signatures agree on this much less than the threshold: over five
 #: standard deviations of the estimate from 128 hashes.
 MARGIN = 0.2
+#: Ids that may be broadcast to pick their sets; with more all sets are shuffled.
+BROADCAST_IDS = 500_000
 
 
 def _links(edges: DataFrame) -> DataFrame:
@@ -60,28 +64,39 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _of(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """``sets`` without rows that a join with ``ids`` (a column ``id``) would drop, if the ids are few: wide rows that nobody
+    asks for aren't shuffled."""
+    ids = ids.distinct()
+    return sets.join(F.broadcast(ids), "id", "left_semi") if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else sets
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``u, v`` whose shingle sets are similar enough, compared exactly."""
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("su"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv"))
+    pairs, sets = stored(pairs, "pairs"), sets.select("id", "shingles")
+    left = _of(sets, pairs.select(F.col("u").alias("id"))).select(F.col("id").alias("u"), F.col("shingles").alias("su"))
+    right = _of(sets, pairs.select(F.col("v").alias("id"))).select(F.col("id").alias("v"), F.col("shingles").alias("sv"))
     x = pairs.join(left, "u").join(right, "v").withColumn("n", F.size(F.array_intersect("su", "sv")))
     return x.where(F.col("n") >= threshold * (F.size("su") + F.size("sv") - F.col("n"))).select("u", "v")
 
 
 def _candidates(least: float):
-    """Pairs of a block whose signatures agree enough and whose components (the first number) differ."""
+    """Pairs of a block that share a bucket (the first number of a vector), whose components (the second) differ and whose
+    signatures agree enough."""
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"u": pd.Series([], dtype="int64"), "v": pd.Series([], dtype="int64")})
-        if not len(left) or not len(right):
-            return out
-        u, v = left["query_id"].to_numpy(dtype="int64"), right["vec_id"].to_numpy(dtype="int64")
-        a, b = np.stack(left["qvec"].to_numpy()), np.stack(right["vec"].to_numpy())
-        found = []
-        for i in range(len(u)):
-            agree = (b[:, 1:] == a[i, 1:]).mean(axis=1)
-            j = np.flatnonzero((agree >= least) & (b[:, 0] != a[i, 0]))
-            found.append(pd.DataFrame({"u": np.maximum(u[i], v[j]), "v": np.minimum(u[i], v[j])}))
-        return pd.concat([out, *found])
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if len(left) and len(right):
+            u, v = left["query_id"].to_numpy(dtype="int64"), right["vec_id"].to_numpy(dtype="int64")
+            a, b = np.stack(left["qvec"].to_numpy()), np.stack(right["vec"].to_numpy())
+            order = np.argsort(b[:, 0], kind="stable")
+            v, b = v[order], b[order]
+            lows, highs = np.searchsorted(b[:, 0], a[:, 0], "left"), np.searchsorted(b[:, 0], a[:, 0], "right")
+            for x, row, lo, hi in zip(u, a, lows, highs, strict=True):
+                agree = (b[lo:hi, 2:] == row[2:]).mean(axis=1)
+                found = v[lo:hi][(agree >= least) & (b[lo:hi, 1] != row[1])]
+                us.append(np.maximum(x, found))
+                vs.append(np.minimum(x, found))
+        return pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
     return compare
 
@@ -95,8 +110,9 @@ def near_duplicate_clusters(df: DataFrame, id_col: str = "doc_id", text_col: str
     ``1 - (1 - threshold ** rows_per_band) ** bands``, 0.9999999 by default.
     """
     ids = df.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-    signed = vx.minhash_signatures(df, id_col, text_col, shingle, bands * rows_per_band, partitions).where(F.size("shingles") > 0)
+    signed = vx.minhash_signatures(df, id_col, text_col, shingle, bands * rows_per_band, partitions)
     signed = stored(signed.select("id", "shingles", "sig", F.xxhash64("shingles").alias("h1"), F.xxhash64(F.lit(1), "shingles").alias("h2")), "signatures")
+    signed = signed.where(F.size("shingles") > 0)
     sets = signed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.min_by(F.struct("shingles", "sig"), "id").alias("s"))
     sets = stored(sets.select("h1", "h2", "id", "s.shingles", "s.sig"), "sets")
     copies = signed.select("id", "h1", "h2").join(sets.select("h1", "h2", F.col("id").alias("v")), ["h1", "h2"]).select(F.col("id").alias("u"), "v")
@@ -104,19 +120,22 @@ def near_duplicate_clusters(df: DataFrame, id_col: str = "doc_id", text_col: str
     band = lambda k: F.xxhash64(F.lit(k), F.slice("sig", k * rows_per_band + 1, rows_per_band))
     buckets = sets.select("id", F.explode(F.array(*[band(k) for k in range(bands)])).alias("bucket"))
     centers = buckets.groupBy("bucket").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(buckets.join(centers, "bucket").select("bucket", "id", "center"), "members")
+    members = stored(buckets.join(centers, "bucket").select("bucket", "id", "center", "n"), "members")
     spokes = members.where("id <> center").select(F.col("id").alias("u"), F.col("center").alias("v")).distinct()
     near = stored(_alike(spokes, sets, threshold), "links")
 
     # who isn't alike to the center asks the whole bucket
     asks = members.where("id <> center").join(near.select(F.col("u").alias("id"), F.col("v").alias("center")), ["id", "center"], "left_anti")
-    asks = stored(asks.select("bucket", "id"), "asks")
+    asks = stored(asks.select("bucket", "id", "n"), "asks")
     parts = connected_components(near, "u", "v").withColumnRenamed("component", "part")
-    labelled = sets.select("id", "sig").join(parts, "id", "left").select(
-        "id", F.concat(F.array(F.coalesce("part", "id").cast("bigint")), F.col("sig")).alias("vec"))
-    q = asks.join(labelled, "id").select(F.col("bucket").alias("list_id"), F.col("id").alias("query_id"), "vec")
-    b = members.join(asks.select("bucket").distinct(), "bucket", "left_semi").join(labelled, "id").select(
-        F.col("bucket").alias("list_id"), F.col("id").alias("vec_id"), "vec")
+    asked = stored(members.join(asks.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "id", "n"), "asked")
+    labelled = _of(sets.select("id", "sig"), asked.select("id")).join(parts, "id", "left").select("id", F.coalesce("part", "id").cast("bigint").alias("part"), "sig")
+    # buckets smaller than a block share blocks: a group of its own for each would cost far more than its comparisons
+    groups = max(1, math.ceil(asked.where(F.col("n") <= block_rows).count() / block_rows))
+    place = F.when(F.col("n") <= block_rows, F.pmod(F.xxhash64("bucket"), F.lit(groups))).otherwise(F.col("bucket")).alias("list_id")
+    vec = F.concat(F.array("bucket", "part"), F.col("sig")).alias("vec")
+    q = asks.join(labelled, "id").select(place, F.col("id").alias("query_id"), vec)
+    b = asked.join(labelled, "id").select(place, F.col("id").alias("vec_id"), vec)
     qq, bb, keys = vx._blocked_groups(q, b, block_rows)
     rest = qq.groupBy(*keys).cogroup(bb.groupBy(*keys)).applyInPandas(_candidates(threshold - MARGIN), "u bigint, v bigint")
     more = _alike(rest.distinct(), sets, threshold)

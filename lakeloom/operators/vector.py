@@ -18,11 +18,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeloom.operators.marts import top_k_per
 from lakeloom.session import cut_lineage, spread
@@ -380,12 +382,8 @@ def embed(df: DataFrame, text_col: str = "text", dims: int = 256, id_col: str =
     return out.filter(F.col("status") == "")
 
 
-_SIG_TYPE = "struct<shingles: array<bigint>, sig: array<bigint>>"
-
-
-def _signature_udf(shingle: int, num_hashes: int, seed: int = 42):
-    """Arrow UDF: per-word hashes (computed in the JVM) → (distinct shingle hashes, MinHash
-    signature).
+def _signer(shingle: int, num_hashes: int, seed: int = 42):
+    """Arrow function: (id, per-word hashes computed in the JVM) → (id, distinct shingle hashes, MinHash signature).
 
     Per row it is a small numpy helper: combine ``shingle`` consecutive word hashes into one
     shingle hash, then ``num_hashes`` universal hash permutations as one min-reduction.
@@ -398,25 +396,31 @@ def _signature_udf(shingle: int, num_hashes: int, seed: int = 42):
     no_shingles = np.zeros(0, dtype=np.int64)
     no_sig = np.zeros(num_hashes, dtype=np.int64)
 
-    def one(word_hashes):
-        if word_hashes is None or len(word_hashes) == 0:
+    def one(wh):
+        if not len(wh):
             return no_shingles, no_sig
-        wh = np.asarray(word_hashes, dtype=np.int64).view(np.uint64)
         n = max(1, len(wh) - shingle + 1)
         g = np.zeros(n, dtype=np.uint64)
         with np.errstate(over="ignore"):
             for j in range(min(shingle, len(wh))):
                 g += wh[j:j + n] * mult[j]
             h = np.unique(g)
-            perm = a[:, None] * h[None, :] + b[:, None]
+            perm = a[:, None] * h[None, :]
+            perm += b[:, None]
         return h.view(np.int64), perm.min(axis=1).view(np.int64)
 
-    @F.pandas_udf(_SIG_TYPE)
-    def signature(word_hashes: pd.Series) -> pd.DataFrame:
-        rows = [one(v) for v in word_hashes]
-        return pd.DataFrame({"shingles": [r[0] for r in rows], "sig": [r[1] for r in rows]})
+    def lists(parts):
+        ends = np.cumsum([0, *map(len, parts)])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate([no_shingles, *parts])))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(1)
+            ends, flat = words.offsets.to_numpy(), words.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            rows = [one(flat[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.record_batch([batch.column(0), lists([r[0] for r in rows]), lists([r[1] for r in rows])], ["id", "shingles", "sig"])
 
-    return signature
+    return sign
 
 
 def minhash_signatures(df: DataFrame, id_col: str, text_col: str, shingle: int = 5, num_hashes: int = 64,
@@ -424,14 +428,14 @@ def minhash_signatures(df: DataFrame, id_col: str, text_col: str, shingle: int =
     """Word-shingle MinHash signatures over the whole text: ``(id, shingles, sig)``.
 
     Tokenising and word hashing are JVM expressions (``split`` + ``transform(xxhash64)``);
-    only the shingle combination and the min-hash run in the Arrow UDF. ``partitions`` deals the texts
+    only the shingle combination and the min-hash run in Python, on Arrow batches, once a row. ``partitions`` deals the texts
     to that many tasks first (see ``session.spread``).
     """
     src = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), partitions)
     words = F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
-    hashed = src.select("id", F.transform(words, lambda w: F.xxhash64(w)).alias("wh"))
-    sig = _signature_udf(shingle, num_hashes)(F.col("wh"))
-    return hashed.select("id", sig.alias("s")).select("id", "s.shingles", "s.sig")
+    hashes = F.coalesce(F.transform(words, lambda w: F.xxhash64(w)), F.array().cast("array<bigint>"))
+    schema = StructType([src.schema["id"], *StructType.fromDDL("shingles array<bigint>, sig array<bigint>").fields])
+    return src.select("id", hashes.alias("wh")).mapInArrow(_signer(shingle, num_hashes), schema)
 
 
 def dedupe_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,

@@ -1,8 +1,10 @@
 """The stored vector index, the metric join, near-duplicate clusters, the stored embedder: against brute force."""
 
 import random
+import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +181,25 @@ def test_a_bucket_whose_least_id_is_a_look_alike_keeps_its_pairs(spark):
     assert {r["id"]: r["cluster"] for r in got.collect()} == {0: 0, 1: 1, 2: 1}
 
 
+def test_signatures_are_made_once_a_row(spark):
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, None), (3, "")], "doc_id long, text string")
+    kept = vx.minhash_signatures(df, "doc_id", "text", 5, 8, partitions=2).where(F.size("shingles") > 0)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    # a filter on the signatures isn't pushed below their repartition, which would make them twice
+    assert len(re.findall(r"MapInArrow |ArrowEvalPython ", plan)) == 1
+    rows = kept.collect()
+    assert [(r["id"], len(r["shingles"]), len(r["sig"])) for r in rows] == [(1, 2, 8)]
+
+
+def test_buckets_that_share_a_block_are_kept_apart(spark):
+    sig = [7, 8, 9]
+    left = pd.DataFrame({"query_id": [1, 2], "qvec": [[10, 1, *sig], [20, 2, *sig]]})
+    right = pd.DataFrame({"vec_id": [5, 1, 2, 3, 4], "vec": [[20, 5, 1, 2, 3], [10, 1, *sig], [20, 2, *sig], [10, 3, *sig], [20, 2, *sig]]})
+    got = clusters._candidates(0.6)(left, right)
+    assert list(map(tuple, got.to_numpy())) == [(3, 1)]  # 4 is in the component of 2, 5 is unlike
+    assert clusters._candidates(0.6)(left, right[:0]).empty
+
+
 def test_a_hot_group_of_copies_is_one_cluster(spark):
     text = " ".join(f"w{i}" for i in range(40))
     df = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit(text)).otherwise(
