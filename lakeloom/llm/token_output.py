@@ -6,8 +6,8 @@ from the encoder into ORC's integer run-length encoding (version 2, bit-packed).
 disjoint ascending id ranges, so a look-up by document prunes by file, stripe and row-group
 statistics and by the Bloom filter, and stripes are read in parallel.
 
-The encoder runs the tokenizers library on each distinct white-space separated word once
-and keeps the ids in a table of the worker. This is exact for a tokenizer whose steps never look across
+The encoder cuts each distinct white-space separated word into the tokenizer's pieces, runs the tokenizers library on each
+distinct piece once and keeps the ids in a table of the worker; words that can't be cut safely go to the library whole. This is exact for a tokenizer whose steps never look across
 white space; ``WordEncoder`` refuses any other.
 
 Defined results: a null text counts as empty and gives the end id alone; repeated ids are kept
@@ -22,12 +22,10 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +35,6 @@ from lakeloom.session import shared_dir
 
 #: Characters of text encoded at once.
 SLICE_CHARS = 1 << 20
-#: Pieces in a worker's table before it is started anew (a cache: results don't depend on it).
-PIECES = 600_000
 TOKENS_SCHEMA = "doc_id bigint, ids array<int>, part int, seq bigint"
 
 
@@ -51,11 +47,10 @@ class WordEncoder:
         self.check(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.table = IdTable(self._learn)
-        self.known: dict[str, list[int] | None] = {}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [spec["pre_tokenizer"]])
-        self.pieces = regex.compile(next(p["pattern"]["Regex"] for p in pre if p["type"] == "Split")).findall
+        self.pieces = next(p["pattern"]["Regex"] for p in pre if p["type"] == "Split")
         suffix = spec["model"].get("end_of_word_suffix")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -63,40 +58,40 @@ class WordEncoder:
         self.marked = bool(self.ends.any())
         self.lower = any(n and n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]]))
 
-    #: Words that may be encoded side by side: no signs of added tokens, letters whose classes never change.
-    PLAIN = re.compile("[!-~\u00c0-\u024f]+").fullmatch
-
-    def _learn(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word. Plain words are cut into pieces, as the tokenizer does, and each new piece goes to the library
-        once, a thousand to a text; each piece ends in a token with the end-of-word mark, so their ids are told apart."""
-        out: list = [None] * len(words)
-        if self.marked:
-            split = [[w] if w.isascii() and w.isalpha() else self.pieces(w.lower()) if self.PLAIN(w) and "<|" not in w else None for w in words]
-            new: dict[str, list[int]] = {p: [] for w in split if w for p in w}
-            told = self._learn_pieces(list(new))
-            new = dict(zip(new, told, strict=True))
-            for i, w in enumerate(split):
-                if w:
-                    found = [new[p] for p in w]
-                    out[i] = found[0] if len(found) == 1 else None if None in found else list(chain.from_iterable(found))
+    #: Words that may be cut into pieces and encoded side by side: letters whose classes never change, in lower case either
+    #: (and no signs of added tokens: see ``_plain``).
+    PLAIN = "^[!-~\u00c0-\u012f\u0131-\u024f]+$"
+    _fits = re.compile(PLAIN).fullmatch
+
+    def _learn(self, keys: list[str]) -> list[list[int]]:
+        """The ids of each key. Plain ones, which are pieces, go to the library a thousand to a text; each ends in a token with
+        the end-of-word mark, so their ids are told apart. The others, and pieces that can't be told apart, go alone."""
+        out: list = [None] * len(keys)
+        plain = [i for i, w in enumerate(keys) if self._fits(w) and "<|" not in w] if self.marked else []
+        for k in range(0, len(plain), 1000):
+            part = plain[k:k + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([keys[i] for i in part])], add_special_tokens=False)[0].ids, np.int64)
+            stops = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+            if stops[-1] == len(ids) and len(stops) == len(part) + 1:
+                cuts, listed = stops.tolist(), ids.tolist()
+                for i, x, y in zip(part, cuts[:-1], cuts[1:], strict=True):
+                    out[i] = listed[x:y]
         rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False), strict=True):
+        for i, e in zip(rest, self.tokenizer.encode_batch([keys[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = e.ids
         return out
 
-    def _learn_pieces(self, pieces: list[str]) -> list[list[int] | None]:
-        """The ids of pieces, from a table of the worker; none for those whose ids can't be told from their neighbours'."""
-        if len(self.known) > PIECES:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        for k in range(0, len(new), 1000):
-            part = new[k:k + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
-            stops = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
-            sure = stops[-1] == len(ids) and len(stops) == len(part) + 1
-            cuts, listed = stops.tolist(), ids.tolist()
-            self.known.update(zip(part, (listed[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)) if sure else repeat(None), strict=False))
-        return [self.known[p] for p in pieces]
+    def _cut(self, words: pa.Array) -> pa.Array:
+        """The pieces of each word, as the tokenizer cuts it; a word that isn't plain, or of letters alone, is one."""
+        if not self.marked:
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32)), words)
+        mixed = pc.invert(pc.utf8_is_alpha(words))
+        some = words.filter(mixed)
+        plain = pc.and_not(pc.match_substring_regex(some, self.PLAIN), pc.match_substring(some, "<|"))
+        cut = pc.replace_substring_regex(pc.ascii_lower(some) if self.lower else some, self.pieces, "\\0 ")
+        cut = pc.ascii_rtrim_whitespace(cut)
+        words = pc.replace_with_mask(words, mixed, pc.if_else(plain, cut, some))
+        return pc.split_pattern(words, " ")
 
     @staticmethod
     def check(path: str) -> None:
@@ -122,12 +117,20 @@ class WordEncoder:
         # a text's white space at its ends gives empty words, which have no ids
         split = pc.ascii_split_whitespace(texts)
         words = pc.dictionary_encode(split.flatten())
-        new, codes = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        at, cut = words.indices.to_numpy(), self._cut(words.dictionary)
+        pieces = pc.dictionary_encode(cut.flatten())
+        keys, codes = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
+        # from each text's words to its pieces
+        starts, n = cut.offsets.to_numpy()[:-1], pc.list_value_length(cut).to_numpy()
+        many = n[at]
+        ends = np.cumsum(many)
+        codes = codes[np.repeat(starts[at] - (ends - many), many) + np.arange(many.sum())]
+        stops = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
         # lists of numbers hold no cycles; the collector would walk the whole table again and again
         collecting = gc.isenabled()
         gc.disable()
         try:
-            return self.table.gather(new, codes, pc.list_value_length(split).to_numpy(), end_id)
+            return self.table.gather(keys, codes, np.diff(stops), end_id)
         finally:
             if collecting:
                 gc.enable()

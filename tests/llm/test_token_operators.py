@@ -132,6 +132,23 @@ def test_token_files_hold_bloom_filters_and_row_indexes(spark, tmp_path):
     assert seen[0][1] < seen[1][0]
 
 
+def test_encoder_learns_pieces_not_words():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    t, own = Tokenizer.from_file(WORDS), token_output.WordEncoder(WORDS)
+    rng = random.Random(6)
+    odd = [*"abZ019'.,#|<>\t\n \x1f\u00a0\u3000ÉéİıßſÅΣς×ªº½\u0307漢ﬁ", "'s", "'LL", "''re", "<|endoftext|>", "e\u0301"]
+    texts = ["Red. red, RED! (red) red's", "x'LLy <|endoftext|>", "", *["".join(rng.choices(odd, k=rng.randrange(40))) for _ in range(3000)]]
+    ids, ends = own.encode(pa.array(texts), 1)
+    for x, a, b in zip(texts, ends[:-1], ends[1:], strict=True):
+        assert ids[a:b].tolist() == [*t.encode(x, add_special_tokens=False).ids, 1], x
+    # words that differ in their signs alone share a piece
+    own = token_output.WordEncoder(WORDS)
+    own.encode(pa.array(texts[:1]), 1)
+    assert set(own.table.at) == {"red", ".", ",", "!", "(", ")", "'s"}
+
+
 def test_encoder_refuses_tokenizers_that_look_across_spaces():
     with pytest.raises(ValueError):
         token_output.WordEncoder(vocabularies.path("byte_bpe_50k.json"))
