@@ -31,6 +31,7 @@ carried. Extra columns aren't read. Empty tables give an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -76,7 +77,7 @@ def _mark(word: Column) -> Column:
 
 def _bare(word: Column) -> Column:
     """A word without its mark."""
-    return F.when(_mark(word).between(NUMBER, MORE), F.substring(word, 2, 1 << 30)).otherwise(word)
+    return F.when((word >= NUMBER) & _mark(word).between(NUMBER, MORE), F.substring(word, 2, 1 << 30)).otherwise(word)
 
 
 def raw_words(marked_text: Column, kind: int) -> Column:
@@ -96,18 +97,22 @@ def template(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(_mark(w).isin(NUMBER, UNIT, NAME), _mark(w)).otherwise(w))
 
 
-def readings(split: Column) -> list[Column]:
-    """Template words in the three readings, straight from the split words of a marked text."""
+def readings(split: Column, of: Callable[[Column], Column] = lambda w: w) -> list[Column]:
+    """``of`` the template words in the three readings, straight from the split words of a marked text."""
+    def held(w: Column, *gone: str) -> Column:
+        return (w < NUMBER) | ~_mark(w).isin(*gone)
+
+    # nearly all words sort before the marks; one comparison settles them
     def plain(w: Column) -> Column:
         m = _mark(w)
-        return F.when(m == START, F.substring(w, 2, 1 << 30)).when(m == NEXT, F.lit(NAME)).when(m.between(NUMBER, NAME), m).otherwise(w)
+        return F.when(w < NUMBER, w).when(m == START, F.substring(w, 2, 1 << 30)).when(m == NEXT, F.lit(NAME)).when(m.between(NUMBER, NAME), m).otherwise(w)
 
     def initial(w: Column) -> Column:
         m = _mark(w)
-        return F.when(m == START, F.lit(NAME)).when(m.between(NUMBER, NAME), m).otherwise(w)
+        return F.when(w < NUMBER, w).when(m == START, F.lit(NAME)).when(m.between(NUMBER, NAME), m).otherwise(w)
 
-    return [F.transform(F.filter(split, lambda w: _mark(w) != MORE), plain),
-            F.transform(F.filter(split, lambda w: ~_mark(w).isin(NEXT, MORE)), initial), F.transform(split, _bare)]
+    return [F.transform(F.filter(split, lambda w: held(w, MORE)), lambda w: of(plain(w))),
+            F.transform(F.filter(split, lambda w: held(w, NEXT, MORE)), lambda w: of(initial(w))), F.transform(split, lambda w: of(_bare(w)))]
 
 
 def _hash(words: Column, at: Column, size: int) -> Column:
@@ -188,7 +193,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 6, literals: int =
         return F.coalesce(F.transform(_starts(F.col(words), size), lambda at: _hash(F.col(words), at, size)), F.array().cast("array<bigint>"))
 
     x = docs.select(F.xxhash64(text).alias("same"), _split(marked(F.col(text))).alias("t"))
-    x = x.select("same", *[_hashes(r).alias(f"h{k}") for k, r in enumerate(readings(F.col("t")))])
+    x = x.select("same", *[r.alias(f"h{k}") for k, r in enumerate(readings(F.col("t"), F.xxhash64))])
     # places first, hashes after: a hash for each place is far cheaper than arrays of hashes. Literal words are the most.
     x = x.select("same", *[f"h{k}" for k in (PLAIN, INITIAL, EXACT)],
                  F.explode(F.sequence(F.lit(0), F.greatest(F.size(f"h{EXACT}"), F.lit(1)) - 1)).alias("at"))
@@ -200,6 +205,8 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 6, literals: int =
     suspects = _small(stored(every.join(hashes, "h", "left_semi").select("same").distinct(), "suspects"))
     x = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("same"))
     x = x.join(suspects, ["same"], "left_semi").select("doc_id", "same", marked(F.col("text")).alias("m"))
+    # each kind of window reads the suspects again: their marked texts, not all documents
+    x = stored(x, "suspect-texts")
     x = x.select("doc_id", "same", *[raw_words(F.col("m"), k).alias(f"raw{k}") for k in (PLAIN, INITIAL, EXACT)])
     x = x.select("*", *[_hashes(F.col(f"raw{k}") if k == EXACT else template(F.col(f"raw{k}"))).alias(f"h{k}") for k in (PLAIN, INITIAL, EXACT)])
     parts = [x.select("doc_id", "same", F.lit(k).alias("kind"), F.lit(n).alias("size"), F.col(f"raw{k}").alias("raw"),

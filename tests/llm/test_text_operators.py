@@ -196,6 +196,22 @@ def test_decontamination_finds_every_literal_copy(spark):
     assert all(r["literal"] for r in got)
 
 
+def test_decontamination_marks_suspects_once(spark, tmp_path, monkeypatch):
+    """The readings and window sizes of the second pass are taken from the suspects' marked texts, not from all documents."""
+    plans, stored = {}, decontaminate.stored
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name)
+
+    monkeypatch.setattr(decontaminate, "stored", seen)
+    spark.createDataFrame([(1, "Ann buys 3 red apples and 4 green pears today"), (2, "nothing at all")], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    items = spark.createDataFrame([(1, "Bob buys 5 red apples and 7 green pears today"), (2, "red apples")], "item_id long, text string")
+    got = decontaminate.matches(spark.read.parquet(str(tmp_path / "docs")), items)
+    assert {(r["doc_id"], r["item_id"], r["literal"]) for r in got.collect()} == {(1, 1, False), (1, 2, True)}
+    assert str(tmp_path)[:30] not in plans["hits"] and "/docs" not in plans["hits"] and "/suspect-texts" in plans["hits"]
+
+
 def test_decontamination_finds_shifted_and_sentence_initial_values(spark):
     """A name of another number of words, a word put in, names that start the sentences, names in lower case."""
     items = [(1, "every morning before work the old farmer asks young Ann about new brown hens that live behind the red barn"),
