@@ -21,11 +21,13 @@ by chance.
    light sets large enough to link with a heavy one. Both prefixes are long enough that a
    link shares a subset (a shingle) in it; what a pair shares there is counted over all lists
    and bounds its overlap. ``x`` is where the estimated cost of enumerating passes that of scanning,
-   summed over size classes. Pairs that the bound leaves are verified on whole sets.
+   summed over size classes. Pairs that the bound leaves are verified on whole sets. A list in which each entry
+   would have very many partners isn't paired: its documents are a crowd, compared like a neighbourhood.
 5. *Components* of the verified links and the classes.
 
 Spark deals all of it out by key: lists by hash range, groups by block, candidates by centre. Texts
-are only moved for documents that have candidates, found with a fixed-size bit map.
+are only moved for documents that have candidates, found with a fixed-size bit map; so are profiles of
+copied sets and, in :func:`keep_one`, the documents that may go.
 
 Defined results: a null or empty text (or one of white space) has no shingles, links with nothing
 and is its own component. Documents with the same id are one vertex. A null doc_id gives
@@ -36,14 +38,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import stored
+from lakeloom.llm.common import stored, temp_names
 from lakeloom.llm.components import components
 from lakeloom.llm.shingles import mix, overlap, sets, shingle_hashes, slices
 
@@ -66,6 +69,7 @@ class Params:
     bitmap_bits: int = 26
     wide: int = 64
     ask_block: int = 1024
+    crowd: int = 64
 
     def least(self, n: np.ndarray | int):
         """The least overlap that a set of ``n`` can link with."""
@@ -194,38 +198,61 @@ def neighbourhoods(reps: DataFrame, p: Params) -> DataFrame:
     return home
 
 
-# ---------------------------------------------------------------- texts of some documents
+# ---------------------------------------------------------------- bit maps, texts of some documents
 
-def texts_of(docs: DataFrame, needed: DataFrame, p: Params) -> DataFrame:
-    """``(doc_id, text)`` of the documents with an id in ``needed``.
+def _places(numbers: pa.Array, bits: int) -> np.ndarray:
+    return mix(numbers.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64((1 << bits) - 1)
 
-    A bit map of fixed size over hashed ids filters the scan before anything is shuffled; the join makes it exact.
-    """
-    spark, bits = docs.sparkSession, p.bitmap_bits
-    mask = np.uint64((1 << bits) - 1)
+
+def _marked(bitmap: np.ndarray, numbers: pa.Array) -> pa.Array:
+    at = _places(numbers, len(bitmap).bit_length() + 2)
+    return pa.array(((bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1)).astype(bool))
+
+
+def bit_map(numbers: DataFrame, p: Params) -> Broadcast[bytes]:
+    """The compressed bit map, of fixed size, over the hashed numbers of a table's one column (none null)."""
+    bits = p.bitmap_bits
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << bits >> 3, np.uint8)
         for b in batches:
-            at = mix(b.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)) & mask
+            at = _places(b.column(0), bits)
             np.bitwise_or.at(seen, at >> np.uint64(3), (np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)))
         for k, raw in _emit_counts(seen):
             yield pa.record_batch([pa.array([k], pa.int32()), pa.array([raw], pa.binary())], ["slice", "counts"])
 
-    needed = needed.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    slices = _summed(needed.mapInArrow(mark, "slice int, counts binary"), "u1", np.bitwise_or)
+    slices = _summed(numbers.mapInArrow(mark, "slice int, counts binary"), "u1", np.bitwise_or)
     whole = np.zeros(1 << bits >> 3, np.uint8)
     for k, x in slices.items():
         whole[k << SLICE_BITS:(k << SLICE_BITS) + len(x)] = x
-    shared = spark.sparkContext.broadcast(zlib.compress(whole.tobytes(), 1))
+    return numbers.sparkSession.sparkContext.broadcast(zlib.compress(whole.tobytes(), 1))
+
+
+def in_bit_map(number: Column, shared: Broadcast[bytes]) -> Column:
+    """Whether a number's bit is set: true for every number of the map's table and few others; false for null. Only the numbers go to Python."""
+
+    @F.arrow_udf("boolean")
+    def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bitmap = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        for b in batches:
+            yield _marked(bitmap, b)
+
+    return number.isNotNull() & marked(F.coalesce(number, F.lit(0).cast("bigint")))
+
+
+def texts_of(docs: DataFrame, needed: DataFrame, p: Params) -> DataFrame:
+    """``(doc_id, text)`` of the documents with an id in ``needed``.
+
+    A bit map filters the scan before anything is shuffled; the join makes it exact.
+    """
+    needed = needed.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    shared = bit_map(needed, p)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(zlib.decompress(shared.value), np.uint8)
         for b in batches:
             b = b.filter(b.column(0).is_valid())
-            at = mix(b.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)) & mask
-            hit = (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
-            yield b.filter(pa.array(hit.astype(bool)))
+            yield b.filter(_marked(bitmap, b.column(0)))
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(keep, "doc_id bigint, text string")
     return rows.join(needed, "doc_id")
@@ -435,8 +462,8 @@ def _long(raw: bytes, keys: bytes) -> np.ndarray:
 
 
 def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Params) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``(a, b)`` of documents of different neighbourhoods that share enough of their prefixes to link, and pairs of
-    a document ``a`` and a neighbourhood ``b`` that it meets in a wide list (:func:`list_pairs`).
+    """Pairs ``(a, b)`` of documents of different neighbourhoods that share enough of their prefixes to link, and pairs ``(a, b, kind)`` of
+    a document ``a`` and a neighbourhood ``b`` that it meets in a wide list (``WIDE``) or a crowd ``b`` that it is in (``CROWD``, :func:`list_pairs`).
 
     Postings travel packed: a row holds those of one bucket from one slice of documents. Each bucket counts
     what its pairs share; the counts of a pair are summed over buckets. What two sets share outside both
@@ -452,7 +479,8 @@ def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Param
             parts = []
             for i, (n, raw) in enumerate(zip(sizes.tolist(), b.column(3).to_pylist(), strict=True)):
                 for kind, keys in _postings(np.frombuffer(raw, np.uint64), n, n <= x, n >= low, p):
-                    parts.append((keys, np.full(len(keys), i, np.int32), np.full(len(keys), kind, np.int8)))
+                    if len(keys):  # a set of one shingle posts nothing
+                        parts.append((keys, np.full(len(keys), i, np.int32), np.full(len(keys), kind, np.int8)))
             if not parts:
                 continue
             key, own, kind = (np.concatenate(z) for z in zip(*parts, strict=True))
@@ -486,12 +514,16 @@ def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Param
             del group, docs
             light = x if bucket % 2 == 0 else -1
             asks: list = []
-            for i, j, count in list_pairs(key, own, ids, homes_, sizes, light, asks, p):
+            crowds: list = []
+            for i, j, count in list_pairs(key, own, ids, homes_, sizes, light, asks, p, crowds):
                 i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
                 yield sent(ids[i], ids[j], sizes[i], sizes[j], bucket % 2, count)
-            if asks:
-                a, b = np.unique(np.concatenate(asks, axis=1), axis=1)
-                yield sent(ids[a], b, np.zeros_like(a), np.zeros_like(a), WIDE, np.ones_like(a))
+            for kind, whole in (WIDE, asks), (CROWD, crowds):
+                if whole:
+                    a, b = np.concatenate(whole, axis=1)
+                    # a bucket may number a document more than once
+                    a, b = np.unique(np.stack([ids[a], b]), axis=1)
+                    yield sent(a, b, np.zeros_like(a), np.zeros_like(a), kind, np.ones_like(a))
 
     pairs = posts.mapInArrow(meet, "a bigint, b bigint, na bigint, nb bigint, kind int, shared bigint")
     pairs = pairs.groupBy("a", "b", "na", "nb", "kind").agg(F.sum("shared").alias("shared"))
@@ -501,23 +533,37 @@ def candidates(reps: DataFrame, homes: DataFrame, x: int, buckets: int, p: Param
     least = lambda n: F.ceil(p.percent * F.col(n) / 100)  # noqa: E731  what lies outside a prefix of n - least(n) + 1 (+ 1)
     rest = F.greatest(least("na"), least("nb")) - 1 - F.col("kind")
     promising = m + F.greatest(rest, F.lit(0)) >= need
-    found = stored(pairs.where((F.col("kind") == WIDE) | promising).select("a", "b", "kind").distinct(), "candidates")
-    return found.where(F.col("kind") != WIDE).select("a", "b").distinct(), found.where(F.col("kind") == WIDE).select("a", "b")
+    found = stored(pairs.where((F.col("kind") >= WIDE) | promising).select("a", "b", "kind").distinct(), "candidates")
+    return found.where(F.col("kind") < WIDE).select("a", "b").distinct(), found.where(F.col("kind") >= WIDE)
 
 
 #: Pairs of list entries looked at in one step: some 30 MB of arrays.
 STEP = 1 << 18
-#: Marks a pair of a document and a home that it asks as a whole.
-WIDE = 2
+#: Mark a pair of a document and a home that it asks as a whole, and of a document and the crowd that it is in.
+WIDE, CROWD = 2, 3
+
 
+def _crowd(size: np.ndarray, light: int, p: Params) -> np.ndarray | None:
+    """The entries of a list, by their sizes, that have a partner of a near size, if each has ``p.crowd`` on average; else none."""
+    order = np.argsort(size, kind="stable")
+    s, at = size[order], np.arange(len(size))
+    larger = np.searchsorted(s, 100 * s // p.percent, "right") - np.maximum(at + 1, np.searchsorted(s, light, "right"))
+    if 2 * larger[larger > 0].sum() < p.crowd * len(s):
+        return None
+    return order[(larger > 0) | (s > light) & (np.searchsorted(100 * s, p.percent * s, "left") < at)]
 
-def list_pairs(key, own, ids, home, size, light: int, asks: list, p: Params) -> Iterator[tuple[np.ndarray, ...]]:
+
+def list_pairs(key, own, ids, home, size, light: int, asks: list, p: Params, crowds: list | None = None) -> Iterator[tuple[np.ndarray, ...]]:
     """``(i, j, lists shared)`` of entries with equal keys, different homes and near sizes.
 
     ``own`` numbers an entry's document, whose id, home and size the next three arrays hold. Pairs inside a home aren't
     looked at. A home that fills a list with ``p.wide`` entries or more isn't paired entry by entry: the list's other documents
     ask it as a whole, in blocks; of two such homes the one with fewer entries asks. ``asks`` takes arrays of (document,
     home). Pairs of two sets of up to ``light`` shingles are left to the subsets.
+
+    With ``crowds``, a list whose other entries have ``p.crowd`` partners or more each isn't paired either, for its pairs
+    grow with its square: it is a crowd, named by the member with the least hashed id, and ``crowds`` takes
+    arrays of (document, name). Lists of much the same documents mostly give the same name, so a crowd is compared once.
     """
     n = len(key)
     if not n:
@@ -545,7 +591,18 @@ def list_pairs(key, own, ids, home, size, light: int, asks: list, p: Params) ->
         for h, k in rank.items():
             who = mine[place < k]
             asks.append(np.stack([who, np.full(len(who), h, np.int64)]))
-    todo = np.flatnonzero(~large & (small_end > home_end))
+    todo = ~large & (small_end > home_end)
+    if crowds is not None:
+        partners = np.add.reduceat(np.where(todo, small_end - home_end, 0), lists)
+        for lo in lists[2 * partners >= p.crowd * np.maximum(small_end[lists] - lists, 1)].tolist():
+            hi = int(small_end[lo])
+            near = _crowd(size[own[lo:hi]], light, p)
+            if near is not None:
+                who = own[lo:hi][near]
+                name = ids[who[np.argmin(mix(ids[who].view(np.uint64)))]]
+                crowds.append(np.stack([who, np.full(len(who), name, np.int64)]))
+                todo[lo:hi] = False
+    todo = np.flatnonzero(todo)
     lens = (small_end - home_end)[todo]
     totals = np.cumsum(lens)
     lo = 0
@@ -601,10 +658,15 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     classes = frequency_classes(docs, p)
     prof = stored(profile(docs, classes, p), "profiles")
     full = prof.where("n > 0 AND doc_id IS NOT NULL")
-    reps = full.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    class_of = stored(reps.select("fp", F.col("doc_id").alias("class_id")), "classes")
-    reps = full.join(class_of.withColumnRenamed("class_id", "doc_id"), ["fp", "doc_id"]).dropDuplicates(["fp"])
-    reps = stored(reps.select("doc_id", "n", "mins", "prefix"), "reps")
+    found = stored(full.groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("size")), "classes")
+    class_of = found.select("fp", "class_id")
+    # a set that one row has is its own representative and stays where it is; rows of the others are shuffled
+    number = F.xxhash64("fp")
+    copied = in_bit_map(number, bit_map(found.where("size > 1").select(number), p))
+    marked = full.select("doc_id", "n", "mins", "prefix", "fp", copied.alias("copied"))
+    firsts = marked.where("copied").join(class_of.withColumnRenamed("class_id", "doc_id"), ["fp", "doc_id"]).dropDuplicates(["fp"])
+    columns = ["doc_id", "n", "mins", "prefix"]
+    reps = stored(marked.where("NOT copied").select(*columns).unionByName(firsts.select(*columns)), "reps")
 
     homes = neighbourhoods(reps, p)
     inside = home_links(docs, homes, p)
@@ -612,7 +674,10 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     postings = reps.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(postings) // p.bucket_rows + 1)
     pairs, asks = candidates(reps, homes, x, buckets, p)
-    across = verified(docs, pairs, p).unionByName(cross_links(docs, homes, asks, p))
+    across = verified(docs, pairs, p).unionByName(cross_links(docs, homes, asks.where(F.col("kind") == WIDE), p))
+    # a crowd is compared like a neighbourhood, its name as the centre
+    crowds = asks.where(F.col("kind") == CROWD).select(F.col("a").alias("doc_id"), F.col("b").alias("home"))
+    across = across.unionByName(home_links(docs, crowds, replace(p, block=p.ask_block)))
     # a repeated id with several sets lies in several classes: they are one component
     ids = full.select("doc_id", "fp").join(class_of, "fp").select("doc_id", "class_id")
     several = ids.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a <> z")
@@ -634,10 +699,14 @@ def keep_one(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """
     found = stored(join(docs, p).where("doc_id IS NOT NULL").select("doc_id", "component_id"), "joined")
     repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
-    kept = kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    # most documents stay and aren't shuffled; those with a bit in the map of the others' ids are looked up
+    doubt = temp_names(docs, "doubt")[0]
+    marked = docs.select(*every, in_bit_map(F.col("doc_id").cast("bigint"), bit_map(gone, p)).alias(doubt))
+    looked_up = marked.where(F.col(doubt)).join(gone, "doc_id", "left_anti")
+    kept = marked.where(~F.col(doubt)).select(*every).unionByName(looked_up.select(*every))
     if not repeated.isEmpty():
-        every = [F.col(f"`{c}`") for c in docs.columns]
         once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(
             F.min_by(F.struct(*every), F.xxhash64(*every)).alias("row"))
         once = once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -40,7 +40,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Characters of text handed to the library at once.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 
 
 @dataclass

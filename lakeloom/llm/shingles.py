@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text hashed at once; a longer text is a slice of its own, hashed in steps of as much.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _RANDOM = np.random.default_rng(20240229)
 _ODD = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

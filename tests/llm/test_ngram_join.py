@@ -135,6 +135,77 @@ def test_wide_homes_are_asked_as_a_whole():
     assert list(ngram_join.list_pairs(key[:0], own[:0], ids, home, size, -1, asks, ngram_join.Params())) == []
 
 
+def test_crowded_lists_are_not_paired():
+    """Each pair of a list is listed, or both are in one crowd; a crowd gives a row a document, however long its lists are."""
+    r = np.random.default_rng(5)
+    p = replace(ngram_join.Params(), crowd=20)
+    for light in (-1, 100):
+        for n in (300, 600):
+            ids, home, size = r.permutation(n) * 7 - 900, r.permutation(n), r.choice([60, 95, 100, 105, 300], n)
+            own = np.concatenate([*(r.choice(n, n // 2, replace=False) for _ in range(4)), r.choice(n, 12, replace=False)])
+            key = np.repeat(np.arange(5, dtype=np.uint64), [n // 2] * 4 + [12])
+            crowds, got, every = [], set(), 0
+            for i, j, c in ngram_join.list_pairs(key, own, ids, home, size, light, [], p, crowds):
+                got |= set(zip(i.tolist(), j.tolist(), strict=True))
+            member = {}
+            for d, name in np.concatenate(crowds, axis=1).T.tolist():
+                member.setdefault(d, set()).add(name)
+            assert all(names <= set(ids.tolist()) for names in member.values())
+            for k in range(5):
+                entries = own[key == k].tolist()
+                for a in entries:
+                    for b in entries:
+                        if a < b and p.needed(size[a], size[b]) <= min(size[a], size[b]) and max(size[a], size[b]) > light:
+                            every += 1
+                            assert (a, b) in got or member.get(a, set()) & member.get(b, set())
+            assert len(got) <= 66 and every > n * p.crowd and sum(map(len, member.values())) <= 2 * n
+
+
+def test_sets_of_one_shingle_post_nothing(spark):
+    data = [(1, "one"), (2, "two words"), (3, "one"), (4, "three more words")]
+    got = ngram_join.join(spark.createDataFrame(data, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == [(1, 1, 1), (2, 1, 2), (3, 1, 1), (4, 1, 4)]
+
+
+def test_near_copies_without_neighbourhoods_are_a_crowd(spark):
+    """No row a pair for a group of near copies that no neighbourhood holds, and the links are those of brute force."""
+    r = random.Random(8)
+    base, n = [f"b{i}" for i in range(110)], 160
+    data = [(i, near(r, base, r.randrange(0, 6))) for i in range(1, n)] + [(n, " ".join(f"c{i}" for i in range(70)))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    p = replace(ngram_join.Params(), shared=99)
+    classes = ngram_join.frequency_classes(df, p)
+    prof = ngram_join.profile(df, classes, p).dropDuplicates(["fp"])
+    pairs, groups = ngram_join.candidates(prof, spark.createDataFrame([], "doc_id long, home long"), 0, 3, p)
+    assert pairs.count() <= n * p.crowd // 2 and groups.where(f"kind <> {ngram_join.CROWD}").isEmpty()
+    assert n / 2 < groups.count() <= 8 * n
+    for settings in ({"shared": 99}, {"shared": 99, "crowd": 4, "ask_block": 9, "bitmap_bits": 17}):
+        got = ngram_join.join(df, replace(ngram_join.Params(), **settings)).collect()
+        assert sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got) == brute(data)
+
+
+@pytest.mark.parametrize("seed,settings", [(7, {"shared": 99, "crowd": 3, "ask_block": 7}), (8, {"crowd": 2, "wide": 4, "shared": 7, "bitmap_bits": 17})])
+def test_join_with_crowds_equals_brute_force(spark, seed, settings):
+    data = corpus(seed, 160) + ODD
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = ngram_join.join(df, replace(ngram_join.Params(), **settings)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None) == brute(data)
+
+
+def test_stage_shuffles_only_documents_that_may_go(spark):
+    """Documents whose id has no bit in the map stay in place: they reach the result beside the join, not through it."""
+    data = [(i, f"text {i} of its own kind here", "x") for i in range(400)] + [(1000, "text 7 of its own kind here", "x"), (None, "none", "x")]
+    df = spark.createDataFrame(data, "doc_id long, text string, doubt string")
+    ids = spark.range(0, 400, 3).select("id")
+    shared = ngram_join.bit_map(ids, replace(ngram_join.Params(), bitmap_bits=19))
+    hit = {r["doc_id"] for r in df.where(ngram_join.in_bit_map(df.doc_id, shared)).collect()}
+    assert set(range(0, 400, 3)) <= hit and len(hit) < 150 and None not in hit
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == list(range(400))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.strip().startswith("Union") and plan.count("LeftAnti") == 1
+
+
 def test_large_neighbourhoods_whose_centre_links_with_nobody(spark):
     """Two clusters joined by one link, in small blocks: no block may leave that link to another that leaves it too."""
     data, homes, want, size = [], [], set(), 23
