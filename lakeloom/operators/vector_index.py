@@ -30,20 +30,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeloom.operators import tiles
 from lakeloom.operators import vector as vx
-from lakeloom.session import path_exists, stored
+from lakeloom.session import path_exists, spread_scan, stored
 from lakeloom.sources.sinks import rebalanced
 
 #: Added to an angle before a list is ruled out: far above rounding errors, far below any difference that matters.
 EPSILON = 1e-7
+#: Rows from which a fit is dealt to all cores if its files aren't; another deal starts the fit from other rows.
+FIT_ROWS = 100_000
 ROWS = "vec_id bigint, embedding array<float>, angle double, h bigint"
 
 
 class Found(NamedTuple):
-    """``hits``: query_id, vec_id, score, rank. ``probes``: query_id, list_id of every list looked into."""
+    """``hits``: query_id, vec_id, score, rank. ``probes``: query_id, list_id of every list looked into; ``looked``: query_id, n lists."""
 
     hits: DataFrame
     probes: DataFrame
+    looked: DataFrame
 
 
 class _Lists(NamedTuple):
@@ -62,6 +66,23 @@ class _Lists(NamedTuple):
         bound = np.maximum(0.0, np.maximum(a - self.hi, self.lo - a))
         return bound, np.lexsort((np.broadcast_to(self.ids, a.shape), a, bound), axis=1)
 
+    def near(self, vectors: pd.Series, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """Least angle to a row of each list, and whether the list is one of the ``first`` that are probed."""
+        a = self.angles(vectors)
+        bound = np.maximum(0.0, np.maximum(a - self.hi, self.lo - a))
+        if first >= a.shape[1]:
+            return bound, np.ones(a.shape, bool)
+        last = np.partition(bound, first - 1, axis=1)[:, first - 1:first]
+        sure = bound < last
+        a[bound != last] = np.inf  # of lists with the same bound the nearest centroids come first
+        left = first - sure.sum(axis=1)
+        among = np.sort(a, axis=1)[np.arange(len(a)), left - 1]
+        near = sure | (a <= among[:, None])
+        for i in np.flatnonzero(near.sum(axis=1) > first):  # centroids as far as one another, by id
+            near[i] = sure[i]
+            near[i, np.lexsort((self.ids, a[i]))[:left[i]]] = True
+        return bound, near
+
 
 def _with_direction(df: DataFrame, id_col: str, vec: str) -> DataFrame:
     """``vec_id, embedding, h`` of the rows that have an angle; ``h`` tells a changed vector."""
@@ -159,9 +180,12 @@ def build_index(base: DataFrame, path: str, num_lists: int, now: str, seed: int
     if version(spark, path) >= 0:
         raise ValueError(f"{path} holds an index already; refresh it")
     rows = _with_direction(base, id_col, vec)
+    count = rows.count()
+    if count >= FIT_ROWS:
+        rows = spread_scan(rows)
     _, centroids = vx.build_ivf(rows, num_lists, seed, max_iter=max_iter)
     centroids.write.mode("overwrite").parquet(f"{path}/centroids")
-    _commit(spark, path, 0, rows, None, now, rows.count())
+    _commit(spark, path, 0, rows, None, now, count)
     return path
 
 
@@ -211,38 +235,88 @@ def _queries(queries: DataFrame, query_id: str, vec: str) -> DataFrame:
     return x.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vec"))
 
 
-def _probes(queries: DataFrame, known, groups: np.ndarray, first: int, beyond: bool = False) -> DataFrame:
-    """``query_id, grp, lists`` of the first lists in probe order; or, ``beyond`` them, of those within the query's ``reach``.
-
-    ``groups`` numbers the group of each list: a query has one row for each group with a list that it probes.
-    """
+def _probes(queries: DataFrame, known, first: int, beyond: bool = False) -> DataFrame:
+    """``query_id, lists, n``: a bit for each of the first lists in probe order, or, ``beyond`` them, of those within the query's
+    ``reach``; and how many they are."""
     def probe(batches):
-        for pdf in vx.in_parts(batches, len(groups)):
-            bound, order = known.value.bounds(pdf["vec"])
-            place = np.empty_like(order)
-            np.put_along_axis(place, order, np.broadcast_to(np.arange(order.shape[1]), order.shape), axis=1)
-            wanted = place < first
+        for pdf in vx.in_parts(batches, len(known.value.ids)):
+            bound, wanted = known.value.near(pdf["vec"], first)
             if beyond:
                 wanted = ~wanted & (bound <= pdf["reach"].to_numpy()[:, None] + EPSILON)
-            at, column = np.nonzero(wanted)
-            begins = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(groups[column], prepend=-1) != 0))
-            lists = np.split(known.value.ids[column].astype("int32"), begins[1:]) if len(at) else []
-            yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy()[at[begins]], "grp": groups[column[begins]].astype("int32"), "lists": pd.Series(lists, dtype=object)})
+            bits = [x.tobytes() for x in np.packbits(wanted, axis=1)]
+            yield pd.DataFrame({"query_id": pdf["query_id"], "lists": pd.Series(bits, dtype=object), "n": wanted.sum(axis=1)})
 
-    return queries.mapInPandas(probe, "query_id bigint, grp int, lists array<int>")
+    return queries.mapInPandas(probe, "query_id bigint, lists binary, n bigint")
 
 
-def _look(rows: DataFrame, queries: DataFrame, probes: DataFrame, k: int, block_rows: int) -> DataFrame:
-    # of a stored index only the probed lists' folders are read (dynamic partition pruning)
-    rows = rows.join(F.broadcast(_lists_of(probes).select("list_id").distinct()), "list_id", "left_semi")
-    # probes grow with queries times lists but lie in small files, so their size on disk must not choose a broadcast
-    asked = queries.join(probes.hint("merge"), "query_id").withColumnRenamed("grp", "list_id")
-    rows = rows.select("vec_id", F.col("list_id").alias("home"), F.col("grp").alias("list_id"), F.col("embedding").alias("vec"))
-    return vx.blocked_search(asked, rows, k, block_rows)
+def _bits(lists, count: int) -> np.ndarray:
+    """A row of ``count`` booleans for each of some strings of bits."""
+    return np.unpackbits(np.frombuffer(b"".join(lists), "u1").reshape(len(lists), -1), axis=1, count=count).astype(bool)
 
 
-def _lists_of(probes: DataFrame) -> DataFrame:
-    return probes.select("query_id", F.explode("lists").alias("list_id"))
+def _asked(probes: DataFrame, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether anyone probes each list, and how many queries each group of lists has."""
+    begins = np.flatnonzero(np.diff(groups, prepend=-1))
+
+    def count(batches):
+        for pdf in vx.in_parts(batches, len(groups)):
+            bits = _bits(pdf["lists"], len(groups))
+            n = np.concatenate([bits.any(axis=0), np.logical_or.reduceat(bits, begins, axis=1).sum(axis=0)])
+            yield pd.DataFrame({"place": np.arange(len(n)), "n": n.astype("int64")})
+
+    asked = np.zeros(len(groups) + len(begins), "int64")
+    # a row for each list and group, fewer than the centroids that were collected
+    for place, n in probes.mapInPandas(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n")).collect():
+        asked[place] = n
+    return asked[:len(groups)] > 0, asked[len(groups):]
+
+
+def _look(rows: DataFrame, queries: DataFrame, probes: DataFrame, k: int, arrays: _Lists, block_rows: int) -> DataFrame:
+    """The best rows of each query (query_id, vec and, if it has one, the ``least`` score wanted) in the lists that it probes."""
+    count, most = len(arrays.ids), tiles.tile_rows(block_rows, arrays.centroids.shape[1])
+    # neighbouring lists are searched together: a query is sent once to a group, not once to each list
+    groups = vx.packed(arrays.rows, most)
+    begins = np.flatnonzero(np.diff(groups, prepend=-1))
+    ends = np.append(begins[1:], count)
+    probed, asked = _asked(probes, groups)
+    nb = np.maximum(1, np.ceil(np.bincount(groups, arrays.rows) / most)).astype(int)
+    nq = tiles.blocks(asked, most, nb, rows.sparkSession.sparkContext.defaultParallelism)
+    if not probed.all():  # of a stored index only the probed lists' folders are read
+        rows = rows.where(F.col("list_id").isin([int(i) for i in arrays.ids[probed]]))
+    plan = [(int(i), int(g), int(n - begins[g]), int(nb[g]), int(nq[g])) for n, (i, g) in enumerate(zip(arrays.ids, groups, strict=True))]
+    plan = rows.sparkSession.createDataFrame(plan, "list_id int, grp int, place int, nb int, nq int")
+    rows = rows.join(F.broadcast(plan), "list_id")  # one row a list, fewer than the centroids collected
+    rows = rows.select(F.col("grp").alias("list_id"), F.pmod(F.xxhash64("vec_id"), "nb").alias("blk"), F.col("nq").alias("n"), "vec_id",
+                       F.col("embedding").alias("vec"), "place")
+    # probes grow with the queries but lie in small files, so their size on disk must not choose a broadcast
+    asking = queries.join(probes.drop("n").hint("merge"), "query_id")
+    asking = asking.select("query_id", "vec", "lists", F.xxhash64("query_id").alias("h"), *(["least"] if "least" in queries.columns else []))
+
+    def send(batches):
+        for whole in batches:
+            step = max(1, (1 << 24) // max(1, count))
+            for batch in (whole.slice(i, step) for i in range(0, whole.num_rows, step)):
+                ids, vecs = batch.column(0).to_numpy(), tiles.matrix(batch.column(1), "<f4")
+                bits, h = _bits(batch.column(2).to_pylist(), count), batch.column(3).to_numpy()
+                least = batch.column(4).to_numpy() if batch.num_columns > 4 else None
+                for g, (begin, end) in enumerate(zip(begins, ends, strict=True)):
+                    there = np.flatnonzero(bits[:, begin:end].any(axis=1))
+                    block = h[there] % nq[g]
+                    sent = ((block[x[0]], there[x]) for x in tiles.pieces(block))
+                    yield tiles.packed_batch([(g, b, nb[g], ids[at].tobytes(), vecs[at].tobytes(), np.packbits(bits[at, begin:end], axis=1).tobytes(),
+                                               None if least is None else least[at].tobytes()) for b, at in sent])
+
+    best = tiles.tile_search(asking.mapInArrow(send, tiles.PACKED), tiles.pack(rows, "vec_id", "place"), k, ("<f4", "<f4"))
+    return vx._final_topk(best, k)
+
+
+def _lists_of(probes: DataFrame, ids: np.ndarray) -> DataFrame:
+    def unpack(batches):
+        for pdf in vx.in_parts(batches, len(ids)):
+            at, column = np.nonzero(_bits(pdf["lists"], len(ids)))
+            yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy()[at], "list_id": ids[column].astype("int32")})
+
+    return probes.select("query_id", "lists").mapInPandas(unpack, "query_id bigint, list_id int")
 
 
 def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 5, nprobe: int | None = None, query_id: str = "query_id",
@@ -254,24 +328,22 @@ def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 5, nprob
     upto = version(spark, path) if upto is None else upto
     arrays = _collected(lists(spark, path, upto))
     known = spark.sparkContext.broadcast(arrays)
-    asking, rows = _queries(queries, query_id, vec), live_rows(spark, path, upto)
+    asking, rows = spread_scan(_queries(queries, query_id, vec)), live_rows(spark, path, upto)
     first = nprobe or max(1, len(arrays.ids) // 20)
-    # neighbouring lists are searched together: a query is sent once to a group, not once to each list
-    groups = vx.packed(arrays.rows, vx.GROUP_BLOCKS * block_rows)
-    grouped = spark.createDataFrame([(int(i), int(g)) for i, g in zip(arrays.ids, groups, strict=True)], "list_id int, grp int")
-    rows = rows.join(F.broadcast(grouped), "list_id")  # one row a list, fewer than the centroids checked above
-    probes = stored(_probes(asking, known, groups, first), "probes")
-    hits = _look(rows, asking, probes, k, block_rows)
+    probes = stored(_probes(asking, known, first), "probes")
+    hits = _look(rows, asking, probes, k, arrays, block_rows)
     if nprobe:
-        return Found(hits, _lists_of(probes))
+        return Found(hits, _lists_of(probes, arrays.ids), probes.select("query_id", "n"))
     hits = stored(hits, "hits")
-    # the k-th angle so far; a query with fewer hits may not leave out any list
-    reach = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"))
-    reach = reach.select("query_id", F.when(F.col("n") >= k, F.acos(F.least(F.greatest("s", F.lit(-1.0)), F.lit(1.0)))).alias("reach"))
-    widened = asking.join(reach, "query_id", "left").withColumn("reach", F.coalesce("reach", F.lit(4.0)))
-    more = stored(_probes(widened, known, groups, first, beyond=True), "probes")
-    both = hits.drop("rank").unionByName(_look(rows, asking, more, k, block_rows).drop("rank"))
-    return Found(vx._final_topk(both, k), _lists_of(probes.unionByName(more)))
+    # the k-th score so far; a query with fewer hits may not leave out any list
+    last = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"))
+    last = last.where(F.col("n") >= k).select("query_id", F.least(F.greatest("s", F.lit(-1.0)), F.lit(1.0)).alias("s"))
+    widened = asking.join(last, "query_id", "left").select("query_id", "vec", F.coalesce(F.acos("s"), F.lit(4.0)).alias("reach"),
+                                                           F.coalesce("s", F.lit(-2.0)).alias("least"))
+    more = stored(_probes(widened, known, first, beyond=True), "probes")
+    beyond = _look(rows, widened.drop("reach"), more.where("n > 0"), k, arrays, block_rows)
+    both = probes.unionByName(more)
+    return Found(vx._final_topk(hits.drop("rank").unionByName(beyond.drop("rank")), k), _lists_of(both, arrays.ids), both.select("query_id", "n"))
 
 
 def tune_probes(spark: SparkSession, path: str, queries: DataFrame, k: int = 5, recall: float = 0.95, sample: int = 256,
@@ -303,5 +375,5 @@ def tune_probes(spark: SparkSession, path: str, queries: DataFrame, k: int = 5,
 def probed_share(found: Found, queries: DataFrame, num_lists: int) -> DataFrame:
     """Share of all (query, list) pairs that a search looked into."""
     asked = queries.agg(F.count(F.lit(1)).alias("q"))
-    return found.probes.agg(F.count(F.lit(1)).alias("p")).crossJoin(asked).select(
+    return found.looked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("p")).crossJoin(asked).select(
         F.when(F.col("q") > 0, F.col("p") / (F.col("q") * num_lists)).alias("lists_read"))

@@ -152,6 +152,12 @@ def spread(df, partitions: int | None = None):
     return df.repartition(partitions) if partitions else df
 
 
+def spread_scan(df):
+    """``df`` dealt to the session's parallelism if its files make fewer tasks than that."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return spread(df, tasks) if df._jdf.rdd().getNumPartitions() < tasks else df
+
+
 _SHIPPED: set[str] = set()
 
 
