@@ -4,11 +4,11 @@ index coverage, exact similarity joins and MinHash near-duplicate candidates.
 Scale rules followed here:
 * the query set is broadcast only after its size is checked (``MAX_BROADCAST_QUERIES``, more is an
   error); ``blocked=True`` takes any number through the blocked kernel below, which is exact too;
-* every scoring group holds a bounded number of base rows and of query rows (``GROUP_BLOCKS * block_rows``
-  of each in a search): a hot IVF list (or a huge base) is split into hash blocks, and each query meets every
+* every scoring group holds a bounded number of base rows and of query rows (a tile, see :mod:`tiles`):
+  a hot IVF list (or a huge base) is split into hash blocks, and each query meets every
   block of its lists once — partial top-k per block, final top-k per query;
 * scoring is numpy matrix products inside Arrow batches (``mapInPandas`` /
-  ``cogroup().applyInPandas``); only k rows per query per block leave a task.
+  ``cogroup().applyInArrow``); only k rows per query per block leave a task.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeloom.operators import tiles
 from lakeloom.operators.marts import top_k_per
 from lakeloom.session import cut_lineage, spread
 from lakeloom.sources.sinks import rebalanced
@@ -34,7 +35,7 @@ HIT_SCHEMA = "query_id bigint, vec_id bigint, score double"
 MAX_BROADCAST_QUERIES = 4096
 #: Rows (list id and two counts) of a plan that is broadcast; a longer one is joined.
 MAX_BROADCAST_LISTS = 1_000_000
-#: Blocks of rows that are sent to a task together; they are scored in parts.
+#: Blocks of rows that the similarity join sends to a task together; they are scored in parts.
 GROUP_BLOCKS = 4
 #: Bytes of centroids that are broadcast.
 MAX_CENTROID_BYTES = 64 << 20
@@ -68,18 +69,14 @@ def in_parts(batches: Iterator[pd.DataFrame], width: int, values: int = 1 << 20)
             yield pdf.iloc[i:i + step].reset_index(drop=True)
 
 
-def _topk_block(qids: np.ndarray, Q: np.ndarray, bids: np.ndarray, B: np.ndarray, k: int, decimals: int | None = None,
-                allowed: np.ndarray | None = None) -> pd.DataFrame:
-    """Exact top-k of base rows for each query in one block; ties (of scores rounded to ``decimals``, if given) broken by smaller id.
-    With ``allowed`` (queries by rows) the other pairs score minus infinity."""
+def _topk_block(qids: np.ndarray, Q: np.ndarray, bids: np.ndarray, B: np.ndarray, k: int, decimals: int | None = None) -> pd.DataFrame:
+    """Exact top-k of base rows for each query in one block; ties (of scores rounded to ``decimals``, if given) broken by smaller id."""
     if len(qids) == 0 or len(bids) == 0:
         return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
                              "score": pd.Series([], dtype="float64")})
     S = np.nan_to_num(Q @ B.T, nan=-np.inf)  # (nq, nb)
     if decimals is not None:
         S = np.round(S, decimals)
-    if allowed is not None:
-        S[~allowed] = -np.inf
     kk = min(k, len(bids))
     out_q, out_b, out_s = [], [], []
     for j in range(len(qids)):
@@ -155,37 +152,25 @@ def _blocked_groups(q: DataFrame, b: DataFrame, block_rows: int, of_q: Sequence[
 
 
 def blocked_search(q: DataFrame, b: DataFrame, k: int, block_rows: int = 2000, decimals: int | None = None) -> DataFrame:
-    """Exact top-k of ``b`` rows for each ``q`` row within the same ``list_id``, scored in
-    bounded blocks (see :func:`_blocked_groups`); partial top-k per block, final per query.
-
-    If ``q`` has a column ``lists``, ``list_id`` stands for a group of lists: a query meets only the rows of its group whose
-    ``home`` is in ``lists``. Rows are sent ``GROUP_BLOCKS`` blocks at a time, so that each is copied to fewer tasks.
+    """Exact top-k of ``b`` rows for each ``q`` row within the same ``list_id``, scored in tiles (see :mod:`tiles`): a list's
+    rows are cut into hash blocks on both sides, and each block of queries meets each block of rows once; partial top-k per
+    tile, final per query. A block has ``tiles.TILE_BLOCKS * block_rows`` rows, fewer if vectors are long.
     """
-    choosy = "lists" in q.columns
-    qq, bb, keys = _blocked_groups(q, b, GROUP_BLOCKS * block_rows, ["lists"] if choosy else [], ["home"] if choosy else [])
-
-    def kernel(qpdf: pd.DataFrame, bpdf: pd.DataFrame) -> pd.DataFrame:
-        found = [_topk_block(np.zeros(0), None, np.zeros(0), None, k)]
-        if len(qpdf) == 0 or len(bpdf) == 0:
-            return found[0]
-        bids, B = bpdf["vec_id"].to_numpy(dtype="int64"), _matrix(bpdf["vec"])
-        homes, column = np.unique(bpdf["home"].to_numpy(), return_inverse=True) if choosy else (None, None)
-        for part in in_parts([qpdf], len(bids), block_rows * block_rows):
-            allowed = None
-            if choosy:
-                wanted = np.concatenate(part["lists"].to_list())
-                at = np.repeat(np.arange(len(part)), part["lists"].map(len))
-                place = np.minimum(np.searchsorted(homes, wanted), len(homes) - 1)
-                there = homes[place] == wanted  # a list may have no live row
-                allowed = np.zeros((len(part), len(homes)), bool)
-                allowed[at[there], place[there]] = True
-                allowed = allowed[:, column]
-            hits = _topk_block(part["query_id"].to_numpy(dtype="int64"), _matrix(part["qvec"]), bids, B, k, decimals, allowed)
-            found.append(hits[hits["score"] > -np.inf])
-        return pd.concat(found)
-
-    partials = qq.groupBy(*keys).cogroup(bb.groupBy(*keys)).applyInPandas(kernel, HIT_SCHEMA)
-    return _final_topk(partials, k)
+    sizes = lambda df: df.groupBy("list_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims"))
+    kinds = tiles.kind(q), tiles.kind(b)
+    most = [F.greatest(F.lit(1), F.least(F.lit(tiles.TILE_BLOCKS * block_rows), F.floor(F.lit(tiles.TILE_BYTES // int(x[-1])) / F.greatest(F.lit(1), "dims")))) for x in kinds]
+    plan = sizes(b).select("list_id", F.ceil(F.col("n") / most[1]).cast("int").alias("nb")).join(
+        sizes(q).select("list_id", "n", F.ceil(F.col("n") / most[0]).cast("int").alias("nq")), "list_id")  # one row a list
+    lists, pairs = plan.agg(F.count(F.lit(1)), F.sum(F.col("nb") * F.col("nq"))).first()
+    # few queries a block if that makes tiles for all tasks
+    more = max(1, math.ceil(2 * q.sparkSession.sparkContext.defaultParallelism / max(1, pairs or 0)))
+    plan = plan.withColumn("nq", F.greatest("nq", F.least(F.col("nq") * more, F.floor(F.col("n") / tiles.CHUNK_QUERIES))).cast("int")).drop("n")
+    # broadcast when the list count is within bounds, else a normal join
+    plan = F.broadcast(plan) if lists <= MAX_BROADCAST_LISTS else plan
+    block = lambda row_id, n: F.pmod(F.xxhash64(row_id), F.col(n)).cast("int").alias("blk")
+    qq = q.join(plan, "list_id").select("list_id", block("query_id", "nq"), F.col("nb").alias("n"), "query_id", "vec")
+    bb = b.join(plan, "list_id").select("list_id", block("vec_id", "nb"), F.col("nq").alias("n"), "vec_id", "vec")
+    return _final_topk(tiles.tile_search(tiles.pack(qq, "query_id"), tiles.pack(bb, "vec_id"), k, kinds, decimals), k)
 
 
 def label_centroids(df: DataFrame, label: str = "label", vec: str = "embedding", dims: int | None = None) -> DataFrame:

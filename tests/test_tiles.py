@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import tiles
+from lakeloom.operators import vector as vx
 from lakeloom.operators import vector_index as vi
 from lakeloom.session import shared_dir
 
@@ -94,6 +95,15 @@ def test_few_pairs_are_scored_twice(monkeypatch):
     assert sum(scored) < 300 * 8
 
 
+def test_copies_in_other_blocks_have_one_score(spark):
+    v = [float(x) for x in rows(7, 1, 64)[0]]
+    near = [v[:-1] + [v[-1] * (1 + 1e-6 * i)] for i in range(3)]
+    base = spark.createDataFrame([(i, near[0]) for i in range(900, 0, -1)] + [(1000 + i, x) for i, x in enumerate(near)], VECTORS)
+    q = spark.createDataFrame([(i, near[0]) for i in range(50)], "query_id long, embedding array<float>")
+    hits = vx.vector_search(base, q, 7, blocked=True, block_rows=1).collect()  # blocks of 32 rows
+    assert len(hits) == 350 and all(r["vec_id"] == r["rank"] for r in hits) and len({r["score"] for r in hits}) == 1
+
+
 def test_vectors_are_sent_packed_and_probed_lists_alone_are_read(spark, monkeypatch):
     b = rows(8, 4000, 16, 0.05, 10)
     df = spark.createDataFrame([(i, x) for i, x in enumerate(b.tolist())], VECTORS).repartition(4)
