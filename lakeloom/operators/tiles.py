@@ -20,11 +20,11 @@ HITS = "query_id bigint, vec_id bigint, score double"
 #: A side of tiles: rows of a block, of which the other side has ``n``; ``more`` and ``least`` are as in :func:`tile_search`.
 PACKED = "list_id bigint, blk int, n int, ids binary, vecs binary, more binary, least binary"
 #: Blocks of rows, and bytes of vectors, that a side of a tile has at most.
-TILE_BLOCKS, TILE_BYTES = 32, 16 << 20
+TILE_BLOCKS, TILE_BYTES = 16, 8 << 20
 #: Rows and queries whose scores are made at once.
 CHUNK_ROWS, CHUNK_QUERIES = 512, 2048
-#: Pairs that are scored again at once.
-PAIRS = 1 << 15
+#: Pairs that are scored again at once, and that may wait for it.
+PAIRS, WAITING = 1 << 13, 1 << 18
 #: Doubles this close count as equal when many rows compete for the last places.
 NOISE = 1e-13
 
@@ -192,7 +192,7 @@ class _Best:
             row, query = np.divmod(at, len(asked))
             self.new.append((query if some is None else some[query], row + rows.start))
             self.waiting += len(at)
-            if self.waiting > min(max(8 * k * len(self.q.ids), PAIRS), 16 * PAIRS):
+            if self.waiting > min(max(8 * k * len(self.q.ids), 4 * PAIRS), WAITING):
                 self.settle()
 
     def _crowd(self, rows: slice, some: np.ndarray | None, good: np.ndarray) -> np.ndarray:

@@ -37,6 +37,8 @@ from lakeloom.sources.sinks import rebalanced
 
 #: Added to an angle before a list is ruled out: far above rounding errors, far below any difference that matters.
 EPSILON = 1e-7
+#: Bytes of stored vectors that a task of a search reads.
+TASK_BYTES = 32 << 20
 #: Rows from which a fit is dealt to all cores if its files aren't; another deal starts the fit from other rows.
 FIT_ROWS = 100_000
 ROWS = "vec_id bigint, embedding array<float>, angle double, h bigint"
@@ -286,7 +288,9 @@ def _look(rows: DataFrame, queries: DataFrame, probes: DataFrame, k: int, arrays
     plan = [(int(i), int(g), int(n - begins[g]), int(nb[g]), int(nq[g])) for n, (i, g) in enumerate(zip(arrays.ids, groups, strict=True))]
     plan = rows.sparkSession.createDataFrame(plan, "list_id int, grp int, place int, nb int, nq int")
     rows = rows.join(F.broadcast(plan), "list_id")  # one row a list, fewer than the centroids collected
-    rows = rows.select(F.col("grp").alias("list_id"), F.pmod(F.xxhash64("vec_id"), "nb").alias("blk"), F.col("nq").alias("n"), "vec_id",
+    # an index has many small files: a task reads several
+    tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, int(arrays.rows.sum()) * arrays.centroids.shape[1] * 4 // TASK_BYTES)
+    rows = rows.coalesce(tasks).select(F.col("grp").alias("list_id"), F.pmod(F.xxhash64("vec_id"), "nb").alias("blk"), F.col("nq").alias("n"), "vec_id",
                        F.col("embedding").alias("vec"), "place")
     # probes grow with the queries but lie in small files, so their size on disk must not choose a broadcast
     asking = queries.join(probes.drop("n").hint("merge"), "query_id")

@@ -100,7 +100,7 @@ def test_copies_in_other_blocks_have_one_score(spark):
     near = [v[:-1] + [v[-1] * (1 + 1e-6 * i)] for i in range(3)]
     base = spark.createDataFrame([(i, near[0]) for i in range(900, 0, -1)] + [(1000 + i, x) for i, x in enumerate(near)], VECTORS)
     q = spark.createDataFrame([(i, near[0]) for i in range(50)], "query_id long, embedding array<float>")
-    hits = vx.vector_search(base, q, 7, blocked=True, block_rows=1).collect()  # blocks of 32 rows
+    hits = vx.vector_search(base, q, 7, blocked=True, block_rows=1).collect()  # blocks of 16 rows
     assert len(hits) == 350 and all(r["vec_id"] == r["rank"] for r in hits) and len({r["score"] for r in hits}) == 1
 
 
@@ -145,4 +145,4 @@ def test_queries_are_cut_for_all_tasks():
     assert tiles.blocks([10_000, 70_000], 65_536, [1, 1], 6).tolist() == [4, 8]
     assert tiles.blocks([100, 0], 65_536, [1, 1], 6).tolist() == [1, 1]
     assert tiles.blocks([650_000], 65_536, [10], 6).tolist() == [10]
-    assert tiles.tile_rows(2000, 64) == 64_000 and tiles.tile_rows(2000, 1 << 30) == 1
+    assert tiles.tile_rows(2000, 64) == 32_000 and tiles.tile_rows(2000, 1 << 30) == 1
